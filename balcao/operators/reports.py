@@ -87,7 +87,7 @@ def hb_seller_report(report: DataFrame, chunk_rows: int = ROWS_PER_CHUNK) -> Dat
     """VENDAS_VENDEDOR_HB, amounts as text."""
     rows = seller_rows(report, vocab.HEADER_ROW["hb_sellers"], chunk_rows)
     typed = rows.withColumns(
-        {"code": t.code_number(F.col("code")), "amount": t.br_or_zero(F.col("amount"))}
+        {"code": F.col("code").try_cast("bigint"), "amount": t.br_or_zero(F.col("amount"))}
     )
     return hb_seller_totals(typed).select(
         F.col("code").alias("Código"),

@@ -1,21 +1,27 @@
-"""Newest file of a kind."""
+"""Newest report of a kind."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from balcao.operators.ordered import FILE
 
+def latest_reports(files: DataFrame, per: str | None = None) -> DataFrame:
+    """The most recently changed report, per kind if ``per`` names a column.
 
-def latest_files(files: DataFrame, per: str | None = None) -> DataFrame:
-    """The most recently changed file, per report if ``per`` names a column.
-
-    Files changed at the same moment are told apart by path, so the choice is stable.
+    ``files`` comes from ``list_files``. Reports changed at the same moment are told
+    apart by path, so the choice is stable.
     """
-    newest = F.max(F.struct("modified", FILE)).alias("newest")
-    grouped = files.groupBy(per).agg(newest) if per else files.agg(newest)
     kept = [per] if per else []
-    return grouped.where(F.col("newest").isNotNull()).select(
-        *kept, F.col(f"newest.{FILE}").alias(FILE), F.col("newest.modified").alias("modified")
+    reports = files.groupBy(*kept, "report").agg(F.max("modified").alias("modified"))
+    newest = F.max(F.struct("modified", "report")).alias("newest")
+    return (
+        reports.groupBy(*kept)
+        .agg(newest)
+        .where(F.col("newest").isNotNull())
+        .select(
+            *kept,
+            F.col("newest.report").alias("report"),
+            F.col("newest.modified").alias("modified"),
+        )
     )

@@ -28,8 +28,16 @@ def file_label(path: Column) -> Column:
     return F.when(name.startswith("part-"), F.regexp_replace(folder, "^[^=]*=", "")).otherwise(name)
 
 
+def report_path(path: Column) -> Column:
+    """The file itself; for part files, the directory they make up."""
+    return F.regexp_replace(path, "/part-[^/]*$", "")
+
+
 def list_files(spark: SparkSession, folder: str, glob: str) -> DataFrame:
-    """One row per file: ``file``, ``label``, ``modified``, ``bytes``. Reads no contents."""
+    """One row per file: ``file``, ``label``, ``report``, ``modified``, ``bytes``.
+
+    Reads no contents.
+    """
     found = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
@@ -39,6 +47,7 @@ def list_files(spark: SparkSession, folder: str, glob: str) -> DataFrame:
     return found.select(
         F.col("path").alias(FILE),
         file_label(F.col("path")).alias("label"),
+        report_path(F.col("path")).alias("report"),
         F.col("modificationTime").alias("modified"),
         F.col("length").alias("bytes"),
     )
