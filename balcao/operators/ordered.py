@@ -10,6 +10,8 @@ Row numbers must be unique and increasing per file, but need not be consecutive.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -54,11 +56,22 @@ def running_last(
             for name, (cond, value) in picks.items()
         }
     )
-    ends = marked.groupBy(FILE, _CHUNK).agg(*[F.max(n).alias(n) for n in names])
-    carried = ends.select(
+    # Only the found rows are sorted for their latest; all chunks are listed by a hash
+    # aggregate over two columns, because a chunk without a found row needs a carry too.
+    some = reduce(or_, [F.col(n).isNotNull() for n in names])
+    ends = (
+        marked.where(some)
+        .groupBy(FILE, _CHUNK)
+        .agg(*[F.max(n).alias(_CARRY + n) for n in names])
+    )
+    chunks = _chunked(df, chunk_rows).select(FILE, _CHUNK).distinct()
+    carried = chunks.join(ends, [FILE, _CHUNK], "left").select(
         FILE,
         _CHUNK,
-        *[F.last(n, ignorenulls=True).over(_chunks_before()).alias(_CARRY + n) for n in names],
+        *[
+            F.last(_CARRY + n, ignorenulls=True).over(_chunks_before()).alias(_CARRY + n)
+            for n in names
+        ],
     )
     inside = _inside(-1 if strictly_before else 0)
     found = marked.join(carried, [FILE, _CHUNK], "left").withColumns(
@@ -88,11 +101,10 @@ def shift_up(df: DataFrame, columns: list[str], chunk_rows: int = ROWS_PER_CHUNK
     """Replace ``columns`` by their values one row further down; null on the last row."""
     held = F.struct(*[F.col(c).alias(f"v{i}") for i, c in enumerate(columns)])
     marked = _chunked(df, chunk_rows).withColumn("__held", held)
-    firsts = marked.groupBy(FILE, _CHUNK).agg(
-        F.min(F.struct(F.col(ROW).alias("at"), F.col("__held").alias("held"))).alias("__first")
-    )
+    tops = _chunked(df, chunk_rows).groupBy(FILE, _CHUNK).agg(F.min(ROW).alias(ROW))
+    heads = marked.select(FILE, ROW, "__held").join(tops, [FILE, ROW])
     next_chunk = Window.partitionBy(FILE).orderBy(_CHUNK)
-    carried = firsts.select(FILE, _CHUNK, F.lead("__first.held").over(next_chunk).alias(_CARRY))
+    carried = heads.select(FILE, _CHUNK, F.lead("__held").over(next_chunk).alias(_CARRY))
     next_row = F.lead("__held").over(Window.partitionBy(FILE, _CHUNK).orderBy(ROW))
     shifted = marked.join(carried, [FILE, _CHUNK], "left").withColumn(
         "__next", F.coalesce(next_row, F.col(_CARRY))

@@ -27,6 +27,7 @@ from balcao.sources.grids import (
     last_position_containing,
     with_header,
 )
+from balcao.sources.staging import staged
 
 
 def _holds(text: Column, part: str) -> Column:
@@ -166,7 +167,8 @@ def branch_totals(report: DataFrame, chunk_rows: int = ROWS_PER_CHUNK) -> DataFr
     is_branch = F.lower("code") == "filial:"
     is_hb = F.col("code") == vocab.HB_PRODUCT_GROUP
     is_total = F.coalesce(F.lower("code").startswith("total filial"), F.lit(False))
-    relevant = rows.where(is_branch | is_hb | is_total)
+    # Few rows matter, and they are gone over four times: written once, they are cheap.
+    relevant = staged(rows.where(is_branch | is_hb | is_total), "branch-total-rows")
     located = running_last(
         relevant,
         {

@@ -32,11 +32,10 @@ class MonthResult:
     scorecard: DataFrame | None
 
 
-def adjusted_roster(tables: MonthTables, spark: SparkSession) -> DataFrame:
+def adjusted_roster(tables: MonthTables, second: DataFrame, spark: SparkSession) -> DataFrame:
     """Roster with second-branch rows added, people on leave removed and targets kept."""
     people = tables.people.select(*[f"`{c}`" for c in ("Filial", "Código", "Nome", "Cargo atual")])
     base = roster.build_roster(people.toDF("branch", "code", "name", "title"))
-    second = tabs.second_targets(tables.second_targets, spark)
     present = roster.drop_on_leave(
         roster.add_second_targets(base, second), tabs.leave(tables.leave, spark)
     )
@@ -44,14 +43,14 @@ def adjusted_roster(tables: MonthTables, spark: SparkSession) -> DataFrame:
     return roster.carry_forward(present, previous, "target")
 
 
-def month_scorecard(tables: MonthTables) -> DataFrame | None:
+def month_scorecard(tables: MonthTables, commissions: DataFrame) -> DataFrame | None:
     """The branch scorecard, or none if one of its tables is missing."""
     if tables.branch_sales is None or tables.branch_targets is None:
         return None
     return scorecard.build_scorecard(
         tabs.branch_sales(tables.branch_sales),
         tabs.branch_targets(tables.branch_targets),
-        tabs.commissions(tables.commissions),
+        commissions,
     )
 
 
@@ -64,14 +63,14 @@ def close_month(
     channel share, or plain ``achieved``.
     """
     commissions = tabs.commissions(tables.commissions)
-    with_target = adjusted_roster(tables, spark)
     second = tabs.second_targets(tables.second_targets, spark)
+    with_target = adjusted_roster(tables, second, spark)
     achieved = sales.add_achieved(with_target, tabs.seller_sales(tables.seller_sales), second)
     shares = tabs.channel_shares(tables.channel_sales, spark)
     credited = sales.add_channel_share(achieved, shares)
     measured = payout.add_progress(credited, basis)
     paid = payout.add_payout(measured, commissions, tabs.trainees(tables.trainees, spark), basis)
-    card = month_scorecard(tables)
+    card = month_scorecard(tables, commissions)
     if card is not None:
         paid = payout.apply_scorecard(paid, scorecard.branch_rewards(card))
     return MonthResult(paid, card)

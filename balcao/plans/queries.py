@@ -16,7 +16,7 @@ from balcao.operators.ordered import FILE
 from balcao.plans import export, monthly, retail
 from balcao.plans.retail import table
 from balcao.sources import columns, grids, hr_files, latest, lines, snapshots, tabs
-from balcao.sources.staging import new_folder
+from balcao.sources.staging import new_folder, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -210,10 +210,11 @@ def _month(spark: SparkSession, folder: str, with_branches: bool = False) -> mon
 
 
 def _achieved(spark: SparkSession, tables: monthly.MonthTables) -> DataFrame:
+    second = tabs.second_targets(tables.second_targets, spark)
     return sales.add_achieved(
-        monthly.adjusted_roster(tables, spark),
+        monthly.adjusted_roster(tables, second, spark),
         tabs.seller_sales(tables.seller_sales),
-        tabs.second_targets(tables.second_targets, spark),
+        second,
     )
 
 
@@ -335,25 +336,29 @@ def hb_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return reports.duplicate_count(_hb_rows(spark, folder), "code")
 
 
+def _printed(spark: SparkSession, folder: str, grid: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """A report written as a table of cells, the way reports arrive."""
+    return staged(grid(retail.monthly_sales(spark, folder)), "report")
+
+
 def flatten_sellers(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.seller_report(retail.seller_grid(retail.monthly_sales(spark, folder)))
+    return reports.seller_report(_printed(spark, folder, retail.seller_grid))
 
 
 def flatten_hb_sellers(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.hb_seller_report(retail.seller_grid(retail.monthly_sales(spark, folder)))
+    return reports.hb_seller_report(_printed(spark, folder, retail.seller_grid))
 
 
 def flatten_commissions(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.commission_report(retail.commission_grid(retail.monthly_sales(spark, folder)))
+    return reports.commission_report(_printed(spark, folder, retail.commission_grid))
 
 
 def branch_totals_report(spark: SparkSession, folder: str) -> DataFrame:
-    grid = retail.branch_total_grid(retail.monthly_sales(spark, folder))
-    return reports.branch_totals(grid).drop("row_idx")
+    return reports.branch_totals(_printed(spark, folder, retail.branch_total_grid)).drop("row_idx")
 
 
 def shift_channel_report(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.channel_report(retail.channel_grid(retail.monthly_sales(spark, folder)))
+    return reports.channel_report(_printed(spark, folder, retail.channel_grid))
 
 
 def shift_pos_staff(spark: SparkSession, folder: str) -> DataFrame:

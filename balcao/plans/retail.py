@@ -319,9 +319,10 @@ def month_tables(
 def monthly_sales(spark: SparkSession, folder: str) -> DataFrame:
     """``month``, ``branch``, ``code``, ``amount``."""
     lines = sale_lines(spark, folder)
-    return lines.groupBy(F.date_format("sold_at", "yyyy-MM").alias("month"), "branch", "code").agg(
+    sums = lines.groupBy(F.trunc("sold_at", "month").alias("day"), "branch", "code").agg(
         sum_money(F.col("amount")).alias("amount")
     )
+    return sums.select(F.date_format("day", "yyyy-MM").alias("month"), "branch", "code", "amount")
 
 
 def cells(*values: str | Column) -> Column:

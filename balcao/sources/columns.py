@@ -13,7 +13,9 @@ from pyspark.sql import types as T
 
 
 def trimmed(df: DataFrame) -> DataFrame:
-    return df.toDF(*[name.strip() for name in df.columns])
+    names = df.columns
+    stripped = [name.strip() for name in names]
+    return df if names == stripped else df.toDF(*stripped)
 
 
 def missing_columns(df: DataFrame, required: Sequence[str]) -> list[str]:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from balcao.functions.text import strip
-from balcao.operators.ordered import FILE, ROW, ROWS_PER_CHUNK, running_total
+from balcao.operators.ordered import FILE, ROW, ROWS_PER_CHUNK
 from balcao.sources.records import scan_records
 
 
@@ -22,8 +22,7 @@ def scan_grids(
     ``row_idx`` counts records from 0, blank rows included, as a spreadsheet would.
     """
     records, _ = scan_records(spark, folder, glob, delimiter, chunk_rows)
-    numbered = running_total(records, F.lit(1), "grid_row", chunk_rows)
-    return numbered.select(FILE, F.col("grid_row").alias(ROW), "cells")
+    return records
 
 
 def clean_header(cells: Column) -> Column:

@@ -63,14 +63,18 @@ def scan_records(
     """Records (``file``, ``row_idx``, ``cells``) and per-file facts of delimited files.
 
     Each file's encoding is found out, and its delimiter unless one is given. Files whose
-    quotes do not pair up give no records: their ``quotes`` fact is odd. ``row_idx`` is
-    the record's first line, so it increases per file but skips continuation lines.
+    quotes do not pair up give no records: their ``quotes`` fact is odd. ``row_idx`` counts
+    records from 0 per file, blank ones included.
     """
     lines = staged(read_lines(spark, folder, glob), "lines")
     facts = staged(file_facts(lines), "facts")
     if delimiter is not None:
         facts = facts.withColumn("delimiter", F.lit(delimiter))
-    paired = facts.where(F.col("quotes") % 2 == 0)
-    whole = join_quoted_lines(decode_lines(lines, paired), chunk_rows)
+    # Without quotes a record is a line; only files with quotes need more.
+    plain = decode_lines(lines, facts.where(F.col("quotes") == 0))
+    quoted = decode_lines(lines, facts.where((F.col("quotes") > 0) & (F.col("quotes") % 2 == 0)))
+    whole = join_quoted_lines(quoted, chunk_rows)
+    numbered = running_total(whole, F.lit(1), "record", chunk_rows).withColumn(ROW, F.col("record"))
+    records = plain.unionByName(numbered.drop("record"))
     cells = split_cells(F.col("text"), F.col("delimiter"))
-    return whole.select(FILE, ROW, cells.alias("cells")), facts
+    return records.select(FILE, ROW, cells.alias("cells")), facts
