@@ -13,6 +13,13 @@ def _shown(value: Column) -> Column:
     return F.coalesce(value, F.lit(""))
 
 
+def br_numbers(df: DataFrame) -> DataFrame:
+    """Amounts as Brazilian text, so that the text tables read back what was meant."""
+    return df.withColumns(
+        {c: t.br_text(F.col(f"`{c}`")) for c, kind in df.dtypes if kind == "double"}
+    )
+
+
 def _money(name: str) -> Column:
     return _shown(t.br_text(F.col(name)))
 

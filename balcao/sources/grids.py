@@ -21,8 +21,7 @@ def scan_grids(
 
     ``row_idx`` counts records from 0, blank rows included, as a spreadsheet would.
     """
-    records, _ = scan_records(spark, folder, glob, delimiter, chunk_rows)
-    return records
+    return scan_records(spark, folder, glob, delimiter, chunk_rows)[0]
 
 
 def clean_header(cells: Column) -> Column:

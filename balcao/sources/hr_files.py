@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from balcao import vocab
 from balcao.functions.text import clean_email, export_text, strip
 from balcao.operators.ordered import FILE, ROW
-from balcao.sources.lines import list_files
+from balcao.sources.lines import empty_files, list_files
 from balcao.sources.records import scan_records
 
 CSV = "*.[cC][sS][vV]"
@@ -68,6 +68,8 @@ def scan_hr_folder(spark: SparkSession, folder: str, glob: str = CSV) -> HrScan:
     )
     files = (
         list_files(spark, folder, glob)
+        .select(FILE, "label")
+        .unionByName(empty_files(spark, folder, glob))
         .withColumn("branch", branch_from_name(F.col("label")))
         .join(facts.select(FILE, "quotes"), FILE, "left")
         .join(first, FILE, "left")

@@ -53,6 +53,20 @@ def list_files(spark: SparkSession, folder: str, glob: str) -> DataFrame:
     )
 
 
+def empty_files(spark: SparkSession, folder: str, glob: str) -> DataFrame:
+    """Files without a single byte, which scans leave out: ``file``, ``label``.
+
+    Takes the names from the file index, which the driver holds anyway.
+    """
+    index = (
+        spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", True).text(folder)
+    )
+    names = spark.createDataFrame([(name,) for name in index.inputFiles()], "path string")
+    path = F.regexp_replace(plain_path("path"), "^file:/+", "file:/")
+    named = names.select(path.alias(FILE), file_label(path).alias("label"))
+    return named.join(list_files(spark, folder, glob).select(FILE), FILE, "left_anti")
+
+
 def read_lines(spark: SparkSession, folder: str | list[str], glob: str) -> DataFrame:
     """``file``, ``row_idx`` (from 0 per file) and the line's undecoded ``raw`` bytes."""
     raw = (

@@ -65,6 +65,9 @@ def scan_records(
     Each file's encoding is found out, and its delimiter unless one is given. Files whose
     quotes do not pair up give no records: their ``quotes`` fact is odd. ``row_idx`` counts
     records from 0 per file, blank ones included.
+
+    Lines and cells are written once each, because everything that follows reads them
+    several times and text is slow to take apart.
     """
     lines = staged(read_lines(spark, folder, glob), "lines")
     facts = staged(file_facts(lines), "facts")
@@ -77,4 +80,4 @@ def scan_records(
     numbered = running_total(whole, F.lit(1), "record", chunk_rows).withColumn(ROW, F.col("record"))
     records = plain.unionByName(numbered.drop("record"))
     cells = split_cells(F.col("text"), F.col("delimiter"))
-    return records.select(FILE, ROW, cells.alias("cells")), facts
+    return staged(records.select(FILE, ROW, cells.alias("cells")), "cells"), facts

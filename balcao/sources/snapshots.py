@@ -6,9 +6,11 @@ the previous state of the next run.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from balcao.sources.columns import in_order
@@ -27,25 +29,36 @@ def write_snapshot(
     columns: Sequence[str] | None = None,
     if_empty: str = "skip",
 ) -> bool:
-    """Write ``df`` as ``folder/snapshot=<snapshot>``; returns whether it was written.
+    """Write ``df`` as ``folder/snapshot=<snapshot>``; returns whether it has rows.
 
-    ``if_empty``: ``skip`` writes nothing, ``fail`` raises, ``write`` leaves a table with
-    column names only. An existing snapshot is never changed.
+    The rows are counted while they are written, so the result is computed once. Readers
+    pass over a snapshot without rows, so an empty result replaces nothing; with
+    ``if_empty="fail"`` it is an error as well. An existing snapshot is never changed.
     """
     out = in_order(df, columns) if columns else df
-    if if_empty != "write" and out.isEmpty():
+    counted = Observation("written")
+    out.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(
+        f"{folder}/{SNAPSHOT}={snapshot}"
+    )
+    if counted.get["rows"] == 0:
         if if_empty == "fail":
             raise EmptyOutput(f"nothing to write to {folder}")
         return False
-    out.write.mode("errorifexists").parquet(f"{folder}/{SNAPSHOT}={snapshot}")
     return True
 
 
-def latest_snapshot(spark: SparkSession, folder: str) -> DataFrame:
-    """The newest snapshot; older ones are pruned before their files are read."""
+def latest_snapshot(spark: SparkSession, folder: str, even_if_empty: bool = False) -> DataFrame:
+    """The newest snapshot with rows; older ones are pruned before their files are read.
+
+    ``even_if_empty`` takes the newest snapshot as it is: its table may have become empty.
+    """
     table = spark.read.option("basePath", folder).parquet(folder)
     typed = table.withColumn(SNAPSHOT, F.col(SNAPSHOT).cast("string"))
-    newest = typed.select(F.max(SNAPSHOT).alias(SNAPSHOT)).scalar()
+    if even_if_empty:
+        names = [re.search(f"/{SNAPSHOT}=([^/]*)/", f).group(1) for f in table.inputFiles()]
+        newest = F.lit(unquote(max(names)))
+    else:
+        newest = typed.select(F.max(SNAPSHOT)).scalar()
     return typed.where(F.col(SNAPSHOT) == newest).drop(SNAPSHOT)
 
 
