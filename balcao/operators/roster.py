@@ -52,17 +52,12 @@ def add_second_targets(roster: DataFrame, second: DataFrame) -> DataFrame:
     The new row copies the person's first row by (branch, name). Rows already on the
     roster are not repeated; codes nobody on the roster has are left out.
     """
-    new = missing_second_targets(roster, second)
-    wanted = new.select("code_key").distinct()
-    keyed = roster.withColumn("code_key", F.col("code").cast("string"))
     others = [c for c in roster.columns if c not in ("branch", "name", "id")]
-    first = (
-        keyed.join(wanted, "code_key", "left_semi")
-        .groupBy("code_key")
-        .agg(F.min(F.struct("branch", "name", "id", *others)).alias("base"))
+    first = roster.groupBy(F.col("code").cast("string").alias("code_key")).agg(
+        F.min(F.struct("branch", "name", "id", *others)).alias("base")
     )
     columns = [c for c in roster.columns if c not in ("id", "branch")]
-    added = new.join(first, "code_key").select(
+    added = missing_second_targets(roster, second).join(first, "code_key").select(
         "id",
         t.to_whole(F.col("branch"), "a branch number").alias("branch"),
         *[F.col(f"base.{c}").alias(c) for c in columns],

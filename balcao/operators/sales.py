@@ -35,13 +35,13 @@ def flag_two_branch_codes(roster: DataFrame, second: DataFrame) -> DataFrame:
 def add_achieved(roster: DataFrame, sales: DataFrame, second: DataFrame) -> DataFrame:
     """``achieved``: sales over all branches, or of the row's own branch for people with two.
 
-    The fact is summed once per (branch, code); sums per code are taken from that.
+    The fact is summed once per (branch, code); sums per code are taken from that. The
+    sums meet the roster in the partitioning the summing left them in.
     """
     flagged = flag_two_branch_codes(roster, second)
     in_branch = totals_per_branch_and_code(sales)
     anywhere = totals_per_code(in_branch)
-    two_branch_codes = second.select("code_key").distinct()
-    own = in_branch.join(two_branch_codes, "code_key", "left_semi").select(
+    own = in_branch.select(
         F.col("branch_key").alias("own_branch"),
         F.col("code_key").alias("own_code"),
         F.col("amount").alias("own_amount"),

@@ -323,8 +323,10 @@ GROUP BY id HAVING COUNT(*) > 1""",
     "reporting_period": """
 SELECT day,
   CASE WHEN day(day) = 1 THEN CAST(day - INTERVAL 1 MONTH AS DATE) ELSE CAST(date_trunc('month', day) AS DATE) END AS period_start,
-  CASE WHEN day(day) = 1 THEN CAST(day - INTERVAL 1 DAY AS DATE) ELSE day END AS period_end,
-  CAST(last_day(day) - day + 1 AS BIGINT) AS days_left,
+  CASE WHEN day(day) = 1 THEN CAST(day - INTERVAL 1 DAY AS DATE) ELSE day END AS period_end
+FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders)""",
+    "days_left": """
+SELECT day, CAST(last_day(day) - day + 1 AS BIGINT) AS days_left,
   strftime(last_day(day) + 1, '%m/%Y') AS next_month
 FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders)""",
     "reporting_period_sales": _period("1998-06-01", AS_OF),

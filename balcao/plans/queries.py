@@ -161,14 +161,25 @@ def composite_id_collisions(spark: SparkSession, folder: str) -> DataFrame:
 # ---- periods -------------------------------------------------------------------------
 
 
+def _order_days(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "orders").select(F.to_date("o_orderdate").alias("day")).distinct()
+
+
 def reporting_period(spark: SparkSession, folder: str) -> DataFrame:
-    """Period, days left and next month's label for every order day."""
-    days = table(spark, folder, "orders").select(F.to_date("o_orderdate").alias("day")).distinct()
+    """First and last day of the period reported on, for every order day."""
     day = F.col("day")
-    return days.select(
+    return _order_days(spark, folder).select(
         "day",
         period.period_start(day).alias("period_start"),
         period.period_end(day).alias("period_end"),
+    )
+
+
+def days_left(spark: SparkSession, folder: str) -> DataFrame:
+    """Days to the end of the month and next month's label, for every order day."""
+    day = F.col("day")
+    return _order_days(spark, folder).select(
+        "day",
         period.days_left(day).cast("bigint").alias("days_left"),
         period.next_month_label(day).alias("next_month"),
     )
@@ -646,6 +657,7 @@ ALL: dict[str, Query] = {
         cpf_clean,
         composite_id_collisions,
         reporting_period,
+        days_left,
         reporting_period_sales,
         reporting_period_sales_on_the_first,
         sales_by_seller,

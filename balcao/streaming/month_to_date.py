@@ -1,0 +1,31 @@
+"""Month-to-date sums that follow the reports as they arrive.
+
+The batch jobs add everything up again on every run. Here the same sums per branch and
+code are kept up to date by Structured Streaming over a folder of seller tables.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import DataStreamWriter
+
+from balcao import vocab
+from balcao.operators.sales import totals_per_branch_and_code
+from balcao.sources import tabs
+
+SELLER_SCHEMA = ", ".join(f"`{name}` string" for name in vocab.SELLER_COLUMNS)
+
+
+def arriving_sales(spark: SparkSession, folder: str, file_format: str = "parquet") -> DataFrame:
+    """Seller tables dropped into a folder, as a stream of typed sales rows."""
+    stream = spark.readStream.schema(SELLER_SCHEMA).format(file_format).load(folder)
+    return tabs.seller_sales(stream)
+
+
+def running_totals(spark: SparkSession, folder: str, checkpoint: str) -> DataStreamWriter:
+    """Sums per branch and code after every batch. State is one row per pair.
+
+    The sums are whole cents, so the order in which files arrive does not change them.
+    """
+    totals = totals_per_branch_and_code(arriving_sales(spark, folder))
+    return totals.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)

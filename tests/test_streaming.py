@@ -1,0 +1,30 @@
+from balcao.operators.sales import totals_per_branch_and_code
+from balcao.sources import tabs
+from balcao.streaming.month_to_date import SELLER_SCHEMA, running_totals
+from tests.conftest import rows
+
+
+def test_stream_matches_batch(spark, tmp_path):
+    folder, state = str(tmp_path / "in"), str(tmp_path / "state")
+    batches = [
+        [("F1", "20.0", "A", "1.000,10"), ("F2", "20", "A", "0,20")],
+        [("1", "20", "A", "0,30"), ("1", "21", "B", "bad")],
+    ]
+
+    def drain():
+        query = (
+            running_totals(spark, folder, state)
+            .format("memory")
+            .queryName("totals")
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+        return rows(spark.table("totals"))
+
+    for n, batch in enumerate(batches):
+        spark.createDataFrame(batch, SELLER_SCHEMA).write.mode("append").parquet(folder)
+        found = drain()
+        seen = spark.createDataFrame([r for b in batches[: n + 1] for r in b], SELLER_SCHEMA)
+        assert found == rows(totals_per_branch_and_code(tabs.seller_sales(seen)))
+    assert ("1", "20", 1000.4) in found
