@@ -34,7 +34,7 @@ def br_number_parse(spark: SparkSession, folder: str) -> DataFrame:
     written = t.br_text(price)
     text = (
         F.when(variant == 0, written)
-        .when(variant == 1, F.concat(F.lit(" "), written, F.lit(" ")))
+        .when(variant == 1, F.concat(F.lit(" "), written, F.lit("\u00a0")))
         .when(variant == 2, price.cast("decimal(18,2)").cast("string"))
         .when(variant == 3, F.concat(F.lit("("), written, F.lit(")")))
         .when(variant == 4, F.concat(F.lit("R$ "), written))

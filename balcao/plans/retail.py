@@ -533,7 +533,7 @@ def pos_staff_grid(spark: SparkSession, folder: str) -> DataFrame:
             F.lit(v)
             for v in (
                 "",
-                " Código ",
+                " Código\u00a0",
                 "Nome do  Funcionário",
                 "",
                 "",

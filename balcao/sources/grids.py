@@ -27,7 +27,7 @@ def scan_grids(
 def clean_header(cells: Column) -> Column:
     """Trimmed lower-case names; a blank one is called after its position (``unnamed: 3``)."""
     spaced = F.transform(
-        cells, lambda c: F.lower(strip(F.regexp_replace(c, r"[\s ﻿]+", " ")))
+        cells, lambda c: F.lower(strip(F.regexp_replace(c, r"[\s\u00a0\ufeff]+", " ")))
     )
     return F.transform(
         spaced,

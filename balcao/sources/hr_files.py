@@ -58,7 +58,7 @@ def scan_hr_folder(spark: SparkSession, folder: str, glob: str = CSV) -> HrScan:
         F.max(F.size("cells")).alias("widest"),
     )
     header = F.transform(
-        F.col("header"), lambda c: strip(F.replace(c, F.lit("﻿"), F.lit("")))
+        F.col("header"), lambda c: strip(F.replace(c, F.lit("\ufeff"), F.lit("")))
     )
     reason = (
         F.when(F.col("branch").isNull(), "no branch in name")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from balcao.operators.ordered import FILE, ROW
 
 SNIFFED_CHARACTERS = 2048
-_BOM = "﻿"
+_BOM = "\ufeff"
 
 
 def plain_path(column: str) -> Column:
