@@ -2,20 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder. A temporary folder only stands in on local mode."""
+    """The session's checkpoint folder, which every executor can reach."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
-        if configured is None and not context.master.startswith("local"):
+        if configured is None:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="balcao-"))
+        context.setCheckpointDir(configured)
     return context.getCheckpointDir()
 
 
