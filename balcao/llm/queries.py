@@ -13,6 +13,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op4_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    from balcao.llm.pii import personal_data_digest
+
+    return personal_data_digest(table(spark, folder, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     from balcao.llm.token_counts import token_counts
 
@@ -26,6 +32,7 @@ def op10_piece_codec(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_personal_data": op4_personal_data,
     "op8_token_counts": op8_token_counts,
     "op10_piece_codec": op10_piece_codec,
 }
