@@ -13,6 +13,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_harmonic_packing(spark: SparkSession, folder: str) -> DataFrame:
+    from balcao.llm.packing import pack_documents
+
+    docs = table(spark, folder, "documents")
+    return pack_documents(docs, f"{TOKENIZERS}/word_bpe_49k.json", last_id=1)
+
+
 def op4_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     from balcao.llm.pii import personal_data_digest
 
@@ -32,6 +39,7 @@ def op10_piece_codec(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_harmonic_packing": op1_harmonic_packing,
     "op4_personal_data": op4_personal_data,
     "op8_token_counts": op8_token_counts,
     "op10_piece_codec": op10_piece_codec,
