@@ -20,6 +20,12 @@ def op1_harmonic_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(docs, f"{TOKENIZERS}/word_bpe_49k.json", last_id=1)
 
 
+def op2_multiset_hash(spark: SparkSession, folder: str) -> DataFrame:
+    from balcao.llm.multiset_hash import fingerprint_digest
+
+    return fingerprint_digest(table(spark, folder, "documents"))
+
+
 def op4_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     from balcao.llm.pii import personal_data_digest
 
@@ -40,6 +46,7 @@ def op10_piece_codec(spark: SparkSession, folder: str) -> DataFrame:
 
 ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_harmonic_packing": op1_harmonic_packing,
+    "op2_multiset_hash": op2_multiset_hash,
     "op4_personal_data": op4_personal_data,
     "op8_token_counts": op8_token_counts,
     "op10_piece_codec": op10_piece_codec,
