@@ -38,6 +38,12 @@ def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(table(spark, folder, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model")
 
 
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    from balcao.llm.toxicity import toxicity_digest
+
+    return toxicity_digest(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op10_piece_codec(spark: SparkSession, folder: str) -> DataFrame:
     from balcao.llm.piece_codec import encode_checked
 
@@ -49,6 +55,7 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_multiset_hash": op2_multiset_hash,
     "op4_personal_data": op4_personal_data,
     "op8_token_counts": op8_token_counts,
+    "op9_toxicity": op9_toxicity,
     "op10_piece_codec": op10_piece_codec,
 }
 
