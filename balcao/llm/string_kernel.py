@@ -2,8 +2,9 @@
 
 Two words are alike in as far as they share subsequences of three letters; a subsequence
 that spans n letters of a word weighs ``DECAY ** n``, so gaps and inserted characters cost
-likeness but do not end it. The kernel is normalised to 1 for equal words. Likeness below
-``FLOOR`` counts as none.
+likeness but do not end it. The kernel is normalised to 1 for equal words; likeness is
+its power ``POWER``, a kernel too, which tells the likely from the possible. Kernels below
+``FLOOR`` count as none.
 """
 
 from __future__ import annotations
@@ -15,18 +16,27 @@ from itertools import combinations
 import numpy as np
 
 DECAY = 0.6
-FLOOR = 0.15
+FLOOR = 0.25
+POWER = 2
 LONGEST = 24  # longer words are looked at through windows of this many letters
 _LETTERS = 32
 _CELLS = 1 << 21
 
 
+_NUMBERS = bytes((c | 32) - 96 if chr(c).isascii() and chr(c).isalpha() else 0 for c in range(256))
+_NOT_LETTERS = bytes(c for c in range(256) if not _NUMBERS[c])
+
+
 def letters_of(word: str) -> bytes:
-    """The word's letters as numbers below 32, accents taken off."""
-    folded = unicodedata.normalize("NFKD", word) if not word.isascii() else word
-    return bytes(
-        ord(c) - 96 if "a" <= c <= "z" else 27 + ord(c) % 5 for c in folded if c.isalpha()
-    )
+    """The word's letters as numbers below 32, accents taken off.
+
+    Words without a Latin letter keep a rough trace: one of five numbers for each letter.
+    """
+    if not word.isascii():
+        folded = unicodedata.normalize("NFKD", word.casefold())
+        found = folded.encode("ascii", "ignore").translate(_NUMBERS, _NOT_LETTERS)
+        return found or bytes(27 + ord(c) % 5 for c in folded if c.isalpha())
+    return word.encode().translate(_NUMBERS, _NOT_LETTERS)
 
 
 @lru_cache(maxsize=None)
@@ -69,36 +79,44 @@ class Landmarks:
             codes = _codes(np.frombuffer(word, dtype=np.uint8)[None, :], len(word))[0]
             np.add.at(table[:, column], codes, _triples(len(word))[1])
         norms = np.sqrt((table * table).sum(axis=0))
-        self.table = table / np.maximum(norms, 1e-9)
-        self.used = self.table.any(axis=1)
+        table /= np.maximum(norms, 1e-9)
+        # Few landmarks hold one subsequence: lists of (landmark, value), code after code.
+        codes, self.columns = np.nonzero(table)
+        self.values = table[codes, self.columns]
+        self.counts = np.bincount(codes, minlength=len(table))
+        self.firsts = np.cumsum(self.counts) - self.counts
+        self.most = table.max(axis=1, initial=0)
+
+    def _sums(self, codes: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Kernel of each row's word with each landmark, not yet divided by the word's norm."""
+        rows, places = np.nonzero(self.counts[codes])
+        found = codes[rows, places]
+        counts = self.counts[found]
+        ends = np.cumsum(counts)
+        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.firsts[found] - (ends - counts), counts)
+        width = len(self.words)
+        cells = np.repeat(rows * width, counts) + self.columns[at]
+        amounts = np.repeat(weights[places], counts) * self.values[at]
+        return np.bincount(cells, amounts, len(codes) * width).reshape(-1, width)
 
     def _same_length(self, words: list[bytes], length: int) -> np.ndarray:
         places, weights = _triples(length)
-        least_norm = np.sqrt((weights * weights).sum())
+        least = FLOOR * np.sqrt((weights * weights).sum())
         found = np.zeros((len(words), len(self.words)), dtype=np.float32)
         step = max(1, _CELLS // len(places))
         for first in range(0, len(words), step):
-            part = words[first : first + step]
-            letters = np.frombuffer(b"".join(part), dtype=np.uint8).reshape(-1, length)
-            codes = _codes(letters, length)
-            rows, columns = np.nonzero(self.used[codes])
-            if not len(rows):
-                continue
-            starts = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
-            hit = rows[starts]
-            sums = np.empty((len(hit), len(self.words)), dtype=np.float32)
-            bounds = np.append(starts, len(rows))
-            for a in range(0, len(hit), 4096):  # so that only so many rows of the table are copied
-                b = min(a + 4096, len(hit))
-                inside = slice(bounds[a], bounds[b])
-                values = self.table[codes[rows[inside], columns[inside]]]
-                values *= weights[columns[inside]][:, None]
-                sums[a:b] = np.add.reduceat(values, starts[a:b] - bounds[a], axis=0)
-            near = sums.max(axis=1) >= FLOOR * least_norm
-            hit, sums = hit[near], sums[near]
-            if len(hit):
-                alike = sums / _own_norms(codes[hit], weights)[:, None]
-                found[first + hit] = np.where(alike >= FLOOR, alike, 0)
+            letters = np.frombuffer(b"".join(words[first : first + step]), dtype=np.uint8)
+            codes = _codes(letters.reshape(-1, length), length)
+            # No landmark can be nearer than the sum of each subsequence's largest value.
+            near = np.flatnonzero(self.most[codes] @ weights >= least)
+            for a in range(0, len(near), 8192):
+                some = near[a : a + 8192]
+                sums = self._sums(codes[some], weights)
+                kept = sums.max(axis=1, initial=0) >= least
+                some, sums = some[kept], sums[kept]
+                if len(some):
+                    alike = sums / _own_norms(codes[some], weights)[:, None]
+                    found[first + some] = np.where(alike >= FLOOR, alike**POWER, 0)
         return found
 
     def likeness(self, words: list[bytes]) -> np.ndarray:
@@ -111,6 +129,8 @@ class Landmarks:
                     parts.append(window)
                     owners.append(number)
         found = np.zeros((len(words), len(self.words)), dtype=np.float32)
+        if not self.words:
+            return found
         for length, (parts, owners) in by_length.items():
             alike = self._same_length(parts, length)
             if length == LONGEST:

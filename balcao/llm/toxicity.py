@@ -4,8 +4,8 @@ Landmarks are words that are told apart by the labels (Nyström: the kernel is a
 its values at the landmarks, whitened by their own kernel matrix). A sentence's kernel value
 at a landmark is that of its most similar word, so gapped words and words with inserted
 characters still count; spaced-out letters are read as one word. The machine is trained on
-sentences of labelled documents: all sentences of clean documents are negative, and of each
-toxic document the sentence that the machine itself ranks highest is positive. A document
+sentences of labelled documents: all sentences of clean documents are negative; of each
+toxic document those that the machine itself puts on that side are positive, one at least. A document
 scores as its highest sentence, put through a logistic curve.
 
 The classifier is fitted on at most ``TRAINING_DOCUMENTS`` labelled documents (the lowest
@@ -38,10 +38,12 @@ PREDICT_AT = 0.3
 TRAINING_DOCUMENTS = 6_000
 TRAINING_SENTENCES = 40
 CANDIDATES = 600  # words considered as landmarks, of either label
-LANDMARKS = 64  # of words that speak for toxicity; half as many that do not
+LANDMARKS = 80  # of words that speak for toxicity; half as many that do not
 LONGEST_SENTENCE = 48  # words
-PENALTY = 1e-3
+PENALTY = 1e-4
+KEPT_WORDS = 300_000  # words whose likeness a task remembers
 ROUNDS = 5
+SURE = 0.64  # likeness to a word that speaks for toxicity, for the first guess
 
 _ENDS = ".!?;:"
 _LOOKS = str.maketrans("013457@$", "oieastas")
@@ -50,10 +52,9 @@ _DISGUISED = re.compile(r"(?<=[^\W\d_])[013457@$]+(?=[^\W\d_])")
 
 def plain_word(raw: str) -> bytes:
     """Letters of a raw token; digits and signs between letters read as the letters they resemble."""
-    word = raw.lower()
-    if not word.isalpha():
-        word = _DISGUISED.sub(lambda m: m[0].translate(_LOOKS), word)
-    return letters_of(word)
+    if not raw[:-1].isalpha():
+        raw = _DISGUISED.sub(lambda m: m[0].translate(_LOOKS), raw)
+    return letters_of(raw)
 
 
 @dataclass
@@ -102,19 +103,45 @@ def read_words(texts: pa.Array) -> Words:
     return Words(list(known), numbers, sentences, sentence_texts)
 
 
-def sentence_likeness(words: Words, landmarks: Landmarks) -> tuple[np.ndarray, np.ndarray]:
+class Memory:
+    """Likeness of words to landmarks, kept from slice to slice for a bounded number of words."""
+
+    def __init__(self, landmarks: Landmarks):
+        self.landmarks = landmarks
+        self.clear()
+
+    def clear(self) -> None:
+        self.places: dict[bytes, int] = {}  # -1 for words that resemble no landmark
+        self.rows = np.zeros((0, len(self.landmarks.words)), dtype=np.float32)
+
+    def lookup(self, words: list[bytes]) -> np.ndarray:
+        """Row of each word in ``rows``, or -1."""
+        if len(self.places) > KEPT_WORDS:
+            self.clear()
+        places = self.places
+        new = [word for word in words if word not in places]
+        if new:
+            alike = self.landmarks.likeness(new)
+            some = alike.any(axis=1)
+            numbers = np.where(some, np.cumsum(some) - 1 + len(self.rows), -1)
+            places.update(zip(new, numbers.tolist()))
+            self.rows = np.vstack([self.rows, alike[some]])
+        return np.fromiter((places[word] for word in words), dtype=np.int64, count=len(words))
+
+
+def sentence_likeness(words: Words, memory: Memory) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of the sentences that resemble a landmark, and their likeness to each."""
-    alike = landmarks.likeness(words.distinct)
-    some = alike.any(axis=1)[words.numbers]
-    numbers, sentences = words.numbers[some], words.sentences[some]
-    if not len(numbers):
-        return sentences, alike[:0]
+    places = memory.lookup(words.distinct)[words.numbers]
+    some = places >= 0
+    places, sentences = places[some], words.sentences[some]
+    if not len(places):
+        return sentences, memory.rows[:0]
     starts = np.flatnonzero(np.concatenate([[True], sentences[1:] != sentences[:-1]]))
-    found = np.empty((len(starts), alike.shape[1]), dtype=np.float32)
-    bounds = np.append(starts, len(numbers))
+    found = np.empty((len(starts), memory.rows.shape[1]), dtype=np.float32)
+    bounds = np.append(starts, len(places))
     for a in range(0, len(starts), 4096):
         b = min(a + 4096, len(starts))
-        rows = alike[numbers[bounds[a] : bounds[b]]]
+        rows = memory.rows[places[bounds[a] : bounds[b]]]
         found[a:b] = np.maximum.reduceat(rows, starts[a:b] - bounds[a], axis=0)
     return sentences[starts], found
 
@@ -127,9 +154,9 @@ class Model:
     slope: float
     shift: float
 
-    def scores(self, texts: pa.Array) -> np.ndarray:
+    def scores(self, texts: pa.Array, memory: Memory) -> np.ndarray:
         words = read_words(texts)
-        numbers, alike = sentence_likeness(words, self.landmarks)
+        numbers, alike = sentence_likeness(words, memory)
         margins = np.full(len(texts), self.bias)
         np.maximum.at(margins, words.sentence_texts[numbers], alike @ self.weights + self.bias)
         return 1 / (1 + np.exp(-np.clip(self.slope * margins + self.shift, -50, 50)))
@@ -162,14 +189,16 @@ def _logistic(margins: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     return float(w[0]), float(w[1])
 
 
-def _choose_landmarks(counts: list[tuple[str, int, int]], toxic: int, clean: int) -> list[str]:
-    """Words whose documents' labels differ most, no two of them nearly the same."""
+def _choose_landmarks(
+    counts: list[tuple[str, int, int]], toxic: int, clean: int
+) -> tuple[list[str], list[str]]:
+    """Words whose documents' labels differ most either way, no two of them nearly the same."""
     scored = []
     for word, with_toxic, with_clean in counts:
         odds = np.log((with_toxic + 0.5) / (toxic + 1)) - np.log((with_clean + 0.5) / (clean + 1))
         scored.append((odds * np.sqrt(with_toxic + with_clean), word))
-    chosen: list[str] = []
-    for wanted, sign in ((LANDMARKS, -1), (LANDMARKS // 2, 1)):
+    chosen: list[list[str]] = [[], []]
+    for side, wanted, sign in ((0, LANDMARKS, -1), (1, LANDMARKS // 2, 1)):
         ranked = [w for s, w in sorted(scored, key=lambda pair: (sign * pair[0], pair[1])) if s * sign < 0]
         ranked = ranked[:CANDIDATES]
         if not ranked:
@@ -177,10 +206,10 @@ def _choose_landmarks(counts: list[tuple[str, int, int]], toxic: int, clean: int
         alike = Landmarks(ranked).likeness([letters_of(w) for w in ranked])
         kept: list[int] = []
         for i in range(len(ranked)):
-            if len(kept) < wanted and (not kept or alike[i, kept].max() < 0.9):
+            if len(kept) < wanted and (not kept or alike[i, kept].max() < 0.8):
                 kept.append(i)
-        chosen += [ranked[i] for i in kept]
-    return chosen
+        chosen[side] = [ranked[i] for i in kept]
+    return chosen[0], chosen[1]
 
 
 def is_held_out(id_column: str = "doc_id") -> Column:
@@ -228,16 +257,18 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     counted = counted.withColumn("weight", weight)
     ends = [counted.orderBy(*o).limit(CANDIDATES) for o in ((F.desc("weight"), "word"), ("weight", "word"))]
     counts = [(_spelled(r.word), r.toxic, r.clean) for end in ends for r in end.collect()]
-    landmarks = Landmarks(_choose_landmarks(list(dict.fromkeys(counts)), toxic, clean))
-    if not landmarks.words:
+    speaking, other = _choose_landmarks(list(dict.fromkeys(counts)), toxic, clean)
+    if not speaking:
         return None
+    landmarks = Landmarks(speaking + other)
 
     def sentences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory = Memory(landmarks)
         for batch in batches:
             for first, last in slices(batch.column(1)):
                 part = batch.slice(first, last - first)
                 words = read_words(part.column(1))
-                numbers, alike = sentence_likeness(words, landmarks)
+                numbers, alike = sentence_likeness(words, memory)
                 texts = words.sentence_texts[numbers]
                 packed = []
                 for row in range(len(part)):
@@ -254,7 +285,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     bags = [np.frombuffer(b, dtype=np.float16).reshape(-1, width).astype(np.float64) for _, b in found]
     # A document always has a sentence like nothing, too.
     bags = [np.vstack([bag, np.zeros((1, width))]) for bag in bags]
-    return _fit(landmarks, bags, np.array([t for t, _ in found]))
+    return _fit(landmarks, len(speaking), bags, np.array([t for t, _ in found]))
 
 
 def _spelled(word: str) -> str:
@@ -266,23 +297,28 @@ def _spelled(word: str) -> str:
 _OTHER = [next(chr(c) for c in range(0x3B1, 0x3C9) if c % 5 == rest) for rest in range(5)]
 
 
-def _fit(landmarks: Landmarks, bags: list[np.ndarray], labels: np.ndarray) -> Model:
+def _best(bag: np.ndarray, margins: np.ndarray) -> np.ndarray:
+    """Rows with a margin above 0, or else the highest."""
+    return np.flatnonzero(margins > 0) if (margins > 0).any() else np.array([np.argmax(margins)])
+
+
+def _fit(landmarks: Landmarks, speaking: int, bags: list[np.ndarray], labels: np.ndarray) -> Model:
     own = landmarks.likeness([letters_of(w) for w in landmarks.words]).astype(np.float64)
     values, vectors = np.linalg.eigh((own + own.T) / 2)
     whitening = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 0.05))) @ vectors.T
-    bags = [bag @ whitening for bag in bags]
+    raw, bags = bags, [bag @ whitening for bag in bags]
     negatives = np.vstack([bag for bag, label in zip(bags, labels) if label == 0])
-    toxic = [bag for bag, label in zip(bags, labels) if label == 1]
-    # First guess: the sentence most like the words that speak for toxicity.
-    chosen = np.array([bag[np.argmax(bag.sum(axis=1))] for bag in toxic])
+    toxic = [pair for *pair, label in zip(bags, raw, labels) if label == 1]
+    # First guess: sentences with a word that speaks for toxicity. Then those on its side.
+    picked = [_best(bag, raw[:, :speaking].max(axis=1) - SURE) for bag, raw in toxic]
     for _ in range(ROUNDS):
-        rows = np.vstack([chosen, negatives])
-        signs = np.concatenate([np.ones(len(chosen)), -np.ones(len(negatives))])
-        weights, bias = _separate(rows, signs)
-        picked = np.array([bag[np.argmax(bag @ weights)] for bag in toxic])
-        if np.array_equal(picked, chosen):
-            break
         chosen = picked
+        positives = np.vstack([bag[rows] for (bag, _), rows in zip(toxic, chosen)])
+        signs = np.concatenate([np.ones(len(positives)), -np.ones(len(negatives))])
+        weights, bias = _separate(np.vstack([positives, negatives]), signs)
+        picked = [_best(bag, bag @ weights + bias) for bag, _ in toxic]
+        if all(map(np.array_equal, picked, chosen)):
+            break
     margins = np.array([(bag @ weights).max() + bias for bag in bags])
     slope, shift = _logistic(margins, labels)
     return Model(landmarks, whitening @ weights, bias, slope, shift)
@@ -301,11 +337,12 @@ def toxicity_scores(
     at = [field.name for field in kept].index(text_column)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory = Memory(model.landmarks)
         for batch in batches:
             for first, last in slices(batch.column(at)):
                 part = batch.slice(first, last - first)
                 yield pa.record_batch(
-                    [*part.columns, pa.array(model.scores(part.column(at)), pa.float64())],
+                    [*part.columns, pa.array(model.scores(part.column(at), memory), pa.float64())],
                     names=[*part.schema.names, "toxicity"],
                 )
 
