@@ -76,3 +76,14 @@ def test_cuts_add_up_and_leave_no_crumbs(tokens):
 
 def test_classes():
     assert [piece_class(n) for n in (2048, 1024, 64, 65, 127, 3)] == [-2048, -1024, -64, 31, 16, 682]
+
+
+def test_words_straight_from_the_model_equal_the_library():
+    from balcao.llm.word_ids import WordEncoder
+
+    encoder = WordEncoder(PATH)
+    assert encoder._by_model
+    for code in [*range(33, 0x500), 0x2019, 0x2028, 0x4E2D]:
+        for word in (chr(code), f"a{chr(code)}", f"Éx{chr(code)}", f"A{chr(code)}b", f"a,{chr(code)}"):
+            found = encoder._simple(word)
+            assert found is None or found == encoder._library(word), repr(word)
