@@ -12,6 +12,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from balcao.llm.word_ids import plain_texts
+
 _BLANK = pa.scalar("", pa.large_string())
 _SPACED = re.compile(" *[^ ]+| +")
 
@@ -26,7 +28,7 @@ def distinct_words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
 
     The last array has one entry more than there are texts. Null texts count as empty.
     """
-    texts = pc.fill_null(texts.cast(pa.large_string()), _BLANK)
+    texts = plain_texts(texts)
     odd = pc.or_(
         pc.match_substring(texts, "  "),
         pc.or_(pc.starts_with(texts, " "), pc.ends_with(texts, " ")),

@@ -26,6 +26,12 @@ def op2_multiset_hash(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprint_digest(table(spark, folder, "documents"))
 
 
+def op3_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    from balcao.llm.minhash import near_duplicates
+
+    return near_duplicates(table(spark, folder, "documents"), width=3, least_percent=85)
+
+
 def op4_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     from balcao.llm.pii import personal_data_digest
 
@@ -53,6 +59,7 @@ def op10_piece_codec(spark: SparkSession, folder: str) -> DataFrame:
 ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_harmonic_packing": op1_harmonic_packing,
     "op2_multiset_hash": op2_multiset_hash,
+    "op3_minhash": op3_minhash,
     "op4_personal_data": op4_personal_data,
     "op8_token_counts": op8_token_counts,
     "op9_toxicity": op9_toxicity,

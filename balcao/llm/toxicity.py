@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from balcao.llm.string_kernel import Landmarks, letters_of
-from balcao.llm.word_ids import slices
+from balcao.llm.word_ids import plain_texts, slices
 
 FOLDS, HELD_OUT = 4, 2
 PREDICT_AT = 0.3
@@ -68,7 +68,7 @@ class Words:
 
 
 def read_words(texts: pa.Array) -> Words:
-    lists = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
+    lists = pc.ascii_split_whitespace(plain_texts(texts))
     encoded = lists.flatten().dictionary_encode()
     raw = encoded.dictionary.to_pylist()
     known: dict[bytes, int] = {}

@@ -31,6 +31,12 @@ def _byte_letters() -> dict[int, str]:
     return table
 
 
+def plain_texts(texts: pa.Array) -> pa.Array:
+    """Texts without nulls in buffers of their own (string functions misread some slices)."""
+    texts = pa.concat_arrays([texts.cast(pa.large_string()), pa.nulls(0, pa.large_string())])
+    return texts.fill_null("")
+
+
 class WordEncoder:
     """Ids of whole texts, word by word, without special tokens."""
 
@@ -93,8 +99,7 @@ class WordEncoder:
 
     def encode(self, texts: pa.Array, last_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids with ``last_id`` after each text, and each text's first place (one more)."""
-        texts = texts.cast(pa.large_string()).fill_null("")
-        lists = pc.ascii_split_whitespace(texts)
+        lists = pc.ascii_split_whitespace(plain_texts(texts))
         encoded = lists.flatten().dictionary_encode()
         places = self._known(encoded.dictionary.to_pylist())
         firsts = self._starts[places]
@@ -124,7 +129,7 @@ def word_encoder(path: str) -> WordEncoder:
 
 def slices(texts: pa.Array) -> list[tuple[int, int]]:
     """Row ranges of a bounded number of bytes (a longer text is a range of its own)."""
-    sizes = np.asarray(pc.binary_length(texts.cast(pa.large_string()).fill_null("")), dtype=np.int64)
+    sizes = np.asarray(pc.binary_length(plain_texts(texts)), dtype=np.int64)
     group = np.cumsum(sizes) // SLICE_CHARACTERS
     cuts = np.flatnonzero(np.diff(group)) + 1
     bounds = [0, *cuts.tolist(), len(sizes)]
