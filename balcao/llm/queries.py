@@ -38,6 +38,12 @@ def op4_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return personal_data_digest(table(spark, folder, "documents"))
 
 
+def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    from balcao.llm.suffix_dedup import removal_digest
+
+    return removal_digest(table(spark, folder, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     from balcao.llm.token_counts import token_counts
 
@@ -61,6 +67,7 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_multiset_hash": op2_multiset_hash,
     "op3_minhash": op3_minhash,
     "op4_personal_data": op4_personal_data,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_token_counts": op8_token_counts,
     "op9_toxicity": op9_toxicity,
     "op10_piece_codec": op10_piece_codec,
