@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TOKENIZERS = "/opt/tokenizers"
 
@@ -38,6 +39,12 @@ def op4_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return personal_data_digest(table(spark, folder, "documents"))
 
 
+def op6_multi_index_hashing(spark: SparkSession, folder: str) -> DataFrame:
+    from balcao.llm.ann import nearest
+
+    return nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, most=20)
+
+
 def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     from balcao.llm.suffix_dedup import removal_digest
 
@@ -67,6 +74,7 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_multiset_hash": op2_multiset_hash,
     "op3_minhash": op3_minhash,
     "op4_personal_data": op4_personal_data,
+    "op6_multi_index_hashing": op6_multi_index_hashing,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_token_counts": op8_token_counts,
     "op9_toxicity": op9_toxicity,
