@@ -39,6 +39,12 @@ def op4_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return personal_data_digest(table(spark, folder, "documents"))
 
 
+def op5_secret_forest(spark: SparkSession, folder: str) -> DataFrame:
+    from balcao.llm.secrets import secret_digest
+
+    return secret_digest(table(spark, folder, "documents"))
+
+
 def op6_multi_index_hashing(spark: SparkSession, folder: str) -> DataFrame:
     from balcao.llm.ann import nearest
 
@@ -74,6 +80,7 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_multiset_hash": op2_multiset_hash,
     "op3_minhash": op3_minhash,
     "op4_personal_data": op4_personal_data,
+    "op5_secret_forest": op5_secret_forest,
     "op6_multi_index_hashing": op6_multi_index_hashing,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_token_counts": op8_token_counts,

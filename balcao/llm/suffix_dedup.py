@@ -250,7 +250,7 @@ def without_repeats(
     total = keyed.agg(F.sum(F.octet_length("__text"))).first()[0] or 0
     rows = keyed.select(F.col("__id").alias("id"), F.col("__text").alias("text"), F.col("__tag").alias("tag"))
     ranges = repeated_ranges(rows, total).select(
-        F.col("id").alias("__id"), F.col("tag").alias("__tag"), "ranges"
+        F.col("id").alias("__id"), F.col("tag").alias("__tag"), F.col("ranges").alias("__ranges")
     )
     added = "n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"
     kept = [c for c in docs.columns if c not in ("n_bytes", "n_removed", "n_spans", "kept")]
@@ -273,7 +273,7 @@ def without_repeats(
             )
 
     joined = keyed.join(ranges, ["__id", "__tag"], "left")
-    return joined.select(*[F.col(f"`{c}`") for c in kept], "__text", "ranges").mapInArrow(remove, schema)
+    return joined.select(*[F.col(f"`{c}`") for c in kept], "__text", "__ranges").mapInArrow(remove, schema)
 
 
 def removal_digest(docs: DataFrame) -> DataFrame:
