@@ -39,6 +39,7 @@ from balcao.sources.staging import staged
 COORDINATES = 64
 MATCHES = 42
 BLOCK_NODES = 2_000  # nodes of one value compared at a time
+BUCKET_POSTINGS = 20_000  # postings worked on in one call, on average
 ROUNDS = (2, 8, 64, None)  # best partners of a node confirmed in a round; None: all
 
 
@@ -104,7 +105,11 @@ def prefix_postings(nodes: DataFrame) -> DataFrame:
 
 
 def _blocks(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """``postings`` with ``label`` and the ``block`` of their key they are compared in."""
+    """``postings`` with ``label`` and the ``block`` of their key they are compared in.
+
+    ``is_split`` marks keys of which not all pairs meet: in the first round, when nothing is
+    known of components, blocks are only compared inside.
+    """
     if labels is None:
         labelled = postings.withColumn("label", F.col("node")).withColumn("everywhere", F.lit(False))
         sizes = postings.groupBy("key").agg(F.count("*").alias("size"))
@@ -126,36 +131,74 @@ def _blocks(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
     block = F.when(
         F.col("everywhere"), F.sequence(F.lit(0), F.col("blocks") - 1)
     ).otherwise(F.array(F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int")))
-    return dealt.withColumn("block", F.explode(block))
+    is_split = (F.col("blocks") > 1) & F.lit(labels is None)
+    return dealt.withColumn("block", F.explode(block)).withColumn("is_split", is_split)
+
+
+def _collisions(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return (left == right).sum(axis=-1, dtype=np.int16)
+
+
+def _partners_in_group(values, sizes, labels, most, least_percent) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Places of the candidate pairs of one group, and whether some were left for later."""
+    left, right, more = [], [], False
+    for first in range(0, len(values), 64):
+        some = slice(first, first + 64)
+        alike = _collisions(values[some, None, :], values[None, :, :])
+        small = np.minimum(sizes[some, None], sizes[None, :])
+        large = np.maximum(sizes[some, None], sizes[None, :])
+        apart = (labels[some, None] != labels[None, :]) & (100 * small >= least_percent * large)
+        alike = np.where(apart & (alike >= MATCHES), alike, 0)
+        if most is not None and alike.shape[1] > most:
+            # Ties at the limit: the first ones, as many as are wanted.
+            rank = np.argsort(np.argsort(-alike, axis=1, kind="stable"), axis=1, kind="stable")
+            more = more or bool(((alike > 0) & (rank >= most)).any())
+            alike = np.where(rank < most, alike, 0)
+        i, j = np.nonzero(alike)
+        left.append(i + first)
+        right.append(j)
+    return np.concatenate(left), np.concatenate(right), more
 
 
 def _best_partners(most: int | None, least_percent: int):
-    """Candidate pairs of one block of a key: each node's best partners in other components."""
-
-    def pairs(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.drop_duplicates("node").sort_values("node", ignore_index=True)
-        nodes, labels = rows["node"].to_numpy(), rows["label"].to_numpy()
-        sizes = rows["n_shingles"].to_numpy().astype(np.int64)
-        values = np.frombuffer(b"".join(rows["short"]), dtype=np.uint8).reshape(len(rows), -1)
-        left, right = [], []
-        for first in range(0, len(rows), 64):
-            some = slice(first, first + 64)
-            alike = (values[some, None, :] == values[None, :, :]).sum(axis=2, dtype=np.int16)
-            small = np.minimum(sizes[some, None], sizes[None, :])
-            large = np.maximum(sizes[some, None], sizes[None, :])
-            apart = (labels[some, None] != labels[None, :]) & (100 * small >= least_percent * large)
-            alike = np.where(apart & (alike >= MATCHES), alike, 0)
-            if most is not None and alike.shape[1] > most:
-                limit = np.partition(alike, -most, axis=1)[:, -most][:, None]
-                # Ties at the limit: the first ones, as many as are wanted.
-                rank = np.argsort(np.argsort(-alike, axis=1, kind="stable"), axis=1, kind="stable")
-                alike = np.where((alike >= limit) & (rank < most), alike, 0)
-            i, j = np.nonzero(alike)
-            left.append(nodes[i + first])
-            right.append(nodes[j])
+    """Candidate pairs of a bucket of groups: each node's best partners in other components.
+
+    ``more`` says that the round leaves candidates for later ones.
+    """
+
+    def pairs(table: pa.Table) -> pa.Table:
+        keys, blocks = np.asarray(table.column("key")), np.asarray(table.column("block"))
+        nodes = np.asarray(table.column("node"))
+        order = np.lexsort((nodes, blocks, keys))
+        keys, blocks, nodes = keys[order], blocks[order], nodes[order]
+        labels = np.asarray(table.column("label"))[order]
+        sizes = np.asarray(table.column("n_shingles"))[order]
+        split = np.asarray(table.column("is_split"))[order]
+        short = table.column("short").to_pylist()
+        values = np.frombuffer(b"".join(short[i] for i in order), dtype=np.uint8).reshape(len(nodes), -1)
+        opens = np.flatnonzero(
+            np.concatenate([[True], (keys[1:] != keys[:-1]) | (blocks[1:] != blocks[:-1])])
+        )
+        counts = np.diff(np.append(opens, len(nodes)))
+        # Most groups are of two: all at once.
+        twos = opens[counts == 2]
+        small = np.minimum(sizes[twos], sizes[twos + 1])
+        near = (labels[twos] != labels[twos + 1]) & (
+            100 * small >= least_percent * np.maximum(sizes[twos], sizes[twos + 1])
+        )
+        near &= _collisions(values[twos], values[twos + 1]) >= MATCHES
+        left, right = [nodes[twos[near]]], [nodes[twos[near] + 1]]
+        later = [split[twos[near]]]
+        for first, count in zip(opens[counts > 2].tolist(), counts[counts > 2].tolist()):
+            group = slice(first, first + count)
+            i, j, more = _partners_in_group(values[group], sizes[group], labels[group], most, least_percent)
+            left.append(nodes[first + i])
+            right.append(nodes[first + j])
+            later.append(np.full(len(i), more or bool(split[first])))
         a, b = np.concatenate(left), np.concatenate(right)
-        found = pd.DataFrame({"x": np.minimum(a, b), "y": np.maximum(a, b)})
-        return found.drop_duplicates()
+        found = pd.DataFrame({"x": np.minimum(a, b), "y": np.maximum(a, b), "more": np.concatenate(later)})
+        found = found.groupby(["x", "y"], as_index=False)["more"].any()
+        return pa.Table.from_pandas(found.astype({"more": bool}), preserve_index=False)
 
     return pairs
 
@@ -220,19 +263,28 @@ def link_nodes(
     )
     known = staged(known, "known")
     postings = postings.join(known.select("node", "n_shingles", "short"), "node")
+    buckets = max(1, postings.count() // BUCKET_POSTINGS)
+    has_split = not postings.groupBy("key").count().where(F.col("count") > BLOCK_NODES).isEmpty()
     sets = None
     labels, links, failed = None, None, None
     for most in ROUNDS:
-        found = _blocks(postings, labels).groupBy("key", "block").applyInPandas(
-            _best_partners(most, least_percent), "x bigint, y bigint"
+        bucket = F.pmod(F.xxhash64("key", "block"), F.lit(buckets))
+        found = (
+            _blocks(postings, labels)
+            .withColumn("bucket", bucket)
+            .select("bucket", "key", "block", "node", "label", "n_shingles", "short", "is_split")
+            .groupBy("bucket")
+            .applyInArrow(_best_partners(most, least_percent), "x bigint, y bigint, more boolean")
         )
-        pairs = found.distinct()
+        pairs = staged(found.groupBy("x", "y").agg(F.max("more").alias("more")), "pairs")
+        more = (has_split and labels is None) or not pairs.where("more").isEmpty()
         if failed is not None:
-            pairs = pairs.join(failed, ["x", "y"], "left_anti")
-        pairs = staged(pairs, "pairs")
+            pairs = staged(pairs.join(failed, ["x", "y"], "left_anti"), "pairs")
         if pairs.isEmpty():
-            if labels is None:
+            if not more:
                 break
+            if labels is None:  # nothing is linked yet, but not all blocks have met
+                labels = nodes.select("node", F.col("node").alias("label")).where("false")
             continue
         if sets is None:
             sets = staged(_candidate_sets(docs, known.select("node", "doc_id"), width), "sets")
@@ -254,6 +306,8 @@ def link_nodes(
         )
         # What is known of a component is one edge for each node.
         links = labels.where("node <> label").select(F.col("node").alias("u"), F.col("label").alias("v"))
+        if not more:
+            break
     return labels
 
 
