@@ -35,9 +35,10 @@ from balcao.llm.word_ids import plain_texts, slices
 
 FOLDS, HELD_OUT = 4, 2
 PREDICT_AT = 0.3
-TRAINING_DOCUMENTS = 6_000
-TRAINING_SENTENCES = 40
+TRAINING_DOCUMENTS = 4_000
+TRAINING_SENTENCES = 16
 CANDIDATES = 600  # words considered as landmarks, of either label
+SIGNIFICANT = 4  # standard errors between the labels' shares of documents with a word
 LANDMARKS = 80  # of words that speak for toxicity; half as many that do not
 LONGEST_SENTENCE = 48  # words
 PENALTY = 1e-4
@@ -164,15 +165,20 @@ class Model:
 
 def _separate(rows: np.ndarray, signs: np.ndarray) -> tuple[np.ndarray, float]:
     """Linear machine with squared hinge loss, both classes of equal weight: Newton's steps."""
-    x = np.hstack([rows, np.ones((len(rows), 1))])
+    x = np.hstack([rows, np.ones((len(rows), 1), dtype=np.float32)])
     cost = np.where(signs > 0, 0.5 / max(1, (signs > 0).sum()), 0.5 / max(1, (signs < 0).sum()))
     ridge = np.eye(x.shape[1]) * PENALTY
     ridge[-1, -1] = 1e-9
     w = np.zeros(x.shape[1])
     for _ in range(30):
         active = signs * (x @ w) < 1
-        a, c = x[active], cost[active]
-        new = np.linalg.solve(ridge + (a * c[:, None]).T @ a, (a * c[:, None]).T @ signs[active])
+        gram, pull = ridge.copy(), np.zeros(x.shape[1])
+        for part in np.array_split(np.flatnonzero(active), 1 + active.sum() // 8192):
+            a = x[part].astype(np.float64)
+            weighted = (a * cost[part][:, None]).T
+            gram += weighted @ a
+            pull += weighted @ signs[part]
+        new = np.linalg.solve(gram, pull)
         if np.allclose(new, w, atol=1e-7):
             break
         w = new
@@ -195,11 +201,13 @@ def _choose_landmarks(
     """Words whose documents' labels differ most either way, no two of them nearly the same."""
     scored = []
     for word, with_toxic, with_clean in counts:
-        odds = np.log((with_toxic + 0.5) / (toxic + 1)) - np.log((with_clean + 0.5) / (clean + 1))
-        scored.append((odds * np.sqrt(with_toxic + with_clean), word))
+        share = (with_toxic + with_clean) / (toxic + clean)
+        error = np.sqrt(share * (1 - share) * (1 / toxic + 1 / clean)) + 1e-12
+        scored.append(((with_toxic / toxic - with_clean / clean) / error, word))
     chosen: list[list[str]] = [[], []]
     for side, wanted, sign in ((0, LANDMARKS, -1), (1, LANDMARKS // 2, 1)):
-        ranked = [w for s, w in sorted(scored, key=lambda pair: (sign * pair[0], pair[1])) if s * sign < 0]
+        least = SIGNIFICANT if side == 0 else 0
+        ranked = [w for s, w in sorted(scored, key=lambda pair: (sign * pair[0], pair[1])) if -s * sign > least]
         ranked = ranked[:CANDIDATES]
         if not ranked:
             continue
@@ -252,8 +260,9 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     if not toxic or not clean:
         return None
-    odds = F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log((F.col("clean") + 0.5) / (clean + 1))
-    weight = odds * F.sqrt(F.col("toxic") + F.col("clean"))
+    share = (F.col("toxic") + F.col("clean")) / (toxic + clean)
+    apart = F.col("toxic") / toxic - F.col("clean") / clean
+    weight = apart / F.sqrt(share * (1 - share) * (1 / toxic + 1 / clean) + 1e-24)
     counted = counted.withColumn("weight", weight)
     ends = [counted.orderBy(*o).limit(CANDIDATES) for o in ((F.desc("weight"), "word"), ("weight", "word"))]
     counts = [(_spelled(r.word), r.toxic, r.clean) for end in ends for r in end.collect()]
@@ -282,9 +291,9 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     found = rows.mapInArrow(sentences, "toxic int, rows binary").collect()
     width = len(landmarks.words)
     found = sorted(((r.toxic, bytes(r.rows)) for r in found), reverse=True)
-    bags = [np.frombuffer(b, dtype=np.float16).reshape(-1, width).astype(np.float64) for _, b in found]
+    bags = [np.frombuffer(b, dtype=np.float16).reshape(-1, width).astype(np.float32) for _, b in found]
     # A document always has a sentence like nothing, too.
-    bags = [np.vstack([bag, np.zeros((1, width))]) for bag in bags]
+    bags = [np.vstack([bag, np.zeros((1, width), dtype=np.float32)]) for bag in bags]
     return _fit(landmarks, len(speaking), bags, np.array([t for t, _ in found]))
 
 
@@ -306,7 +315,7 @@ def _fit(landmarks: Landmarks, speaking: int, bags: list[np.ndarray], labels: np
     own = landmarks.likeness([letters_of(w) for w in landmarks.words]).astype(np.float64)
     values, vectors = np.linalg.eigh((own + own.T) / 2)
     whitening = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 0.05))) @ vectors.T
-    raw, bags = bags, [bag @ whitening for bag in bags]
+    raw, bags = bags, [bag @ whitening.astype(np.float32) for bag in bags]
     negatives = np.vstack([bag for bag, label in zip(bags, labels) if label == 0])
     toxic = [pair for *pair, label in zip(bags, raw, labels) if label == 1]
     # First guess: sentences with a word that speaks for toxicity. Then those on its side.
