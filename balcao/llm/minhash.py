@@ -2,12 +2,12 @@
 
 Documents with equal shingle sets are one node. Each node's signature has ``COORDINATES``
 minima, and the inverted index posts nodes under (coordinate, value). Pairs at the
-similarity wanted share at least ``MATCHES`` coordinates, up to a chance of about one in
-100,000 right at the limit. So two such nodes meet under one of each node's
-COORDINATES - MATCHES + 1 rarest values (the prefix); values only one node has need no
+similarity wanted share at least ``matches_for`` it coordinates, up to a chance of about one
+in 100,000 right at the limit. So two such nodes meet under one of each node's
+COORDINATES - matches + 1 rarest values (the prefix); values only one node has need no
 posting at all, which leaves nothing of most documents. Under a value, the signatures are
 merged: pairs are skipped whose sizes are too far apart, the others' collisions are counted,
-and those below ``MATCHES`` fall away.
+and those with too few fall away.
 
 Only connections are wanted, so pairs of nodes that are already connected are skipped too.
 Candidates are confirmed on the full sets in rounds: first each node's best few partners,
@@ -37,12 +37,18 @@ from balcao.llm.word_ids import slices
 from balcao.sources.staging import staged
 
 COORDINATES = 64
-MATCHES = 42
+SIGMAS = 4.2  # standard deviations below the mean that collisions of a linked pair may lie
 BLOCK_NODES = 2_000  # nodes of one value compared at a time
 BUCKET_POSTINGS = 20_000  # postings worked on in one call, on average
 ROUNDS = (2, 8, 64, None)  # best partners of a node confirmed in a round; None: all
 
 
+def matches_for(least_percent: int) -> int:
+    """Collisions that a pair at the limit of similarity has but for a negligible chance."""
+    share = least_percent / 100
+    return max(1, int(COORDINATES * share - SIGMAS * (COORDINATES * share * (1 - share)) ** 0.5))
+
+
 def _factors() -> np.ndarray:
     rng = np.random.default_rng(20240229)
     return rng.integers(1, 1 << 63, COORDINATES, dtype=np.uint64) | np.uint64(1)
@@ -84,7 +90,7 @@ def document_signatures(
     return docs.select(id_column, text_column).mapInArrow(sign, schema)
 
 
-def prefix_postings(nodes: DataFrame) -> DataFrame:
+def prefix_postings(nodes: DataFrame, matches: int) -> DataFrame:
     """``key`` (coordinate and value) and ``node``: each node's rarest values that others share."""
     posted = nodes.select("node", F.posexplode("signature").alias("coordinate", "value")).select(
         "node",
@@ -98,7 +104,7 @@ def prefix_postings(nodes: DataFrame) -> DataFrame:
     )
     # Values of its own come first in a node's order, and need no posting.
     own = F.lit(COORDINATES) - F.size("keys")
-    wanted = F.greatest(F.lit(COORDINATES - MATCHES + 1) - own, F.lit(0))
+    wanted = F.greatest(F.lit(COORDINATES - matches + 1) - own, F.lit(0))
     return ranked.select("node", F.explode(F.slice("keys", F.lit(1), wanted)).alias("k")).select(
         "node", "k.key"
     )
@@ -148,7 +154,7 @@ def _partners_in_group(values, sizes, labels, most, least_percent) -> tuple[np.n
         small = np.minimum(sizes[some, None], sizes[None, :])
         large = np.maximum(sizes[some, None], sizes[None, :])
         apart = (labels[some, None] != labels[None, :]) & (100 * small >= least_percent * large)
-        alike = np.where(apart & (alike >= MATCHES), alike, 0)
+        alike = np.where(apart & (alike >= matches_for(least_percent)), alike, 0)
         if most is not None and alike.shape[1] > most:
             # Ties at the limit: the first ones, as many as are wanted.
             rank = np.argsort(np.argsort(-alike, axis=1, kind="stable"), axis=1, kind="stable")
@@ -186,7 +192,7 @@ def _best_partners(most: int | None, least_percent: int):
         near = (labels[twos] != labels[twos + 1]) & (
             100 * small >= least_percent * np.maximum(sizes[twos], sizes[twos + 1])
         )
-        near &= _collisions(values[twos], values[twos + 1]) >= MATCHES
+        near &= _collisions(values[twos], values[twos + 1]) >= matches_for(least_percent)
         left, right = [nodes[twos[near]]], [nodes[twos[near] + 1]]
         later = [split[twos[near]]]
         for first, count in zip(opens[counts > 2].tolist(), counts[counts > 2].tolist()):
@@ -255,7 +261,7 @@ def link_nodes(
         .select("node", "s.*"),
         "nodes",
     )
-    postings = staged(prefix_postings(nodes), "postings")
+    postings = staged(prefix_postings(nodes, matches_for(least_percent)), "postings")
     wanted = postings.select("node").distinct()
     short = F.transform("signature", lambda v: F.lpad(F.hex(v.bitwiseAND(F.lit(255))), 2, "0"))
     known = nodes.join(wanted, "node").select(
@@ -321,7 +327,6 @@ def near_duplicates(
     """``doc_id``, ``n_shingles``, ``component_id`` (smallest id reachable) and ``kept``.
 
     Documents are linked whose sets satisfy 100 * common >= ``least_percent`` * together.
-    ``MATCHES`` fits limits of 80 percent and more.
     """
     docs = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
     signed = staged(document_signatures(docs, width), "signed")

@@ -238,9 +238,12 @@ def merged(starts: list[int], ends: list[int]) -> list[tuple[int, int]]:
 
 
 def without_repeats(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", as_text: bool = False
 ) -> DataFrame:
-    """``docs`` with ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept`` (binary) added."""
+    """``docs`` with ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept`` (binary) added.
+
+    ``as_text`` makes ``kept`` a string; characters that were cut in two are left out of it.
+    """
     keyed = docs.withColumns(
         {
             "__id": F.coalesce(F.col(id_column).cast("bigint"), F.lit(LAST_ID)),
@@ -252,7 +255,7 @@ def without_repeats(
     ranges = repeated_ranges(rows, total).select(
         F.col("id").alias("__id"), F.col("tag").alias("__tag"), F.col("ranges").alias("__ranges")
     )
-    added = "n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"
+    added = f"n_bytes bigint, n_removed bigint, n_spans bigint, kept {'string' if as_text else 'binary'}"
     kept = [c for c in docs.columns if c not in ("n_bytes", "n_removed", "n_spans", "kept")]
     types = dict(docs.dtypes)
     schema = ", ".join(f"`{c}` {types[c]}" for c in kept) + ", " + added
@@ -265,9 +268,10 @@ def without_repeats(
                 cuts = merged([s["start"] for s in spans or ()], [s["end"] for s in spans or ()])
                 edges = [0, *[edge for cut in cuts for edge in cut], len(text)]
                 rest = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2]))
-                found.append((len(text), len(text) - len(rest), len(cuts), rest))
+                out = rest.decode(errors="ignore") if as_text else rest
+                found.append((len(text), len(text) - len(rest), len(cuts), out))
             columns = list(zip(*found)) if found else [(), (), (), ()]
-            made = [pa.array(c, k) for c, k in zip(columns, [pa.int64()] * 3 + [pa.binary()])]
+            made = [pa.array(c, k) for c, k in zip(columns, [pa.int64()] * 3 + [pa.string() if as_text else pa.binary()])]
             yield pa.record_batch(
                 [*batch.columns[: len(kept)], *made], names=[*kept, "n_bytes", "n_removed", "n_spans", "kept"]
             )
