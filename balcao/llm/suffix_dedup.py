@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,9 +37,9 @@ ANCHOR = 16  # bytes of an anchor
 BUCKET_BYTES = 8_000_000  # bytes of all texts for each bucket of pieces
 LAST_ID = (1 << 63) - 1
 _WORDS = LENGTH - ANCHOR + 1  # anchors to choose from in one string
-_SEGMENT = 1 << 22  # positions looked at at a time; places fit into 24 bits
+_SEGMENT = 1 << 20  # positions looked at at a time; places fit into 24 bits
 _PLACE = np.uint64((1 << 24) - 1)
-_NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
+_HASH_SHIFT = np.uint64(16)  # anchors are told apart by 48 bits; the rest is settled by sorting
 
 
 def anchor_runs(data: bytes, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -75,10 +76,11 @@ def anchor_runs(data: bytes, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray
         fresh[1:] = (anchors[1:] != anchors[:-1]) | (texts[1:] != texts[:-1])
         opens = np.flatnonzero(fresh)
         closes = np.append(opens[1:], len(starts)) - 1
-        found.append((texts[opens], starts[opens], starts[closes], hashes[anchors[opens]]))
+        names = (hashes[anchors[opens]] >> _HASH_SHIFT).view(np.int64)
+        found.append((texts[opens], starts[opens], starts[closes], names))
     if not found:
         none = np.empty(0, dtype=np.int64)
-        return none, none, none, np.empty(0, dtype=np.uint64)
+        return none, none, none, none
     return tuple(np.concatenate(column) for column in zip(*found))
 
 
@@ -98,47 +100,67 @@ def _anchors(rows: DataFrame) -> DataFrame:
                 data, bounds = _laid_out(part.column(1))
                 texts, _, _, hashes = anchor_runs(data, bounds)
                 ids = np.asarray(part.column(0))[texts]
-                yield pa.record_batch([pa.array(hashes.view(np.int64)), pa.array(ids)], names=["anchor", "id"])
+                yield pa.record_batch([pa.array(hashes), pa.array(ids)], names=["anchor", "id"])
 
     return rows.select("id", "text").mapInArrow(find, "anchor bigint, id bigint")
 
 
-def _runs_of_shared(part: pa.RecordBatch) -> Iterator[tuple]:
-    """Pieces of a batch (id, text, tag, shared anchors) whose anchors others have too."""
+def _shared_pieces(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes], np.ndarray]:
+    """Pieces of a batch (id, text, tag, anchors) whose anchors other documents have too.
+
+    Returns the text, place, anchor, bytes and number (a hash) of each.
+    """
     data, bounds = _laid_out(part.column(1))
     texts, starts, lasts, hashes = anchor_runs(data, bounds)
-    shared = part.column(3).to_pylist()
     wanted = np.zeros(len(texts), dtype=bool)
     edges = np.searchsorted(texts, np.arange(len(part) + 1))
-    for row, anchors in enumerate(shared):
+    for row, anchors in enumerate(part.column(3)):
         inside = slice(edges[row], edges[row + 1])
-        wanted[inside] = np.isin(hashes[inside], np.array(anchors, dtype=np.int64).view(np.uint64))
+        wanted[inside] = np.isin(hashes[inside], np.asarray(anchors.values))
     texts, starts, lasts, hashes = texts[wanted], starts[wanted], lasts[wanted], hashes[wanted]
     bodies = [data[a : b + LENGTH] for a, b in zip(starts.tolist(), lasts.tolist())]
-    return texts, starts - bounds[texts], hashes.view(np.int64), bodies
+    digests = b"".join(hashlib.blake2b(body, digest_size=8).digest() for body in bodies)
+    return texts, starts - bounds[texts], hashes, bodies, np.frombuffer(digests, dtype="<i8")
 
 
-def _piece_numbers(bodies: list[bytes]) -> pa.Array:
-    digests = b"".join(hashlib.blake2b(body, digest_size=8).digest() for body in bodies)
-    return pa.array(np.frombuffer(digests, dtype="<i8"))
+_PACKED = "bucket bigint, sizes binary, bodies binary, numbers binary, low binary, high binary"
 
 
-def _pieces(joined: DataFrame) -> DataFrame:
-    """``anchor``, ``piece``, ``body``, ``low``, ``high``: pieces and the ids that hold them."""
+def _pieces(joined: DataFrame, buckets: int) -> DataFrame:
+    """Different pieces with the smallest and largest id that holds them, packed by bucket.
+
+    Equal pieces of a batch are one; a row holds all pieces of a batch for one bucket.
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            found: list[tuple[np.ndarray, ...]] = []
+            bodies: dict[int, bytes] = {}
             for first, last in slices(batch.column(1)):
                 part = batch.slice(first, last - first)
-                texts, _, hashes, bodies = _runs_of_shared(part)
-                ids = np.asarray(part.column(0))[texts]
-                yield pa.record_batch(
-                    [pa.array(hashes), _piece_numbers(bodies), pa.array(bodies, pa.binary()), pa.array(ids)],
-                    names=["anchor", "piece", "body", "id"],
-                )
-
-    found = joined.mapInArrow(cut, "anchor bigint, piece bigint, body binary, id bigint")
-    return found.groupBy("anchor", "piece", "body").agg(F.min("id").alias("low"), F.max("id").alias("high"))
+                texts, _, hashes, cuts, numbers = _shared_pieces(part)
+                bodies.update(zip(numbers.tolist(), cuts))
+                found.append((mixed(hashes.view(np.uint64)) % np.uint64(buckets), numbers, np.asarray(part.column(0))[texts]))
+            if not bodies:
+                continue
+            bucket, numbers, ids = (np.concatenate(column) for column in zip(*found))
+            order = np.lexsort((numbers, bucket))
+            bucket, numbers, ids = bucket[order].astype(np.int64), numbers[order], ids[order]
+            opens = np.flatnonzero(np.concatenate([[True], numbers[1:] != numbers[:-1]]))
+            low, high = np.minimum.reduceat(ids, opens), np.maximum.reduceat(ids, opens)
+            bucket, numbers = bucket[opens], numbers[opens]
+            cuts = np.append(np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])), len(bucket))
+            rows = []
+            for a, b in zip(cuts.tolist(), cuts[1:].tolist()):
+                own = [bodies[n] for n in numbers[a:b].tolist()]
+                sizes = np.array([len(body) for body in own], dtype="<u2")
+                packed = zstandard.compress(b"".join(own), 3)
+                rows.append((int(bucket[a]), sizes.tobytes(), packed, numbers[a:b].tobytes(), low[a:b].tobytes(), high[a:b].tobytes()))
+            kinds = (pa.int64(), *[pa.binary()] * 5)
+            columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
+            yield pa.record_batch(columns, names=["bucket", "sizes", "bodies", "numbers", "low", "high"])
+
+    return joined.mapInArrow(cut, _PACKED)
 
 
 def _occurrences(joined: DataFrame) -> DataFrame:
@@ -148,10 +170,10 @@ def _occurrences(joined: DataFrame) -> DataFrame:
         for batch in batches:
             for first, last in slices(batch.column(1)):
                 part = batch.slice(first, last - first)
-                texts, places, _, bodies = _runs_of_shared(part)
+                texts, places, _, _, numbers = _shared_pieces(part)
                 yield pa.record_batch(
                     [
-                        _piece_numbers(bodies),
+                        pa.array(numbers),
                         pa.array(np.asarray(part.column(0))[texts]),
                         pa.array(np.asarray(part.column(2))[texts]),
                         pa.array(places.astype(np.int32)),
@@ -159,13 +181,28 @@ def _occurrences(joined: DataFrame) -> DataFrame:
                     names=["piece", "id", "tag", "place"],
                 )
 
-    return joined.mapInArrow(find, "piece bigint, id bigint, tag bigint, place int")
+    return joined.mapInArrow(find, "piece bigint, id bigint, tag int, place int")
 
 
 def _owners_of_bucket(table: pa.Table) -> pa.Table:
     """``piece`` and its runs of strings with the same smallest id: (first, last, owner)."""
-    bodies = table.column("body").to_pylist()
-    low, high = np.asarray(table.column("low")), np.asarray(table.column("high"))
+    kept: dict[int, bytes] = {}
+    numbers, low, high = (
+        np.concatenate([np.frombuffer(v.as_py(), dtype="<i8") for v in table.column(name)])
+        for name in ("numbers", "low", "high")
+    )
+    for packed_sizes, packed, names in zip(table.column("sizes"), table.column("bodies"), table.column("numbers")):
+        data, at = zstandard.decompress(packed.as_py()), 0
+        for size, name in zip(
+            np.frombuffer(packed_sizes.as_py(), dtype="<u2").tolist(), np.frombuffer(names.as_py(), dtype="<i8").tolist()
+        ):
+            kept.setdefault(name, data[at : at + size])
+            at += size
+    order = np.argsort(numbers, kind="stable")
+    opens = np.flatnonzero(np.concatenate([[True], np.diff(numbers[order]) != 0]))
+    low, high = np.minimum.reduceat(low[order], opens), np.maximum.reduceat(high[order], opens)
+    numbers = numbers[order][opens]
+    bodies = [kept[name] for name in numbers.tolist()]
     sizes = np.array([len(b) for b in bodies], dtype=np.int64)
     starts, owners = smallest_owners(b"".join(bodies), sizes, low)
     counts = np.maximum(sizes - LENGTH + 1, 0)
@@ -180,7 +217,7 @@ def _owners_of_bucket(table: pa.Table) -> pa.Table:
     opens, closes = opens[used], closes[used]
     return pa.table(
         {
-            "piece": pa.array(np.asarray(table.column("piece"))[pieces[opens]]),
+            "piece": pa.array(numbers[pieces[opens]]),
             "first": pa.array(inside[opens].astype(np.int32)),
             "last": pa.array(inside[closes].astype(np.int32)),
             "owner": pa.array(owners[opens]),
@@ -189,9 +226,11 @@ def _owners_of_bucket(table: pa.Table) -> pa.Table:
 
 
 def repeated_ranges(rows: DataFrame, total_bytes: int) -> DataFrame:
-    """``id``, ``tag`` and ``ranges``: byte ranges of each text that an earlier document holds.
+    """``id`` and ``ranges``: byte ranges (tag, start, end) that an earlier document holds.
 
-    ``rows`` has ``id``, ``text`` and ``tag`` (a hash of the text, for rows that share an id).
+    ``rows`` has ``id``, ``text`` and ``tag`` (a hash of the text, for rows that share an id),
+    and may have more. All its columns go through the join, so that a later join of the same
+    rows by ``id`` reuses the exchange.
     """
     of_anchor = Window.partitionBy("anchor")
     shared = (
@@ -201,28 +240,25 @@ def repeated_ranges(rows: DataFrame, total_bytes: int) -> DataFrame:
         .groupBy("id")
         .agg(F.collect_set("anchor").alias("anchors"))
     )
-    joined = rows.join(shared, "id").select("id", "text", "tag", "anchors")
+    others = [c for c in rows.columns if c not in ("id", "text", "tag")]
+    joined = rows.join(shared, "id").select("id", "text", "tag", "anchors", *others)
     buckets = max(1, total_bytes // BUCKET_BYTES)
     owners = (
-        _pieces(joined)
-        .withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(buckets)))
+        _pieces(joined, buckets)
         .groupBy("bucket")
         .applyInArrow(_owners_of_bucket, "piece bigint, first int, last int, owner bigint")
     )
+    found = F.struct(
+        "tag",
+        (F.col("place") + F.col("first")).alias("start"),
+        (F.col("place") + F.col("last") + LENGTH).alias("end"),
+    )
     return (
         _occurrences(joined)
         .join(owners, "piece")
         .where("owner < id")
-        .select(
-            "id",
-            "tag",
-            F.struct(
-                (F.col("place") + F.col("first")).alias("start"),
-                (F.col("place") + F.col("last") + LENGTH).alias("end"),
-            ).alias("range"),
-        )
-        .groupBy("id", "tag")
-        .agg(F.collect_set("range").alias("ranges"))
+        .groupBy("id")
+        .agg(F.collect_set(found).alias("ranges"))
     )
 
 
@@ -244,40 +280,52 @@ def without_repeats(
 
     ``as_text`` makes ``kept`` a string; characters that were cut in two are left out of it.
     """
-    keyed = docs.withColumns(
-        {
-            "__id": F.coalesce(F.col(id_column).cast("bigint"), F.lit(LAST_ID)),
-            "__text": F.coalesce(F.col(text_column), F.lit("")),
-        }
-    ).withColumn("__tag", F.xxhash64("__text"))
-    total = keyed.agg(F.sum(F.octet_length("__text"))).first()[0] or 0
-    rows = keyed.select(F.col("__id").alias("id"), F.col("__text").alias("text"), F.col("__tag").alias("tag"))
-    ranges = repeated_ranges(rows, total).select(
-        F.col("id").alias("__id"), F.col("tag").alias("__tag"), F.col("ranges").alias("__ranges")
+    others = [c for c in docs.columns if c not in (text_column, "n_bytes", "n_removed", "n_spans", "kept")]
+    rows = docs.select(
+        F.coalesce(F.col(id_column).cast("bigint"), F.lit(LAST_ID)).alias("id"),
+        F.coalesce(F.col(text_column), F.lit("")).alias("text"),
+        F.hash(text_column).alias("tag"),
+        F.struct(F.col(text_column).isNull().alias("__null"), *[F.col(f"`{c}`") for c in others]).alias("rest"),
     )
-    added = f"n_bytes bigint, n_removed bigint, n_spans bigint, kept {'string' if as_text else 'binary'}"
-    kept = [c for c in docs.columns if c not in ("n_bytes", "n_removed", "n_spans", "kept")]
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    joined = rows.join(repeated_ranges(rows, total), "id", "left")
     types = dict(docs.dtypes)
-    schema = ", ".join(f"`{c}` {types[c]}" for c in kept) + ", " + added
+    kind = "string" if as_text else "binary"
+    schema = (
+        ", ".join(f"`{c}` {types[c]}" for c in others)
+        + f", text string, n_bytes bigint, n_removed bigint, n_spans bigint, kept {kind}"
+    )
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(batch.num_columns - 2).cast(pa.large_binary()).to_pylist()
-            found = []
-            for text, spans in zip(texts, batch.column(batch.num_columns - 1).to_pylist()):
-                cuts = merged([s["start"] for s in spans or ()], [s["end"] for s in spans or ()])
+            rest = batch.column(2)
+            missing = rest.field("__null").to_pylist()
+            texts = batch.column(0).cast(pa.large_binary()).to_pylist()
+            found, whole = [], []
+            for text, tag, spans, null in zip(texts, batch.column(1).to_pylist(), batch.column(3).to_pylist(), missing):
+                spans = [s for s in spans or () if s["tag"] == tag]
+                cuts = merged([s["start"] for s in spans], [s["end"] for s in spans])
                 edges = [0, *[edge for cut in cuts for edge in cut], len(text)]
-                rest = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2]))
-                out = rest.decode(errors="ignore") if as_text else rest
-                found.append((len(text), len(text) - len(rest), len(cuts), out))
+                left = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2]))
+                out = left.decode(errors="ignore") if as_text else left
+                found.append((len(text), len(text) - len(left), len(cuts), out))
+                whole.append(None if null else text.decode())
             columns = list(zip(*found)) if found else [(), (), (), ()]
-            made = [pa.array(c, k) for c, k in zip(columns, [pa.int64()] * 3 + [pa.string() if as_text else pa.binary()])]
+            kinds = [pa.int64()] * 3 + [pa.string() if as_text else pa.binary()]
             yield pa.record_batch(
-                [*batch.columns[: len(kept)], *made], names=[*kept, "n_bytes", "n_removed", "n_spans", "kept"]
+                [
+                    *[rest.field(c) for c in others],
+                    pa.array(whole, pa.string()),
+                    *[pa.array(c, k) for c, k in zip(columns, kinds)],
+                ],
+                names=[*others, "text", "n_bytes", "n_removed", "n_spans", "kept"],
             )
 
-    joined = keyed.join(ranges, ["__id", "__tag"], "left")
-    return joined.select(*[F.col(f"`{c}`") for c in kept], "__text", "__ranges").mapInArrow(remove, schema)
+    cut = joined.select("text", "tag", "rest", "ranges").mapInArrow(remove, schema)
+    order = [text_column if c == text_column else c for c in docs.columns if c in (*others, text_column)]
+    return cut.withColumnRenamed("text", text_column).select(
+        *[F.col(f"`{c}`") for c in order], "n_bytes", "n_removed", "n_spans", "kept"
+    )
 
 
 def removal_digest(docs: DataFrame) -> DataFrame:
