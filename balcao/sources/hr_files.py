@@ -62,7 +62,7 @@ def scan_hr_folder(spark: SparkSession, folder: str, glob: str = CSV) -> HrScan:
     )
     reason = (
         F.when(F.col("branch").isNull(), "no branch in name")
-        .when(F.coalesce(F.col("quotes"), F.lit(0)) % 2 == 1, "unpaired quotes")
+        .when(F.coalesce(F.col("is_open"), F.lit(False)), "unpaired quotes")
         .when(F.coalesce(F.col("records"), F.lit(0)) < 2, "empty")
         .when(F.col("widest") > F.size("header"), "row wider than header")
     )
@@ -71,7 +71,7 @@ def scan_hr_folder(spark: SparkSession, folder: str, glob: str = CSV) -> HrScan:
         .select(FILE, "label")
         .unionByName(empty_files(spark, folder, glob))
         .withColumn("branch", branch_from_name(F.col("label")))
-        .join(facts.select(FILE, "quotes"), FILE, "left")
+        .join(facts.select(FILE, "is_open"), FILE, "left")
         .join(first, FILE, "left")
         .select(FILE, "label", "branch", header.alias("header"), "header_row", reason.alias("reason"))
     )

@@ -1,3 +1,5 @@
+import csv
+import io
 import os
 
 import pytest
@@ -64,7 +66,31 @@ def test_records_with_quotes_and_line_breaks(spark, tmp_path, chunk):
         ["1", "y\nz", "3"],
     ]
     assert found["plain.csv"] == [["a", "b"], ["1", ""], ["", "2"]]
-    assert "open.csv" not in found and facts["open.csv"].quotes == 1
+    # Never closed: no records, and the facts say so.
+    assert "open.csv" not in found
+    assert {f for f, r in facts.items() if r.is_open} == {"open.csv"}
+
+
+@pytest.mark.parametrize("chunk", [2, 10**6])
+def test_quotes_inside_cells_are_ordinary_characters(spark, tmp_path, chunk):
+    texts = {
+        "odd.csv": 'a;b\nLOJA 32" TV;1\nx;2\n',
+        "even.csv": 'a;b\nTV 32";1\nx;2\nTV 19";3\ny;4\n',
+        "mixed.csv": 'p"q;"r ""s""; t";u"\n"v\nw"x;""\n;"";"a"b"c;"d\n""e";f\n',
+        "cells.csv": ";".join(f'"c;{i}"' for i in range(2000)) + "\n" + '""""\n" "\n',
+    }
+    for name, text in texts.items():
+        write(tmp_path, name, text)
+    found, facts = records_of(spark, tmp_path, delimiter=";", chunk_rows=chunk)
+    assert not any(r.is_open for r in facts.values())
+    for name, text in texts.items():
+        assert found[name] == [r or [""] for r in csv.reader(io.StringIO(text, newline=""), delimiter=";")]
+
+
+def test_a_record_of_very_many_quoted_cells(spark, tmp_path):
+    write(tmp_path, "wide.csv", ";".join(f'"{i}"' for i in range(20_000)) + "\nx\n")
+    found, _ = records_of(spark, tmp_path, delimiter=";")
+    assert found["wide.csv"] == [[str(i) for i in range(20_000)], ["x"]]
 
 
 def test_record_numbers_count_records_not_lines(spark, tmp_path):
