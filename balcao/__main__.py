@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import sys
 
 from balcao.plans.workspace import REPORTS, Workspace
 from balcao.session import build_session
@@ -19,6 +20,7 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     report = steps.add_parser("load-report", help="flatten the newest report of a folder")
     report.add_argument("kind", choices=sorted(REPORTS))
     report.add_argument("folder")
+    report.add_argument("--delimiter", help="the cells' delimiter; found out if not given")
     hr = steps.add_parser("load-hr", help="merge a folder of HR files")
     hr.add_argument("folder")
     match = steps.add_parser("match-people", help="match HR and point-of-sale staff")
@@ -27,18 +29,25 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     return parser.parse_args(arguments)
 
 
-def main(arguments: list[str] | None = None) -> None:
+def main(arguments: list[str] | None = None) -> int:
+    """Run one step. The exit code is 1 where a step has written no rows."""
     options = parse(arguments)
     workspace = Workspace(build_session(), options.root)
     if options.step == "load-report":
-        workspace.load_report(options.kind, options.folder, options.run)
+        filled = workspace.load_report(
+            options.kind, options.folder, options.run, delimiter=options.delimiter
+        )
     elif options.step == "load-hr":
         workspace.load_hr(options.folder, options.run).show(truncate=False)
+        filled = True
     elif options.step == "match-people":
-        workspace.match_people(options.run, options.pad_tax_ids)
+        filled = workspace.match_people(options.run, options.pad_tax_ids)
     else:
-        workspace.close(options.run)
+        filled = workspace.close(options.run)
+    if not filled:
+        print(f"{options.step}: no rows, nothing is replaced", file=sys.stderr)
+    return 0 if filled else 1
 
 
 if __name__ == "__main__":
-    main()
+    sys.exit(main())

@@ -92,7 +92,11 @@ def build_scorecard(sales: DataFrame, targets: DataFrame, commissions: DataFrame
     )
 
 
+def total_reward() -> Column:
+    """Sum of the five rewards, missing ones counting zero."""
+    return sum((F.coalesce(c, F.lit(0.0)) for c in REWARDS[1:]), F.coalesce(REWARDS[0], F.lit(0.0)))
+
+
 def branch_rewards(scorecard: DataFrame) -> DataFrame:
-    """``branch_key``, ``reward``: sum of the five rewards, missing ones counting zero."""
-    total = sum((F.coalesce(c, F.lit(0.0)) for c in REWARDS[1:]), F.coalesce(REWARDS[0], F.lit(0.0)))
-    return scorecard.select("branch_key", total.alias("reward"))
+    """``branch_key``, ``reward``: sum of the five rewards."""
+    return scorecard.select("branch_key", total_reward().alias("reward"))

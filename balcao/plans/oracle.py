@@ -260,7 +260,7 @@ pos AS (
          c_name || ' *' AS name
   FROM customer JOIN (VALUES (1), (2)) v(copy)
        ON copy = 1 OR c_custkey % 10 = 1
-  WHERE c_custkey % 3 <> 0 AND c_custkey % 25 <> 4),
+  WHERE c_custkey % 25 <> 4),
 matched AS (SELECT branch, code, cpf, name, title FROM hr JOIN pos USING (cpf))"""
 
 
@@ -461,7 +461,11 @@ CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS "Sexo", 'Não' AS "Deficiê
 'Brasil' AS "País de nascimento", '01/02/1990' AS "Data de nascimento",
 CAST(c_custkey % 40 + 20 AS VARCHAR) AS "Idade", '03/04/2020' AS "Data de admissão",
 '' AS "Data de desligamento", {br('c_acctbal')} AS "Salário atual" FROM customer""",
-    "hr_csv_rejects": "SELECT 'outros.csv' AS label, 'no branch in name' AS reason",
+    "hr_csv_rejects": """
+SELECT CASE n_nationkey % 4 WHEN 0 THEN 'outros - ' || n_nationkey || 'x.csv'
+  ELSE 'COLABORADORES - ' || n_nationkey || '.csv' END AS label,
+  CASE n_nationkey % 4 WHEN 0 THEN 'no branch in name' WHEN 1 THEN 'unpaired quotes'
+  WHEN 2 THEN 'empty' ELSE 'row wider than header' END AS reason FROM nation""",
     "latest_report_file": with_(SALE, MART)
     + """SELECT CAST(branch AS VARCHAR) AS branch_key, CAST(code AS VARCHAR) AS code_key,
 amount * 2 AS amount FROM mart""",
@@ -469,11 +473,12 @@ amount * 2 AS amount FROM mart""",
     + f"""SELECT l.id, l.branch, l.code, CAST('1' || printf('%.2f', k.target) AS DOUBLE) AS target
 FROM listed l LEFT JOIN (SELECT id, any_value(target) AS target FROM kept GROUP BY id) k USING (id)""",
     "export_text_clean": r"""
-SELECT doc_id, CASE WHEN doc_id % 10 < 2 THEN ''
-  ELSE replace(regexp_replace('"' || chr(9) || text, '[\n\r\t]+', ' ', 'g'), '"', '''') END AS clean
-FROM documents""",
+SELECT doc_id, 0 AS variant,
+  replace(regexp_replace('"' || chr(9) || text, '[\n\r\t]+', ' ', 'g'), '"', '''') AS clean
+FROM documents UNION ALL SELECT doc_id, unnest([1, 2]), '' FROM documents""",
     "blank_missing_values": """
-SELECT CAST(event_id AS VARCHAR) AS event_id, '' AS note, event_id % 5 < 3 AS blank,
-  CASE WHEN event_id % 5 >= 3 THEN CAST(floor(value) AS BIGINT) END AS whole FROM events""",
+SELECT CAST(event_id AS VARCHAR) AS event_id, '0' AS variant, CAST(value AS VARCHAR) AS amount, '' AS note
+FROM events UNION ALL
+SELECT CAST(event_id AS VARCHAR), unnest(['1', '2', '3']), '', '' FROM events""",
 }
 SQL["grid_files_scan"] = SQL["flatten_sellers"]

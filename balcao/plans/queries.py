@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -402,12 +401,19 @@ def roster_leave_anti(spark: SparkSession, folder: str) -> DataFrame:
     return roster.drop_on_leave(_with_second(spark, folder), on_leave)
 
 
+def _written(spark: SparkSession, df: DataFrame, *order: str) -> DataFrame:
+    """``df`` written as a table in a given order, and read back with its row numbers."""
+    target = new_folder(spark, "table")
+    snapshots.write_snapshot(df.orderBy(*order).drop("row_idx", *order), target, "1")
+    return snapshots.latest_snapshot(spark, target, with_order=True)
+
+
 def target_carry_forward(spark: SparkSession, folder: str) -> DataFrame:
     """Targets typed into the last output, by id; the last filled one counts."""
     previous = retail.previous_tab(
         retail.staff(spark, folder), retail.seller_totals(spark, folder)
     )
-    kept = tabs.previous_values(previous, "Meta", spark)
+    kept = tabs.previous_values(_written(spark, previous, "row_idx"), "Meta", spark)
     return roster.carry_forward(_with_second(spark, folder), kept, "target").select(
         "id", "branch", "code", "target_text", "target"
     )
@@ -467,10 +473,23 @@ def branch_figures(spark: SparkSession, folder: str) -> DataFrame:
     return retail.branch_totals(spark, folder)
 
 
+def _first_of_two(spark: SparkSession, tab: DataFrame) -> DataFrame:
+    """A written table in which a second, later row of each branch must not count."""
+    others = {c: F.lit("9,99") for c in tab.columns if c not in ("Filial", "row_idx")}
+    first = tab.withColumn("version", F.lit(1))
+    second = tab.withColumns(others).withColumn("version", F.lit(2))
+    return _written(spark, first.unionByName(second), "version")
+
+
 def branch_scorecard(spark: SparkSession, folder: str) -> DataFrame:
-    card = _scorecard(spark, folder)
-    rewards = scorecard.branch_rewards(card)
-    return card.join(rewards, "branch_key")
+    """Scorecard from written tables that hold several rows for a branch."""
+    branches = retail.branch_mart(spark, folder)
+    card = scorecard.build_scorecard(
+        tabs.branch_sales(_first_of_two(spark, retail.branch_sales_tab(branches))),
+        tabs.branch_targets(_first_of_two(spark, retail.branch_targets_tab(branches))),
+        tabs.commissions(retail.commissions_tab(retail.seller_totals(spark, folder))),
+    )
+    return card.withColumn("reward", scorecard.total_reward())
 
 
 def payout_final(spark: SparkSession, folder: str) -> DataFrame:
@@ -562,8 +581,25 @@ def hr_csv_union(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def hr_csv_rejects(spark: SparkSession, folder: str) -> DataFrame:
-    """Files of that folder that were left out, by name and reason."""
-    scan = hr_files.scan_hr_folder(spark, _write_hr_folder(spark, folder))
+    """Every reason for which a file is left out: one bad file for each nation."""
+    target = new_folder(spark, "hr")
+    key, name = F.col("n_nationkey"), F.col("n_name")
+    head, row = F.lit("CPF;Nome"), F.concat(key.cast("string"), F.lit(";"), name)
+    kind = key % 4
+    rows = (
+        F.when(kind == 1, F.array(head, row, F.concat(F.lit('1;"'), name)))
+        .when(kind == 2, F.array(head))
+        .when(kind == 3, F.array(head, F.concat(row, F.lit(";1"))))
+        .otherwise(F.array(head, row))
+    )
+    title = F.when(kind == 0, "outros").otherwise("COLABORADORES")
+    bad = table(spark, folder, "nation").select(
+        F.concat(title, F.lit(" - "), key.cast("string"), F.when(kind == 0, "x").otherwise(""), F.lit(".csv")).alias("file"),
+        F.posexplode(rows).alias("line", "value"),
+    )
+    ordered = bad.repartition("file").sortWithinPartitions("file", "line")
+    ordered.select("file", "value").write.partitionBy("file").text(target)
+    scan = hr_files.scan_hr_folder(spark, target, "part-*")
     return scan.rejected.select("label", "reason").distinct()
 
 
@@ -590,7 +626,7 @@ def grid_files_scan(spark: SparkSession, folder: str) -> DataFrame:
     target = new_folder(spark, "grids")
     pages = retail.monthly_sales(spark, folder).withColumn("page", F.floor(F.col("code") / 1000))
     _print_grid(retail.seller_grid(pages, ["month", "page"]), target, 8)
-    return reports.seller_report(grids.scan_grids(spark, target, "*", ";"))
+    return reports.seller_report(grids.scan_grids(spark, target, "*", ";").cells)
 
 
 def latest_report_file(spark: SparkSession, folder: str) -> DataFrame:
@@ -600,7 +636,6 @@ def latest_report_file(spark: SparkSession, folder: str) -> DataFrame:
     for version in (1, 2):
         rows = totals.withColumn("amount", F.col("amount") * version)
         _write_csv(retail.seller_sales_tab(rows), f"{target}/{version}", sep=";")
-        time.sleep(0.05)
     newest = latest.latest_reports(lines.list_files(spark, target, "*.csv")).first()
     tab = spark.read.options(header=True, sep=";").csv(newest["report"])
     return tabs.seller_sales(tab)
@@ -611,38 +646,36 @@ def snapshot_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     target = new_folder(spark, "calc")
     tables = _month(spark, folder)
     first = monthly.close_month(tables, spark).calc
-    snapshots.write_snapshot(export.calc_view(first), target, "2026-03-01")
+    snapshots.write_snapshot(export.calc_view(first), target, "9")
     grown = export.calc_view(first).withColumn(
         "Meta", F.when(F.col("Meta") != "", F.concat(F.lit("1"), F.col("Meta"))).otherwise("")
     )
-    snapshots.write_snapshot(grown, target, "2026-03-02")
-    kept = tabs.previous_values(snapshots.latest_snapshot(spark, target), "Meta", spark)
+    # Names do not tell the order: neither as text nor as numbers.
+    for name, state in (("10", export.calc_view(first)), ("001", grown)):
+        snapshots.write_snapshot(state, target, name)
+    newest = snapshots.latest_snapshot(spark, target, with_order=True)
+    kept = tabs.previous_values(newest, "Meta", spark)
     second = tabs.second_targets(tables.second_targets, spark)
     base = roster.add_second_targets(_base(spark, folder), second)
     return roster.carry_forward(base, kept, "target").select("id", "branch", "code", "target")
 
 
 def export_text_clean(spark: SparkSession, folder: str) -> DataFrame:
-    """Document texts and missing values as one-line export text."""
-    documents = table(spark, folder, "documents")
-    text = F.when(F.col("doc_id") % 10 == 0, "nan").when(F.col("doc_id") % 10 == 1, None)
-    cleaned = t.export_text(text.otherwise(F.concat(F.lit('"\t'), F.col("text"))))
-    return documents.select("doc_id", cleaned.alias("clean"))
+    """Every document's text as one-line export text, and missing values beside it."""
+    texts = F.array(F.concat(F.lit('"\t'), F.col("text")), F.lit("nan"), F.lit(None).cast("string"))
+    documents = table(spark, folder, "documents").select("doc_id", F.posexplode(texts).alias("variant", "shown"))
+    return documents.select("doc_id", "variant", t.export_text(F.col("shown")).alias("clean"))
 
 
 def blank_missing_values(spark: SparkSession, folder: str) -> DataFrame:
-    """Null, NaN and infinite amounts as blank cells."""
-    key = F.col("event_id")
-    value = (
-        F.when(key % 5 == 0, F.lit(float("nan")))
-        .when(key % 5 == 1, F.lit(float("inf")))
-        .when(key % 5 == 2, F.lit(None))
-        .otherwise(F.floor("value").cast("double"))
-    )
-    events = table(spark, folder, "events").select("event_id", value.alias("amount"))
-    shown = snapshots.blank_missing(columns.in_order(events, ["event_id", "amount", "note"]))
-    number: Column = F.col("amount").try_cast("double").try_cast("bigint")
-    return shown.select("event_id", "note", (F.col("amount") == "").alias("blank"), number.alias("whole"))
+    """Every event's amount as text, and missing amounts as blank cells."""
+    amounts = F.array(
+        F.col("value"), F.lit(float("nan")), F.lit(float("inf")), F.lit(None).cast("double")
+    )
+    events = table(spark, folder, "events").select(
+        "event_id", F.posexplode(amounts).alias("variant", "amount")
+    )
+    return snapshots.blank_missing(columns.in_order(events, ["event_id", "variant", "amount", "note"]))
 
 
 ALL: dict[str, Query] = {

@@ -261,6 +261,7 @@ def branch_sales_tab(branches: DataFrame) -> DataFrame:
         t.br_text(F.col("cost")).alias("Custo Total"),
         t.br_text(F.col("revenue")).alias("Faturamento Total"),
         t.br_text(F.col("ticket")).alias("Ticket Médio"),
+        F.col("branch").cast("bigint").alias("row_idx"),
     )
 
 
@@ -276,6 +277,7 @@ def branch_targets_tab(branches: DataFrame) -> DataFrame:
     ticket = _stretched("ticket", 0.97, 0.045, F.pmod(branch, F.lit(4)))
     cost = round2(F.col("cost") / F.col("revenue") * 100) + pick(COST_OFFSETS, branch)
     return branches.select(
+        branch.cast("bigint").alias("row_idx"),
         branch.cast("string").alias("Filial"),
         t.br_text(F.when(branch == 11, 0.0).otherwise(revenue)).alias("Number"),
         t.br_text(hb).alias("HB"),
@@ -578,8 +580,8 @@ def hr_list(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def pos_list(spark: SparkSession, folder: str) -> DataFrame:
-    """Point-of-sale side: bare tax ids, every third person missing, every tenth listed twice."""
-    people = table(spark, folder, "customer").where(F.col("c_custkey") % 3 != 0)
+    """Point-of-sale side: bare tax ids, some blank, every tenth person listed twice."""
+    people = table(spark, folder, "customer")
     key = F.col("c_custkey")
     copies = F.when(key % 10 == 1, 2).otherwise(1)
     return people.select("*", F.explode(F.sequence(F.lit(1), copies)).alias("copy")).select(

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from balcao import vocab
 from balcao.operators import people, reports
+from balcao.operators.ordered import ROW
 from balcao.plans import export
 from balcao.plans.monthly import MonthTables, close_month
 from balcao.sources.columns import in_order, require
@@ -25,6 +26,8 @@ from balcao.sources.snapshots import blank_missing, latest_snapshot, write_snaps
 from balcao.sources.staging import staged
 from balcao.sources.tabs import read_tab
 
+_MANUAL_ROWS = 1 << 62  # rows kept by hand come behind all written ones
+
 # Per report: table name, how to flatten it, its columns, and what an empty result means.
 REPORTS: dict[str, tuple[str, Callable[[DataFrame], DataFrame], tuple[str, ...], str]] = {
     "sellers": ("VENDAS_VENDEDOR", reports.seller_report, vocab.SELLER_COLUMNS, "skip"),
@@ -36,6 +39,10 @@ REPORTS: dict[str, tuple[str, Callable[[DataFrame], DataFrame], tuple[str, ...],
 }
 
 
+class UnreadableReport(ValueError):
+    """Raised where a report file cannot be taken apart."""
+
+
 class Workspace:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -44,16 +51,19 @@ class Workspace:
     def table_folder(self, name: str) -> str:
         return f"{self.root}/tables/{name}"
 
-    def table(self, name: str, even_if_empty: bool = False) -> DataFrame | None:
+    def table(
+        self, name: str, even_if_empty: bool = False, with_order: bool = False
+    ) -> DataFrame | None:
         """Newest snapshot of a table, or none if it was never written."""
         folder = self.table_folder(name)
-        return self._if_present(lambda: latest_snapshot(self.spark, folder, even_if_empty))
-
-    def manual(self, name: str) -> DataFrame | None:
         return self._if_present(
-            lambda: read_tab(self.spark, f"{self.root}/manual/{name}.csv", "csv")
+            lambda: latest_snapshot(self.spark, folder, even_if_empty, with_order)
         )
 
+    def manual(self, name: str) -> DataFrame | None:
+        """A list kept by hand, its rows in the order of the file."""
+        return self._if_present(lambda: read_tab(self.spark, f"{self.root}/manual/{name}.csv"))
+
     @staticmethod
     def _if_present(read: Callable[[], DataFrame]) -> DataFrame | None:
         try:
@@ -68,13 +78,20 @@ class Workspace:
             raise FileNotFoundError(f"table {name} is missing in {self.root}")
         return found
 
-    def load_report(self, kind: str, folder: str, run: str, glob: str = CSV) -> bool:
-        """Flatten the newest report of a folder into its table."""
+    def load_report(self, kind: str, folder: str, run: str, glob: str = CSV, delimiter: str | None = None) -> bool:
+        """Flatten the newest report of a folder into its table; whether it has rows.
+
+        A report that cannot be read as a whole is an error and replaces nothing.
+        """
         table, flatten, columns, if_empty = REPORTS[kind]
         newest = latest_reports(list_files(self.spark, folder, glob)).first()
         if newest is None:
             raise FileNotFoundError(f"no report files in {folder}")
-        rows = flatten(scan_grids(self.spark, newest["report"], "*"))
+        scan = scan_grids(self.spark, newest["report"], "*", delimiter)
+        broken = scan.rejected.first()
+        if broken is not None:
+            raise UnreadableReport(f"{broken.label}: {broken.reason}")
+        rows = flatten(scan.cells)
         return write_snapshot(
             blank_missing(export.br_numbers(in_order(rows, columns))), self.table_folder(table), run, None, if_empty
         )
@@ -95,10 +112,13 @@ class Workspace:
         )
 
     def previous_calc(self) -> DataFrame | None:
-        """The last calc table; targets in the manual table ``metas`` take its place."""
+        """The last calc table; targets in the manual table ``targets`` take its place."""
         parts = [
-            found.select("ID", "Meta", F.lit(order).cast("bigint").alias("row_idx"))
-            for order, found in enumerate((self.table("calc"), self.manual("metas")))
+            found.select("ID", "Meta", (F.col(ROW) + first).alias(ROW))
+            for first, found in (
+                (0, self.table("calc", with_order=True)),
+                (_MANUAL_ROWS, self.manual("targets")),
+            )
             if found is not None
         ]
         if not parts:
@@ -114,7 +134,7 @@ class Workspace:
             ),
             seller_sales=self._needed("VENDAS_VENDEDOR", self.table("VENDAS_VENDEDOR")),
             commissions=self._needed("COMISSOES", self.table("COMISSOES")),
-            branch_sales=self.table("VENDAS_FILIAL"),
+            branch_sales=self.table("VENDAS_FILIAL", with_order=True),
             branch_targets=self.manual("META_FILIAL"),
             channel_sales=self.table("VENDAS_548"),
             trainees=self.manual("TRAINEES"),

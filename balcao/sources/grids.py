@@ -2,26 +2,41 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from balcao.functions.text import strip
 from balcao.operators.ordered import FILE, ROW, ROWS_PER_CHUNK
+from balcao.sources.lines import file_label
 from balcao.sources.records import scan_records
 
 
+class GridScan(NamedTuple):
+    """``cells`` has ``file``, ``row_idx``, ``cells``; ``rejected`` has ``file``, ``label``, ``reason``."""
+
+    cells: DataFrame
+    rejected: DataFrame
+
+
 def scan_grids(
     spark: SparkSession,
     folder: str | list[str],
     glob: str = "*.[cC][sS][vV]",
     delimiter: str | None = None,
     chunk_rows: int = ROWS_PER_CHUNK,
-) -> DataFrame:
-    """Report files exported as delimited text: ``file``, ``row_idx``, ``cells``.
+) -> GridScan:
+    """Report files exported as delimited text, and those that cannot be taken apart.
 
-    ``row_idx`` counts records from 0, blank rows included, as a spreadsheet would.
+    ``row_idx`` counts records from 0, blank rows included, as a spreadsheet would. Without a
+    ``delimiter`` each file's own is found out.
     """
-    return scan_records(spark, folder, glob, delimiter, chunk_rows)[0]
+    cells, facts = scan_records(spark, folder, glob, delimiter, chunk_rows)
+    rejected = facts.where("is_open").select(
+        FILE, file_label(F.col(FILE)).alias("label"), F.lit("unpaired quotes").alias("reason")
+    )
+    return GridScan(cells, rejected)
 
 
 def clean_header(cells: Column) -> Column:
@@ -43,20 +58,23 @@ def with_header(cells: DataFrame, header_row: int, required: tuple[str, ...] = (
     A file that lacks a ``required`` column fails the job.
     """
     names = clean_header(F.col("cells"))
-    headers = cells.where(F.col(ROW) == header_row).select(FILE, names.alias("header"))
-    if required:
-        wanted = F.array(*[F.lit(n) for n in required])
-        missing = F.array_except(wanted, F.col("header"))
-        message = F.concat(
-            F.lit("missing columns "), F.array_join(missing, ", "), F.lit(" in "), F.col(FILE)
-        )
-        headers = headers.withColumn(
-            "header",
-            F.when(F.size(missing) == 0, F.col("header")).otherwise(
-                F.raise_error(message).cast("array<string>")
-            ),
-        )
-    return cells.where(F.col(ROW) > header_row).join(headers, FILE)
+    # A file that ends above its header has none, which shows on its last row.
+    headers = cells.groupBy(FILE).agg(
+        F.max(F.when(F.col(ROW) == header_row, names)).alias("header"), F.max(ROW).alias("last_row")
+    )
+    rows = cells.join(headers, FILE).where(
+        (F.col(ROW) > header_row) | (F.col("header").isNull() & (F.col(ROW) == F.col("last_row")))
+    )
+    wanted = F.array(*[F.lit(n) for n in required]) if required else F.array().cast("array<string>")
+    missing = F.array_except(wanted, F.coalesce("header", F.array().cast("array<string>")))
+    message = F.concat(
+        F.lit("missing columns "), F.array_join(missing, ", "), F.lit(" in "), F.col(FILE)
+    )
+    checked = F.when(F.size(missing) == 0, F.col("header")).otherwise(
+        F.raise_error(message).cast("array<string>")
+    )
+    checked_rows = rows.withColumn("header", checked).drop("last_row")
+    return checked_rows.where(F.col("header").isNotNull())
 
 
 def cell_at(position: Column) -> Column:

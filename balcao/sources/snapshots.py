@@ -1,21 +1,24 @@
-"""Output tables as dated snapshots.
+"""Output tables as snapshots, with the order of their rows.
 
 A run never overwrites what it reads: each run adds a snapshot, and the newest one is
-the previous state of the next run.
+the previous state of the next run. A log beside the snapshots holds one small row for each,
+written after it is complete, so finding the newest opens no snapshot. Names are only text.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Sequence
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from balcao.operators.ordered import ROW
 from balcao.sources.columns import in_order
 
 SNAPSHOT = "snapshot"
+_LOG = "_log"
+_LOG_SCHEMA = "name string, rows bigint, written timestamp"
 
 
 class EmptyOutput(ValueError):
@@ -31,35 +34,44 @@ def write_snapshot(
 ) -> bool:
     """Write ``df`` as ``folder/snapshot=<snapshot>``; returns whether it has rows.
 
-    The rows are counted while they are written, so the result is computed once. Readers
-    pass over a snapshot without rows, so an empty result replaces nothing; with
-    ``if_empty="fail"`` it is an error as well. An existing snapshot is never changed.
+    Rows are numbered in the order they come in (``row_idx``, unless ``df`` has one) and
+    counted while they are written, so the result is computed once. Readers pass over a
+    snapshot without rows, so an empty result replaces nothing; with ``if_empty="fail"`` it is
+    an error as well. An existing snapshot is never changed.
     """
-    out = in_order(df, columns) if columns else df
+    if not re.fullmatch(r"[\w.+-]+", snapshot):
+        raise ValueError(f"a snapshot's name has letters, digits and ._+- only: {snapshot!r}")
+    out = in_order(df, [*columns, *[ROW] * (ROW in df.columns)]) if columns else df
+    if ROW not in out.columns:
+        out = out.withColumn(ROW, F.monotonically_increasing_id())
     counted = Observation("written")
     out.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(
         f"{folder}/{SNAPSHOT}={snapshot}"
     )
-    if counted.get["rows"] == 0:
-        if if_empty == "fail":
-            raise EmptyOutput(f"nothing to write to {folder}")
-        return False
-    return True
+    rows = counted.get["rows"]
+    entry = df.sparkSession.range(1).select(
+        F.lit(snapshot).alias("name"), F.lit(rows).cast("bigint").alias("rows"), F.now().alias("written")
+    )
+    entry.write.mode("append").parquet(f"{folder}/{_LOG}")
+    if rows == 0 and if_empty == "fail":
+        raise EmptyOutput(f"nothing to write to {folder}")
+    return rows > 0
 
 
-def latest_snapshot(spark: SparkSession, folder: str, even_if_empty: bool = False) -> DataFrame:
-    """The newest snapshot with rows; older ones are pruned before their files are read.
+def latest_snapshot(
+    spark: SparkSession, folder: str, even_if_empty: bool = False, with_order: bool = False
+) -> DataFrame:
+    """The snapshot with rows that was written last.
 
-    ``even_if_empty`` takes the newest snapshot as it is: its table may have become empty.
+    ``even_if_empty`` takes the last one as it is: its table may have become empty.
+    ``with_order`` keeps the rows' numbers.
     """
-    table = spark.read.option("basePath", folder).parquet(folder)
-    typed = table.withColumn(SNAPSHOT, F.col(SNAPSHOT).cast("string"))
-    if even_if_empty:
-        names = [re.search(f"/{SNAPSHOT}=([^/]*)/", f).group(1) for f in table.inputFiles()]
-        newest = F.lit(unquote(max(names)))
-    else:
-        newest = typed.select(F.max(SNAPSHOT)).scalar()
-    return typed.where(F.col(SNAPSHOT) == newest).drop(SNAPSHOT)
+    log = spark.read.schema(_LOG_SCHEMA).parquet(f"{folder}/{_LOG}")
+    # Without a filled snapshot the last empty one shows the table's columns.
+    filled = F.lit(True) if even_if_empty else F.col("rows") > 0
+    newest = log.orderBy(filled.desc(), F.desc("written"), F.desc("name")).first()
+    table = spark.read.parquet(f"{folder}/{SNAPSHOT}={newest.name}")
+    return table if with_order else table.drop(ROW)
 
 
 def blank_missing(df: DataFrame) -> DataFrame:

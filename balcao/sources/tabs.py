@@ -11,23 +11,34 @@ from pyspark.sql import functions as F
 
 from balcao import vocab
 from balcao.functions import text as t
+from balcao.operators.ordered import ROW
 from balcao.sources.columns import optional, require, trimmed
+from balcao.sources.records import scan_records
 
 
-def read_tab(spark: SparkSession, path: str, file_format: str = "parquet") -> DataFrame:
-    """A table as text with trimmed headings."""
-    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-    tab = trimmed(reader.format(file_format).load(path))
-    return tab.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in tab.columns])
+def read_tab(spark: SparkSession, path: str) -> DataFrame:
+    """A delimited table as text with trimmed headings, its rows numbered (``row_idx``).
+
+    The first record holds the headings; only that one comes to the driver. A file that ends
+    inside a quoted cell is an error.
+    """
+    records, facts = scan_records(spark, path, "*")
+    if not facts.where("is_open").isEmpty():
+        raise ValueError(f"a quoted cell is never closed in {path}")
+    head = records.orderBy(ROW).first()
+    names = [str(name).strip() for name in head["cells"]] if head else []
+    cells = [F.get("cells", F.lit(i)).alias(name) for i, name in enumerate(names) if name]
+    filled = F.exists("cells", lambda c: t.strip(c) != "")
+    return records.where((F.col(ROW) > (head[ROW] if head else 0)) & filled).select(*cells, ROW)
 
 
 def _col(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def _row_order(tab: DataFrame) -> Column:
-    """Position of a row in its table, where the table carries one."""
-    return _col("row_idx") if "row_idx" in tab.columns else F.lit(0).cast("bigint")
+def _ordered(tab: DataFrame, table: str) -> DataFrame:
+    """The table, if it says in which order its rows stand."""
+    return require(tab, (ROW,), table)
 
 
 def seller_sales(tab: DataFrame) -> DataFrame:
@@ -59,10 +70,10 @@ def commissions(tab: DataFrame) -> DataFrame:
 
 
 def branch_sales(tab: DataFrame) -> DataFrame:
-    tab = require(trimmed(tab), vocab.BRANCH_SALES_COLUMNS, "VENDAS_FILIAL")
+    tab = _ordered(require(trimmed(tab), vocab.BRANCH_SALES_COLUMNS, "VENDAS_FILIAL"), "VENDAS_FILIAL")
     return tab.select(
         t.branch_key(_col("Filial")).alias("branch_key"),
-        _row_order(tab).alias("row_idx"),
+        ROW,
         t.br_to_double(_col("Faturamento Total")).alias("revenue"),
         t.br_to_double(_col("Faturamento HB")).alias("hb"),
         t.br_to_double(_col("Custo Total")).alias("cost"),
@@ -71,10 +82,10 @@ def branch_sales(tab: DataFrame) -> DataFrame:
 
 
 def branch_targets(tab: DataFrame) -> DataFrame:
-    tab = require(trimmed(tab), vocab.BRANCH_TARGET_COLUMNS, "META_FILIAL")
+    tab = _ordered(require(trimmed(tab), vocab.BRANCH_TARGET_COLUMNS, "META_FILIAL"), "META_FILIAL")
     return tab.select(
         t.branch_key(_col("Filial")).alias("branch_key"),
-        _row_order(tab).alias("row_idx"),
+        ROW,
         t.br_to_double(_col("Number")).alias("revenue_target"),
         t.br_to_double(_col("HB")).alias("hb_target"),
         t.br_to_double(_col("TKT MÉDIO")).alias("ticket_target"),
@@ -109,11 +120,14 @@ def leave(tab: DataFrame | None, spark: SparkSession) -> DataFrame:
 def previous_values(tab: DataFrame | None, column: str, spark: SparkSession) -> DataFrame:
     """Last non-blank text per ``id`` of one column of the previous output."""
     tab = optional(tab, ("ID", column), spark)
+    if tab.columns == ["ID", column]:  # absent: nothing to keep, in any order
+        tab = tab.withColumn(ROW, F.lit(0).cast("bigint"))
+    tab = _ordered(tab, "the previous output")
     known = tab.select(
         t.blank_to_null(_col("ID")).alias("id"),
         t.blank_to_null(_col(column)).alias("kept"),
-        _row_order(tab).alias("row_idx"),
+        ROW,
     ).dropna(subset=["id", "kept"])
-    return known.groupBy("id").agg(F.max(F.struct("row_idx", "kept")).alias("last")).select(
+    return known.groupBy("id").agg(F.max(F.struct(ROW, "kept")).alias("last")).select(
         "id", F.col("last.kept").alias("kept")
     )

@@ -127,7 +127,7 @@ def test_encoding_and_delimiter_are_found_per_file(spark, tmp_path):
 def test_grid_headers_resolve_per_file(spark, tmp_path):
     write(tmp_path, "a.csv", "title\n\n Code   name ;;Value\n1;x;2\n;;\n")
     write(tmp_path, "b.csv", "t\n\nValue;code name\n9;8\n")
-    sheet = grids.with_header(grids.scan_grids(spark, str(tmp_path)), 2, ("code name", "value"))
+    sheet = grids.with_header(grids.scan_grids(spark, str(tmp_path)).cells, 2, ("code name", "value"))
     found = sheet.select(
         grids.cell("code name").alias("code"),
         grids.cell("unnamed: 1").alias("second"),
@@ -216,6 +216,40 @@ def test_empty_results_replace_nothing(spark, tmp_path, frame):
     assert cleared.columns == ["a"] and cleared.isEmpty()
 
 
+def test_newest_snapshot_is_the_last_written_whatever_its_name(spark, tmp_path, frame):
+    folder = str(tmp_path / "t")
+    for name in ("9", "10", "r9", "r10", "001"):
+        assert snapshots.write_snapshot(frame("a string", (name,)), folder, name)
+        assert rows(snapshots.latest_snapshot(spark, folder)) == [(name,)]
+        assert rows(snapshots.latest_snapshot(spark, folder, even_if_empty=True)) == [(name,)]
+    with pytest.raises(ValueError, match="name"):
+        snapshots.write_snapshot(frame("a string", ("x",)), folder, "a/b")
+
+
+def test_snapshots_keep_the_order_of_rows(spark, tmp_path, frame):
+    df = frame("a int, b string", *[(i, f"x{99 - i}") for i in range(100)])
+    snapshots.write_snapshot(df.repartition(7).orderBy(F.desc("a")), str(tmp_path / "t"), "1")
+    found = snapshots.latest_snapshot(spark, str(tmp_path / "t"), with_order=True)
+    assert [r.a for r in sorted(found.collect(), key=lambda r: r.row_idx)] == list(range(99, -1, -1))
+
+
+def test_files_too_short_for_their_header_are_reported(spark, tmp_path):
+    write(tmp_path, "a.csv", "t\n\ncode;value\n1;2\n")
+    write(tmp_path, "b.csv", "t\n")
+    cells = grids.scan_grids(spark, str(tmp_path)).cells
+    assert rows(grids.with_header(cells, 2).select("row_idx")) == [(3,)]
+    with pytest.raises(Exception, match="missing columns code in .*b.csv"):
+        grids.with_header(cells, 2, ("code",)).collect()
+
+
+def test_grids_that_never_close_a_cell_are_rejected(spark, tmp_path):
+    write(tmp_path, "a.csv", 'x;"y\nz\n')
+    write(tmp_path, "b.csv", "1;2\n")
+    scan = grids.scan_grids(spark, str(tmp_path))
+    assert rows(scan.rejected, "label", "reason") == [("a.csv", "unpaired quotes")]
+    assert rows(scan.cells, "cells") == [(["1", "2"],)]
+
+
 def test_blank_missing(frame):
     df = frame("a double, b string", (float("nan"), None), (float("-inf"), "x"), (1.5, ""))
     assert rows(snapshots.blank_missing(df)) == [("", ""), ("", "x"), ("1.5", "")]

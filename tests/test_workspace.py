@@ -87,7 +87,7 @@ def chain(tmp_path):
     manual = tmp_path / "shop" / "manual"
     write_csv(manual / "META_FILIAL.csv", [["Filial", "Number", "HB", "TKT MÉDIO", "CMV"], ["F01", "1.450,00", "10,00", "25,00", "46,7%"]], ",")
     write_csv(manual / "AFASTAMENTOS.csv", [["Filial", "Colaborador"], ["2", "caio"]], ",")
-    write_csv(manual / "metas.csv", [["ID", "Meta"], ["120", "1.000,00"], ["121", "1,00"]], ",")
+    write_csv(manual / "targets.csv", [["ID", "Meta"], ["120", "1.000,00"], ["121", "1,00"]], ",")
     return tmp_path
 
 
@@ -109,7 +109,7 @@ def test_reports_to_payouts(spark, chain):
     ]
     assert rows(shop.table("META_GERENTE")) == [("1", "250,00", "200,00", "200,00", "300,00", "14,00")]
     # A second run finds the targets in the first run's output, without the manual list.
-    (chain / "shop" / "manual" / "metas.csv").unlink()
+    (chain / "shop" / "manual" / "targets.csv").unlink()
     spark.catalog.clearCache()
     assert shop.close("r2")
     assert rows(shop.table("calc"), "ID", "Meta") == [("120", "1.000,00"), ("121", "1,00")]
