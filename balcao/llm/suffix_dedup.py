@@ -28,6 +28,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from balcao.llm.shingle_sets import mixed
 from balcao.llm.suffix_blocks import LENGTH, smallest_owners
@@ -36,6 +37,7 @@ from balcao.llm.word_ids import slices
 ANCHOR = 16  # bytes of an anchor
 BUCKET_BYTES = 8_000_000  # bytes of all texts for each bucket of pieces
 LAST_ID = (1 << 63) - 1
+_LOW_BITS = (1 << 31) - 1  # of an anchor, which tell it from the others of one document
 _WORDS = LENGTH - ANCHOR + 1  # anchors to choose from in one string
 _SEGMENT = 1 << 20  # positions looked at at a time; places fit into 24 bits
 _PLACE = np.uint64((1 << 24) - 1)
@@ -90,6 +92,39 @@ def _laid_out(texts: pa.Array) -> tuple[bytes, np.ndarray]:
     return b"".join(values), np.concatenate([[0], np.cumsum([len(v) for v in values], dtype=np.int64)])
 
 
+def _packed_texts(rows: DataFrame) -> DataFrame:
+    """``rows`` with each ``text`` compressed, as it is shuffled once and read several times."""
+    fields = [
+        StructField("text", BinaryType()) if field.name == "text" else field for field in rows.schema.fields
+    ]
+    at = rows.columns.index("text")
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=3, write_checksum=False)
+        for batch in batches:
+            texts = batch.column(at).cast(pa.large_binary()).to_pylist()
+            packed = pa.array([packer.compress(text) for text in texts], pa.binary())
+            columns = [packed if i == at else column for i, column in enumerate(batch.columns)]
+            yield pa.record_batch(columns, names=batch.schema.names)
+
+    return rows.mapInArrow(pack, StructType(fields))
+
+
+def _unpacked(texts: pa.Array) -> pa.Array:
+    unpacker = zstandard.ZstdDecompressor()
+    return pa.array([unpacker.decompress(text) for text in texts.to_pylist()], pa.large_binary())
+
+
+def _unpacked_slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch of packed texts (second column), unpacked a few at a time."""
+    for begin in range(0, len(batch), 1000):
+        part = batch.slice(begin, 1000)
+        columns = [_unpacked(c) if i == 1 else c for i, c in enumerate(part.columns)]
+        whole = pa.record_batch(columns, names=part.schema.names)
+        for first, last in slices(whole.column(1)):
+            yield whole.slice(first, last - first)
+
+
 def _anchors(rows: DataFrame) -> DataFrame:
     """``anchor`` and ``id`` for every anchor of every document."""
 
@@ -116,14 +151,28 @@ def _shared_pieces(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.nda
     edges = np.searchsorted(texts, np.arange(len(part) + 1))
     for row, anchors in enumerate(part.column(3)):
         inside = slice(edges[row], edges[row + 1])
-        wanted[inside] = np.isin(hashes[inside], np.asarray(anchors.values))
+        wanted[inside] = np.isin(hashes[inside] & _LOW_BITS, np.asarray(anchors.values))
     texts, starts, lasts, hashes = texts[wanted], starts[wanted], lasts[wanted], hashes[wanted]
     bodies = [data[a : b + LENGTH] for a, b in zip(starts.tolist(), lasts.tolist())]
-    digests = b"".join(hashlib.blake2b(body, digest_size=8).digest() for body in bodies)
-    return texts, starts - bounds[texts], hashes, bodies, np.frombuffer(digests, dtype="<i8")
+    return texts, starts - bounds[texts], hashes, bodies, _piece_numbers(bodies)
+
 
+_PACKED = "bucket bigint, sizes binary, bodies binary, ids binary"
 
-_PACKED = "bucket bigint, sizes binary, bodies binary, numbers binary, low binary, high binary"
+
+def _packed_numbers(numbers: np.ndarray) -> bytes:
+    """64-bit numbers, byte by byte: high bytes that are alike compress to nothing."""
+    return zstandard.compress(np.ascontiguousarray(numbers.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes(), 3)
+
+
+def _unpacked_numbers(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(packed), dtype=np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view("<i8").ravel()
+
+
+def _piece_numbers(bodies: list[bytes]) -> np.ndarray:
+    digests = b"".join(hashlib.blake2b(body, digest_size=8).digest() for body in bodies)
+    return np.frombuffer(digests, dtype="<i8")
 
 
 def _pieces(joined: DataFrame, buckets: int) -> DataFrame:
@@ -136,8 +185,7 @@ def _pieces(joined: DataFrame, buckets: int) -> DataFrame:
         for batch in batches:
             found: list[tuple[np.ndarray, ...]] = []
             bodies: dict[int, bytes] = {}
-            for first, last in slices(batch.column(1)):
-                part = batch.slice(first, last - first)
+            for part in _unpacked_slices(batch):
                 texts, _, hashes, cuts, numbers = _shared_pieces(part)
                 bodies.update(zip(numbers.tolist(), cuts))
                 found.append((mixed(hashes.view(np.uint64)) % np.uint64(buckets), numbers, np.asarray(part.column(0))[texts]))
@@ -155,10 +203,11 @@ def _pieces(joined: DataFrame, buckets: int) -> DataFrame:
                 own = [bodies[n] for n in numbers[a:b].tolist()]
                 sizes = np.array([len(body) for body in own], dtype="<u2")
                 packed = zstandard.compress(b"".join(own), 3)
-                rows.append((int(bucket[a]), sizes.tobytes(), packed, numbers[a:b].tobytes(), low[a:b].tobytes(), high[a:b].tobytes()))
-            kinds = (pa.int64(), *[pa.binary()] * 5)
+                ids = np.concatenate([low[a:b], high[a:b] - low[a:b]])
+                rows.append((int(bucket[a]), sizes.tobytes(), packed, _packed_numbers(ids)))
+            kinds = (pa.int64(), *[pa.binary()] * 3)
             columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
-            yield pa.record_batch(columns, names=["bucket", "sizes", "bodies", "numbers", "low", "high"])
+            yield pa.record_batch(columns, names=["bucket", "sizes", "bodies", "ids"])
 
     return joined.mapInArrow(cut, _PACKED)
 
@@ -168,8 +217,7 @@ def _occurrences(joined: DataFrame) -> DataFrame:
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, last in slices(batch.column(1)):
-                part = batch.slice(first, last - first)
+            for part in _unpacked_slices(batch):
                 texts, places, _, _, numbers = _shared_pieces(part)
                 yield pa.record_batch(
                     [
@@ -186,23 +234,21 @@ def _occurrences(joined: DataFrame) -> DataFrame:
 
 def _owners_of_bucket(table: pa.Table) -> pa.Table:
     """``piece`` and its runs of strings with the same smallest id: (first, last, owner)."""
-    kept: dict[int, bytes] = {}
-    numbers, low, high = (
-        np.concatenate([np.frombuffer(v.as_py(), dtype="<i8") for v in table.column(name)])
-        for name in ("numbers", "low", "high")
-    )
-    for packed_sizes, packed, names in zip(table.column("sizes"), table.column("bodies"), table.column("numbers")):
+    bodies, low, high = [], [], []
+    for packed_sizes, packed, packed_ids in zip(table.column("sizes"), table.column("bodies"), table.column("ids")):
         data, at = zstandard.decompress(packed.as_py()), 0
-        for size, name in zip(
-            np.frombuffer(packed_sizes.as_py(), dtype="<u2").tolist(), np.frombuffer(names.as_py(), dtype="<i8").tolist()
-        ):
-            kept.setdefault(name, data[at : at + size])
+        for size in np.frombuffer(packed_sizes.as_py(), dtype="<u2").tolist():
+            bodies.append(data[at : at + size])
             at += size
+        first, more = np.split(_unpacked_numbers(packed_ids.as_py()), 2)
+        low.append(first)
+        high.append(first + more)
+    numbers, low, high = _piece_numbers(bodies), np.concatenate(low), np.concatenate(high)
     order = np.argsort(numbers, kind="stable")
     opens = np.flatnonzero(np.concatenate([[True], np.diff(numbers[order]) != 0]))
     low, high = np.minimum.reduceat(low[order], opens), np.maximum.reduceat(high[order], opens)
     numbers = numbers[order][opens]
-    bodies = [kept[name] for name in numbers.tolist()]
+    bodies = [bodies[i] for i in order[opens].tolist()]
     sizes = np.array([len(b) for b in bodies], dtype=np.int64)
     starts, owners = smallest_owners(b"".join(bodies), sizes, low)
     counts = np.maximum(sizes - LENGTH + 1, 0)
@@ -225,11 +271,11 @@ def _owners_of_bucket(table: pa.Table) -> pa.Table:
     )
 
 
-def repeated_ranges(rows: DataFrame, total_bytes: int) -> DataFrame:
+def repeated_ranges(rows: DataFrame, packed: DataFrame, total_bytes: int) -> DataFrame:
     """``id`` and ``ranges``: byte ranges (tag, start, end) that an earlier document holds.
 
-    ``rows`` has ``id``, ``text`` and ``tag`` (a hash of the text, for rows that share an id),
-    and may have more. All its columns go through the join, so that a later join of the same
+    ``rows`` has ``id``, ``text`` and ``tag`` (which tells rows that share an id apart), and may
+    have more; ``packed`` is the same with packed texts. All its columns go through the join, so that a later join of the same
     rows by ``id`` reuses the exchange.
     """
     of_anchor = Window.partitionBy("anchor")
@@ -238,10 +284,10 @@ def repeated_ranges(rows: DataFrame, total_bytes: int) -> DataFrame:
         .withColumns({"low": F.min("id").over(of_anchor), "high": F.max("id").over(of_anchor)})
         .where("low < high")
         .groupBy("id")
-        .agg(F.collect_set("anchor").alias("anchors"))
+        .agg(F.collect_set(F.col("anchor").bitwiseAND(F.lit(_LOW_BITS)).cast("int")).alias("anchors"))
     )
     others = [c for c in rows.columns if c not in ("id", "text", "tag")]
-    joined = rows.join(shared, "id").select("id", "text", "tag", "anchors", *others)
+    joined = packed.join(shared, "id").select("id", "text", "tag", "anchors", *others)
     buckets = max(1, total_bytes // BUCKET_BYTES)
     owners = (
         _pieces(joined, buckets)
@@ -281,14 +327,17 @@ def without_repeats(
     ``as_text`` makes ``kept`` a string; characters that were cut in two are left out of it.
     """
     others = [c for c in docs.columns if c not in (text_column, "n_bytes", "n_removed", "n_spans", "kept")]
+    key = F.coalesce(F.col(id_column).cast("bigint"), F.lit(LAST_ID))
+    unique = docs.groupBy(key.alias("id")).count().where("count > 1").isEmpty()
     rows = docs.select(
-        F.coalesce(F.col(id_column).cast("bigint"), F.lit(LAST_ID)).alias("id"),
+        key.alias("id"),
         F.coalesce(F.col(text_column), F.lit("")).alias("text"),
-        F.hash(text_column).alias("tag"),
+        (F.lit(0) if unique else F.hash(text_column)).alias("tag"),
         F.struct(F.col(text_column).isNull().alias("__null"), *[F.col(f"`{c}`") for c in others]).alias("rest"),
     )
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    joined = rows.join(repeated_ranges(rows, total), "id", "left")
+    packed = _packed_texts(rows)
+    joined = packed.join(repeated_ranges(rows, packed, total), "id", "left")
     types = dict(docs.dtypes)
     kind = "string" if as_text else "binary"
     schema = (
@@ -300,7 +349,7 @@ def without_repeats(
         for batch in batches:
             rest = batch.column(2)
             missing = rest.field("__null").to_pylist()
-            texts = batch.column(0).cast(pa.large_binary()).to_pylist()
+            texts = _unpacked(batch.column(0)).to_pylist()
             found, whole = [], []
             for text, tag, spans, null in zip(texts, batch.column(1).to_pylist(), batch.column(3).to_pylist(), missing):
                 spans = [s for s in spans or () if s["tag"] == tag]
