@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from balcao.llm.spmodel import MARKER
 from balcao.llm.word_ids import plain_texts
 
 _BLANK = pa.scalar("", pa.large_string())
@@ -19,8 +20,11 @@ _SPACED = re.compile(" *[^ ]+| +")
 
 
 def spaced_words(text: str) -> list[str]:
-    """Words with the spaces before them; one space is put before the text."""
-    return _SPACED.findall(f" {text}") if text else []
+    """Words with the spaces before them; one space is put before the text.
+
+    The marker of piece models stands for a space.
+    """
+    return _SPACED.findall(f" {text.replace(MARKER, ' ')}") if text else []
 
 
 def distinct_words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -28,7 +32,7 @@ def distinct_words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
 
     The last array has one entry more than there are texts. Null texts count as empty.
     """
-    texts = plain_texts(texts)
+    texts = pc.replace_substring(plain_texts(texts), MARKER, " ")
     odd = pc.or_(
         pc.match_substring(texts, "  "),
         pc.or_(pc.starts_with(texts, " "), pc.ends_with(texts, " ")),
