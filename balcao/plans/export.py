@@ -78,11 +78,3 @@ def people_view(people: DataFrame) -> DataFrame:
             for c, n in zip(columns, vocab.PEOPLE_COLUMNS, strict=True)
         ]
     )
-
-
-def remaining_view(roster: DataFrame) -> DataFrame:
-    """Remaining amount per id; what is over target stands in parentheses."""
-    return roster.select(
-        F.col("id").alias("ID"),
-        _shown(t.br_text_in_parentheses(F.col("remaining"))).alias("Valor Restante"),
-    )

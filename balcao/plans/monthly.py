@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from balcao.operators import payout, roster, sales, scorecard
 from balcao.sources import tabs
+from balcao.sources.staging import staged
 
 
 @dataclass(frozen=True)
@@ -72,5 +73,7 @@ def close_month(
     paid = payout.add_payout(measured, commissions, tabs.trainees(tables.trainees, spark), basis)
     card = month_scorecard(tables, commissions)
     if card is not None:
+        # One small row for each branch, read by the payout and by whoever writes the card.
+        card = staged(card, "scorecard")
         paid = payout.apply_scorecard(paid, scorecard.branch_rewards(card))
     return MonthResult(paid, card)

@@ -472,6 +472,11 @@ amount * 2 AS amount FROM mart""",
     "snapshot_roundtrip": with_(*TO_TARGET, "kept AS (SELECT id, target FROM with_target)")
     + f"""SELECT l.id, l.branch, l.code, CAST('1' || printf('%.2f', k.target) AS DOUBLE) AS target
 FROM listed l LEFT JOIN (SELECT id, any_value(target) AS target FROM kept GROUP BY id) k USING (id)""",
+    "hb_products_by_brand": f"""
+SELECT p_brand, count(*) AS products FROM part
+WHERE p_type = '{retail.HB_TYPE}' AND p_size NOT IN (20, 39, 115) GROUP BY p_brand""",
+    "active_staff_by_branch": """
+SELECT c_nationkey, count(*) AS people FROM customer WHERE c_custkey % 6 <> 0 GROUP BY c_nationkey""",
     "export_text_clean": r"""
 SELECT doc_id, 0 AS variant,
   replace(regexp_replace('"' || chr(9) || text, '[\n\r\t]+', ' ', 'g'), '"', '''') AS clean

@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from balcao import vocab
 from balcao.functions import period
 from balcao.functions import text as t
 from balcao.functions.money import round2, sum_money
-from balcao.operators import payout, people, reports, roster, sales, scorecard
+from balcao.operators import payout, people, reports, roster, sales, scorecard, source_filters
 from balcao.operators.ordered import FILE
 from balcao.plans import export, monthly, retail
 from balcao.plans.retail import table
@@ -203,6 +204,23 @@ def reporting_period_sales_on_the_first(spark: SparkSession, folder: str) -> Dat
     return _period_sales(spark, folder, FIRST_OF_MONTH)
 
 
+def hb_products_by_brand(spark: SparkSession, folder: str) -> DataFrame:
+    """Products of the health-and-beauty group that count, per brand."""
+    group = F.when(F.col("p_type") == retail.HB_TYPE, vocab.HB_PRODUCT_GROUP).otherwise("1")
+    parts = table(spark, folder, "part").withColumn("group", group)
+    kept = source_filters.hb_products(parts, "group", "p_size")
+    return kept.groupBy("p_brand").agg(F.count("*").alias("products"))
+
+
+def active_staff_by_branch(spark: SparkSession, folder: str) -> DataFrame:
+    """People per branch without a date of dismissal, in all the ways it can be missing."""
+    key = F.col("c_custkey") % 6
+    left = F.when(key == 0, "01/02/2024").when(key == 1, " ").when(key == 2, "nan")
+    staff = table(spark, folder, "customer").withColumn("Data de desligamento", left)
+    active = source_filters.active_staff(staff)
+    return active.groupBy("c_nationkey").agg(F.count("*").alias("people"))
+
+
 # ---- sales and achieved --------------------------------------------------------------
 
 
@@ -693,6 +711,8 @@ ALL: dict[str, Query] = {
         days_left,
         reporting_period_sales,
         reporting_period_sales_on_the_first,
+        hb_products_by_brand,
+        active_staff_by_branch,
         sales_by_seller,
         sales_by_branch_seller,
         achieved_hybrid,

@@ -23,7 +23,6 @@ from balcao.sources.hr_files import CSV, hr_export, scan_hr_folder
 from balcao.sources.latest import latest_reports
 from balcao.sources.lines import list_files
 from balcao.sources.snapshots import blank_missing, latest_snapshot, write_snapshot
-from balcao.sources.staging import staged
 from balcao.sources.tabs import read_tab
 
 _MANUAL_ROWS = 1 << 62  # rows kept by hand come behind all written ones
@@ -99,14 +98,15 @@ class Workspace:
     def load_hr(self, folder: str, run: str) -> DataFrame:
         """Merge the HR files of a folder; returns the files that were left out."""
         scan = scan_hr_folder(self.spark, folder)
-        write_snapshot(hr_export(scan.staff), self.table_folder("users_sci"), run, None, "fail")
+        staff = scan.staff.orderBy("Filial")
+        write_snapshot(hr_export(staff), self.table_folder("users_sci"), run, None, "fail")
         return scan.rejected
 
     def match_people(self, run: str, pad_tax_ids: bool = False) -> bool:
         """Match HR and point-of-sale staff; without matches the table becomes empty."""
         hr = self._needed("users_sci", self.table("users_sci"))
         pos = self._needed("users_trier", self.table("users_trier"))
-        matched = people.match_people(hr, pos, pad_tax_ids)
+        matched = people.match_people(hr, pos, pad_tax_ids).orderBy(*people.people_order())
         return write_snapshot(
             export.people_view(matched), self.table_folder("filtered_user"), run
         )
@@ -148,7 +148,7 @@ class Workspace:
         tables = self.month_tables()
         result = close_month(tables, self.spark)
         if result.scorecard is not None:
-            card = export.scorecard_view(staged(result.scorecard, "scorecard"))
+            card = export.scorecard_view(result.scorecard)
             write_snapshot(
                 export.in_branch_text_order(card), self.table_folder("META_GERENTE"), run
             )

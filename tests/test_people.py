@@ -1,6 +1,6 @@
 import pytest
 
-from balcao.operators import people
+from balcao.operators import people, source_filters
 from balcao.sources import columns
 from tests.conftest import rows
 
@@ -75,3 +75,12 @@ def test_column_search_prefers_terms_then_position(frame):
     assert columns.find_column(df, ["cargo atual", "cargo"]) == "Cargo Atual"
     assert columns.find_column(df, ["nome"]) is None
     assert columns.in_order(df, ["x", "Cargo"]).first().asDict() == {"x": None, "Cargo": "a"}
+
+
+def test_source_filters(frame):
+    staff = frame("i int, `Data de desligamento` string", (1, None), (2, ""), (3, " "), (4, "nan"), (5, "01/02/2024"))
+    assert rows(source_filters.active_staff(staff), "i") == [(1,), (2,), (3,), (4,)]
+    products = frame("i int, `group` string, department string", (1, "8000", "20"), (2, "8000", "21"), (3, "1", "21"), (4, "8000", None))
+    assert rows(source_filters.hb_products(products), "i") == [(2,), (4,)]
+    sales = frame("code string, amount int", ("548", 1), ("548.0", 2), ("54", 3), (None, 4))
+    assert rows(source_filters.channel_sales(sales), "amount") == [(1,), (2,)]

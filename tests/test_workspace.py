@@ -5,7 +5,7 @@ import csv
 import pytest
 
 from balcao.__main__ import parse
-from balcao.plans.workspace import Workspace
+from balcao.plans.workspace import UnreadableReport, Workspace
 from balcao.sources.snapshots import EmptyOutput
 from tests.conftest import rows
 
@@ -101,6 +101,8 @@ def test_reports_to_payouts(spark, chain):
     assert shop.load_report("pos_staff", str(inbox / "staff"), "r1")
     assert shop.load_hr(str(inbox / "hr"), "r1").isEmpty()
     assert shop.match_people("r1")
+    matched = sorted(shop.table("filtered_user", with_order=True).collect(), key=lambda r: r.row_idx)
+    assert [(r["Filial"], r["Código"]) for r in matched] == [("1", "20"), ("1", "21"), ("2", "22")]
     assert shop.close("r1")
     # Ana: 1,050.00 sold everywhere plus 40.00 of the branch's channel share.
     assert rows(shop.table("calc")) == [
@@ -133,3 +135,39 @@ def test_command_line():
     options = parse(["--root", "/x", "load-report", "sellers", "/in"])
     assert (options.step, options.kind, options.folder) == ("load-report", "sellers", "/in")
     assert parse(["--root", "/x", "--run", "r", "match-people", "--pad-tax-ids"]).pad_tax_ids
+
+
+def test_several_rows_for_one_key_in_written_tables(spark, chain):
+    """The first row of a branch counts, and the last filled target of an id."""
+    shop = Workspace(spark, str(chain / "shop"))
+    manual = chain / "shop" / "manual"
+    write_csv(manual / "targets.csv", [["ID", "Meta"], ["120", "9,00"], ["120", "1.000,00"], ["120", ""]], ",")
+    write_csv(
+        manual / "META_FILIAL.csv",
+        [["Filial", "Number", "HB", "TKT MÉDIO", "CMV"], ["F01", "1.450,00", "10,00", "25,00", "46,7%"], ["F01", "1,00", "1,00", "1,00", "1%"]],
+        ",",
+    )
+    for kind, folder in (("sellers", "sellers"), ("commissions", "commissions"), ("branch_totals", "branches"), ("pos_staff", "staff")):
+        assert shop.load_report(kind, str(chain / "inbox" / folder), "1")
+    shop.load_hr(str(chain / "inbox" / "hr"), "1")
+    assert shop.match_people("1") and shop.close("1")
+    assert ("120", "1.000,00") in rows(shop.table("calc"), "ID", "Meta")
+    assert rows(shop.table("META_GERENTE")) == [("1", "250,00", "200,00", "200,00", "300,00", "14,00")]
+
+
+def test_unreadable_reports_and_exit_codes(spark, tmp_path, monkeypatch):
+    from balcao import __main__ as cli
+
+    monkeypatch.setattr(cli, "build_session", lambda *a, **k: spark)
+    root = ["--root", str(tmp_path / "shop"), "--run", "1"]
+    write_csv(tmp_path / "in" / "a.csv", sellers())
+    assert cli.main([*root, "load-report", "sellers", str(tmp_path / "in")]) == 1
+    write_csv(tmp_path / "full" / "a.csv", sellers(["Filial:", "", "", "1"], ["20", "", "", "", 'LOJA 32" TV', "1", "0", "7,00"]))
+    (tmp_path / "full" / "a.csv").write_text((tmp_path / "full" / "a.csv").read_text().replace('"LOJA 32"" TV"', 'LOJA 32" TV'))
+    root[-1] = "2"
+    assert cli.main([*root, "load-report", "sellers", str(tmp_path / "full"), "--delimiter", ";"]) == 0
+    assert rows(Workspace(spark, str(tmp_path / "shop")).table("VENDAS_VENDEDOR"), "Vendedor", "Valor Vendas") == [('LOJA 32" TV', "7,00")]
+    (tmp_path / "open").mkdir()
+    (tmp_path / "open" / "a.csv").write_text('x;"never closed\n1;2\n')
+    with pytest.raises(UnreadableReport, match="unpaired quotes"):
+        cli.main([*root, "load-report", "sellers", str(tmp_path / "open")])
