@@ -101,8 +101,7 @@ def shift_up(df: DataFrame, columns: list[str], chunk_rows: int = ROWS_PER_CHUNK
     """Replace ``columns`` by their values one row further down; null on the last row."""
     held = F.struct(*[F.col(c).alias(f"v{i}") for i, c in enumerate(columns)])
     marked = _chunked(df, chunk_rows).withColumn("__held", held)
-    tops = _chunked(df, chunk_rows).groupBy(FILE, _CHUNK).agg(F.min(ROW).alias(ROW))
-    heads = marked.select(FILE, ROW, "__held").join(tops, [FILE, ROW])
+    heads = marked.groupBy(FILE, _CHUNK).agg(F.min_by("__held", ROW).alias("__held"))
     next_chunk = Window.partitionBy(FILE).orderBy(_CHUNK)
     carried = heads.select(FILE, _CHUNK, F.lead("__held").over(next_chunk).alias(_CARRY))
     next_row = F.lead("__held").over(Window.partitionBy(FILE, _CHUNK).orderBy(ROW))
