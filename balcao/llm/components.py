@@ -8,7 +8,7 @@ logarithm of the longest path; each is written out, which also cuts the lineage.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from balcao.sources.staging import staged
@@ -27,11 +27,12 @@ def _star(pairs: DataFrame, point_self: bool) -> DataFrame:
     return pointed.where("u <> v").distinct()
 
 
-def _state(edges: DataFrame) -> tuple:
-    row = edges.agg(
-        F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")
-    ).first()
-    return row.n, row.s
+def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """Edges written out, with a digest that is taken while they are written."""
+    seen = Observation("edges")
+    digest = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
+    table = staged(edges.observe(seen, F.count(F.lit(1)).alias("n"), digest.alias("s")), "edges")
+    return table, (seen.get["n"], seen.get["s"])
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -40,17 +41,14 @@ def components(edges: DataFrame) -> DataFrame:
     ``edges`` has columns ``u`` and ``v`` of one integer type; repeated edges, both directions
     and edges of a node with itself do not matter. No edges give an empty result.
     """
-    edges = staged(edges.select("u", "v").where("u <> v").distinct(), "edges")
-    before = _state(edges)
+    edges, before = _written(edges.select("u", "v").where("u <> v").distinct())
     while before[0]:
         both = _both_ways(edges)
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         # Larger neighbours go to the smallest of all.
         larger = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        larger = larger.where("u <> v").distinct()
         # Smaller neighbours and the node itself go to the smallest of the smaller.
-        edges = staged(_star(larger, point_self=True), "edges")
-        after = _state(edges)
+        edges, after = _written(_star(larger.where("u <> v"), point_self=True))
         if after == before:
             break
         before = after
