@@ -38,6 +38,7 @@ from balcao.sources.staging import staged
 
 COORDINATES = 64
 SIGMAS = 4.2  # standard deviations below the mean that collisions of a linked pair may lie
+_NOTHING = 1 << 40  # above every 32-bit hash of a key
 BLOCK_NODES = 2_000  # nodes of one value compared at a time
 BUCKET_POSTINGS = 20_000  # postings worked on in one call, on average
 ROUNDS = (2, 8, 64, None)  # best partners of a node confirmed in a round; None: all
@@ -91,7 +92,10 @@ def document_signatures(
 
 
 def prefix_postings(nodes: DataFrame, matches: int) -> DataFrame:
-    """``key`` (coordinate and value) and ``node``: each node's rarest values that others share."""
+    """``key`` (coordinate and value), ``node``, ``posted``: each node's rarest shared values.
+
+    ``posted`` holds the hashes of all keys that the node is posted under.
+    """
     posted = nodes.select("node", F.posexplode("signature").alias("coordinate", "value")).select(
         "node",
         F.shiftleft(F.col("coordinate").cast("bigint"), 32)
@@ -105,16 +109,17 @@ def prefix_postings(nodes: DataFrame, matches: int) -> DataFrame:
     # Values of its own come first in a node's order, and need no posting.
     own = F.lit(COORDINATES) - F.size("keys")
     wanted = F.greatest(F.lit(COORDINATES - matches + 1) - own, F.lit(0))
-    return ranked.select("node", F.explode(F.slice("keys", F.lit(1), wanted)).alias("k")).select(
-        "node", "k.key"
+    posted = F.slice("keys", F.lit(1), wanted)
+    hashes = F.transform(posted, lambda k: F.hash(k["key"]))
+    return ranked.select("node", hashes.alias("posted"), F.explode(posted).alias("k")).select(
+        "node", "posted", "k.key"
     )
 
 
 def _blocks(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
     """``postings`` with ``label`` and the ``block`` of their key they are compared in.
 
-    ``is_split`` marks keys of which not all pairs meet: in the first round, when nothing is
-    known of components, blocks are only compared inside.
+    In the first round, when nothing is known of components, blocks are only compared inside.
     """
     if labels is None:
         labelled = postings.withColumn("label", F.col("node")).withColumn("everywhere", F.lit(False))
@@ -137,17 +142,33 @@ def _blocks(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
     block = F.when(
         F.col("everywhere"), F.sequence(F.lit(0), F.col("blocks") - 1)
     ).otherwise(F.array(F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int")))
-    is_split = (F.col("blocks") > 1) & F.lit(labels is None)
-    return dealt.withColumn("block", F.explode(block)).withColumn("is_split", is_split)
+    return dealt.withColumn("block", F.explode(block))
 
 
 def _collisions(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return (left == right).sum(axis=-1, dtype=np.int16)
 
 
-def _partners_in_group(values, sizes, labels, most, least_percent) -> tuple[np.ndarray, np.ndarray, bool]:
-    """Places of the candidate pairs of one group, and whether some were left for later."""
+def _first_meeting(left: np.ndarray, right: np.ndarray, key: np.ndarray | int) -> np.ndarray:
+    """Whether pairs of nodes meet under ``key`` first: it is the least both are posted under."""
+    found = np.zeros(len(left), dtype=bool)
+    for first in range(0, len(left), 2048):
+        some = slice(first, first + 2048)
+        a, b = left[some, :, None], right[some, None, :]
+        least = np.where((a == b) & (a != _NOTHING), a, _NOTHING).min(axis=(1, 2))
+        found[some] = least == (key if np.isscalar(key) else key[some])
+    return found
+
+
+def _partners_in_group(
+    values: np.ndarray, sizes: np.ndarray, labels: np.ndarray, posted: np.ndarray, key: int, most: int | None, least_percent: int
+) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Places of the candidate pairs of one group, and whether some were left for later.
+
+    Only pairs that meet here first, so that a pair is not found once for each common key.
+    """
     left, right, more = [], [], False
+    place = np.arange(len(values))
     for first in range(0, len(values), 64):
         some = slice(first, first + 64)
         alike = _collisions(values[some, None, :], values[None, :, :])
@@ -155,15 +176,20 @@ def _partners_in_group(values, sizes, labels, most, least_percent) -> tuple[np.n
         large = np.maximum(sizes[some, None], sizes[None, :])
         apart = (labels[some, None] != labels[None, :]) & (100 * small >= least_percent * large)
         alike = np.where(apart & (alike >= matches_for(least_percent)), alike, 0)
-        if most is not None and alike.shape[1] > most:
+        if most is None:
+            alike = np.where(place[None, :] > place[some, None], alike, 0)
+        elif alike.shape[1] > most:
             # Ties at the limit: the first ones, as many as are wanted.
             rank = np.argsort(np.argsort(-alike, axis=1, kind="stable"), axis=1, kind="stable")
             more = more or bool(((alike > 0) & (rank >= most)).any())
             alike = np.where(rank < most, alike, 0)
         i, j = np.nonzero(alike)
-        left.append(i + first)
-        right.append(j)
-    return np.concatenate(left), np.concatenate(right), more
+        here = _first_meeting(posted[i + first], posted[j], key)
+        left.append(i[here] + first)
+        right.append(j[here])
+    i, j = np.concatenate(left), np.concatenate(right)
+    pairs = np.unique(np.minimum(i, j) * len(values) + np.maximum(i, j))
+    return pairs // len(values), pairs % len(values), more
 
 
 def _best_partners(most: int | None, least_percent: int):
@@ -179,7 +205,13 @@ def _best_partners(most: int | None, least_percent: int):
         keys, blocks, nodes = keys[order], blocks[order], nodes[order]
         labels = np.asarray(table.column("label"))[order]
         sizes = np.asarray(table.column("n_shingles"))[order]
-        split = np.asarray(table.column("is_split"))[order]
+        key_hashes = np.asarray(table.column("key_hash")).astype(np.int64)[order]
+        lists = table.column("posted").combine_chunks()
+        owners = np.repeat(np.arange(len(lists)), np.asarray(lists.value_lengths()))
+        places = np.arange(len(owners)) - np.repeat(np.asarray(lists.offsets)[:-1] - lists.offsets[0].as_py(), np.asarray(lists.value_lengths()))
+        posted = np.full((len(lists), int(places.max()) + 1), _NOTHING, dtype=np.int64)
+        posted[owners, places] = np.asarray(lists.flatten())
+        posted = posted[order]
         short = table.column("short").to_pylist()
         values = np.frombuffer(b"".join(short[i] for i in order), dtype=np.uint8).reshape(len(nodes), -1)
         opens = np.flatnonzero(
@@ -193,14 +225,22 @@ def _best_partners(most: int | None, least_percent: int):
             100 * small >= least_percent * np.maximum(sizes[twos], sizes[twos + 1])
         )
         near &= _collisions(values[twos], values[twos + 1]) >= matches_for(least_percent)
-        left, right = [nodes[twos[near]]], [nodes[twos[near] + 1]]
-        later = [split[twos[near]]]
+        twos = twos[near]
+        twos = twos[_first_meeting(posted[twos], posted[twos + 1], key_hashes[twos])]
+        left, right = [nodes[twos]], [nodes[twos + 1]]
+        later = [np.zeros(len(twos), dtype=bool)]
         for first, count in zip(opens[counts > 2].tolist(), counts[counts > 2].tolist()):
             group = slice(first, first + count)
-            i, j, more = _partners_in_group(values[group], sizes[group], labels[group], most, least_percent)
+            i, j, more = _partners_in_group(
+                values[group], sizes[group], labels[group], posted[group], int(key_hashes[first]), most, least_percent
+            )
             left.append(nodes[first + i])
             right.append(nodes[first + j])
-            later.append(np.full(len(i), more or bool(split[first])))
+            later.append(np.zeros(len(i), dtype=bool))
+            if more:  # said by a pair of no nodes
+                left.append(np.zeros(1, dtype=np.int64))
+                right.append(np.zeros(1, dtype=np.int64))
+                later.append(np.ones(1, dtype=bool))
         a, b = np.concatenate(left), np.concatenate(right)
         found = pd.DataFrame({"x": np.minimum(a, b), "y": np.maximum(a, b), "more": np.concatenate(later)})
         found = found.groupby(["x", "y"], as_index=False)["more"].any()
@@ -278,12 +318,13 @@ def link_nodes(
         found = (
             _blocks(postings, labels)
             .withColumn("bucket", bucket)
-            .select("bucket", "key", "block", "node", "label", "n_shingles", "short", "is_split")
+            .select("bucket", "key", F.hash("key").alias("key_hash"), "block", "node", "label", "n_shingles", "short", "posted")
             .groupBy("bucket")
             .applyInArrow(_best_partners(most, least_percent), "x bigint, y bigint, more boolean")
         )
         pairs = staged(found.groupBy("x", "y").agg(F.max("more").alias("more")), "pairs")
         more = (has_split and labels is None) or not pairs.where("more").isEmpty()
+        pairs = pairs.where("x <> y")
         if failed is not None:
             pairs = staged(pairs.join(failed, ["x", "y"], "left_anti"), "pairs")
         if pairs.isEmpty():
