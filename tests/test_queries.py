@@ -3,11 +3,12 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from balcao.plans import queries as catalogue
 from tests.conftest import SMALL
 from tools.compare import connect, differences
 
-QUERIES = queries()
-SQL = oracle_sql()
+QUERIES = {name: query for name, query in queries().items() if name in catalogue.ALL}
+SQL = {name: sql for name, sql in oracle_sql().items() if name in catalogue.ALL}
 # The smallest tables hold no such rows.
 MAY_BE_EMPTY = {"composite_id_collisions"}
 # One row over the whole input: a single task at the end gets one row per task before it.
@@ -58,6 +59,19 @@ def test_plans_stay_distributed_and_in_the_jvm(spark, name):
         assert unwanted not in plan, f"{unwanted} in the plan of {name}"
 
 
+@pytest.mark.parametrize(("name", "exchanges"), [("payout_final", 28), ("branch_scorecard", 13), ("shift_channel_report", 10)])
+def test_plans_need_few_exchanges(spark, name, exchanges):
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert sum(" Exchange " in line or "- Exchange" in line for line in plan.splitlines()) <= exchanges
+
+
 def test_scans_read_only_what_they_need(spark):
     plan = QUERIES["sales_by_branch_seller"](spark, SMALL)._jdf.queryExecution().executedPlan()
     text = plan.toString()
