@@ -7,9 +7,10 @@ forest learns from labelled findings: those of ``labelled`` or, if none are give
 that fixed rules are sure about, either way. It then decides on all findings, also on those
 no rule speaks for.
 
-Only column functions and Spark's own forest are used. The dictionary is counted on at most
-``DICTIONARY_DOCUMENTS`` documents, and the forest is fitted on at most ``TRAINING_FINDINGS``
-findings of each label (the lowest hashes); candidates are sought in whole texts of all rows.
+Only column functions and Spark's own forest are used. The dictionary is counted on all
+documents, each distinct text once, and its commonest ``DICTIONARY_WORDS`` words are kept. The
+forest is fitted on at most ``TRAINING_FINDINGS`` findings of each label (the lowest hashes);
+candidates are sought in whole texts of all rows.
 
 Null texts count as empty. If no finding of one of the two labels exists, the sure rules alone
 decide. Rows that share id and text are one row's findings each. An empty table gives an empty
@@ -28,8 +29,9 @@ from balcao.llm.spans import located
 from balcao.sources.staging import staged
 
 SHORTEST = 16
-DICTIONARY_DOCUMENTS = 2_000
-DICTIONARY_WORDS = 200
+DICTIONARY_WORDS = 10_000  # kept after all are counted, about 100 KB
+LEAST_TEXTS = 2  # distinct texts that hold a word of the dictionary; what one text holds is not common
+LONGEST_WORD = 40
 TRAINING_FINDINGS = 5_000
 TREES, DEPTH, SEED = 40, 6, 17
 KEEP_AT = 0.5
@@ -39,6 +41,7 @@ MARK = "[SECRET]"
 _CANDIDATE = r"(?<![A-Za-z0-9_+/-])[A-Za-z0-9_+/-]{%d,}+={0,2}" % SHORTEST
 _NAMED = r"(?i)(?:pass(?:word|wd)?|token|secret|api[_-]?key|access[_-]?key|auth)[\"']?\s*[=:]\s*[\"']?$"
 _ISSUED = "^(?:A[KS]IA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|sk_live_[A-Za-z0-9]{16,}|xox[abpr]-[A-Za-z0-9-]{16,})$"
+_LETTERS = r"(?<![\p{L}\p{N}])[A-Za-z]{3,}+(?![\p{L}\p{N}])"
 _ASSIGNED = r"[=:]\s*[\"']?$"
 _NEIGHBOURS = "(?i)key|token|secret|pass|auth|login|credential"
 
@@ -49,11 +52,37 @@ FEATURES = (
 
 
 def dictionary(docs: DataFrame) -> list[str]:
-    """The commonest words of three letters or more, on a bounded number of documents."""
-    sample = docs.where("text is not null").orderBy(F.xxhash64("text")).limit(DICTIONARY_DOCUMENTS)
-    words = sample.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{3,8}"), F.lit(0))).alias("w"))
-    counted = words.groupBy("w").count().orderBy(F.desc("count"), "w").limit(DICTIONARY_WORDS)
-    return [r.w for r in counted.collect()]
+    """The words of three letters or more that most distinct texts hold.
+
+    Runs of letters only, cut where a capital follows a small letter; runs with digits are no words.
+    """
+    text = F.coalesce(F.col("text"), F.lit(""))
+    runs = F.array_distinct(F.regexp_extract_all(text, F.lit(_LETTERS), F.lit(0)))
+    words = F.flatten(F.transform(runs, lambda run: F.split(run, "(?<=[a-z])(?=[A-Z])")))
+    words = F.array_distinct(F.transform(words, F.lower))
+    words = F.filter(words, lambda w: F.length(w).between(3, LONGEST_WORD))
+    texts = docs.select(F.xxhash64(text).alias("tag"), words.alias("words")).dropDuplicates(["tag"])
+    counted = texts.select(F.explode("words").alias("w")).groupBy("w").count().where(F.col("count") >= LEAST_TEXTS)
+    return [r.w for r in counted.orderBy(F.desc("count"), "w").limit(DICTIONARY_WORDS).collect()]
+
+
+def _any_of(words: list[str]) -> str:
+    """A pattern for the longest of ``words`` at a place: their tree, so that many can be tried at once."""
+    tree: dict = {}
+    for word in words:
+        at = tree
+        for letter in word:
+            at = at.setdefault(letter, {})
+        at[""] = {}
+
+    def pattern(at: dict) -> str:
+        ways = [letter + pattern(below) for letter, below in sorted(at.items()) if letter]
+        if not ways:
+            return ""
+        joined = ways[0] if len(ways) == 1 and "" not in at else f"(?:{'|'.join(ways)})"
+        return joined + "?" if "" in at else joined
+
+    return pattern(tree)
 
 
 def findings(docs: DataFrame) -> DataFrame:
@@ -84,8 +113,7 @@ def with_features(found: DataFrame, words: list[str]) -> DataFrame:
         classes = F.regexp_replace(classes, kind, sign)
     covered = F.lit(0.0)
     if words:
-        longest_first = "|".join(sorted(words, key=lambda w: (-len(w), w)))
-        covered = 1 - F.length(F.regexp_replace(F.lower(text), longest_first, "")) / size
+        covered = 1 - F.length(F.regexp_replace(F.lower(text), _any_of(words), "")) / size
     columns = {
         "length": size,
         "lower": share("a-z"),

@@ -3,7 +3,7 @@
 import random
 import re
 
-from balcao.llm.secrets import MARK, secret_digest, without_secrets
+from balcao.llm.secrets import MARK, _any_of, dictionary, secret_digest, without_secrets
 from tests.conftest import MEDIUM
 
 
@@ -68,3 +68,21 @@ def test_nothing_to_learn_from(frame):
     docs = frame("doc_id bigint, text string, source string", (1, "plain words", "a"), (None, None, None))
     assert sorted((str(r.doc_id), r.n_secrets) for r in secret_digest(docs).collect()) == [("1", 0), ("None", 0)]
     assert secret_digest(docs.limit(0)).collect() == []
+
+
+def test_dictionary_counts_all_texts_once(frame):
+    # 2,500 copies of one text of 201 words of its own, and 2,100 other texts that share long words.
+    copied = " ".join(f"{a}{b}copy" for a in "abcdefghijklmnop" for b in "abcdefghijklm")
+    rows = [(copied,)] * 2_500 + [(f"text{i} internationalization rareWordsHere {'getUserName' * (i % 2)}",) for i in range(2_100)]
+    words = dictionary(frame("text string", *rows, (None,)))
+    assert words[:4] == ["here", "internationalization", "rare", "words"]
+    assert {"get", "user", "name"} <= set(words) and not any(w.endswith("copy") for w in words)
+    assert "text" not in words  # stands beside digits
+
+
+def test_longest_word_is_taken(values):
+    from pyspark.sql import functions as F
+
+    words = ["for", "forest", "forestry", "rest", "a", "able"]
+    left = values(lambda t: F.regexp_replace(t, _any_of(words), "-"), ["forestryrestabler", "foresforests", "xyz"])
+    assert left == ["---r", "-es-s", "xyz"]
