@@ -12,9 +12,9 @@ and those with too few fall away.
 Only connections are wanted, so pairs of nodes that are already connected are skipped too.
 Candidates are confirmed on the full sets in rounds: first each node's best few partners,
 then more of them, only between different components, at last all that are left. No round
-drops a candidate that could still connect two components. Values with many nodes are split
-into blocks: nodes of the value's largest component are dealt out over the blocks, and only
-the others go to all of them.
+drops a candidate that could still connect two components. Nodes of values with many of them
+are dealt into blocks, and each pair of blocks is a group that compares across: nodes of the
+value's largest component, which need not meet each other, have blocks of their own.
 
 Null texts count as empty; empty texts are linked with nothing. Rows that share an id count
 each on their own; where all ids of a component are null its id is null. An empty table gives
@@ -39,7 +39,7 @@ from balcao.sources.staging import staged
 COORDINATES = 64
 SIGMAS = 4.2  # standard deviations below the mean that collisions of a linked pair may lie
 _NOTHING = 1 << 40  # above every 32-bit hash of a key
-BLOCK_NODES = 2_000  # nodes of one value compared at a time
+BLOCK_NODES = 2_000  # nodes of one value in a block, on average; two blocks are compared at a time
 BUCKET_POSTINGS = 20_000  # postings worked on in one call, on average
 ROUNDS = (2, 8, 64, None)  # best partners of a node confirmed in a round; None: all
 
@@ -117,13 +117,15 @@ def prefix_postings(nodes: DataFrame, matches: int) -> DataFrame:
 
 
 def _blocks(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """``postings`` with ``label`` and the ``block`` of their key they are compared in.
+    """``postings`` with ``label``, the ``block`` (a pair of blocks of their key) and ``side``.
 
-    In the first round, when nothing is known of components, blocks are only compared inside.
+    Nodes of a block pair are compared if their sides differ; side 0 is compared with itself.
+    So every two nodes of a key meet once, but for those of its largest component. In the first
+    round, when nothing is known of components, blocks are only compared inside.
     """
     if labels is None:
-        labelled = postings.withColumn("label", F.col("node")).withColumn("everywhere", F.lit(False))
-        sizes = postings.groupBy("key").agg(F.count("*").alias("size"))
+        labelled = postings.withColumn("label", F.col("node")).withColumn("is_main", F.lit(False))
+        sizes = postings.groupBy("key").agg(F.count("*").alias("others"), F.lit(0).alias("mains"))
     else:
         labelled = postings.join(labels, "node", "left").withColumn(
             "label", F.coalesce("label", "node")
@@ -131,18 +133,38 @@ def _blocks(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
         by_label = labelled.groupBy("key", "label").agg(F.count("*").alias("n"))
         sizes = by_label.groupBy("key").agg(
             F.sum("n").alias("size"),
-            F.max(F.struct("n", "label"))["label"].alias("main"),
+            F.max(F.struct("n", "label")).alias("main"),
             F.count("*").alias("labels"),
         ).where("labels > 1")
+        # Few nodes are one block.
+        is_split = F.col("size") > BLOCK_NODES
+        sizes = sizes.select(
+            "key",
+            F.when(is_split, F.col("main.label")).alias("main"),
+            F.when(is_split, F.col("size") - F.col("main.n")).otherwise(F.col("size")).alias("others"),
+            F.when(is_split, F.col("main.n")).otherwise(F.lit(0)).alias("mains"),
+        )
         labelled = labelled.join(sizes.select("key", "main"), "key").withColumn(
-            "everywhere", F.col("label") != F.col("main")
+            "is_main", F.col("label").eqNullSafe(F.col("main"))
         )
-    count = F.ceil(F.col("size") / BLOCK_NODES).cast("int")
-    dealt = labelled.join(sizes.select("key", count.alias("blocks")), "key")
-    block = F.when(
-        F.col("everywhere"), F.sequence(F.lit(0), F.col("blocks") - 1)
-    ).otherwise(F.array(F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int")))
-    return dealt.withColumn("block", F.explode(block))
+
+    def count(column: str):
+        return F.ceil(F.col(column) / BLOCK_NODES).cast("int").alias(column)
+
+    dealt = labelled.join(sizes.select("key", count("others"), count("mains")), "key")
+    own = F.when(
+        F.col("is_main"), F.col("others") + F.pmod(F.xxhash64("node", "key"), F.col("mains"))
+    ).otherwise(F.pmod(F.xxhash64("node", "key"), F.col("others")))
+    dealt = dealt.withColumn("own", own.cast("int"))
+    if labels is None:
+        met = F.array("own")
+    else:
+        met = F.sequence(F.lit(0), F.col("others") - 1 + F.when(F.col("is_main"), 0).otherwise(F.col("mains")))
+    low, high = F.least("own", "met").cast("bigint"), F.greatest("own", "met")
+    side = F.when(F.col("own") == F.col("met"), 0).when(F.col("own") < F.col("met"), 1).otherwise(2)
+    return dealt.withColumn("met", F.explode(met)).withColumns(
+        {"block": low * (F.col("others") + F.col("mains")) + high, "side": side}
+    )
 
 
 def _collisions(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -160,8 +182,13 @@ def _first_meeting(left: np.ndarray, right: np.ndarray, key: np.ndarray | int) -
     return found
 
 
+def _across(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Whether nodes of these sides are compared: two blocks that meet are not compared inside."""
+    return (left != right) | (left == 0)
+
+
 def _partners_in_group(
-    values: np.ndarray, sizes: np.ndarray, labels: np.ndarray, posted: np.ndarray, key: int, most: int | None, least_percent: int
+    values: np.ndarray, sizes: np.ndarray, labels: np.ndarray, sides: np.ndarray, posted: np.ndarray, key: int, most: int | None, least_percent: int
 ) -> tuple[np.ndarray, np.ndarray, bool]:
     """Places of the candidate pairs of one group, and whether some were left for later.
 
@@ -175,6 +202,7 @@ def _partners_in_group(
         small = np.minimum(sizes[some, None], sizes[None, :])
         large = np.maximum(sizes[some, None], sizes[None, :])
         apart = (labels[some, None] != labels[None, :]) & (100 * small >= least_percent * large)
+        apart &= _across(sides[some, None], sides[None, :])
         alike = np.where(apart & (alike >= matches_for(least_percent)), alike, 0)
         if most is None:
             alike = np.where(place[None, :] > place[some, None], alike, 0)
@@ -204,6 +232,7 @@ def _best_partners(most: int | None, least_percent: int):
         order = np.lexsort((nodes, blocks, keys))
         keys, blocks, nodes = keys[order], blocks[order], nodes[order]
         labels = np.asarray(table.column("label"))[order]
+        sides = np.asarray(table.column("side"))[order]
         sizes = np.asarray(table.column("n_shingles"))[order]
         key_hashes = np.asarray(table.column("key_hash")).astype(np.int64)[order]
         lists = table.column("posted").combine_chunks()
@@ -224,6 +253,7 @@ def _best_partners(most: int | None, least_percent: int):
         near = (labels[twos] != labels[twos + 1]) & (
             100 * small >= least_percent * np.maximum(sizes[twos], sizes[twos + 1])
         )
+        near &= _across(sides[twos], sides[twos + 1])
         near &= _collisions(values[twos], values[twos + 1]) >= matches_for(least_percent)
         twos = twos[near]
         twos = twos[_first_meeting(posted[twos], posted[twos + 1], key_hashes[twos])]
@@ -232,7 +262,7 @@ def _best_partners(most: int | None, least_percent: int):
         for first, count in zip(opens[counts > 2].tolist(), counts[counts > 2].tolist()):
             group = slice(first, first + count)
             i, j, more = _partners_in_group(
-                values[group], sizes[group], labels[group], posted[group], int(key_hashes[first]), most, least_percent
+                values[group], sizes[group], labels[group], sides[group], posted[group], int(key_hashes[first]), most, least_percent
             )
             left.append(nodes[first + i])
             right.append(nodes[first + j])
@@ -309,8 +339,12 @@ def link_nodes(
     )
     known = staged(known, "known")
     postings = postings.join(known.select("node", "n_shingles", "short"), "node")
-    buckets = max(1, postings.count() // BUCKET_POSTINGS)
-    has_split = not postings.groupBy("key").count().where(F.col("count") > BLOCK_NODES).isEmpty()
+    # A node goes to about as many pairs of blocks as its key has blocks.
+    dealt = postings.groupBy("key").count().agg(
+        F.sum(F.col("count") * F.ceil(F.col("count") / BLOCK_NODES)).alias("rows"), F.max("count").alias("most")
+    ).first()
+    buckets = max(1, (dealt.rows or 0) // BUCKET_POSTINGS)
+    has_split = (dealt.most or 0) > BLOCK_NODES
     sets = None
     labels, links, failed = None, None, None
     for most in ROUNDS:
@@ -318,7 +352,7 @@ def link_nodes(
         found = (
             _blocks(postings, labels)
             .withColumn("bucket", bucket)
-            .select("bucket", "key", F.hash("key").alias("key_hash"), "block", "node", "label", "n_shingles", "short", "posted")
+            .select("bucket", "key", F.hash("key").alias("key_hash"), "block", "side", "node", "label", "n_shingles", "short", "posted")
             .groupBy("bucket")
             .applyInArrow(_best_partners(most, least_percent), "x bigint, y bigint, more boolean")
         )

@@ -87,3 +87,32 @@ def test_components_of_chains_and_stars(frame):
     labels = {r.node: r.label for r in rows}
     assert len(rows) == len(labels) == 100
     assert {labels[i] for i in range(1, 41)} == {1} and {labels[i] for i in range(100, 160)} == {100}
+
+
+@pytest.mark.parametrize("linked", [0, 150, 297])
+def test_nodes_of_a_hot_value_meet_once_in_bounded_groups(frame, monkeypatch, linked):
+    monkeypatch.setattr(minhash, "BLOCK_NODES", 40)
+    postings = frame("key bigint, node bigint", *[(7, i) for i in range(300)], (8, 1), (8, 299))
+    labels = frame("node bigint, label bigint", (-1, -1), *[(i, 0) for i in range(linked)])
+    groups, met = {}, {}
+    for r in minhash._blocks(postings, labels).collect():
+        groups.setdefault((r.key, r.block), []).append(r)
+    for (key, _), rows in groups.items():
+        assert len(rows) <= 3 * 40  # two blocks, dealt by hash
+        for i, a in enumerate(rows):
+            for b in rows[:i]:
+                if a.label != b.label and (a.side != b.side or a.side == 0):
+                    pair = (key, min(a.node, b.node), max(a.node, b.node))
+                    met[pair] = met.get(pair, 0) + 1
+    wanted = {(7, i, j) for i in range(300) for j in range(i + 1, 300) if j >= linked}
+    assert met == dict.fromkeys(wanted | {(8, 1, 299)}, 1)
+
+
+def test_boilerplate_below_the_limit(frame, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK_NODES", 8)
+    rng = random.Random(8)
+    shared = [f"b{i}" for i in range(60)]
+    texts = [" ".join(shared + [f"own{i}x{j}" for j in range(14)]) for i in range(60)]
+    texts += [" ".join(shared + [f"own{i}x{j}" for j in range(13)] + [f"new{i}"]) for i in rng.sample(range(60), 9)]
+    rows = list(enumerate(texts))
+    assert found(near_duplicates(frame("doc_id bigint, text string", *rows), width=3)) == expected(rows, 3, 85)
