@@ -38,7 +38,9 @@ KEEP_AT = 0.5
 PATHS = 16
 MARK = "[SECRET]"
 
-_CANDIDATE = r"(?<![A-Za-z0-9_+/-])[A-Za-z0-9_+/-]{%d,}+={0,2}" % SHORTEST
+# Signs of equality behind which a value follows assign it, others fill up a code.
+_FILLED = r"(?:={1,2}+(?!\\?[\"'`]?[^\s\"'`<>,;)\]}&\\]))?+"
+_CANDIDATE = r"(?<![A-Za-z0-9_+/-])[A-Za-z0-9_+/-]{%d,}+" % SHORTEST + _FILLED
 _NAMED = r"(?i)(?:pass(?:word|wd)?|token|secret|api[_-]?key|access[_-]?key|auth)[\"']?\s*[=:]\s*[\"']?$"
 _ISSUED = "^(?:A[KS]IA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|sk_live_[A-Za-z0-9]{16,}|xox[abpr]-[A-Za-z0-9-]{16,})$"
 _LETTERS = r"(?<![\p{L}\p{N}])[A-Za-z]{3,}+(?![\p{L}\p{N}])"

@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 BLOCK = 256  # matches put together at a time, so that long lists are not copied per match
-CONTEXT = 48  # code points before a match, back to the match before it, that are kept
+CONTEXT = 48  # code points before a match that are kept, earlier matches included
 
 _SPANS = "array<struct<start:int,end:int,found:string,before:string>>"
 
@@ -34,16 +34,22 @@ def located(text: Column, pattern: str) -> Column:
             F.substring(gap, -CONTEXT, CONTEXT).alias("before"),
         )
 
+    def last(value: Column) -> Column:
+        return F.substring(value, -CONTEXT, CONTEXT)
+
     def step(state: Column, item: Column) -> Column:
         start = state["at"] + item["gap"]
+        # Carried on from match to match, so that long texts are not cut again for each.
+        before = last(F.concat(state["tail"], item["before"]))
         span = F.struct(
             start.alias("start"),
             (start + item["size"]).alias("end"),
             item["match"].alias("found"),
-            item["before"].alias("before"),
+            before.alias("before"),
         )
         return F.struct(
             (start + item["size"]).alias("at"),
+            last(F.concat(before, last(item["match"]))).alias("tail"),
             F.concat(state["spans"], F.array(span).cast(_SPANS)).alias("spans"),
         )
 
@@ -51,17 +57,18 @@ def located(text: Column, pattern: str) -> Column:
         def block(before: Column, number: Column) -> Column:
             return F.aggregate(
                 F.slice(steps, number * BLOCK + 1, BLOCK),
-                F.struct(before["at"].alias("at"), none.alias("spans")),
+                F.struct(before["at"].alias("at"), before["tail"].alias("tail"), none.alias("spans")),
                 step,
                 lambda state: F.struct(
                     state["at"].alias("at"),
+                    state["tail"].alias("tail"),
                     F.concat(before["blocks"], F.array(state["spans"])).alias("blocks"),
                 ),
             )
 
         return F.aggregate(
             F.sequence(F.lit(0), F.floor((F.size(steps) - 1) / BLOCK).cast("int")),
-            F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPANS}>").alias("blocks")),
+            F.struct(F.lit(0).alias("at"), F.lit("").alias("tail"), F.array().cast(f"array<{_SPANS}>").alias("blocks")),
             block,
             lambda state: F.flatten(state["blocks"]),
         )

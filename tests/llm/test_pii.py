@@ -5,9 +5,10 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from balcao.llm.pii import passes_mod97, personal_data, personal_data_digest
-from balcao.llm.spans import BLOCK, located
+from balcao.llm.spans import BLOCK, CONTEXT, located
 
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
@@ -95,3 +96,16 @@ def test_empty_table(frame):
 
 def test_mod97(values):
     assert values(passes_mod97, ["GB82WEST12345698765432", "GB82WEST12345698765433"]) == [True, False]
+
+
+@pytest.mark.parametrize("size", [2, BLOCK + 2])
+def test_context_reaches_over_earlier_matches(frame, size):
+    text = "é key " + "12, " * size
+    spans = frame("text string", (text,)).select(located(F.col("text"), "[0-9]+").alias("s")).first().s
+    assert [s.before for s in spans] == [text[max(0, s.start - CONTEXT) : s.start] for s in spans]
+
+
+def test_one_context_word_for_several_numbers(frame):
+    docs = frame("doc_id bigint, text string", (0, "SSN 123-45-6789, 321-54-9876"))
+    found = [(s.kind, s.found) for s in personal_data(docs).first().spans]
+    assert [f for f in found if f[0] == "national_id"] == [("national_id", "123-45-6789"), ("national_id", "321-54-9876")]

@@ -3,7 +3,7 @@
 import random
 import re
 
-from balcao.llm.secrets import MARK, _any_of, dictionary, secret_digest, without_secrets
+from balcao.llm.secrets import MARK, _any_of, dictionary, findings, rule_labels, secret_digest, with_features, without_secrets
 from tests.conftest import MEDIUM
 
 
@@ -86,3 +86,14 @@ def test_longest_word_is_taken(values):
     words = ["for", "forest", "forestry", "rest", "a", "able"]
     left = values(lambda t: F.regexp_replace(t, _any_of(words), "-"), ["forestryrestabler", "foresforests", "xyz"])
     assert left == ["---r", "-es-s", "xyz"]
+
+
+def test_long_names_are_the_context_of_their_values(frame):
+    key, code = "wJalrXUtnFEMIK7MDENGbPxRfiCYEXAMPLEKEY12", "0123456789abcdef0123"
+    texts = [f"AWS_SECRET_ACCESS_KEY={key}", f'stripe_webhook_secret: "{code}"', "see dGhpcyBpcyBhIHRlc3Q== now", f'session_access_token="{code}="']
+    docs = frame("doc_id bigint, text string, source string", *[(i, t, "s") for i, t in enumerate(texts)])
+    rows = rule_labels(with_features(findings(docs), ["secret", "access", "stripe"])).collect()
+    found = {(r.doc_id, r.found): r for r in rows}
+    assert {f for _, f in found} >= {"AWS_SECRET_ACCESS_KEY", key, code, "dGhpcyBpcyBhIHRlc3Q==", f"{code}="}
+    for row in (found[0, key], found[1, code], found[3, f"{code}="]):
+        assert row.label == 1 and row.f_neighbour == 1 and row.f_assigned == 1
