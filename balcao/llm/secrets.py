@@ -1,6 +1,7 @@
 """Secrets in texts: candidate strings, and a random forest that drops the false ones.
 
-Candidates are runs of ``SHORTEST`` or more characters as keys and tokens have them. Their
+Candidates are runs of ``SHORTEST`` or more characters as keys and tokens have them, and of any
+length and characters but blanks and quotes what a naming word or ``://user:`` assigns. Their
 features are length, character classes and the changes between them, how much of the string a
 dictionary of the corpus's common words covers, the path (source) and the words before. The
 forest learns from labelled findings: those of ``labelled`` or, if none are given, findings
@@ -29,6 +30,7 @@ from balcao.llm.spans import located
 from balcao.sources.staging import staged
 
 SHORTEST = 16
+SURE_LENGTH = 8
 DICTIONARY_WORDS = 10_000  # kept after all are counted, about 100 KB
 LEAST_TEXTS = 2  # distinct texts that hold a word of the dictionary; what one text holds is not common
 LONGEST_WORD = 40
@@ -40,11 +42,25 @@ MARK = "[SECRET]"
 
 # Signs of equality behind which a value follows assign it, others fill up a code.
 _FILLED = r"(?:={1,2}+(?!\\?[\"'`]?[^\s\"'`<>,;)\]}&\\]))?+"
-_CANDIDATE = r"(?<![A-Za-z0-9_+/-])[A-Za-z0-9_+/-]{%d,}+" % SHORTEST + _FILLED
-_NAMED = r"(?i)(?:pass(?:word|wd)?|token|secret|api[_-]?key|access[_-]?key|auth)[\"']?\s*[=:]\s*[\"']?$"
+_RUN = r"(?<![A-Za-z0-9_+/-])[A-Za-z0-9_+/-]{%d,}+" % SHORTEST + _FILLED
+_NAMES = r"(?i:pass(?:word|wd)?|token|secret|api[_-]?key|access[_-]?key|auth)"
+# Java looks back over bounded lengths only.
+_ASSIGNS = r"\\{0,1}[\"'`]{0,1}\s{0,16}[=:]\s{0,16}\\{0,1}[\"'`]{0,1}"
+_IN_URL = r"://[^\s:/@]{0,128}:"
+# A value ends at a blank, quote or tag, before signs that end a clause, and where `&name=` goes on.
+_ENDS = r"(?![,;.)\]}]{1,8}(?:[\s\"'`<]|\z))(?![&;,][A-Za-z0-9_.-]{1,40}[=:])(?!</?[A-Za-z])(?!\\[\"'`])"
+_VALUE = r"(?:%s[^\s\"'`])++" % _ENDS
+_CANDIDATE = "|".join((
+    # What stands before is looked at only where something is assigned.
+    rf"(?<=[=:\s\"'`])(?<={_ASSIGNS})(?<={_NAMES}{_ASSIGNS}){_VALUE}",
+    rf"(?<=:)(?<={_IN_URL})[^\s\"'`<>/]+(?=@)",
+    _RUN,
+))
+_NAMED = rf"{_NAMES}{_ASSIGNS}$|{_IN_URL}$"
 _ISSUED = "^(?:A[KS]IA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|sk_live_[A-Za-z0-9]{16,}|xox[abpr]-[A-Za-z0-9-]{16,})$"
+_REFERENCE = r"^(?:\$\{?\w+\}?|\$\(.*|%\w+%|\{\{.*|<.*>?|\*+)$"  # to a value kept elsewhere
 _LETTERS = r"(?<![\p{L}\p{N}])[A-Za-z]{3,}+(?![\p{L}\p{N}])"
-_ASSIGNED = r"[=:]\s*[\"']?$"
+_ASSIGNED = r"[=:]\s*\\?[\"'`]?$"
 _NEIGHBOURS = "(?i)key|token|secret|pass|auth|login|credential"
 
 FEATURES = (
@@ -121,7 +137,7 @@ def with_features(found: DataFrame, words: list[str]) -> DataFrame:
         "lower": share("a-z"),
         "upper": share("A-Z"),
         "digit": share("0-9"),
-        "other": share("_+/=-"),
+        "other": 1 - share("A-Za-z0-9"),
         "changes": (F.length(F.regexp_replace(classes, r"(.)\1+", "$1")) - 1) / size,
         "distinct": F.size(F.array_distinct(F.split(text, ""))) / size,
         "hex": text.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$").cast("double"),
@@ -129,7 +145,7 @@ def with_features(found: DataFrame, words: list[str]) -> DataFrame:
         "covered": covered,
         "path_number": F.pmod(F.xxhash64("path"), F.lit(PATHS)),
         "assigned": F.col("before").rlike(_ASSIGNED).cast("double"),
-        "quoted": F.col("before").rlike("[\"']$").cast("double"),
+        "quoted": F.col("before").rlike("[\"'`]$").cast("double"),
         "neighbour": F.col("before").rlike(_NEIGHBOURS).cast("double"),
     }
     return found.withColumns({f"f_{k.removesuffix('_number')}": v.cast("double") for k, v in columns.items()})
@@ -137,8 +153,12 @@ def with_features(found: DataFrame, words: list[str]) -> DataFrame:
 
 def rule_labels(found: DataFrame) -> DataFrame:
     """Add ``label``: 1 or 0 where fixed rules are sure, else null. Needs the features."""
-    sure = F.col("found").rlike(_ISSUED) | (F.col("before").rlike(_NAMED) & (F.col("f_covered") < 0.5))
-    wrong = (F.col("f_covered") >= 0.5) | (F.col("f_digit") == 1) | (F.col("f_lower") == 1)
+    named = F.col("before").rlike(_NAMED) & (F.col("f_covered") < 0.5)
+    # Of what is shorter, rules only know values that mix digits with others.
+    mixed = (F.length("found") >= SURE_LENGTH) & F.col("found").rlike("[0-9]") & F.col("found").rlike("[^0-9]")
+    wanting = F.col("found").rlike(_REFERENCE)
+    sure = F.col("found").rlike(_ISSUED) | (named & ((F.length("found") >= SHORTEST) | mixed) & ~wanting)
+    wrong = (F.col("f_covered") >= 0.5) | (F.col("f_digit") == 1) | (F.col("f_lower") == 1) | wanting
     return found.withColumn("label", F.when(sure, 1.0).when(wrong, 0.0))
 
 

@@ -97,3 +97,48 @@ def test_long_names_are_the_context_of_their_values(frame):
     assert {f for _, f in found} >= {"AWS_SECRET_ACCESS_KEY", key, code, "dGhpcyBpcyBhIHRlc3Q==", f"{code}="}
     for row in (found[0, key], found[1, code], found[3, f"{code}="]):
         assert row.label == 1 and row.f_neighbour == 1 and row.f_assigned == 1
+
+
+VALUES = {
+    "password=Winter2024! and": "Winter2024!",
+    "pass: hunter2xyz, then": "hunter2xyz",
+    'the "api_key": "a1.b2@c3$d4:e5~f6",': "a1.b2@c3$d4:e5~f6",
+    "postgres://ann:s3cr.t-pw@db/x": "s3cr.t-pw",
+    "token=abc12&next=1": "abc12",
+    "Password=x1;Server=y": "x1",
+    "{'auth': 'q7'}": "q7",
+    '{\\"secret\\":\\"k9!z\\"}': "k9!z",
+    "see password=z8y7</b>": "z8y7",
+    "passwd   =   v5.w6.": "v5.w6",
+}
+
+
+def test_assigned_values_of_any_kind_are_candidates(frame):
+    docs = frame("doc_id bigint, text string, source string", *[(i, t, "s") for i, t in enumerate(VALUES)])
+    found = {(r.doc_id, r.found) for r in findings(docs).collect()}
+    assert found == set(enumerate(VALUES.values()))
+    plain = ["http://host:8080/a@b", "a: b, c=d", "compare == other", "password"]
+    docs = frame("doc_id bigint, text string, source string", *[(i, t, "s") for i, t in enumerate(plain)])
+    assert findings(docs).collect() == []
+
+
+def test_short_passwords_are_masked(frame):
+    rng = random.Random(4)
+    words = "quick brown jumps over lazy dogs and runs with many others through forest".split()
+    rows, hidden = [], []
+    for i in range(120):
+        text, value = rng.choices(words, k=12), None
+        if i % 2:
+            value = "".join(rng.choices("abcdefghjkmnpqrstuvwxyzABCDEFGH", k=7)) + rng.choice("!.@") + str(rng.randrange(10, 99))
+        text.insert(5, f"password={value or rng.choice(words)}" if i % 4 < 2 else f"https://ann:{value or rng.choice(words)}@host/")
+        rows.append((i, " ".join(text), "s"))
+        hidden.append(value)
+    masked = {r.doc_id: r.text for r in without_secrets(frame("doc_id bigint, text string, source string", *rows)).collect()}
+    for (i, text, _), value in zip(rows, hidden):
+        assert masked[i] == (text.replace(value, MARK) if value else text)
+
+
+def test_long_values_end(frame):
+    text = "password=" + "a.;" * 100_000 + " " + "://" + "u" * 50_000 + ":" + "x:" * 50_000
+    docs = frame("doc_id bigint, text string, source string", (1, text, "s"))
+    assert findings(docs).count() >= 1
