@@ -28,6 +28,13 @@ CONTEXT_BONUS = 0.35
 
 _LOCAL = "[A-Za-z0-9._%+-]"
 _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
+# Characters of an account number by country.
+_ACCOUNT_LENGTHS = (
+    "AD24AE23AL28AT20AZ28BA20BE16BG22BH22BR29BY28CH21CR22CY28CZ24DE22DK18DO28EE20EG29ES24FI18FO18FR27"
+    "GB22GE22GI23GL18GR27GT28HR21HU28IE22IL23IQ23IS26IT27JO30KW30KZ20LB28LC32LI21LT20LU20LV21LY25MC27"
+    "MD24ME22MK19MR27MT31MU30NL18NO15PK24PL28PS29PT25QA29RO24RS22SA24SC31SE24SI19SK24SM27ST25SV28TL23"
+    "TN24TR26UA29VA22VG24XK20"
+)
 _SPAN = "struct<start:int,rank:int,kind:string,end:int,found:string,score:double>"
 
 
@@ -67,6 +74,45 @@ def _without_separators(found: Column) -> Column:
     return F.replace(found, F.lit(" "), F.lit(""))
 
 
+def account_number(found: Column) -> Column:
+    """What of ``found``, up to its end or a blank, passes mod 97: of its country's length, or else the longest."""
+
+    def code(end: Column) -> Column:
+        return _without_separators(F.substring(found, F.lit(1), end))
+
+    def rank(end: Column) -> Column:
+        place = F.instr(F.lit(_ACCOUNT_LENGTHS), F.substring(found, 1, 2))
+        fixed = F.when(place > 0, F.substring(F.lit(_ACCOUNT_LENGTHS), place + 2, F.lit(2)).cast("int"))
+        right = F.coalesce(F.length(code(end)) == fixed, F.lit(False))
+        return F.struct(right.alias("right"), end.alias("end"))
+
+    ends = F.filter(
+        F.sequence(F.lit(15), F.length(found)),
+        lambda end: F.substring(found, end + 1, F.lit(1)).isin("", " ")
+        & (F.substring(found, end, F.lit(1)) != " ")
+        & (F.length(code(end)) >= 15),
+    )
+    passing = F.filter(ends, lambda end: passes_mod97(code(end)))
+    best = F.array_max(F.transform(passing, rank))
+    return F.substring(found, F.lit(1), best["end"])
+
+
+def _apart(spans: Column) -> Column:
+    """``spans`` in text order without those that begin inside one that stays."""
+
+    def begins_inside(span: Column, place: Column) -> Column:
+        return (place > 0) & (span["start"] < F.get(spans, place - 1)["end"])
+
+    def add(state: Column, span: Column) -> Column:
+        return F.when(span["start"] < state["at"], state).otherwise(
+            F.struct(span["end"].alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
+        )
+
+    some = F.exists(F.transform(spans, begins_inside), lambda inside: inside)
+    first = F.struct(F.lit(0).alias("at"), F.slice(spans, 1, 0).alias("spans"))
+    return F.when(some, F.aggregate(spans, first, add, lambda state: state["spans"])).otherwise(spans)
+
+
 @dataclass(frozen=True)
 class Kind:
     """One kind of personal data; ``view`` is the text the pattern runs on."""
@@ -78,6 +124,8 @@ class Kind:
     context: str
     hint: str  # texts without this hold no span
     view: Callable[[Column], Column] = lambda text: text
+    group: int = 0  # of the pattern; other than 0 where spans are sought that may overlap
+    fitted: Callable[[Column], Column] | None = None  # what of a proposed span stays, null: nothing
 
 
 BASE = (
@@ -122,11 +170,13 @@ BASE = (
 EXTRA = (
     Kind(
         "iban",
-        "(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])",
-        lambda found: passes_mod97(_without_separators(found)),
+        "(?<![A-Za-z0-9])(?=([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])))[A-Z]{2}[0-9]{2}",
+        lambda found: found.isNotNull(),
         0.8,
         "iban|account|bank",
         "[A-Z]{2}[0-9]{2} ?[A-Z0-9]",
+        group=1,
+        fitted=account_number,
     ),
     # Nothing confirms such a number, so it needs its context.
     Kind(
@@ -158,8 +208,20 @@ def _spans_of(text: Column, kind: Kind, rank: int) -> Column:
 
         return score
 
+    def fit(span: Column) -> Column:
+        def put(found: Column) -> Column:
+            end = (span["start"] + F.length(found)).alias("end")
+            return F.struct(span["start"].alias("start"), end, found.alias("found"), span["before"].alias("before"))
+
+        return let(kind.fitted(span["found"]), put)
+
     def kept(view: Column) -> Column:
-        confirmed = F.filter(located(view, kind.pattern), lambda span: kind.check(span["found"]))
+        proposed = located(view, kind.pattern, kind.group)
+        if kind.fitted is not None:
+            proposed = F.transform(proposed, fit)
+        confirmed = F.filter(proposed, lambda span: kind.check(span["found"]))
+        if kind.group:
+            confirmed = let(confirmed, _apart)
         spans = F.transform(confirmed, scored(view))
         return F.filter(spans, lambda span: span["score"] >= KEEP_SCORE)
 

@@ -18,19 +18,26 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def located(text: Column, pattern: str) -> Column:
+def located(text: Column, pattern: str, group: int = 0) -> Column:
     """All leftmost non-overlapping matches: array of (start, end, found, before).
 
     Positions count code points. The pattern must not match the empty string. Null and empty
-    texts give an empty array.
+    texts give an empty array. A ``group`` is one that begins where the match does; it may look
+    ahead over later matches.
     """
     none = F.array().cast(_SPANS)
+    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    if group:
+        seen = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+        matches = F.zip_with(matches, seen, lambda match, found: F.struct(match.alias("match"), found.alias("found")))
 
-    def pieces(gap: Column, match: Column) -> Column:
+    def pieces(gap: Column, item: Column) -> Column:
+        match = item["match"] if group else item
         return F.struct(
             F.length(gap).alias("gap"),
             F.length(match).alias("size"),
             match.alias("match"),
+            (item["found"] if group else match).alias("found"),
             F.substring(gap, -CONTEXT, CONTEXT).alias("before"),
         )
 
@@ -43,8 +50,8 @@ def located(text: Column, pattern: str) -> Column:
         before = last(F.concat(state["tail"], item["before"]))
         span = F.struct(
             start.alias("start"),
-            (start + item["size"]).alias("end"),
-            item["match"].alias("found"),
+            (start + (F.length(item["found"]) if group else item["size"])).alias("end"),
+            item["found"].alias("found"),
             before.alias("before"),
         )
         return F.struct(
@@ -74,8 +81,6 @@ def located(text: Column, pattern: str) -> Column:
         )
 
     # One gap more than matches: the last step holds no match.
-    steps = F.zip_with(
-        F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), pieces
-    )
+    steps = F.zip_with(F.split(text, pattern, -1), matches, pieces)
     matched = F.filter(steps, lambda item: item["match"].isNotNull())
     return F.when(text.rlike(pattern), let(matched, all_spans)).otherwise(none)

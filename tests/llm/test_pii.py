@@ -109,3 +109,37 @@ def test_one_context_word_for_several_numbers(frame):
     docs = frame("doc_id bigint, text string", (0, "SSN 123-45-6789, 321-54-9876"))
     found = [(s.kind, s.found) for s in personal_data(docs).first().spans]
     assert [f for f in found if f[0] == "national_id"] == [("national_id", "123-45-6789"), ("national_id", "321-54-9876")]
+
+
+def test_account_numbers_before_words_and_numbers(frame):
+    german, british = "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32"
+    texts = {
+        f"IBAN {german} BIC COBADEFFXXX": [german],
+        f"{german} 17": [german],
+        f"{german} {british} {german}": [german, british, german],
+        f"REF AB12 {german} X": [german],
+        f"{german.replace(' ', '')} {british.replace(' ', '')}": [german.replace(" ", ""), british.replace(" ", "")],
+        "DE89 3704 0044 0532 0130 01 BIC": [],
+        f"é {german}X": [],
+    }
+    # All that may follow, some of it passing mod 97 by chance.
+    texts |= {f"{german} {n}": [german] for n in range(100, 400)}
+    docs = frame("doc_id bigint, text string", *enumerate(texts))
+    rows = {r.doc_id: [s for s in r.spans if s.kind == "iban"] for r in personal_data(docs).collect()}
+    for i, (text, wanted) in enumerate(texts.items()):
+        assert [s.found for s in rows[i]] == wanted, text
+        assert [text[s.start : s.end] for s in rows[i]] == wanted
+
+
+def test_unlisted_countries_and_overlaps(values):
+    from balcao.llm.pii import _apart, account_number
+
+    def valid(body, country):
+        turned = "".join(str(int(c, 36)) for c in body + country + "00")
+        return f"{country}{98 - int(turned) % 97:02d}{body}"
+
+    code = valid("1234567890123", "ZZ")
+    assert values(account_number, [f"{code} ABC"]) == [code]
+    spans = [[{"start": a, "end": b} for a, b in [(0, 9), (5, 14), (10, 20), (20, 25)]], [{"start": 1, "end": 2}], []]
+    found = values(_apart, spans, "array<struct<start:int,end:int>>")
+    assert [[s.start for s in row] for row in found] == [[0, 10, 20], [1], []]
