@@ -13,7 +13,8 @@ hashes of their ids), of each at most ``TRAINING_SENTENCES`` sentences; scores c
 and whole texts. Rows whose crc32 remainder is ``HELD_OUT`` are never learned from.
 
 Null texts count as empty. A text without words gets the score of a sentence that resembles
-no landmark. If there is no toxic or no clean row to learn from, all scores are 0. Labels that
+no landmark. If there is no toxic or no clean row to learn from, or no word that toxic rows hold
+more often than clean ones, all scores are 0. Labels that
 are null are not learned from; of documents with both labels each row counts.
 """
 
@@ -198,7 +199,12 @@ def _logistic(margins: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
 def _choose_landmarks(
     counts: list[tuple[str, int, int]], toxic: int, clean: int
 ) -> tuple[list[str], list[str]]:
-    """Words whose documents' labels differ most either way, no two of them nearly the same."""
+    """Words whose documents' labels differ most either way, no two of them nearly the same.
+
+    Of words that speak for toxicity, those that differ significantly; if there are none, as with
+    few labels, the best ranked that toxic documents hold more often, down to half the best one's
+    difference.
+    """
     scored = []
     for word, with_toxic, with_clean in counts:
         share = (with_toxic + with_clean) / (toxic + clean)
@@ -206,9 +212,9 @@ def _choose_landmarks(
         scored.append(((with_toxic / toxic - with_clean / clean) / error, word))
     chosen: list[list[str]] = [[], []]
     for side, wanted, sign in ((0, LANDMARKS, -1), (1, LANDMARKS // 2, 1)):
-        least = SIGNIFICANT if side == 0 else 0
-        ranked = [w for s, w in sorted(scored, key=lambda pair: (sign * pair[0], pair[1])) if -s * sign > least]
-        ranked = ranked[:CANDIDATES]
+        ordered = [(-s * sign, w) for s, w in sorted(scored, key=lambda pair: (sign * pair[0], pair[1]))]
+        ranked = [w for s, w in ordered if s > (SIGNIFICANT if side == 0 else 0)]
+        ranked = (ranked or [w for s, w in ordered if s > 0 and 2 * s >= ordered[0][0]])[:CANDIDATES]
         if not ranked:
             continue
         alike = Landmarks(ranked).likeness([letters_of(w) for w in ranked])
@@ -225,7 +231,7 @@ def is_held_out(id_column: str = "doc_id") -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model | None:
-    """Fit on labelled rows outside the held-out part; None if a class has no row."""
+    """Fit on labelled rows outside the held-out part; None if a class has no row or no word leans to toxic."""
     known = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     known = known.where(F.col("toxic").isin(0, 1) & ~is_held_out())
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(TRAINING_DOCUMENTS)

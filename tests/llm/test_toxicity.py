@@ -87,3 +87,15 @@ def test_held_out_rows_of_the_table(spark):
     docs, labels = (spark.read.parquet(f"{MEDIUM}/{t}.parquet") for t in ("documents", "labels"))
     rows = toxicity_digest(docs, labels).join(labels, "doc_id").where("held_out").collect()
     assert sum(r.predicted == r.toxic for r in rows) >= 0.9 * len(rows)
+
+
+def test_few_labels_still_score(frame):
+    rng = random.Random(6)
+    clean = ["".join(rng.choices("aeiounrstl", k=6)) for _ in range(30)]
+    ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 4 != 2][:12]
+    texts = [" ".join(rng.sample(clean, 25) + ["moggle"] * (k % 3 == 0)) + "." for k in range(12)]
+    rows = [*zip(ids, texts), (1000, " ".join([*clean[:9], "moggle"])), (1001, " ".join(clean[:9]))]
+    labels = frame("doc_id bigint, toxic int", *[(i, int(k % 3 == 0)) for k, i in enumerate(ids)])
+    found = {r.doc_id: r for r in toxicity_digest(frame("doc_id bigint, text string", *rows), labels).collect()}
+    assert found[1000].predicted == 1 and found[1000].score > found[1001].score
+    assert found[1001].predicted == 0
