@@ -598,25 +598,42 @@ def hr_csv_union(spark: SparkSession, folder: str) -> DataFrame:
     return hr_files.hr_export(scan.staff)
 
 
-def hr_csv_rejects(spark: SparkSession, folder: str) -> DataFrame:
-    """Every reason for which a file is left out: one bad file for each nation."""
+def _write_bad_hr_files(spark: SparkSession, folder: str) -> str:
+    """Bad HR files of customers: for each nation one for every 20,000 numbers, and one at least."""
     target = new_folder(spark, "hr")
-    key, name = F.col("n_nationkey"), F.col("n_name")
-    head, row = F.lit("CPF;Nome"), F.concat(key.cast("string"), F.lit(";"), name)
-    kind = key % 4
-    rows = (
-        F.when(kind == 1, F.array(head, row, F.concat(F.lit('1;"'), name)))
-        .when(kind == 2, F.array(head))
-        .when(kind == 3, F.array(head, F.concat(row, F.lit(";1"))))
-        .otherwise(F.array(head, row))
-    )
+    key, kind = F.col("n_nationkey"), F.col("n_nationkey") % 4
+    nations = table(spark, folder, "nation").select("n_nationkey", "n_name")
+    people = table(spark, folder, "customer").select(
+        F.col("c_nationkey").alias("n_nationkey"), F.floor(F.col("c_custkey") / 20_000).alias("part"), "c_custkey", "c_name"
+    )
+    wide = F.when(kind == 3, ";1").otherwise("")
+    rows = people.where(kind != 2).select(
+        "n_nationkey", "part", F.lit(2).alias("place"), "c_custkey",
+        F.concat(F.col("c_custkey").cast("string"), F.lit(";"), "c_name", wide).alias("value"),
+    )
+    files = people.select("n_nationkey", "part").union(nations.select("n_nationkey", F.lit(0))).distinct()
+    # The nation itself is each file's first row.
+    own = F.concat(key.cast("string"), F.lit(";"), "n_name", wide)
+    lines = F.when(kind == 2, F.array(F.struct(F.lit(0).alias("place"), F.lit("CPF;Nome").alias("value")))).otherwise(
+        F.array(
+            F.struct(F.lit(0).alias("place"), F.lit("CPF;Nome").alias("value")),
+            F.struct(F.lit(1).alias("place"), own.alias("value")),
+            F.struct(F.lit(3).alias("place"), F.when(kind == 1, F.concat(F.lit('1;"'), "n_name")).alias("value")),
+        )
+    )
+    fixed = files.join(nations, "n_nationkey").select("n_nationkey", "part", F.explode(lines).alias("l"))
+    fixed = fixed.select("n_nationkey", "part", "l.place", F.lit(0).cast("bigint").alias("c_custkey"), "l.value")
     title = F.when(kind == 0, "outros").otherwise("COLABORADORES")
-    bad = table(spark, folder, "nation").select(
-        F.concat(title, F.lit(" - "), key.cast("string"), F.when(kind == 0, "x").otherwise(""), F.lit(".csv")).alias("file"),
-        F.posexplode(rows).alias("line", "value"),
-    )
-    ordered = bad.repartition("file").sortWithinPartitions("file", "line")
-    ordered.select("file", "value").write.partitionBy("file").text(target)
+    file = F.concat(title, F.lit(" - "), key.cast("string"), F.when(kind == 0, "x").otherwise(""), F.lit(".csv"))
+    bad = rows.unionByName(fixed).where("value is not null").withColumn("file", file)
+    ordered = bad.repartition("part", "file").sortWithinPartitions("part", "file", "place", "c_custkey")
+    ordered.select("part", "file", "value").write.partitionBy("part", "file").text(target)
+    return target
+
+
+def hr_csv_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Every reason for which a file is left out."""
+    target = _write_bad_hr_files(spark, folder)
     scan = hr_files.scan_hr_folder(spark, target, "part-*")
     return scan.rejected.select("label", "reason").distinct()
 

@@ -94,3 +94,11 @@ def test_large_sides_are_not_broadcast(spark):
         assert df.count() > 0
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_rejected_files_hold_all_customers(spark):
+    from balcao.plans.queries import _write_bad_hr_files
+
+    lines = spark.read.option("recursiveFileLookup", True).text(_write_bad_hr_files(spark, SMALL))
+    wanted = spark.read.parquet(f"{SMALL}/customer.parquet").where("c_nationkey % 4 <> 2").count()
+    assert lines.where("value like '%Customer#%'").count() == wanted > 0
