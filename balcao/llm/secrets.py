@@ -180,7 +180,9 @@ def train(labelled: DataFrame) -> RandomForestClassificationModel | None:
     forest = RandomForestClassifier(
         numTrees=TREES, maxDepth=DEPTH, seed=SEED, maxBins=32, featuresCol="features", labelCol="label"
     )
-    return forest.fit(_assembled(rows))
+    # The training summary of a fitted forest holds the session, which is not serializable once
+    # anything has been observed in it; a copy has no summary.
+    return forest.fit(_assembled(rows)).copy()
 
 
 def _assembled(rows: DataFrame) -> DataFrame:

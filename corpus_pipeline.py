@@ -2,10 +2,17 @@
 
 Every stage works on whole texts of all rows that the stage before has kept. All but the last
 return the columns of ``documents``, with ``n_chars`` brought up to date.
+
+Null texts count as empty; they are near nothing, hold nothing to cut or mask and are packed as
+an empty document. A null ``doc_id`` is a value like any other and counts as the largest. Rows
+alike in id and text leave the near-duplicates as one row; rows that share an id only are
+judged one by one. Very long texts are handled whole. Further columns pass through all stages
+but the last, whatever their names. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,16 +29,32 @@ from balcao.sources.staging import staged
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+_USED = ("doc_id", "text", "source", "n_chars")
+
+
+def _others_hidden(stage: Stage) -> Stage:
+    """Columns that no stage uses have neutral names meanwhile: theirs may be an operator's too."""
+
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        names = [c if c in _USED else f"__column_{i}" for i, c in enumerate(docs.columns)]
+        return stage(spark, docs.toDF(*names), sf_dir).select(*names).toDF(*docs.columns)
+
+    return run
+
+
 def _with_text(docs: DataFrame, text: Column) -> DataFrame:
     return docs.withColumn("text", text).withColumn("n_chars", F.length("text").cast("bigint"))
 
 
+@_others_hidden
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
     scored = toxicity_scores(docs, table(spark, sf_dir, "labels"))
     return scored.where(F.col("toxicity") < PREDICT_AT).select(*docs.columns)
 
 
+@_others_hidden
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates (five words, 0.8) the document with the smallest id stays.
 
@@ -44,6 +67,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return rows.dropDuplicates(["doc_id", "__tag"]).select(*docs.columns)
 
 
+@_others_hidden
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Strings of 50 bytes that an earlier document holds are cut out; all rows stay."""
     found = without_repeats(docs, as_text=True)
@@ -51,6 +75,7 @@ def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return _with_text(found, text).select(*docs.columns)
 
 
+@_others_hidden
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are masked; all rows stay."""
     return _with_text(without_secrets(docs), F.col("text")).select(*docs.columns)

@@ -84,3 +84,30 @@ def test_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SMALL)
         assert docs.collect() == []
+
+
+def test_nulls_repeats_long_texts_and_clashing_names(spark, frame):
+    kind = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    clashes = ("kept", "n_bytes", "n_removed", "n_spans", "toxicity", "label", "tag", "found", "a.b")
+    long = " ".join(f"word{i}" for i in range(60_000))
+    given = [
+        (900_001, None, "en", "s", 0), (900_002, "", None, None, 0), (None, "no id at all", "en", "s", 12),
+        (900_003, "twice the same row", "en", "s", 18), (900_003, "twice the same row", "en", "s", 18),
+        (900_004, long, "en", "s", len(long)), (900_005, f"{long} password=Winter2024!", "en", "s", len(long) + 21),
+    ]
+    made = frame(kind, *given).withColumns({c: F.concat(F.lit(f"{c}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))) for c in clashes})
+    small = spark.read.parquet(f"{SMALL}/documents.parquet").limit(40)
+    docs = staged(made.unionByName(small, allowMissingColumns=True), "clashes")
+    found = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        found = staged(stage(spark, found, SMALL), name)
+        assert found.dtypes == docs.dtypes
+        for c in clashes:
+            wanted = F.concat(F.lit(f"{c}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("-")))
+            assert found.where(F.col("lang").isNotNull() & (F.col("doc_id") > 900_000) & ~F.col(f"`{c}`").eqNullSafe(wanted)).isEmpty()
+    rows = [r for r in found.collect() if r.doc_id is None or r.doc_id > 900_000]
+    assert sorted((r.doc_id or 0, (r.text or "")[:12]) for r in rows) == [
+        (0, "no id at all"), (900_001, ""), (900_002, ""), (900_003, "twice the sa"), (900_004, "word0 word1 "),
+    ]
+    pieces = corpus_pipeline.STAGES[-1][1](spark, found, SMALL)
+    assert {r.doc_id for r in pieces.collect()} == {r.doc_id for r in found.collect()}

@@ -142,3 +142,14 @@ def test_long_values_end(frame):
     text = "password=" + "a.;" * 100_000 + " " + "://" + "u" * 50_000 + ":" + "x:" * 50_000
     docs = frame("doc_id bigint, text string, source string", (1, text, "s"))
     assert findings(docs).count() >= 1
+
+
+def test_after_an_observation(spark, frame):
+    """A session that has observed anything holds what a fitted forest must not carry along."""
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
+    seen = Observation("seen")
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 3
+    test_made_up_findings(frame)
