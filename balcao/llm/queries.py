@@ -75,6 +75,26 @@ def op10_piece_codec(spark: SparkSession, folder: str) -> DataFrame:
     return encode_checked(table(spark, folder, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model")
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    from balcao.llm.spelling import spelling_variants
+
+    return spelling_variants(table(spark, folder, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    from balcao.llm.hard_negatives import hard_negatives
+
+    rows = table(spark, folder, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+def op13_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    from balcao.llm.quality_rules import quality_digest
+
+    return quality_digest(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_harmonic_packing": op1_harmonic_packing,
     "op2_multiset_hash": op2_multiset_hash,
@@ -86,6 +106,9 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_toxicity": op9_toxicity,
     "op10_piece_codec": op10_piece_codec,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_quality_rules": op13_quality_rules,
 }
 
 SQL: dict[str, str] = {}
