@@ -77,32 +77,35 @@ def cut_documents(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, worker = word_encoder(tokenizer_path), TaskContext.get().partitionId()
         seen: dict[int, int] = {}
-        for batch in batches:
-            for first, last in slices(batch.column(1)):
-                part = batch.slice(first, last - first)
-                ids, starts = encoder.encode(part.column(1), last_id)
-                ids = ids.astype("<u4")
-                rows, made, lists = [], [], []
-                for row, (begin, end) in enumerate(zip(starts.tolist(), starts[1:].tolist())):
-                    at = begin
-                    for length in cut_lengths(end - begin, capacity):
-                        kind = piece_class(length, capacity)
-                        rank = seen.get(kind, 0)
-                        seen[kind] = rank + 1
-                        piece = ids[at : at + length]
-                        rows.append(row)
-                        made.append((at - begin, length, zlib.crc32(piece), end - begin, kind, worker, rank))
-                        if with_ids:
-                            lists.append(piece.astype(np.int32))
-                        at += length
-                kinds = (pa.int64(),) * 4 + (pa.int32(), pa.int32(), pa.int64())
-                columns = [pa.array(c, k) for c, k in zip(zip(*made), kinds)]
-                names = [id_column, "start", "length", "ids_crc32", "doc_tokens", "class", "worker", "rank"]
-                columns = [part.column(0).take(pa.array(rows)), *columns]
-                if with_ids:
-                    columns.append(pa.array(lists, pa.list_(pa.int32())))
-                    names.append("ids")
-                yield pa.record_batch(columns, names=names)
+        try:
+            for batch in batches:
+                for first, last in slices(batch.column(1)):
+                    part = batch.slice(first, last - first)
+                    ids, starts = encoder.encode(part.column(1), last_id)
+                    ids = ids.astype("<u4")
+                    rows, made, lists = [], [], []
+                    for row, (begin, end) in enumerate(zip(starts.tolist(), starts[1:].tolist())):
+                        at = begin
+                        for length in cut_lengths(end - begin, capacity):
+                            kind = piece_class(length, capacity)
+                            rank = seen.get(kind, 0)
+                            seen[kind] = rank + 1
+                            piece = ids[at : at + length]
+                            rows.append(row)
+                            made.append((at - begin, length, zlib.crc32(piece), end - begin, kind, worker, rank))
+                            if with_ids:
+                                lists.append(piece.astype(np.int32))
+                            at += length
+                    kinds = (pa.int64(),) * 4 + (pa.int32(), pa.int32(), pa.int64())
+                    columns = [pa.array(c, k) for c, k in zip(zip(*made), kinds)]
+                    names = [id_column, "start", "length", "ids_crc32", "doc_tokens", "class", "worker", "rank"]
+                    columns = [part.column(0).take(pa.array(rows)), *columns]
+                    if with_ids:
+                        columns.append(pa.array(lists, pa.list_(pa.int32())))
+                        names.append("ids")
+                    yield pa.record_batch(columns, names=names)
+        finally:
+            encoder.forget()
 
     schema = f"`{id_column}` {id_type}, {_RANKED}" + ", ids array<int>" * with_ids
     return docs.select(id_column, text_column).mapInArrow(cut, schema)

@@ -43,7 +43,8 @@ SIGNIFICANT = 4  # standard errors between the labels' shares of documents with
 LANDMARKS = 80  # of words that speak for toxicity; half as many that do not
 LONGEST_SENTENCE = 48  # words
 PENALTY = 1e-4
-KEPT_WORDS = 300_000  # words whose likeness a task remembers
+KEPT_WORDS = 300_000  # words a task remembers, and
+KEPT_ROWS = 100_000  # of them those that resemble a landmark, about 500 bytes each
 ROUNDS = 5
 SURE = 0.64  # likeness to a word that speaks for toxicity, for the first guess
 
@@ -114,20 +115,25 @@ class Memory:
 
     def clear(self) -> None:
         self.places: dict[bytes, int] = {}  # -1 for words that resemble no landmark
-        self.rows = np.zeros((0, len(self.landmarks.words)), dtype=np.float32)
+        self.used = 0
+        self.rows = np.zeros((1024, len(self.landmarks.words)), dtype=np.float32)
 
     def lookup(self, words: list[bytes]) -> np.ndarray:
         """Row of each word in ``rows``, or -1."""
-        if len(self.places) > KEPT_WORDS:
+        if len(self.places) > KEPT_WORDS or self.used > KEPT_ROWS:
             self.clear()
         places = self.places
         new = [word for word in words if word not in places]
         if new:
             alike = self.landmarks.likeness(new)
             some = alike.any(axis=1)
-            numbers = np.where(some, np.cumsum(some) - 1 + len(self.rows), -1)
+            numbers = np.where(some, np.cumsum(some) - 1 + self.used, -1)
             places.update(zip(new, numbers.tolist()))
-            self.rows = np.vstack([self.rows, alike[some]])
+            reached = self.used + int(some.sum())
+            if reached > len(self.rows):
+                self.rows.resize((max(reached, 3 * len(self.rows) // 2), self.rows.shape[1]), refcheck=False)
+            self.rows[self.used : reached] = alike[some]
+            self.used = reached
         return np.fromiter((places[word] for word in words), dtype=np.int64, count=len(words))
 
 

@@ -48,11 +48,12 @@ class WordEncoder:
         # Lower-cased Latin letters as the model sees them; capitals are lower-cased.
         self._seen = {c: "".join(letters[b] for b in chr(c).lower().encode()) for c in range(65, 256)}
         self._signs: dict[str, list[int]] = {}
-        self._forget()
+        self.forget()
         probe = ["Word,", "\u00c9t\u00e9.", "na\u00efve", "x"]
         self._by_model = all(self._simple(w) == self._library(w) for w in probe)
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
+        """Drop all words: workers outlive their tasks, and others need the room."""
         self._first: dict[str, int] = {}
         self._pool = np.empty(1 << 16, dtype=np.uint32)
         self._starts = np.zeros(1 << 16, dtype=np.int64)
@@ -92,7 +93,7 @@ class WordEncoder:
     def _known(self, words: list[str]) -> np.ndarray:
         """Numbers of the words, encoding those not seen before."""
         if len(self._first) > KEPT_WORDS:
-            self._forget()
+            self.forget()
         first = self._first
         self._learn([word for word in words if word not in first])
         return np.fromiter(map(first.__getitem__, words), dtype=np.int64, count=len(words))
