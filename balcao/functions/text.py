@@ -97,9 +97,19 @@ def _reject(text: Column, what: str) -> Column:
     return F.raise_error(message)
 
 
+def _percent(text: Column) -> Column:
+    return strip(F.replace(_drop(text, "%"), F.lit(","), F.lit(".")))
+
+
+def is_percent(text: Column) -> Column:
+    """Does ``percent_to_double`` read it? Missing text is read as null."""
+    plain = _percent(text)
+    return plain.isNull() | (plain == "") | plain.rlike(NOT_A_NUMBER) | plain.rlike(NUMBER)
+
+
 def percent_to_double(text: Column) -> Column:
     """``12,5%`` to 12.5. Blank and NaN are null; other junk fails the job."""
-    plain = strip(F.replace(_drop(text, "%"), F.lit(","), F.lit(".")))
+    plain = _percent(text)
     return (
         F.when(plain.isNull() | (plain == "") | plain.rlike(NOT_A_NUMBER), F.lit(None))
         .when(plain.rlike(NUMBER), _finite(plain.try_cast("double")))
@@ -144,14 +154,28 @@ def to_whole(text: Column, what: str) -> Column:
     )
 
 
+def is_whole(text: Column) -> Column:
+    """Does ``to_whole`` read a number from it?"""
+    stripped = strip(text)
+    return F.coalesce(stripped.rlike(r"^[+-]?[0-9]+$") & stripped.try_cast("bigint").isNotNull(), F.lit(False))
+
+
 def branch_number(text: Column) -> Column:
     return to_whole(_drop(text, "F"), "a branch number")
 
 
+def is_branch_number(text: Column) -> Column:
+    return is_whole(_drop(text, "F"))
+
+
 def code_number(text: Column) -> Column:
     return to_whole(_drop(text, ".0"), "a seller code")
 
 
+def is_code_number(text: Column) -> Column:
+    return is_whole(_drop(text, ".0"))
+
+
 def tax_id(text: Column, pad: bool = False) -> Column:
     """Digits only. ``pad`` restores leading zeros lost upstream (11 digits)."""
     digits = F.regexp_replace(text, "[^0-9]", "")

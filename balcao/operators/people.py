@@ -2,23 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from balcao.functions import tax_ids
 from balcao.functions import text as t
 from balcao.sources.columns import pick_columns
 
 
-def hr_side(hr: DataFrame, pad: bool = False) -> DataFrame:
+CHECKED = "checked"  # zeros are restored where the check digits confirm them
+
+
+def _cleaned(cpf: Column, pad: bool | str) -> Column:
+    return tax_ids.repaired(cpf)["id"] if pad == CHECKED else t.tax_id(cpf, bool(pad))
+
+
+def hr_side(hr: DataFrame, pad: bool | str = False) -> DataFrame:
     """Branch, tax id and job title, whatever the columns are called exactly."""
     picked = pick_columns(
         hr, {"branch": ["filial"], "cpf": ["cpf"], "title": ["cargo atual", "cargo"]}, "HR staff"
     )
-    cleaned = picked.withColumn("cpf", t.tax_id(F.col("cpf").cast("string"), pad))
+    cleaned = picked.withColumn("cpf", _cleaned(F.col("cpf").cast("string"), pad))
     return cleaned.where(F.col("cpf") != "")
 
 
-def pos_side(pos: DataFrame, pad: bool = False) -> DataFrame:
+def pos_side(pos: DataFrame, pad: bool | str = False) -> DataFrame:
     picked = pick_columns(
         pos,
         {
@@ -28,12 +36,28 @@ def pos_side(pos: DataFrame, pad: bool = False) -> DataFrame:
         },
         "point-of-sale staff",
     )
-    cleaned = picked.withColumn("cpf", t.tax_id(F.col("cpf").cast("string"), pad))
+    cleaned = picked.withColumn("cpf", _cleaned(F.col("cpf").cast("string"), pad))
     return cleaned.where(F.col("cpf") != "")
 
 
-def match_people(hr: DataFrame, pos: DataFrame, pad: bool = False) -> DataFrame:
-    """One row per pair with the same tax id; duplicates on a side pair up with each other."""
+def repaired_tax_ids(df: DataFrame, column: str = "cpf") -> DataFrame:
+    """``df`` with tax ids whose lost zeros the check digits confirm, and what became of each.
+
+    Adds ``<column>_state``: valid, padded, unrepairable or missing.
+    """
+    found = tax_ids.repaired(F.col(f"`{column}`").cast("string"))
+    return (
+        df.withColumn("__repaired", found)
+        .withColumns({column: F.col("__repaired.id"), f"{column}_state": F.col("__repaired.state")})
+        .drop("__repaired")
+    )
+
+
+def match_people(hr: DataFrame, pos: DataFrame, pad: bool | str = False) -> DataFrame:
+    """One row per pair with the same tax id; duplicates on a side pair up with each other.
+
+    ``pad`` restores leading zeros of short ids: all of them, or the ``CHECKED`` ones.
+    """
     pairs = hr_side(hr, pad).join(pos_side(pos, pad), "cpf")
     return pairs.where(F.col("branch").isNotNull() & F.col("code").isNotNull()).select(
         "branch", "code", "cpf", "name", "title"
@@ -48,7 +72,7 @@ def people_order() -> list:
     ]
 
 
-def match_stats(hr: DataFrame, pos: DataFrame, pad: bool = False) -> DataFrame:
+def match_stats(hr: DataFrame, pos: DataFrame, pad: bool | str = False) -> DataFrame:
     """Distinct tax ids on each side and on both, in one pass."""
     sides = (
         hr_side(hr, pad)

@@ -19,6 +19,7 @@ from balcao.operators.ordered import (
     running_last,
     shift_up,
 )
+from balcao.operators.quarantine import Check, Split, split
 from balcao.sources.grids import (
     cell,
     cell_at,
@@ -120,8 +121,8 @@ def channel_report(report: DataFrame, chunk_rows: int = ROWS_PER_CHUNK) -> DataF
     )
 
 
-def commission_report(report: DataFrame, chunk_rows: int = ROWS_PER_CHUNK) -> DataFrame:
-    """COMISSOES: rows under no branch, or under a blank one, do not count."""
+def commission_rows(report: DataFrame, chunk_rows: int = ROWS_PER_CHUNK) -> DataFrame:
+    """COMISSOES with branches as printed: rows under no branch, or a blank one, do not count."""
     required = ("código", "vendedor", "base comissão", "% comissão", "valor comissão")
     rows = with_header(report, vocab.HEADER_ROW["commissions"], required).select(
         FILE, ROW, *[cell(name).alias(name) for name in required]
@@ -132,7 +133,7 @@ def commission_report(report: DataFrame, chunk_rows: int = ROWS_PER_CHUNK) -> Da
     filled = fill_down(relevant, is_section, branch, "branch", chunk_rows)
     detail = filled.where(~is_section & F.col("branch").isNotNull())
     return detail.select(
-        t.zero_pad2(t.to_whole(F.col("branch"), "a branch number").cast("string")).alias("Filial"),
+        F.col("branch").alias("Filial"),
         F.col("código").alias("Código"),
         F.col("vendedor").alias("Colaborador"),
         F.col("base comissão").alias("Base Comissão"),
@@ -141,6 +142,23 @@ def commission_report(report: DataFrame, chunk_rows: int = ROWS_PER_CHUNK) -> Da
     )
 
 
+def _with_branch_numbers(rows: DataFrame) -> DataFrame:
+    number = t.to_whole(F.col("Filial"), "a branch number").cast("string")
+    return rows.withColumn("Filial", t.zero_pad2(number))
+
+
+def commission_report(report: DataFrame, chunk_rows: int = ROWS_PER_CHUNK) -> DataFrame:
+    """COMISSOES. A branch that is not a number fails the job."""
+    return _with_branch_numbers(commission_rows(report, chunk_rows))
+
+
+def split_commission_report(report: DataFrame, chunk_rows: int = ROWS_PER_CHUNK) -> Split:
+    """COMISSOES, and the rows whose branch is not a number."""
+    check = Check("Filial", "not a branch number", t.is_whole)
+    found = split(commission_rows(report, chunk_rows), "COMISSOES", [check])
+    return Split(_with_branch_numbers(found.good), found.bad)
+
+
 def branch_totals(report: DataFrame, chunk_rows: int = ROWS_PER_CHUNK) -> DataFrame:
     """VENDAS_FILIAL: one record per branch section that ends in a total row.
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
 from balcao.operators import payout, roster, sales, scorecard
+from balcao.operators.quarantine import MONTH_CHECKS, split, together
 from balcao.sources import tabs
+from balcao.sources.columns import trimmed
 from balcao.sources.staging import staged
 
 
@@ -31,6 +33,19 @@ class MonthTables:
 class MonthResult:
     calc: DataFrame
     scorecard: DataFrame | None
+    quarantine: DataFrame | None = None
+
+
+def set_aside(tables: MonthTables, spark: SparkSession) -> tuple[MonthTables, DataFrame]:
+    """The tables without the rows the calculation would fail on, and those rows."""
+    places = {"people": "filtered_user", "second_targets": "2_META", "branch_targets": "META_FILIAL"}
+    good, bad = {}, []
+    for field, table in places.items():
+        found = getattr(tables, field)
+        if found is not None:
+            good[field], faults = split(trimmed(found), table, MONTH_CHECKS[table])
+            bad.append(faults)
+    return replace(tables, **good), together(bad, spark)
 
 
 def adjusted_roster(tables: MonthTables, second: DataFrame, spark: SparkSession) -> DataFrame:
@@ -56,13 +71,17 @@ def month_scorecard(tables: MonthTables, commissions: DataFrame) -> DataFrame |
 
 
 def close_month(
-    tables: MonthTables, spark: SparkSession, basis: str = "achieved_app"
+    tables: MonthTables, spark: SparkSession, basis: str = "achieved_app", quarantine: bool = False
 ) -> MonthResult:
     """Everything in order: roster, achieved, channel share, progress, payout, scorecard.
 
     ``basis`` is what progress and payout are measured on: ``achieved_app`` with the
-    channel share, or plain ``achieved``.
+    channel share, or plain ``achieved``. A key or percentage that cannot be read fails the
+    job; with ``quarantine`` its row is set aside instead and the month goes on without it.
     """
+    aside = None
+    if quarantine:
+        tables, aside = set_aside(tables, spark)
     commissions = tabs.commissions(tables.commissions)
     second = tabs.second_targets(tables.second_targets, spark)
     with_target = adjusted_roster(tables, second, spark)
@@ -76,4 +95,4 @@ def close_month(
         # One small row for each branch, read by the payout and by whoever writes the card.
         card = staged(card, "scorecard")
         paid = payout.apply_scorecard(paid, scorecard.branch_rewards(card))
-    return MonthResult(paid, card)
+    return MonthResult(paid, card, aside)

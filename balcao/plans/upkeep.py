@@ -1,0 +1,319 @@
+"""Queries over what keeps a workspace sound: quarantine, commits, ledgers, checks and sketches."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from balcao.functions.tax_ids import check_digit
+from balcao.operators import people, previews
+from balcao.operators.ordered import FILE
+from balcao.plans import monthly, retail
+from balcao.plans.queries import PAYOUT_COLUMNS, Query, _write_hr_folder, people_match
+from balcao.plans.retail import table
+from balcao.sources import hr_files, snapshots, tabs
+from balcao.sources.ledger import Ledger, Loaded
+from balcao.sources.maintained import MaintainedSums
+from balcao.sources.staging import new_folder, staged
+
+
+# ---- rows set aside ------------------------------------------------------------------
+
+
+def _faulty_month(spark: SparkSession, folder: str, with_branches: bool) -> monthly.MonthTables:
+    """The month's tables with keys and percentages that cannot be read."""
+    tables = retail.month_tables(spark, folder, retail.seller_mart(spark, folder), with_branches)
+    number = F.col("CPF").cast("bigint")
+    people = tables.people.withColumns(
+        {
+            "Filial": F.when(number % 19 == 5, "MATRIZ").otherwise(F.col("Filial")),
+            "Código": F.when(number % 23 == 7, F.concat(F.lit("A"), "Código")).otherwise(F.col("Código")),
+        }
+    )
+    other = F.regexp_extract("Colaborador", "([0-9]+)$", 1).cast("bigint") % 20 == 14
+    second = tables.second_targets.withColumn("Filial", F.when(other, "1.5").otherwise(F.col("Filial")))
+    targets = tables.branch_targets
+    if targets is not None:
+        targets = targets.withColumn("CMV", F.when(F.col("Filial") == "9", "n/d").otherwise(F.col("CMV")))
+    return monthly.replace(tables, people=people, second_targets=second, branch_targets=targets)
+
+
+def quarantined_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows the month cannot use, with column, value and reason."""
+    found = monthly.close_month(_faulty_month(spark, folder, True), spark, quarantine=True).quarantine
+    who = F.coalesce(*[F.get_json_object("row", f"$.{c}") for c in ("Nome", "Colaborador", "Filial")])
+    return found.select("table", "column", "value", "reason", who.alias("who"))
+
+
+def payout_without_quarantined(spark: SparkSession, folder: str) -> DataFrame:
+    """Payouts of the rows that are left."""
+    result = monthly.close_month(_faulty_month(spark, folder, False), spark, quarantine=True)
+    return result.calc.select(*PAYOUT_COLUMNS)
+
+
+# ---- commits -------------------------------------------------------------------------
+
+
+def atomic_replace(spark: SparkSession, folder: str) -> DataFrame:
+    """Two writers start from one version: the first replaces the table, the second gets an error."""
+    target = new_folder(spark, "replaced")
+    sold = retail.seller_mart(spark, folder)
+    snapshots.write_snapshot(sold, target, "r1")
+    base = snapshots.newest_version(spark, target)
+    outcomes = []
+    for name, factor in (("r2", 2), ("r3", 3)):
+        try:
+            snapshots.write_snapshot(sold.withColumn("amount", F.col("amount") * factor), target, name, base=base)
+            outcomes.append("committed")
+        except snapshots.LostRace:
+            outcomes.append("lost")
+    return snapshots.latest_snapshot(spark, target).withColumns(
+        {
+            "first_writer": F.lit(outcomes[0]),
+            "second_writer": F.lit(outcomes[1]),
+            "version": F.lit(snapshots.newest_version(spark, target)).cast("bigint"),
+        }
+    )
+
+
+def snapshot_retention(spark: SparkSession, folder: str) -> DataFrame:
+    """The table after old snapshots were deleted, and how many were."""
+    target = new_folder(spark, "retained")
+    sold = retail.seller_mart(spark, folder)
+    for step in range(1, 6):  # the third is empty and replaces nothing
+        rows = sold.where(F.lit(step != 3)).withColumn("amount", F.col("amount") * step)
+        snapshots.write_snapshot(rows, target, f"r{step}")
+    gone = snapshots.expire_snapshots(spark, target, keep=2, keep_seconds=0)
+    return snapshots.latest_snapshot(spark, target).withColumn("expired", F.lit(len(gone)).cast("bigint"))
+
+
+# ---- ledger --------------------------------------------------------------------------
+
+
+def _write_staff_files(staff: DataFrame, target: str) -> None:
+    """One directory of part files for each branch; those already there are replaced."""
+    file = F.concat(F.lit("Colaboradores - "), retail.two_digits(F.col("branch")), F.lit(".csv"))
+    named = staff.withColumn(FILE, file).drop("branch")
+    ordered = named.repartition(FILE).sortWithinPartitions(FILE, "CPF")
+    ordered.write.partitionBy(FILE).options(header=True, sep=";", partitionOverwriteMode="dynamic").mode("overwrite").csv(target)
+
+
+def _reloaded(spark: SparkSession, folder: str) -> tuple[Ledger, list[Loaded]]:
+    """A folder of staff files loaded three times while files are added, changed and written anew."""
+    staff = table(spark, folder, "customer").select(
+        F.col("c_nationkey").alias("branch"), retail.cpf_of(F.col("c_custkey")).alias("CPF"), F.col("c_name").alias("Nome")
+    )
+    target = new_folder(spark, "staff-files")
+    ledger = Ledger(spark, new_folder(spark, "staff"))
+
+    def load(run: str) -> Loaded:
+        return ledger.load(
+            target, hr_files.CSV, run, lambda s, places: hr_files.scan_hr_folder(s, places, with_file=True).staff
+        )
+
+    _write_staff_files(staff.where("branch <> 24"), target)
+    runs = [load("r1"), load("r2")]
+    changed = staff.where("branch % 5 = 0").withColumn("Nome", F.concat("Nome", F.lit("!")))
+    _write_staff_files(changed.unionByName(staff.where("branch in (3, 24)")), target)
+    runs.append(load("r3"))
+    ledger.compact("r4")
+    return ledger, runs
+
+
+def staff_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    """Staff after the folder was loaded several times: the same as after one fresh load."""
+    ledger, _ = _reloaded(spark, folder)
+    return ledger.table().select("Filial", "CPF", "Nome")
+
+
+def staff_ledger_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """What each run found, counted by what became of a file."""
+    _, runs = _reloaded(spark, folder)
+    rows = [(i, r.new, r.changed, r.touched, r.unchanged, r.gone) for i, r in enumerate(runs, 1)]
+    return spark.createDataFrame(rows, "run bigint, new bigint, changed bigint, touched bigint, unchanged bigint, gone bigint")
+
+
+# ---- maintained sums -----------------------------------------------------------------
+
+
+def maintained_sums(spark: SparkSession, folder: str) -> DataFrame:
+    """Totals after monthly reports were issued, issued again with other sums, and withdrawn."""
+    rows = retail.monthly_sales(spark, folder).select(
+        F.col("month").alias("report"),
+        F.col("branch").cast("string").alias("branch_key"),
+        F.col("code").cast("string").alias("code_key"),
+        "amount",
+    )
+    rows = staged(rows, "monthly-reports")
+    sums = MaintainedSums(spark, new_folder(spark, "maintained"))
+    early = F.col("report") < "1998"
+    sums.issue(rows.where(early))
+    sums.issue(rows.where(~early))
+    again = rows.where(F.col("report").endswith("-03") & (F.col("branch_key") != "3"))
+    sums.issue(again.withColumn("amount", F.col("amount") * 2))
+    sums.withdraw(rows.where("report in ('1996-05', '1999-03')").select("report"))
+    return sums.totals()
+
+
+# ---- people --------------------------------------------------------------------------
+
+
+def _with_check_digits(nine: Column) -> Column:
+    """A made-up tax id: nine digits and the two that follow from them."""
+    first = F.concat(nine, check_digit(nine, 10).cast("string"))
+    return F.concat(first, check_digit(first, 11).cast("string"))
+
+
+def tax_id_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids whose zeros were cut off get them back; wrong and valid ones stay as they are."""
+    key = F.col("c_custkey")
+    whole = _with_check_digits(F.lpad((key * 7919 % 1_000_000_000).cast("string"), 9, "0"))
+    last = F.substring(whole, 11, 1).cast("int")
+    text = (
+        F.when(key % 5 == 0, retail.punctuated(whole))
+        .when(key % 5 == 1, F.ltrim(whole, F.lit("0")))
+        .when(key % 5 == 2, F.concat(F.substring(whole, 1, 10), (F.lit(9) - last).cast("string")))
+        .when(key % 5 == 3, F.lit("sem CPF"))
+        .otherwise(whole)
+    )
+    rows = table(spark, folder, "customer").select("c_custkey", text.alias("written"), text.alias("cpf"))
+    return people.repaired_tax_ids(rows)
+
+
+def people_first_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """The first ten tax ids of each side and of both."""
+    return previews.first_ids(retail.hr_list(spark, folder), retail.pos_list(spark, folder))
+
+
+def people_first_values(spark: SparkSession, folder: str) -> DataFrame:
+    """The first five filled values of every column of the matched people."""
+    found = people_match(spark, folder).withColumns(
+        {"branch": F.col("branch").cast("bigint"), "code": F.col("code").cast("bigint")}
+    )
+    title = F.when(F.col("branch") == 0, " ").otherwise(F.col("title"))  # blanks are no samples
+    return previews.first_values(found.withColumn("title", title), ["branch", "code"])
+
+
+def _places(rows: DataFrame, order: str) -> DataFrame:
+    """For each branch of a written table its place among the branches, its rows, and how many
+    of them stand before one that should come first."""
+    inside = Window.partitionBy("branch").orderBy("row_idx")
+    wrong = F.coalesce(F.lag(order).over(inside) > F.col(order), F.lag(order).over(inside).isNull() & F.lag("row_idx").over(inside).isNotNull() & F.col(order).isNotNull())
+    per_branch = rows.withColumn("wrong", F.coalesce(wrong, F.lit(False))).groupBy("branch").agg(
+        F.min("row_idx").alias("first"), F.max("row_idx").alias("last"),
+        F.count(F.lit(1)).alias("rows"), F.count_if("wrong").alias("misplaced"),
+    )
+    # One row for each branch from here on.
+    one = Window.partitionBy(F.lit(1)).orderBy("first")
+    return per_branch.select(
+        "branch", F.row_number().over(one).cast("bigint").alias("place"), "rows", "misplaced",
+        F.coalesce(F.lag("last").over(one) < F.col("first"), F.lit(True)).alias("apart"),
+    )
+
+
+def people_in_order(spark: SparkSession, folder: str) -> DataFrame:
+    """Matched people as written: by branch and code as numbers, what is no number last."""
+    junk = F.when(F.col("code") % 97 == 0, F.concat(F.lit("x"), "code")).otherwise(F.col("code"))
+    found = people_match(spark, folder).withColumns(
+        {"branch": F.when(F.col("branch") == "4", "MATRIZ").otherwise(F.col("branch")), "code": junk}
+    )
+    target = new_folder(spark, "people")
+    snapshots.write_snapshot(found.orderBy(*people.people_order()), target, "1")
+    written = snapshots.latest_snapshot(spark, target, with_order=True)
+    return _places(written.withColumn("number", F.col("code").try_cast("bigint")), "number")
+
+
+def staff_in_branch_order(spark: SparkSession, folder: str) -> DataFrame:
+    """The HR table as written: by branch as a number, shown as text."""
+    staff = hr_files.scan_hr_folder(spark, _write_hr_folder(spark, folder)).staff
+    target = new_folder(spark, "staff")
+    snapshots.write_snapshot(hr_files.hr_export(staff.orderBy("Filial")), target, "1")
+    written = snapshots.latest_snapshot(spark, target, with_order=True)
+    return _places(written.select(F.col("Filial").alias("branch"), "row_idx", F.lit(0).alias("number")), "number")
+
+
+# ---- tables --------------------------------------------------------------------------
+
+
+def tab_read(spark: SparkSession, folder: str) -> DataFrame:
+    """A list of branches as kept by hand, with blanks in headings and between rows, read as text."""
+    target = new_folder(spark, "tab")
+    branches = table(spark, folder, "customer").groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n"))
+    marked = F.when(F.col("c_nationkey") % 3 == 0, "").otherwise("x")
+    quoted = F.concat(F.lit('"loja; ""'), "c_nationkey", F.lit('"""'))
+    row = F.concat_ws(";", F.concat(F.lit(" "), "c_nationkey"), quoted, F.col("n").cast("string"), marked)
+    blank = F.when(F.col("c_nationkey") % 4 == 0, F.lit(" ; ;"))
+    rows = branches.select("c_nationkey", F.posexplode(F.array_compact(F.array(row, blank))).alias("at", "value"))
+    head = branches.agg(F.min("c_nationkey")).select(
+        F.lit(-1).alias("c_nationkey"), F.lit(0).alias("at"), F.lit(' ID ;"Nome ";Clientes;Marca').alias("value")
+    )
+    # Two rows for each branch at most: one file, as such lists are.
+    ordered = rows.unionByName(head).repartition(1).sortWithinPartitions("c_nationkey", "at")
+    ordered.select("value").write.text(target)
+    return tabs.read_tab(spark, target).drop("row_idx")
+
+
+def empty_guard(spark: SparkSession, folder: str) -> DataFrame:
+    """Empty results written over a table in each way: none replaces it, one is an error."""
+    target = new_folder(spark, "guarded")
+    sold = retail.seller_mart(spark, folder)
+    outcomes = [str(snapshots.write_snapshot(sold, target, "full"))]
+    outcomes.append(str(snapshots.write_snapshot(sold.where("false"), target, "skipped")))
+    try:
+        snapshots.write_snapshot(sold.where("false"), target, "refused", if_empty="fail")
+    except snapshots.EmptyOutput:
+        outcomes.append("refused")
+    header = snapshots.latest_snapshot(spark, target, even_if_empty=True)
+    return snapshots.latest_snapshot(spark, target).withColumns(
+        {"outcomes": F.lit(" ".join(outcomes)), "header": F.lit(" ".join(header.columns))}
+    )
+
+
+def required_columns(spark: SparkSession, folder: str) -> DataFrame:
+    """Each table without one of its columns: refused, or taken as absent, with the rows it has."""
+    tables = retail.month_tables(spark, folder, retail.seller_mart(spark, folder))
+    readers = {
+        "VENDAS_VENDEDOR": (tables.seller_sales, "Valor Vendas", lambda tab: tabs.seller_sales(tab)),
+        "COMISSOES": (tables.commissions, "Valor Comissão", lambda tab: tabs.commissions(tab)),
+        "VENDAS_FILIAL": (tables.branch_sales, "Custo Total", lambda tab: tabs.branch_sales(tab)),
+        "META_FILIAL": (tables.branch_targets, "CMV", lambda tab: tabs.branch_targets(tab)),
+        "TRAINEES": (tables.trainees, "Colaborador", lambda tab: tabs.trainees(tab, spark)),
+        "2_META": (tables.second_targets, "Filial", lambda tab: tabs.second_targets(tab, spark)),
+        "AFASTAMENTOS": (tables.leave, "Colaborador", lambda tab: tabs.leave(tab, spark)),
+        "VENDAS_548": (tables.channel_sales, "40% VT", lambda tab: tabs.channel_shares(tab, spark)),
+    }
+    parts = []
+    for name, (tab, column, read) in readers.items():
+        try:
+            left = read(tab.drop(column))
+            outcome = "absent"
+        except ValueError as error:
+            left, outcome = tab.where("false"), str(error)
+        sides = tab.select(F.lit(False).alias("after")).unionByName(left.select(F.lit(True).alias("after")))
+        counts = sides.agg(F.count_if(~F.col("after")).alias("rows"), F.count_if("after").alias("read"))
+        parts.append(counts.select(F.lit(name).alias("table"), F.lit(outcome).alias("outcome"), "rows", "read"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+ALL: dict[str, Query] = {
+    q.__name__: q
+    for q in (
+        quarantined_rows,
+        payout_without_quarantined,
+        atomic_replace,
+        snapshot_retention,
+        staff_ledger,
+        staff_ledger_runs,
+        maintained_sums,
+        tax_id_repair,
+        people_first_ids,
+        people_first_values,
+        people_in_order,
+        staff_in_branch_order,
+        tab_read,
+        empty_guard,
+        required_columns,
+    )
+}

@@ -18,11 +18,20 @@ from balcao.operators.ordered import ROW
 from balcao.plans import export
 from balcao.plans.monthly import MonthTables, close_month
 from balcao.sources.columns import in_order, require
+from balcao.sources.commits import CommitLog
 from balcao.sources.grids import scan_grids
 from balcao.sources.hr_files import CSV, hr_export, scan_hr_folder
 from balcao.sources.latest import latest_reports
+from balcao.sources.ledger import Ledger, Loaded
 from balcao.sources.lines import list_files
-from balcao.sources.snapshots import blank_missing, latest_snapshot, write_snapshot
+from balcao.sources.snapshots import (
+    NoSnapshot,
+    blank_missing,
+    expire_snapshots,
+    latest_snapshot,
+    newest_version,
+    write_snapshot,
+)
 from balcao.sources.tabs import read_tab
 
 _MANUAL_ROWS = 1 << 62  # rows kept by hand come behind all written ones
@@ -50,6 +59,10 @@ class Workspace:
     def table_folder(self, name: str) -> str:
         return f"{self.root}/tables/{name}"
 
+    def version(self, name: str) -> int:
+        """The state of a table that a run starts from; another run's commit in between is an error."""
+        return newest_version(self.spark, self.table_folder(name))
+
     def table(
         self, name: str, even_if_empty: bool = False, with_order: bool = False
     ) -> DataFrame | None:
@@ -67,6 +80,8 @@ class Workspace:
     def _if_present(read: Callable[[], DataFrame]) -> DataFrame | None:
         try:
             return read()
+        except NoSnapshot:
+            return None
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
                 return None
@@ -77,12 +92,17 @@ class Workspace:
             raise FileNotFoundError(f"table {name} is missing in {self.root}")
         return found
 
-    def load_report(self, kind: str, folder: str, run: str, glob: str = CSV, delimiter: str | None = None) -> bool:
+    def load_report(
+        self, kind: str, folder: str, run: str, glob: str = CSV, delimiter: str | None = None, quarantine: bool = False
+    ) -> bool:
         """Flatten the newest report of a folder into its table; whether it has rows.
 
-        A report that cannot be read as a whole is an error and replaces nothing.
+        A report that cannot be read as a whole is an error and replaces nothing. With
+        ``quarantine`` commissions of a branch that is no number go to a table of their own
+        instead of failing the load.
         """
         table, flatten, columns, if_empty = REPORTS[kind]
+        base = self.version(table)
         newest = latest_reports(list_files(self.spark, folder, glob)).first()
         if newest is None:
             raise FileNotFoundError(f"no report files in {folder}")
@@ -90,10 +110,25 @@ class Workspace:
         broken = scan.rejected.first()
         if broken is not None:
             raise UnreadableReport(f"{broken.label}: {broken.reason}")
-        rows = flatten(scan.cells)
+        if quarantine and kind == "commissions":
+            rows, bad = reports.split_commission_report(scan.cells)
+            write_snapshot(bad, self.table_folder("quarantine_COMISSOES"), run)
+        else:
+            rows = flatten(scan.cells)
         return write_snapshot(
-            blank_missing(export.br_numbers(in_order(rows, columns))), self.table_folder(table), run, None, if_empty
+            blank_missing(export.br_numbers(in_order(rows, columns))), self.table_folder(table), run, None, if_empty, base
+        )
+
+    def load_changed_hr(self, folder: str, run: str) -> Loaded:
+        """Merge the HR files of a folder, reading only those that changed since the last load."""
+        ledger = Ledger(self.spark, self.table_folder("users_sci_files"))
+        found = ledger.load(
+            folder, CSV, run, lambda spark, places: scan_hr_folder(spark, places, with_file=True).staff
         )
+        if found.committed:
+            staff = ledger.table().select(*vocab.HR_COLUMNS).orderBy("Filial")
+            write_snapshot(hr_export(staff), self.table_folder("users_sci"), run, None, "fail")
+        return found
 
     def load_hr(self, folder: str, run: str) -> DataFrame:
         """Merge the HR files of a folder; returns the files that were left out."""
@@ -102,7 +137,7 @@ class Workspace:
         write_snapshot(hr_export(staff), self.table_folder("users_sci"), run, None, "fail")
         return scan.rejected
 
-    def match_people(self, run: str, pad_tax_ids: bool = False) -> bool:
+    def match_people(self, run: str, pad_tax_ids: bool | str = False) -> bool:
         """Match HR and point-of-sale staff; without matches the table becomes empty."""
         hr = self._needed("users_sci", self.table("users_sci"))
         pos = self._needed("users_trier", self.table("users_trier"))
@@ -143,14 +178,28 @@ class Workspace:
             previous=self.previous_calc(),
         )
 
-    def close(self, run: str) -> bool:
-        """Calculate the month and write the scorecard and the calc table."""
+    def close(self, run: str, quarantine: bool = False) -> bool:
+        """Calculate the month and write the scorecard and the calc table.
+
+        With ``quarantine`` rows with unreadable keys are written to a table of that name and
+        the month goes on without them. Of two runs that started from the same calc table one
+        fails with ``LostRace``.
+        """
+        base = self.version("calc")
         tables = self.month_tables()
-        result = close_month(tables, self.spark)
+        result = close_month(tables, self.spark, quarantine=quarantine)
+        if result.quarantine is not None:
+            write_snapshot(result.quarantine, self.table_folder("quarantine"), run)
         if result.scorecard is not None:
             card = export.scorecard_view(result.scorecard)
             write_snapshot(
                 export.in_branch_text_order(card), self.table_folder("META_GERENTE"), run
             )
         view = export.in_branch_order(export.calc_view(result.calc))
-        return write_snapshot(view, self.table_folder("calc"), run)
+        return write_snapshot(view, self.table_folder("calc"), run, base=base)
+
+    def expire(self, keep: int, keep_days: float) -> dict[str, list[str]]:
+        """Delete old snapshots of all tables by the retention rule; what went, by table."""
+        names = CommitLog(self.spark, f"{self.root}/tables").folders()
+        gone = {n: expire_snapshots(self.spark, self.table_folder(n), keep, keep_days * 86_400) for n in sorted(names)}
+        return {name: folders for name, folders in gone.items() if folders}

@@ -43,11 +43,14 @@ def _email() -> Column:
     return F.coalesce(clean_email(_known(F.get(F.col("cells"), position))), F.lit(""))
 
 
-def scan_hr_folder(spark: SparkSession, folder: str, glob: str = CSV) -> HrScan:
+def scan_hr_folder(
+    spark: SparkSession, folder: str | list[str], glob: str = CSV, with_file: bool = False
+) -> HrScan:
     """All staff of all readable files, and the files left out with the reason.
 
     Columns are matched by name per file, so files may order them differently. Cells are
-    kept as text, exactly as written, so leading zeros of tax ids survive.
+    kept as text, exactly as written, so leading zeros of tax ids survive. ``with_file`` adds
+    the file each row comes from.
     """
     records, facts = scan_records(spark, folder, glob)
     written = records.where((F.size("cells") > 1) | (strip(F.get("cells", F.lit(0))) != ""))
@@ -79,6 +82,7 @@ def scan_hr_folder(spark: SparkSession, folder: str, glob: str = CSV) -> HrScan:
         written.join(files.where(F.col("reason").isNull()), FILE)
         .where(F.col(ROW) > F.col("header_row"))
         .select(
+            FILE,
             F.col("branch").alias("Filial"),
             *[
                 _known(_column(name)).alias(name)
@@ -87,7 +91,7 @@ def scan_hr_folder(spark: SparkSession, folder: str, glob: str = CSV) -> HrScan:
             ],
             _email().alias("e-mail"),
         )
-        .select(*vocab.HR_COLUMNS)
+        .select(*vocab.HR_COLUMNS, *[FILE] * with_file)
     )
     rejected = files.where(F.col("reason").isNotNull()).select(FILE, "label", "reason")
     return HrScan(staff, rejected)

@@ -3,7 +3,7 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
-from balcao.plans import queries as catalogue
+from balcao.plans import catalogue
 from tests.conftest import SMALL
 from tools.compare import connect, differences
 
