@@ -33,6 +33,7 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     pads.add_argument("--repair-tax-ids", action="store_true", help="pad only where the check digits confirm it")
     close = steps.add_parser("close", help="calculate the month")
     close.add_argument("--quarantine", action="store_true", help="set rows with unreadable keys aside")
+    steps.add_parser("check", help="check what the tables promise; exits with 1 if anything is broken")
     expire = steps.add_parser("expire", help="delete old snapshots")
     expire.add_argument("--keep", type=int, default=KEEP, help="newest filled snapshots of each table to keep")
     expire.add_argument("--keep-days", type=float, default=KEEP_SECONDS / 86_400, help="nothing younger is deleted")
@@ -55,6 +56,11 @@ def main(arguments: list[str] | None = None) -> int:
         filled = True
     elif options.step == "match-people":
         filled = workspace.match_people(options.run, CHECKED if options.repair_tax_ids else options.pad_tax_ids)
+    elif options.step == "check":
+        broken = workspace.check().where("rows > 0").orderBy("rule").collect()  # one row for each rule
+        for rule in broken:
+            print(f"{rule.rule}: {rule.rows} rows, {rule['keys']} keys, such as {', '.join(rule.shown)}")
+        return 1 if broken else 0
     elif options.step == "expire":
         for table, folders in workspace.expire(options.keep, options.keep_days).items():
             print(table, *folders)

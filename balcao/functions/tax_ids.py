@@ -14,19 +14,18 @@ VALID, PADDED, UNREPAIRABLE, MISSING = "valid", "padded", "unrepairable", "missi
 
 def check_digit(digits: Column, first: int) -> Column:
     """Modulo-11 digit over the leading digits, weighted from ``first`` down to 2."""
-    total = sum(
-        (F.substring(digits, i + 1, 1).try_cast("int") * (first - i) for i in range(first - 1)), F.lit(0)
-    )
-    return F.when(total % 11 < 2, F.lit(0)).otherwise(11 - total % 11)
+    weights = F.sequence(F.lit(first), F.lit(2), F.lit(-1))
+    leading = F.split(F.substring(digits, 1, first - 1), "")
+    products = F.zip_with(leading, weights, lambda digit, weight: digit.try_cast("int") * weight)
+    left = F.aggregate(products, F.lit(0), lambda total, product: total + product) % 11
+    return F.get(F.transform(F.array(left), lambda r: F.when(r < 2, F.lit(0)).otherwise(11 - r)), F.lit(0))
 
 
 def is_valid(digits: Column) -> Column:
     """Eleven digits, not all the same, the last two of which follow from the others."""
     shaped = digits.rlike(r"^[0-9]{11}$") & ~digits.rlike(r"^([0-9])\1{10}$")
-    right = (check_digit(digits, 10) == F.substring(digits, 10, 1).try_cast("int")) & (
-        check_digit(digits, 11) == F.substring(digits, 11, 1).try_cast("int")
-    )
-    return F.coalesce(shaped & right, F.lit(False))
+    wanted = F.concat(check_digit(digits, 10).cast("string"), check_digit(digits, 11).cast("string"))
+    return F.coalesce(F.when(shaped, wanted == F.substring(digits, 10, 2)), F.lit(False))
 
 
 def repaired(text: Column) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from balcao import vocab
 from balcao.functions import period
 from balcao.functions.money import round2, sum_money
+from balcao.operators import dated_rules
 from balcao.operators.roster import is_manager
 
 
@@ -58,12 +59,15 @@ def add_payout(
     commissions: DataFrame,
     trainees: DataFrame,
     basis: str = "achieved_app",
+    rules: DataFrame | None = None,
+    day: str | Column | None = None,
 ) -> DataFrame:
     """``accrued``, ``paid``, ``bonus``, ``total`` from each person's commission.
 
     Accrued is shown for everyone. Managers who are not trainees get nothing else here;
     nor does anyone without a target or a commission. The total is rounded from the
-    unrounded paid amount. Keeps ``is_trainee`` for later steps.
+    unrounded paid amount. Keeps ``is_trainee`` for later steps. ``rules`` takes the steps
+    from rows that hold on ``day`` (``dated_rules.py``) in place of today's.
     """
     totals = commission_per_code(commissions).select(
         F.col("code_key").alias("commission_code"), "commission"
@@ -77,8 +81,12 @@ def add_payout(
         & ratio.isNotNull()
         & F.col("commission").isNotNull()
     )
-    paid = paid_commission(F.col("commission"), ratio)
-    bonus = bonus_for(ratio)
+    if rules is None:
+        paid, bonus = paid_commission(F.col("commission"), ratio), bonus_for(ratio)
+    else:
+        wanted = [(dated_rules.PAY, ratio, "__share"), (dated_rules.BONUS, ratio, "__bonus")]
+        joined = dated_rules.add_amounts(joined, rules, wanted, day)
+        paid, bonus = F.col("commission") * F.col("__share"), F.col("__bonus")
     return joined.withColumns(
         {
             "accrued": F.col("commission"),
@@ -86,7 +94,7 @@ def add_payout(
             "bonus": F.when(from_commission, bonus),
             "total": F.when(from_commission, round2(paid + F.coalesce(bonus, F.lit(0.0)))),
         }
-    ).drop("commission_code", "commission")
+    ).drop("commission_code", "commission", "__share", "__bonus")
 
 
 def apply_scorecard(roster: DataFrame, rewards: DataFrame) -> DataFrame:

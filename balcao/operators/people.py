@@ -17,16 +17,19 @@ def _cleaned(cpf: Column, pad: bool | str) -> Column:
     return tax_ids.repaired(cpf)["id"] if pad == CHECKED else t.tax_id(cpf, bool(pad))
 
 
-def hr_side(hr: DataFrame, pad: bool | str = False) -> DataFrame:
+def hr_rows(hr: DataFrame, pad: bool | str = False) -> DataFrame:
     """Branch, tax id and job title, whatever the columns are called exactly."""
     picked = pick_columns(
         hr, {"branch": ["filial"], "cpf": ["cpf"], "title": ["cargo atual", "cargo"]}, "HR staff"
     )
-    cleaned = picked.withColumn("cpf", _cleaned(F.col("cpf").cast("string"), pad))
-    return cleaned.where(F.col("cpf") != "")
+    return picked.withColumn("cpf", _cleaned(F.col("cpf").cast("string"), pad))
 
 
-def pos_side(pos: DataFrame, pad: bool | str = False) -> DataFrame:
+def hr_side(hr: DataFrame, pad: bool | str = False) -> DataFrame:
+    return hr_rows(hr, pad).where(F.col("cpf") != "")
+
+
+def pos_rows(pos: DataFrame, pad: bool | str = False) -> DataFrame:
     picked = pick_columns(
         pos,
         {
@@ -36,8 +39,11 @@ def pos_side(pos: DataFrame, pad: bool | str = False) -> DataFrame:
         },
         "point-of-sale staff",
     )
-    cleaned = picked.withColumn("cpf", _cleaned(F.col("cpf").cast("string"), pad))
-    return cleaned.where(F.col("cpf") != "")
+    return picked.withColumn("cpf", _cleaned(F.col("cpf").cast("string"), pad))
+
+
+def pos_side(pos: DataFrame, pad: bool | str = False) -> DataFrame:
+    return pos_rows(pos, pad).where(F.col("cpf") != "")
 
 
 def repaired_tax_ids(df: DataFrame, column: str = "cpf") -> DataFrame:

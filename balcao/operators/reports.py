@@ -35,16 +35,10 @@ def _holds(text: Column, part: str) -> Column:
     return F.coalesce(F.contains(text, F.lit(part)), F.lit(False))
 
 
-def seller_rows(
-    report: DataFrame, header_row: int, chunk_rows: int = ROWS_PER_CHUNK
-) -> DataFrame:
-    """Detail rows of a seller report, each with the branch of the section it stands in.
-
-    A section starts at a row with ``filial:`` in the code cell; its branch stands in the
-    fourth, unnamed column. Rows above the first section keep a null branch.
-    """
+def seller_lines(report: DataFrame, header_row: int) -> DataFrame:
+    """All rows of a seller report below its header, in columns."""
     code = t.strip(cell("código"))
-    rows = with_header(report, header_row).select(
+    return with_header(report, header_row).select(
         FILE,
         ROW,
         code.alias("code"),
@@ -54,10 +48,28 @@ def seller_rows(
         cell("valor custo").alias("cost"),
         cell("valor vendas").alias("amount"),
     )
-    is_section = _holds(F.lower("code"), "filial:")
-    relevant = rows.where(is_section | t.is_digits(F.col("code")))
-    filled = fill_down(relevant, is_section, F.col("section_branch"), "branch", chunk_rows)
-    return filled.where(~is_section).drop("section_branch")
+
+
+def names_seller_branch() -> Column:
+    return _holds(F.lower("code"), "filial:")
+
+
+def fill_seller_branches(lines: DataFrame, chunk_rows: int = ROWS_PER_CHUNK) -> DataFrame:
+    """Section and detail rows, each with the branch of its section."""
+    relevant = lines.where(names_seller_branch() | t.is_digits(F.col("code")))
+    return fill_down(relevant, names_seller_branch(), F.col("section_branch"), "branch", chunk_rows)
+
+
+def seller_rows(
+    report: DataFrame, header_row: int, chunk_rows: int = ROWS_PER_CHUNK
+) -> DataFrame:
+    """Detail rows of a seller report, each with the branch of the section it stands in.
+
+    A section starts at a row with ``filial:`` in the code cell; its branch stands in the
+    fourth, unnamed column. Rows above the first section keep a null branch.
+    """
+    filled = fill_seller_branches(seller_lines(report, header_row), chunk_rows)
+    return filled.where(~names_seller_branch()).drop("section_branch")
 
 
 def seller_report(report: DataFrame, chunk_rows: int = ROWS_PER_CHUNK) -> DataFrame:
@@ -104,15 +116,19 @@ def duplicate_count(rows: DataFrame, key: str) -> DataFrame:
     return per_key.agg((F.sum("n") - F.count("*")).alias("duplicates"))
 
 
-def channel_report(report: DataFrame, chunk_rows: int = ROWS_PER_CHUNK) -> DataFrame:
-    """VENDAS_548: a branch's sales stand one row below its name."""
-    rows = with_header(report, vocab.HEADER_ROW["channel"], ("valor vendas",)).select(
+def channel_lines(report: DataFrame) -> DataFrame:
+    """All rows of a channel report below its header: ``branch`` and ``sales`` as printed."""
+    return with_header(report, vocab.HEADER_ROW["channel"], ("valor vendas",)).select(
         FILE,
         ROW,
         cell_at(first_position_outside(vocab.CHANNEL_DROPPED_COLUMNS)).alias("branch"),
         cell("valor vendas").alias("sales"),
     )
-    shifted = shift_up(rows, ["sales"], chunk_rows).where(F.col("branch").isNotNull())
+
+
+def channel_report(report: DataFrame, chunk_rows: int = ROWS_PER_CHUNK) -> DataFrame:
+    """VENDAS_548: a branch's sales stand one row below its name."""
+    shifted = shift_up(channel_lines(report), ["sales"], chunk_rows).where(F.col("branch").isNotNull())
     sales = t.to_number(F.col("sales"))
     return shifted.select(
         F.col("branch").alias("Filial"),
@@ -121,17 +137,28 @@ def channel_report(report: DataFrame, chunk_rows: int = ROWS_PER_CHUNK) -> DataF
     )
 
 
-def commission_rows(report: DataFrame, chunk_rows: int = ROWS_PER_CHUNK) -> DataFrame:
-    """COMISSOES with branches as printed: rows under no branch, or a blank one, do not count."""
+def commission_lines(report: DataFrame) -> DataFrame:
+    """All rows of a commission report below its header."""
     required = ("código", "vendedor", "base comissão", "% comissão", "valor comissão")
-    rows = with_header(report, vocab.HEADER_ROW["commissions"], required).select(
+    return with_header(report, vocab.HEADER_ROW["commissions"], required).select(
         FILE, ROW, *[cell(name).alias(name) for name in required]
     )
-    is_section = _holds(F.col("código"), "Filial:")
-    relevant = rows.where(is_section | t.is_digits(F.col("código")))
-    branch = t.strip(F.col("vendedor"))
-    filled = fill_down(relevant, is_section, branch, "branch", chunk_rows)
-    detail = filled.where(~is_section & F.col("branch").isNotNull())
+
+
+def names_commission_branch() -> Column:
+    return _holds(F.col("código"), "Filial:")
+
+
+def fill_commission_branches(lines: DataFrame, chunk_rows: int = ROWS_PER_CHUNK) -> DataFrame:
+    """Section and detail rows, each with the branch of its section (null where it is blank)."""
+    relevant = lines.where(names_commission_branch() | t.is_digits(F.col("código")))
+    return fill_down(relevant, names_commission_branch(), t.strip(F.col("vendedor")), "branch", chunk_rows)
+
+
+def commission_rows(report: DataFrame, chunk_rows: int = ROWS_PER_CHUNK) -> DataFrame:
+    """COMISSOES with branches as printed: rows under no branch, or a blank one, do not count."""
+    filled = fill_commission_branches(commission_lines(report), chunk_rows)
+    detail = filled.where(~names_commission_branch() & F.col("branch").isNotNull())
     return detail.select(
         F.col("branch").alias("Filial"),
         F.col("código").alias("Código"),
@@ -159,16 +186,11 @@ def split_commission_report(report: DataFrame, chunk_rows: int = ROWS_PER_CHUNK)
     return Split(_with_branch_numbers(found.good), found.bad)
 
 
-def branch_totals(report: DataFrame, chunk_rows: int = ROWS_PER_CHUNK) -> DataFrame:
-    """VENDAS_FILIAL: one record per branch section that ends in a total row.
-
-    A total counts if a branch row stands between it and the total above. Its HB sales are
-    the last group-8000 row since the last total that counted, so they may come from above
-    the branch row. Revenue is printed in the discount column of the total row.
-    """
+def total_lines(report: DataFrame) -> DataFrame:
+    """All rows of a branch report below its header, in columns."""
     code = t.strip(cell("código"))
     after_code = cell_at(column_position("código") + 1)
-    rows = with_header(
+    return with_header(
         report,
         vocab.HEADER_ROW["branch_totals"],
         ("código", "total vlr. venda", "total vlr. custo", "vlr. descto", "ticket médio venda/devol."),
@@ -182,11 +204,22 @@ def branch_totals(report: DataFrame, chunk_rows: int = ROWS_PER_CHUNK) -> DataFr
         cell("vlr. descto").alias("revenue"),
         cell("ticket médio venda/devol.").alias("ticket"),
     )
-    is_branch = F.lower("code") == "filial:"
-    is_hb = F.col("code") == vocab.HB_PRODUCT_GROUP
-    is_total = F.coalesce(F.lower("code").startswith("total filial"), F.lit(False))
+
+
+def total_row_kinds() -> tuple[Column, Column, Column]:
+    """Which rows name a branch, hold the HB sales, or are totals."""
+    return (
+        F.coalesce(F.lower("code") == "filial:", F.lit(False)),
+        F.coalesce(F.col("code") == vocab.HB_PRODUCT_GROUP, F.lit(False)),
+        F.coalesce(F.lower("code").startswith("total filial"), F.lit(False)),
+    )
+
+
+def judge_totals(lines: DataFrame, chunk_rows: int = ROWS_PER_CHUNK) -> DataFrame:
+    """Branch, HB and total rows; of totals, whether each ``counts`` and the branch above it."""
+    is_branch, is_hb, is_total = total_row_kinds()
     # Few rows matter, and they are gone over four times: written once, they are cheap.
-    relevant = staged(rows.where(is_branch | is_hb | is_total), "branch-total-rows")
+    relevant = staged(lines.where(is_branch | is_hb | is_total), "branch-total-rows")
     located = running_last(
         relevant,
         {
@@ -198,9 +231,19 @@ def branch_totals(report: DataFrame, chunk_rows: int = ROWS_PER_CHUNK) -> DataFr
     )
     above = F.coalesce(F.col("last_total.at"), F.lit(-1))
     counts = is_total & F.coalesce(F.col("last_branch.at") > above, F.lit(False))
-    judged = located.withColumn("counts", counts)
+    return located.withColumn("counts", counts)
+
+
+def branch_totals(report: DataFrame, chunk_rows: int = ROWS_PER_CHUNK) -> DataFrame:
+    """VENDAS_FILIAL: one record per branch section that ends in a total row.
+
+    A total counts if a branch row stands between it and the total above. Its HB sales are
+    the last group-8000 row since the last total that counted, so they may come from above
+    the branch row. Revenue is printed in the discount column of the total row.
+    """
+    is_hb = total_row_kinds()[1]
     placed = running_last(
-        judged,
+        judge_totals(total_lines(report), chunk_rows),
         {
             "last_hb": (is_hb, F.col("sales")),
             "last_counted": (F.col("counts"), F.lit(None).cast("string")),
@@ -220,9 +263,9 @@ def branch_totals(report: DataFrame, chunk_rows: int = ROWS_PER_CHUNK) -> DataFr
     )
 
 
-def pos_staff(report: DataFrame, chunk_rows: int = ROWS_PER_CHUNK) -> DataFrame:
-    """Point-of-sale staff: the tax id is printed one row below its person."""
-    rows = with_header(report, vocab.HEADER_ROW["pos_staff"]).select(
+def pos_staff_lines(report: DataFrame) -> DataFrame:
+    """All rows of a staff list below its header, in columns."""
+    return with_header(report, vocab.HEADER_ROW["pos_staff"]).select(
         FILE,
         ROW,
         cell_at(last_position_containing("código", "codigo")).alias("code"),
@@ -230,7 +273,11 @@ def pos_staff(report: DataFrame, chunk_rows: int = ROWS_PER_CHUNK) -> DataFrame:
         cell("demissão").alias("below"),
         cell_at(last_position_containing("cpf")).alias("beside"),
     )
-    shifted = shift_up(rows, ["below"], chunk_rows)
+
+
+def pos_staff(report: DataFrame, chunk_rows: int = ROWS_PER_CHUNK) -> DataFrame:
+    """Point-of-sale staff: the tax id is printed one row below its person."""
+    shifted = shift_up(pos_staff_lines(report), ["below"], chunk_rows)
     kept = shifted.where(
         t.to_number(F.col("code")).isNotNull() & ~F.col("code").isin(*vocab.POS_DUMMY_CODES)
     )

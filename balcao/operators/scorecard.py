@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from balcao import vocab
 from balcao.functions.money import round2, sum_money
+from balcao.operators import dated_rules
 
 REWARDS = ("revenue_reward", "cost_reward", "hb_reward", "ticket_reward", "commission_reward")
 
@@ -22,15 +23,25 @@ def first_per_branch(table: DataFrame) -> DataFrame:
 
 def percent_reward(actual: Column, target: Column, steps: Sequence[tuple[int, float]]) -> Column:
     """The best step whose percent of target is reached; null without a positive target."""
-    percent = F.when(target > 0, F.try_divide(actual, target) * 100)
+    percent = percent_of(actual, target)
     return F.coalesce(*[F.when(percent >= step, F.lit(amount)) for step, amount in steps])
 
 
-def cost_reward(cost: Column, revenue: Column, target: Column) -> Column:
-    """Reward for cost points at or under target. No revenue pays nothing, unless cost is negative."""
-    points = F.when(revenue != 0, round2(F.try_divide(cost, revenue) * 100 - target)).when(
+def percent_of(actual: Column, target: Column) -> Column:
+    """Percent of a positive target."""
+    return F.when(target > 0, F.try_divide(actual, target) * 100)
+
+
+def cost_points(cost: Column, revenue: Column, target: Column) -> Column:
+    """Cost points over target. None without revenue, unless cost is negative."""
+    return F.when(revenue != 0, round2(F.try_divide(cost, revenue) * 100 - target)).when(
         (revenue == 0) & (cost < 0) & target.isNotNull(), F.lit(float("-inf"))
     )
+
+
+def cost_reward(cost: Column, revenue: Column, target: Column) -> Column:
+    """Reward for cost points at or under target. No revenue pays nothing, unless cost is negative."""
+    points = cost_points(cost, revenue, target)
     return F.coalesce(*[F.when(points <= step, F.lit(amount)) for step, amount in vocab.COST_STEPS])
 
 
@@ -72,10 +83,39 @@ def add_branch_commission(branches: DataFrame, commissions: DataFrame) -> DataFr
     )
 
 
-def build_scorecard(sales: DataFrame, targets: DataFrame, commissions: DataFrame) -> DataFrame:
-    """One row per branch with sales: ``branch_key`` and the five rewards (null: not earned)."""
+def rewards_by_rules(branches: DataFrame, rules: DataFrame, day: str | Column) -> DataFrame:
+    """The five rewards by the rules that hold on ``day`` (``dated_rules.py``)."""
+    c = F.col
+    # A zero target counts as reached by any positive revenue.
+    reached = F.when(
+        c("revenue_target") == 0, F.when(c("revenue") > 0, float("inf")).otherwise(F.lit(dated_rules.LOWEST))
+    ).otherwise(F.try_divide("revenue", "revenue_target") * 100)
+    wanted = [
+        (dated_rules.REVENUE, percent_of(c("revenue"), c("revenue_target")), "revenue_reward"),
+        (dated_rules.COST, -cost_points(c("cost"), c("revenue"), c("cost_target")), "cost_reward"),
+        (dated_rules.REVENUE, percent_of(c("hb"), c("hb_target")), "hb_reward"),
+        (dated_rules.TICKET, percent_of(c("ticket"), c("ticket_target")), "ticket_reward"),
+        (dated_rules.COMMISSION_SHARE, reached, "__share"),
+    ]
+    paid = dated_rules.add_amounts(branches, rules, wanted, day)
+    return paid.withColumn("commission_reward", round2(c("commission") * c("__share"))).select("branch_key", *REWARDS)
+
+
+def build_scorecard(
+    sales: DataFrame,
+    targets: DataFrame,
+    commissions: DataFrame,
+    rules: DataFrame | None = None,
+    day: str | Column | None = None,
+) -> DataFrame:
+    """One row per branch with sales: ``branch_key`` and the five rewards (null: not earned).
+
+    ``rules`` takes steps and shares from rows that hold on ``day`` in place of today's.
+    """
     joined = first_per_branch(sales).join(first_per_branch(targets), "branch_key", "left")
     branches = add_branch_commission(joined, commissions)
+    if rules is not None:
+        return rewards_by_rules(branches, rules, day)
     return branches.select(
         "branch_key",
         percent_reward(F.col("revenue"), F.col("revenue_target"), vocab.REVENUE_STEPS).alias(

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from balcao.operators import payout, roster, sales, scorecard
+from balcao.operators import dated_rules, payout, roster, sales, scorecard
 from balcao.operators.quarantine import MONTH_CHECKS, split, together
 from balcao.sources import tabs
 from balcao.sources.columns import trimmed
@@ -59,7 +61,9 @@ def adjusted_roster(tables: MonthTables, second: DataFrame, spark: SparkSession)
     return roster.carry_forward(present, previous, "target")
 
 
-def month_scorecard(tables: MonthTables, commissions: DataFrame) -> DataFrame | None:
+def month_scorecard(
+    tables: MonthTables, commissions: DataFrame, rules: DataFrame | None = None, day: Column | None = None
+) -> DataFrame | None:
     """The branch scorecard, or none if one of its tables is missing."""
     if tables.branch_sales is None or tables.branch_targets is None:
         return None
@@ -67,19 +71,31 @@ def month_scorecard(tables: MonthTables, commissions: DataFrame) -> DataFrame |
         tabs.branch_sales(tables.branch_sales),
         tabs.branch_targets(tables.branch_targets),
         commissions,
+        rules,
+        day,
     )
 
 
 def close_month(
-    tables: MonthTables, spark: SparkSession, basis: str = "achieved_app", quarantine: bool = False
+    tables: MonthTables,
+    spark: SparkSession,
+    basis: str = "achieved_app",
+    quarantine: bool = False,
+    rules: DataFrame | None = None,
+    as_of: dt.date | None = None,
 ) -> MonthResult:
     """Everything in order: roster, achieved, channel share, progress, payout, scorecard.
 
     ``basis`` is what progress and payout are measured on: ``achieved_app`` with the
     channel share, or plain ``achieved``. A key or percentage that cannot be read fails the
     job; with ``quarantine`` its row is set aside instead and the month goes on without it.
+    ``rules`` has the steps and rates to pay by, of which those that hold on ``as_of`` count.
     """
-    aside = None
+    aside, day = None, None
+    if rules is not None:
+        if as_of is None:
+            raise ValueError("dated rules need the day they are applied on")
+        rules, day = dated_rules.checked(rules), F.lit(as_of)
     if quarantine:
         tables, aside = set_aside(tables, spark)
     commissions = tabs.commissions(tables.commissions)
@@ -89,8 +105,8 @@ def close_month(
     shares = tabs.channel_shares(tables.channel_sales, spark)
     credited = sales.add_channel_share(achieved, shares)
     measured = payout.add_progress(credited, basis)
-    paid = payout.add_payout(measured, commissions, tabs.trainees(tables.trainees, spark), basis)
-    card = month_scorecard(tables, commissions)
+    paid = payout.add_payout(measured, commissions, tabs.trainees(tables.trainees, spark), basis, rules, day)
+    card = month_scorecard(tables, commissions, rules, day)
     if card is not None:
         # One small row for each branch, read by the payout and by whoever writes the card.
         card = staged(card, "scorecard")

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from balcao.functions import text as t
 from balcao.functions.tax_ids import check_digit
-from balcao.operators import people, previews
+from balcao.operators import contracts, dated_rules, lineage, people, previews, roster
 from balcao.operators.ordered import FILE
 from balcao.plans import monthly, retail
 from balcao.plans.queries import PAYOUT_COLUMNS, Query, _write_hr_folder, people_match
 from balcao.plans.retail import table
-from balcao.sources import hr_files, snapshots, tabs
+from balcao.sources import hr_files, sketches, snapshots, tabs
 from balcao.sources.ledger import Ledger, Loaded
 from balcao.sources.maintained import MaintainedSums
 from balcao.sources.staging import new_folder, staged
@@ -297,6 +299,124 @@ def required_columns(spark: SparkSession, folder: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+# ---- contracts and lineage -----------------------------------------------------------
+
+
+def contract_checks(spark: SparkSession, folder: str) -> DataFrame:
+    """All rules of the workspace's tables, with values, keys and references broken on purpose."""
+    tables = retail.month_tables(spark, folder, retail.seller_mart(spark, folder))
+    number = F.col("CPF").cast("bigint")
+    known = tables.people.where(number % 37 != 2)
+    code = F.col("Código").try_cast("double").cast("bigint")
+    priced = F.when(code % 29 == 3, "x").otherwise(F.col("Valor Vendas"))
+    given = {
+        "filtered_user": known.unionByName(known.where(number % 31 == 1)),
+        "VENDAS_VENDEDOR": tables.seller_sales.withColumn("Valor Vendas", priced),
+        "COMISSOES": tables.commissions,
+        "VENDAS_FILIAL": tables.branch_sales.unionByName(tables.branch_sales.where("Filial = 'F03'")),
+        "META_FILIAL": tables.branch_targets.withColumn(
+            "CMV", F.when(F.col("Filial") == "9", "n/d").otherwise(F.col("CMV"))
+        ),
+        "VENDAS_548": tables.channel_sales,
+        "TRAINEES": tables.trainees,
+        "2_META": tables.second_targets,
+        "AFASTAMENTOS": tables.leave,
+    }
+    found = contracts.check_contracts(given, contracts.WORKSPACE_RULES, spark)
+    return found.withColumn("shown", F.array_join("shown", ", "))
+
+
+def dropped_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """What became of every row of every report: outcomes add up to the rows read."""
+    sold = staged(retail.monthly_sales(spark, folder), "monthly-sales")
+    grids = {
+        "sellers": retail.seller_grid(sold),
+        "commissions": retail.commission_grid(sold),
+        "branch_totals": retail.branch_total_grid(sold),
+        "channel": retail.channel_grid(sold),
+        "pos_staff": retail.pos_staff_grid(spark, folder),
+    }
+    parts = [
+        lineage.drop_report(lineage.judged_rows(kind, staged(grid, "report")), kind).drop("first_row")
+        for kind, grid in grids.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def people_left_out(spark: SparkSession, folder: str) -> DataFrame:
+    """Why people and second targets do not reach the month."""
+    tab = retail.people_tab(retail.staff(spark, folder)).drop("CPF")
+    base = roster.build_roster(tab.toDF("branch", "code", "name", "title"))
+    second = tabs.second_targets(retail.second_targets_tab(retail.staff(spark, folder)), spark)
+    targets = lineage.judged_second_targets(base, second).withColumn("side", F.lit("2_META"))
+    matched = lineage.judged_people(retail.hr_list(spark, folder), retail.pos_list(spark, folder))
+    return lineage.outcome_counts(targets, "second_targets", "side").unionByName(
+        lineage.outcome_counts(matched, "match_people", "side")
+    )
+
+
+# ---- sketches ------------------------------------------------------------------------
+
+
+def key_overlap_sketches(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct tax ids of two written tables and of both, exact, and whether sketches agree."""
+    sides = {"hr": retail.hr_list(spark, folder), "pos": retail.pos_list(spark, folder)}
+    column = {"hr": "Nº CPF", "pos": "CPF"}
+    kept = {}
+    for side, df in sides.items():
+        target = new_folder(spark, f"sketched-{side}")
+        snapshots.write_snapshot(df, target, "1")
+        sketches.store_sketches(spark, target, {"cpf": t.tax_id(F.col(f"`{column[side]}`"))})
+        kept[side] = sketches.stored_sketches(spark, target)
+    guessed = sketches.overlap(kept["hr"], "cpf", kept["pos"], "cpf")
+    exact = people.match_stats(sides["hr"], sides["pos"])
+    both = exact.withColumn("one", F.lit(1)).join(guessed.withColumn("one", F.lit(1)), "one")  # one row each
+    # Three standard errors; an overlap's is larger by the root of union over overlap.
+    allowed = F.lit(3 * sketches.standard_error())
+    wider = allowed * F.sqrt(F.col("either") / F.greatest("both", F.lit(1)))
+    rows = F.array(
+        *[
+            F.struct(F.lit(name).alias("side"), F.col(ids).alias("ids"), (F.abs(F.col(guess) - F.col(ids)) <= error * F.col(ids)).alias("within"))
+            for name, ids, guess, error in (
+                ("hr", "hr_ids", "left", allowed),
+                ("pos", "pos_ids", "right", allowed),
+                ("both", "common_ids", "both", wider),
+            )
+        ]
+    )
+    return both.select(F.inline(rows))
+
+
+# ---- dated rules ---------------------------------------------------------------------
+
+
+def payout_by_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole month with today's steps and rates read from rows."""
+    tables = retail.month_tables(spark, folder, retail.seller_mart(spark, folder))
+    rules = dated_rules.todays_rules(spark)
+    later = dt.date(2001, 1, 1)
+    ended = rules.withColumn("valid_to", F.lit(later))
+    changed = rules.withColumns({"valid_from": F.date_add(F.lit(later), 1), "amount": F.col("amount") * 2})
+    result = monthly.close_month(tables, spark, rules=ended.unionByName(changed), as_of=dt.date(2000, 6, 20))
+    return result.calc.select(*PAYOUT_COLUMNS)
+
+
+def dated_order_bonus(spark: SparkSession, folder: str) -> DataFrame:
+    """A bonus on every order by the rules of its day, which change within a year and a month."""
+    steps = [
+        ("order", dt.date(1900, 1, 1), dt.date(1996, 6, 15), 100_000.0, 10.0),
+        ("order", dt.date(1900, 1, 1), dt.date(1996, 6, 15), 200_000.0, 25.0),
+        ("order", dt.date(1996, 6, 16), None, 150_000.0, 20.0),
+        ("order", dt.date(1997, 1, 1), dt.date(1997, 12, 31), 50_000.0, 5.0),
+    ]
+    rules = dated_rules.checked(spark.createDataFrame(steps, dated_rules.SCHEMA))
+    orders = table(spark, folder, "orders").select("o_orderdate", "o_totalprice")
+    paid = dated_rules.add_amounts(orders, rules, [("order", "o_totalprice", "bonus")], F.col("o_orderdate"))
+    return paid.groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("month")).agg(
+        F.count(F.lit(1)).alias("orders"), F.count("bonus").alias("with_bonus"), F.sum("bonus").alias("bonus")
+    )
+
+
 ALL: dict[str, Query] = {
     q.__name__: q
     for q in (
@@ -315,5 +435,11 @@ ALL: dict[str, Query] = {
         tab_read,
         empty_guard,
         required_columns,
+        contract_checks,
+        dropped_rows,
+        people_left_out,
+        key_overlap_sketches,
+        payout_by_rules,
+        dated_order_bonus,
     )
 }

@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 
 from balcao import vocab
 from balcao.operators import people, reports
+from balcao.operators.contracts import WORKSPACE_RULES, check_contracts
 from balcao.operators.ordered import ROW
 from balcao.plans import export
 from balcao.plans.monthly import MonthTables, close_month
-from balcao.sources.columns import in_order, require
+from balcao.sources.columns import in_order, require, trimmed
 from balcao.sources.commits import CommitLog
 from balcao.sources.grids import scan_grids
 from balcao.sources.hr_files import CSV, hr_export, scan_hr_folder
@@ -198,6 +199,15 @@ class Workspace:
         view = export.in_branch_order(export.calc_view(result.calc))
         return write_snapshot(view, self.table_folder("calc"), run, base=base)
 
+    def check(self) -> DataFrame:
+        """All rules of the tables that are there (``contracts.WORKSPACE_RULES``) and what breaks them."""
+        written = {
+            name: self.table(name, with_order=True)
+            for name in sorted({r.table for r in WORKSPACE_RULES} - set(vocab.MANUAL_TABLES))
+        }
+        found = written | {name: self.manual(name) for name in vocab.MANUAL_TABLES}
+        return check_contracts({n: trimmed(df) for n, df in found.items() if df is not None}, WORKSPACE_RULES, self.spark)
+
     def expire(self, keep: int, keep_days: float) -> dict[str, list[str]]:
         """Delete old snapshots of all tables by the retention rule; what went, by table."""
         names = CommitLog(self.spark, f"{self.root}/tables").folders()

@@ -93,6 +93,8 @@ COMMISSION_COLUMNS = (
 BRANCH_TARGET_COLUMNS = ("Filial", "Number", "HB", "TKT MÉDIO", "CMV")
 PERSON_LIST_COLUMNS = ("ID", "Filial", "Código", "Colaborador")
 LEAVE_COLUMNS = ("Filial", "Colaborador")
+# Lists that people keep by hand.
+MANUAL_TABLES = ("META_FILIAL", "TRAINEES", "2_META", "AFASTAMENTOS")
 HR_COLUMNS = (
     "Filial",
     "CPF",

@@ -1,19 +1,21 @@
 """Quarantine, commits, ledgers, maintained sums, previews and check digits against plain loops."""
 
+import datetime as dt
 import json
 import os
 import random
 import threading
 import time
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 from balcao.functions import tax_ids
-from balcao.operators import people, previews, quarantine, reports
+from balcao.operators import contracts, dated_rules, lineage, people, previews, quarantine, reports
 from balcao.plans.monthly import MonthTables, close_month
 from balcao.plans.workspace import Workspace
-from balcao.sources import hr_files, snapshots
+from balcao.sources import hr_files, sketches, snapshots
 from balcao.sources.commits import Commit, CommitLog, LostRace
 from balcao.sources.ledger import Ledger
 from balcao.sources.maintained import MaintainedSums
@@ -75,7 +77,7 @@ def month(frame, spark):
 
 def test_close_month_sets_rows_aside(frame, spark):
     tables = month(frame, spark)
-    with pytest.raises(Exception, match="not a branch number"):
+    with pytest.raises(Exception, match="not a (branch number|percentage)"):
         close_month(tables, spark).calc.collect()
     result = close_month(tables, spark, quarantine=True)
     assert rows(result.calc, "id", "achieved") == [("120", None), ("222", 10.0), ("322", None)]
@@ -352,3 +354,224 @@ def test_check_digits(frame):
     pos = frame("`Código` string, CPF string, Nome string", ("9", whole[0], "N"))
     assert rows(people.match_people(hr, pos, people.CHECKED), "cpf") == [(whole[0],)]
     assert tax_ids.DIGITS == 11
+
+
+# ---- contracts -----------------------------------------------------------------------
+
+
+def table_of(frame, columns, *values):
+    return frame(", ".join(f"`{c}` string" for c in columns), *values)
+
+
+def sound_tables(frame):
+    """Tables of a workspace that break no rule, as lists of rows."""
+    return {
+        "VENDAS_VENDEDOR": (["Filial", "Código", "Valor Vendas"], [("F01", "20.0", "1,00"), ("F02", "21", "")]),
+        "VENDAS_VENDEDOR_HB": (["Código", "Valor Vendas"], [("20", "1,00"), ("21", None)]),
+        "VENDAS_FILIAL": (["Filial", "Faturamento Total", "Custo Total"], [("01", "1,00", "2,00"), ("02", "", "3,00")]),
+        "VENDAS_548": (["Filial", "40% VT"], [("1", "1,00")]),
+        "COMISSOES": (["Filial", "Código", "Valor Comissão"], [("01", "20", "1,00"), ("1", "20", "1,00")]),
+        "users_trier": (["Código", "CPF"], [("20", "111.111.111-11"), ("21", "")]),
+        "users_sci": (["Filial", "CPF"], [("1", "11111111111")]),
+        "filtered_user": (["Filial", "Código", "Nome"], [("1", "20", "Ana"), ("2", "20", "Ana"), ("2", "21", "Bia")]),
+        "META_FILIAL": (["Filial", "CMV", "Number"], [("F01", "46,7%", "1,00"), ("2", "", "")]),
+        "TRAINEES": (["ID", "Filial", "Código"], [("120", "1", "20"), ("321", "3", "21")]),
+        "2_META": (["ID", "Filial", "Código"], [("321", "3", "21")]),
+        "AFASTAMENTOS": (["Filial", "Colaborador"], [("01", " ana ")]),
+        "META_GERENTE": (["Filial"], [("1",), ("2",)]),
+        "calc": (["ID"], [("120",), ("220",)]),
+    }
+
+
+# A row that breaks one rule, or several of one table at once, and how often each is broken then.
+PLANTED = {
+    "VENDAS_VENDEDOR": [(("F01", "x", "1,00"), {"Código is a seller code": 1}), (("F01", "20", "1.0x"), {"Valor Vendas is an amount or blank": 1})],
+    "VENDAS_VENDEDOR_HB": [(("20", "y"), {"Código is unique": 2, "Valor Vendas is an amount or blank": 1})],
+    "VENDAS_FILIAL": [(("F1", "z", "z"), {"Filial is unique": 2, "Faturamento Total is an amount or blank": 1, "Custo Total is an amount or blank": 1}), (("LOJA", "", ""), {"Filial is a branch number": 1})],
+    "VENDAS_548": [(("F1", "R$ 1"), {"Filial is unique": 2, "40% VT is an amount or blank": 1})],
+    "COMISSOES": [(("?", "99", "-"), {"Filial is a branch number": 1, "Valor Comissão is an amount or blank": 1, "Código refers to filtered_user": 1})],
+    "users_trier": [(("20.0", "1"), {"Código is unique": 2, "CPF is a tax id or blank": 1})],
+    "users_sci": [((None, "12"), {"Filial is a branch number": 1, "CPF is a tax id or blank": 1})],
+    "filtered_user": [(("F1", "20", "X"), {"Filial, Código is unique": 2}), (("A", "B", "X"), {"Filial is a branch number": 1, "Código is a seller code": 1})],
+    "META_FILIAL": [(("1", "n/d", "n/d"), {"CMV is a percentage or blank": 1, "Number is an amount or blank": 1, "Filial is unique": 2}), (("9", "", ""), {"Filial refers to VENDAS_FILIAL": 1})],
+    "TRAINEES": [(("920", "9", "20"), {"Filial, Código refers to filtered_user or 2_META": 1})],
+    "2_META": [(("321", "1.5", "77"), {"Filial is a branch number": 1, "ID is unique": 2, "Código refers to filtered_user": 1})],
+    "AFASTAMENTOS": [(("2", "caio"), {"Filial, Colaborador refers to filtered_user": 1})],
+    "META_GERENTE": [(("F01",), {"Filial is unique": 2})],
+    "calc": [((" 120 ",), {"ID is unique": 2})],
+}
+
+
+def broken(spark, frame, tables):
+    given = {name: table_of(frame, columns, *values) for name, (columns, values) in tables.items()}
+    found = contracts.check_contracts(given, contracts.WORKSPACE_RULES, spark).collect()
+    assert len(found) == len(contracts.WORKSPACE_RULES) and all((r.rows > 0) == (r["keys"] > 0) == bool(r.shown) for r in found)
+    return {r.rule: r.rows for r in found if r.rows}
+
+
+def test_every_rule_counts_what_breaks_it(spark, frame):
+    tables = sound_tables(frame)
+    assert broken(spark, frame, tables) == {}
+    wanted = {}
+    for name, plants in PLANTED.items():
+        for row, rules in plants:
+            tables[name][1].append(row)
+            for rule, n in rules.items():
+                wanted[f"{name}: {rule}"] = wanted.get(f"{name}: {rule}", 0) + n
+    # Broken rows are parents and children elsewhere as well.
+    wanted["META_FILIAL: Filial is unique"] = 2
+    assert broken(spark, frame, tables) == wanted and len(wanted) == len(contracts.WORKSPACE_RULES)
+
+
+def test_contracts_show_the_first_keys_and_skip_absent_tables(spark, frame):
+    codes = table_of(frame, ["Código", "Valor Vendas"], *[(f"c{i % 40:02d}", "") for i in range(400)])
+    found = contracts.check_contracts({"VENDAS_VENDEDOR_HB": codes}, contracts.WORKSPACE_RULES, spark)
+    rows_of = {r.rule: (r.rows, r["keys"], r.shown) for r in found.collect()}
+    assert rows_of == {
+        "VENDAS_VENDEDOR_HB: Código is unique": (400, 40, ["c00", "c01", "c02", "c03", "c04"]),
+        "VENDAS_VENDEDOR_HB: Valor Vendas is an amount or blank": (0, 0, []),
+    }
+    assert contracts.check_contracts({}, contracts.WORKSPACE_RULES, spark).collect() == []
+
+
+def test_workspace_check(spark, chain, monkeypatch, capsys):  # noqa: F811
+    from balcao import __main__ as cli
+
+    monkeypatch.setattr(cli, "build_session", lambda *a, **k: spark)
+    inbox, root = chain / "inbox", ["--root", str(chain / "shop"), "--run", "1"]
+    for kind, folder in (("sellers", "sellers"), ("commissions", "commissions"), ("branch_totals", "branches"), ("pos_staff", "staff")):
+        assert cli.main([*root, "load-report", kind, str(inbox / folder)]) == 0
+    assert cli.main([*root, "load-hr", str(inbox / "hr"), "--changed-only"]) == 0
+    assert cli.main([*root, "match-people", "--repair-tax-ids"]) == 0
+    assert cli.main([*root, "check"]) == 0
+    write_csv(chain / "shop" / "manual" / "TRAINEES.csv", [["ID", "Filial", "Código", "Colaborador"], ["999", "9", "99", "X"]], ",")
+    capsys.readouterr()
+    assert cli.main([*root, "check"]) == 1
+    assert "TRAINEES: Filial, Código refers to filtered_user or 2_META: 1 rows, 1 keys, such as 9|99" in capsys.readouterr().out
+    assert cli.main([*root, "close", "--quarantine"]) == 0 and cli.main([*root, "expire", "--keep", "1", "--keep-days", "0"]) == 0
+
+
+# ---- lineage -------------------------------------------------------------------------
+
+
+def test_outcomes_add_up_for_every_report(spark, frame):
+    rng = random.Random(8)
+    for kind, judge in lineage.JUDGES.items():
+        heads = {"sellers": 9, "hb_sellers": 9, "channel": 9, "commissions": 10, "branch_totals": 0, "pos_staff": 8}
+        head = {
+            "commissions": ["Código", "Vendedor", "Base Comissão", "% Comissão", "Valor Comissão"],
+            "branch_totals": ["Código", "Descrição", "Total Vlr. Venda", "Total Vlr. Custo", "Vlr. Descto", "Ticket Médio Venda/Devol."],
+            "channel": ["", "", "Código", "", "Vendedor", "Valor Vendas"],
+            "pos_staff": ["", "Código", "Funcionário", "", "Demissão", "CPF"],
+        }.get(kind, ["Código", "", "", "", "Vendedor", "Qtd. Vendas", "Valor Custo", "Valor Vendas"])
+        texts = ["", "Filial:", "filial: ", "20", "8000", "Total Filial 1", "x", "123456789", "7"]
+        lines, n = [], 0
+        for file in ("a", "b"):
+            for i in range(heads[kind]):
+                lines.append((file, i, ["t"]))
+            lines.append((file, heads[kind], head))
+            for i in range(60):
+                lines.append((file, heads[kind] + 1 + i, [rng.choice(texts) for _ in head]))
+                n += 1
+        cells = frame("file string, row_idx bigint, cells array<string>", *lines)
+        judged = lineage.judged_rows(kind, cells, chunk_rows=7)
+        assert judged.select("file", "row_idx").distinct().count() == judged.count() == n
+        kept = judged.where("reason is null").count()
+        reports_of = {
+            "sellers": reports.seller_report, "hb_sellers": lambda r: reports.seller_rows(r, 9), "channel": reports.channel_report,
+            "commissions": reports.commission_rows, "branch_totals": reports.branch_totals, "pos_staff": reports.pos_staff,
+        }
+        assert kept == reports_of[kind](cells).count() and judge
+        found = {r.outcome: r.rows for r in lineage.drop_report(judged, kind).groupBy("outcome").agg(F.sum("rows").alias("rows")).collect()}
+        assert sum(found.values()) == n and found["kept"] == kept and len(found) >= 2
+
+
+def test_people_left_out(frame):
+    hr = frame("Filial string, CPF string, Cargo string", ("1", "11", "x"), ("1", "", "x"), (None, "22", "x"), ("2", "33", "x"), ("3", "44", "x"))
+    pos = frame("`Código` string, CPF string, Nome string", ("5", "11", "n"), ("6", "11", "n"), ("7", "22", "n"), ("8", None, "n"), (None, "44", "n"), ("9", "55", "n"))
+    judged = lineage.judged_people(hr, pos)
+    assert rows(judged) == sorted([
+        ("hr", "11", None), ("hr", "", "no tax id"), ("hr", "22", "no branch or code"), ("hr", "33", "tax id is not on the other side"),
+        ("hr", "44", "no branch or code"), ("pos", "11", None), ("pos", "11", None), ("pos", "22", "no branch or code"),
+        ("pos", None, "no tax id"), ("pos", "44", "no branch or code"), ("pos", "55", "tax id is not on the other side"),
+    ], key=repr)
+    assert people.match_people(hr, pos).count() == 2
+
+
+# ---- sketches ------------------------------------------------------------------------
+
+
+def test_sketches_are_within_their_error(spark, tmp_path, frame):
+    sizes = {"a": (0, 60_000), "b": (45_000, 90_000)}
+    kept = {}
+    for name, (first, last) in sizes.items():
+        folder = str(tmp_path / name)
+        df = spark.range(first, last).select(F.col("id").cast("string").alias("cpf"), F.lit("").alias("blank"))
+        snapshots.write_snapshot(df.unionByName(df.limit(50)), folder, "1")
+        sketches.store_sketches(spark, folder, {"cpf": F.col("cpf"), "blank": F.col("blank")})
+        kept[name] = sketches.stored_sketches(spark, folder)
+        (row,) = sketches.estimates(kept[name]).collect()
+        assert (row.key, row.rows, row.exact) == ("cpf", last - first + 50, last - first)
+        assert abs(row.estimated - row.exact) <= 3 * sketches.standard_error() * row.exact
+    (row,) = sketches.overlap(kept["a"], "cpf", kept["b"], "cpf").collect()
+    assert abs(row.both - 15_000) <= 3 * sketches.standard_error() * (90_000 / 15_000) ** 0.5 * 15_000
+    assert abs(row.either - 90_000) <= 3 * sketches.standard_error() * 90_000
+    plan = sketches.overlap(kept["a"], "cpf", kept["b"], "cpf")._jdf.queryExecution().executedPlan().toString()
+    assert "snapshot=" not in plan
+    with pytest.raises(snapshots.NoSnapshot):
+        sketches.store_sketches(spark, str(tmp_path / "none"), {})
+
+
+# ---- dated rules ---------------------------------------------------------------------
+
+
+def paid_by(steps, kind, value, day):
+    found = [(at, amount) for k, first, last, at, amount in steps if k == kind and first <= day and (last is None or day <= last) and value is not None and at <= value]
+    return max(found)[1] if found else None
+
+
+def test_rules_of_the_day(spark, frame):
+    rng, day = random.Random(2), dt.date(2024, 1, 1)
+    steps = []
+    for kind in "ab":
+        for at in (float("-inf"), 0.5, 1.0, 2.0):
+            first = day
+            for _ in range(rng.randrange(1, 4)):
+                last = first + dt.timedelta(rng.randrange(20))
+                steps.append((kind, first, last, at, float(rng.randrange(100))))
+                first = last + dt.timedelta(rng.randrange(1, 5))
+            if rng.random() < 0.5:
+                steps.append((kind, first, None, at, -1.0))
+    rules = dated_rules.checked(frame(dated_rules.SCHEMA, *steps))
+    facts = [(i, day + dt.timedelta(rng.randrange(-5, 90)), rng.choice([None, -1.0, 0.5, 0.7, 1.0, 3.0]), rng.choice([0.4, 2.0])) for i in range(300)]
+    df = frame("i int, day date, x double, y double", *facts)
+    found = dated_rules.add_amounts(df, rules, [("a", "x", "pa"), ("b", F.col("y"), "pb")], "day")
+    assert found.columns == ["i", "day", "x", "y", "pa", "pb"]
+    assert rows(found, "i", "pa", "pb") == sorted([(i, paid_by(steps, "a", x, d), paid_by(steps, "b", y, d)) for i, d, x, y in facts], key=repr)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    none = dated_rules.add_amounts(df, rules.where("false"), [("a", "x", "pa")], "day")
+    assert none.where("pa is not null").isEmpty()
+
+
+def test_contradicting_rules(frame):
+    day = dt.date(2024, 1, 1)
+    with pytest.raises(dated_rules.OverlappingRules, match="a from 1.0"):
+        dated_rules.checked(frame(dated_rules.SCHEMA, ("a", day, None, 1.0, 1.0), ("a", day + dt.timedelta(3), None, 1.0, 2.0)))
+
+
+def test_a_change_of_rules_within_the_year(spark, frame):
+    tables = month(frame, spark)
+    tables = replace(tables, second_targets=None, branch_targets=tables.branch_targets.where("CMV <> 'junk'"), people=tables.people.where("Filial in ('1', '2')"),
+                     previous=frame("ID string, Meta string, row_idx bigint", ("222", "8,00", 0)))
+    today = dated_rules.todays_rules(spark)
+    change = dt.date(2024, 7, 1)
+    rules = today.withColumn("valid_to", F.date_sub(F.lit(change), 1)).unionByName(
+        today.withColumns({"valid_from": F.lit(change), "amount": F.col("amount") * 2})
+    )
+    plain = rows(close_month(tables, spark).calc, "id", "paid", "bonus", "total")
+    assert ("222", 1.0, 150.0, 151.0) in plain
+    assert rows(close_month(tables, spark, rules=rules, as_of=dt.date(2024, 6, 30)).calc, "id", "paid", "bonus", "total") == plain
+    assert ("222", 2.0, 300.0, 302.0) in rows(close_month(tables, spark, rules=rules, as_of=change).calc, "id", "paid", "bonus", "total")
+    with pytest.raises(ValueError, match="day"):
+        close_month(tables, spark, rules=rules)
