@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from balcao.llm.letter_tree import AXES, REACH, Boxes, WordTree, code_points, grow_boxes, letter_counts, near_in_order
+from balcao.llm.letter_tree import REACH, Boxes, code_points, grow_boxes, near_in_order, packed_counts, pairs_within
 from balcao.sources.staging import staged
 
 LETTERS = "A-Za-zÀ-ÿ"
@@ -38,7 +38,7 @@ DELETE_EVERY = 31
 SAMPLE_WORDS = 65_536
 BOX_WORDS, LEAVES = 8_192, 2_048
 BLOCK_WORDS, BLOCK_ASKED = 32_768, 262_144
-PAIRS = 200_000  # compared letter by letter at a time
+PAIRS = 1_000_000  # letters compared at a time
 SLICE_WORDS = 4_096  # dealt at a time
 
 
@@ -61,10 +61,10 @@ def words_of(docs: DataFrame, delete_every: int = DELETE_EVERY) -> DataFrame:
     return counted.agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_COUNT)
 
 
-def _points(words: list[str]) -> np.ndarray:
-    """Letter counts with the length as the last column."""
+def _points(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Letter counts as bits, and lengths."""
     letters, starts = code_points(words)
-    return np.column_stack([letter_counts(letters, starts), np.diff(starts)])
+    return packed_counts(letters, starts), np.diff(starts)
 
 
 def _each_slice(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,7 +81,7 @@ def _box_sizes(words: DataFrame, boxes: Boxes) -> tuple[np.ndarray, np.ndarray]:
         for part in _each_slice(batches):
             points = _points(part.column(0).to_pylist())
             for i, reach in enumerate((0, REACH)):
-                totals[i] += np.bincount(boxes.reached(points, reach)[1], minlength=boxes.leaves)
+                totals[i] += np.bincount(boxes.reached(*points, reach)[1], minlength=boxes.leaves)
         columns = [pa.array(np.arange(boxes.leaves)), *map(pa.array, totals)]
         yield pa.record_batch(columns, names=["box", "held", "asked"])
 
@@ -101,7 +101,7 @@ def _dealt(words: DataFrame, boxes: Boxes, held: np.ndarray, asked: np.ndarray)
             points = _points(part.column(0).to_pylist())
             tag = np.asarray(part.column(2)).view(np.uint64)
             for reach, own, others in ((0, held_blocks, asked_blocks), (REACH, asked_blocks, held_blocks)):
-                who, box = boxes.reached(points, reach)
+                who, box = boxes.reached(*points, reach)
                 times = others[box]
                 copy = np.repeat(np.arange(len(who)), times)
                 block = (tag[who] % np.maximum(own[box], 1).astype(np.uint64)).astype(np.int64)[copy]
@@ -123,23 +123,24 @@ def _dealt(words: DataFrame, boxes: Boxes, held: np.ndarray, asked: np.ndarray)
 def _near(words: list[str], asks: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(asking word, held word) of every pair one edit apart, by their places, some at a time."""
     letters, starts = code_points(words)
-    counts, sizes = letter_counts(letters, starts), np.diff(starts)
+    codes, sizes = packed_counts(letters, starts), np.diff(starts)
     held, asking = np.flatnonzero(~asks), np.flatnonzero(asks)
-    held_by = {int(s): held[sizes[held] == s] for s in np.unique(sizes[held])}
     asking_by = {int(s): asking[sizes[asking] == s] for s in np.unique(sizes[asking])}
-    for size, own in held_by.items():
-        tree = WordTree(counts[own], own)
+    for size in map(int, np.unique(sizes[held])):
+        own = held[sizes[held] == size]
         for other in (size - 1, size, size + 1):
             asked = asking_by.get(other)
             if asked is None:
                 continue
             short, long = min(size, other), max(size, other)
-            for q, p in tree.search(counts[asked], asked):
+            step = max(PAIRS // long, 1)
+            for q, p in pairs_within(codes[own], codes[asked], REACH if size == other else REACH - 1):
+                q, p = asked[q], own[p]
                 a, b = (q, p) if other <= size else (p, q)
-                for first in range(0, len(a), max(PAIRS // long, 1)):
-                    last = first + max(PAIRS // long, 1)
-                    right = near_in_order(letters, starts[a[first:last]], starts[b[first:last]], short, long)
-                    yield q[first:last][right], p[first:last][right]
+                for first in range(0, len(a), step):
+                    some = slice(first, first + step)
+                    right = near_in_order(letters, starts[a[some]], starts[b[some]], short, long)
+                    yield q[some][right], p[some][right]
 
 
 _FOUND = "word string, n bigint, n_near bigint, best_n bigint, best string"
@@ -178,8 +179,8 @@ def near_words(words: DataFrame) -> DataFrame:
     sample = words.select("word").orderBy(F.xxhash64("word"), "word").limit(SAMPLE_WORDS).toArrow()
     points = _points(sample.column(0).to_pylist())
     total = words.count()
-    share = max(1, BOX_WORDS * len(points) // max(total, 1))
-    boxes = grow_boxes(points, share, LEAVES)
+    share = max(1, BOX_WORDS * len(points[0]) // max(total, 1))
+    boxes = grow_boxes(*points, share, LEAVES)
     dealt = _dealt(words, boxes, *_box_sizes(words, boxes))
     found = dealt.groupBy("box", "of", "which").applyInArrow(_of_box, _FOUND)
     # The most below zero comes first, then the smallest word in UTF-8, as in code points.

@@ -111,3 +111,12 @@ def test_nulls_repeats_long_texts_and_clashing_names(spark, frame):
     ]
     pieces = corpus_pipeline.STAGES[-1][1](spark, found, SMALL)
     assert {r.doc_id for r in pieces.collect()} == {r.doc_id for r in found.collect()}
+
+
+def test_all_queries_in_one_session(spark):
+    """Queries share a session, its caches and its shared folder."""
+    names = [n for n in queries() if n.startswith("op") and n[2].isdigit()] + ["pipeline"]
+    assert len(names) == 14
+    for name in names:
+        rows = queries()[name](spark, SMALL)
+        assert rows.columns and rows.count() >= 0, name

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 
 from balcao.llm import spelling as module
-from balcao.llm.letter_tree import code_points, grow_boxes, letter_counts
+from balcao.llm.letter_tree import code_points, grow_boxes, letter_counts, packed_counts, pairs_within
 from balcao.llm.spelling import spelling_variants, variant_groups, words_of
 from tests.conftest import MEDIUM
 
@@ -118,18 +118,28 @@ def test_deleted_letters(frame):
 def test_boxes_hold_and_reach():
     rng = random.Random(1)
     words = list(family(rng, 800))
-    points = np.column_stack([letter_counts(*code_points(words)), [len(w) for w in words]])
-    boxes = grow_boxes(points, 30, 64)
-    who, own = boxes.reached(points, 0)
+    points = packed_counts(*code_points(words)), np.array([len(w) for w in words])
+    boxes = grow_boxes(*points, 30, 64)
+    who, own = boxes.reached(*points, 0)
     assert sorted(who.tolist()) == list(range(len(words))) and boxes.leaves > 10
     box = dict(zip(who.tolist(), own.tolist()))
-    who, reached = boxes.reached(points, 2)
+    who, reached = boxes.reached(*points, 2)
     pairs = set(zip(who.tolist(), reached.tolist()))
     for i in rng.sample(range(len(words)), 60):
         assert all((i, box[j]) in pairs for j in range(len(words)) if one_apart(words[i], words[j]) or i == j)
     assert len(pairs) < 0.7 * len(words) * boxes.leaves
 
 
+def test_pairs_within_reach():
+    rng = random.Random(9)
+    words = list(family(rng, 400)) + ["a" * n for n in range(1, 9)] + ["ab" * 30, "ab" * 30 + "a"]
+    codes, counts = packed_counts(*code_points(words)), np.minimum(letter_counts(*code_points(words)), 4)
+    apart = np.abs(counts[:, None, :] - counts[None, :, :]).sum(axis=2)
+    for reach in (0, 1, 2):
+        found = {(int(q), int(p)) for q, p in ((q, p) for qs, ps in pairs_within(codes, codes[:150], reach) for q, p in zip(qs, ps))}
+        assert found == {(int(q), int(p)) for q, p in zip(*np.nonzero(apart[:150] <= reach))}
+
+
 def test_whole_table(spark):
     docs = spark.read.parquet(f"{MEDIUM}/documents.parquet")
     words = expected_words([(r.doc_id, r.text) for r in docs.collect()])
