@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from balcao.plans import oracle, queries, upkeep, upkeep_oracle
+from balcao.catalogue import oracle, queries, upkeep, upkeep_oracle
 
 ALL: dict[str, queries.Query] = queries.ALL | upkeep.ALL
 SQL: dict[str, str] = oracle.SQL | upkeep_oracle.SQL

@@ -6,9 +6,20 @@ builds the text tables or report grids the queries go through.
 
 from __future__ import annotations
 
-from balcao import vocab
-from balcao.plans import retail
-from balcao.plans.queries import AS_OF, FIRST_OF_MONTH
+# Expected values, written out here so that a wrong constant of the engine shows.
+ROLES = (
+    "FARMACEUTICO",
+    "OPERADOR DE CAIXA",
+    "OPERADORA DE CAIXA",
+    "GERENTE",
+    "GERENTE FARMACEUTICO",
+    "PROMOTOR DE VENDAS",
+    "SUBGERENTE",
+)
+OTHER_TITLES = ("REPOSITOR", "AUXILIAR - ESTOQUE")
+MANAGER_ROLES = ("GERENTE", "SUBGERENTE", "GERENTE FARMACEUTICO")
+REVENUE_STEPS = ((104, 300), (102, 250), (100, 200))
+TICKET_STEPS = ((110, 300), (105, 250), (100, 200))
 
 
 def r2(x: str) -> str:
@@ -54,13 +65,13 @@ MONTHLY = """monthly AS (
   SELECT strftime(sold_at, '%Y-%m') AS month, branch, code, CAST(SUM(cash) AS DOUBLE) AS amount
   FROM sale GROUP BY ALL)"""
 SOLD = """sold AS (SELECT code, CAST(SUM(cash) AS DOUBLE) AS amount FROM sale GROUP BY code)"""
-ROLE_OF_CODE = case_pick([f"'{r}'" for r in retail.TITLES], "s_suppkey")
+ROLE_OF_CODE = case_pick([f"'{r}'" for r in (*ROLES, *OTHER_TITLES)], "s_suppkey")
 STAFF = f"""staff AS (
   SELECT CAST(s_nationkey AS BIGINT) AS branch, s_suppkey AS code, s_name AS name,
          {ROLE_OF_CODE} AS role FROM supplier)"""
 BASE = f"""base AS (
   SELECT CAST(branch AS VARCHAR) || CAST(code AS VARCHAR) AS id, * FROM staff
-  WHERE role IN ({text_list(vocab.COMMISSIONED_ROLES)}))"""
+  WHERE role IN ({text_list(ROLES)}))"""
 SECOND = """second AS (
   SELECT CAST(b AS VARCHAR) || CAST(code AS VARCHAR) AS id, b AS branch, code FROM (
     SELECT (branch + 1) % 25 AS b, code FROM staff WHERE code % 10 = 4
@@ -77,7 +88,7 @@ present AS (
   SELECT id, branch, code, upper(name) AS name, role FROM listed r
   WHERE NOT EXISTS (SELECT 1 FROM absent a
                     WHERE a.branch = CAST(r.branch AS VARCHAR) AND a.name = upper(r.name)))"""
-RATIO = case_pick(retail.TARGET_RATIOS, "code")
+RATIO = case_pick((0.735, 0.825, 0.915, 1.005, 1.06, 1.185), "code")
 PREVIOUS = f"""typed AS (
   SELECT code, CASE WHEN code % 11 = 0 THEN NULL WHEN code % 13 = 0 THEN 0.0
                     ELSE {r2(f"amount / ({RATIO})")} END AS target FROM sold),
@@ -103,17 +114,17 @@ def achieved(source: str) -> str:
 
 WITH_TARGET = """with_target AS (
   SELECT p.*, v.target FROM present p LEFT JOIN previous v USING (id))"""
-MANAGERS = text_list(vocab.MANAGER_ROLES)
+MANAGERS = text_list(MANAGER_ROLES)
 CHANNEL = f"""channel AS (
   SELECT branch, amount AS sales, {r2('amount * 0.4')} AS share FROM mart
-  WHERE code = {retail.CHANNEL_CODE})"""
+  WHERE code = 5)"""
 CREDITED = f"""credited AS (
   SELECT a.*, CASE WHEN a.role NOT IN ({MANAGERS}) AND c.share IS NOT NULL
               THEN {r2('coalesce(achieved, 0) + c.share')} ELSE achieved END AS achieved_app
   FROM achieved a LEFT JOIN channel c USING (branch))"""
 NO_CHANNEL = "credited AS (SELECT *, achieved AS achieved_app FROM achieved)"
 EARNED = f"""earned AS (
-  SELECT branch, code, {r2(f'amount * {retail.COMMISSION_RATE}')} AS commission FROM mart)"""
+  SELECT branch, code, {r2(f'amount * 0.013')} AS commission FROM mart)"""
 TRAINEES = """trainee AS (
   SELECT DISTINCT CAST(branch AS VARCHAR) || CAST(code AS VARCHAR) AS id FROM staff
   WHERE code % 10 = 3)"""
@@ -143,8 +154,8 @@ payout AS (
 
 
 HB_PART = f"""hb_part AS (
-  SELECT p_partkey FROM part WHERE p_type = '{retail.HB_TYPE}'
-  AND p_size NOT IN ({", ".join(map(str, retail.EXCLUDED_SIZES))}))"""
+  SELECT p_partkey FROM part WHERE p_type = 'ECONOMY'
+  AND p_size NOT IN (20, 39, 15))"""
 FIGURES = f"""figures AS (
   SELECT CAST(c_nationkey AS BIGINT) AS branch,
          CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue,
@@ -155,7 +166,7 @@ FIGURES = f"""figures AS (
          {r2('CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / COUNT(DISTINCT l_orderkey)')} AS ticket
   FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey
   GROUP BY c_nationkey)"""
-COST_OFFSET = case_pick(retail.COST_OFFSETS, "branch")
+COST_OFFSET = case_pick((2.5, 1.5, 0.5, -1.0), "branch")
 AIMED = f"""aimed AS (
   SELECT *, CASE WHEN branch = 11 THEN 0.0
             ELSE {r2('revenue / (CAST(0.98 AS DOUBLE) + CAST(0.0155 AS DOUBLE) * CAST(branch % 5 AS DOUBLE))')} END AS revenue_target,
@@ -179,12 +190,12 @@ CARD = f"""branch_earned AS (
   FROM earned WHERE branch <> 7 OR code % 2 = 0 GROUP BY branch),
 card AS (
   SELECT CAST(branch AS VARCHAR) AS branch_key,
-         {steps(reached('revenue', 'revenue_target'), vocab.REVENUE_STEPS)} AS revenue_reward,
+         {steps(reached('revenue', 'revenue_target'), REVENUE_STEPS)} AS revenue_reward,
          CAST(CASE WHEN {r2('cost / revenue * 100 - cost_target')} <= -2 THEN 300
               WHEN {r2('cost / revenue * 100 - cost_target')} <= -1 THEN 250
               WHEN {r2('cost / revenue * 100 - cost_target')} <= 0 THEN 200 END AS DOUBLE) AS cost_reward,
-         {steps(reached('hb', 'hb_target'), vocab.REVENUE_STEPS)} AS hb_reward,
-         {steps(reached('ticket', 'ticket_target'), vocab.TICKET_STEPS)} AS ticket_reward,
+         {steps(reached('hb', 'hb_target'), REVENUE_STEPS)} AS hb_reward,
+         {steps(reached('ticket', 'ticket_target'), TICKET_STEPS)} AS ticket_reward,
          {r2('''commission * CASE WHEN revenue_target = 0 OR revenue / revenue_target * 100 >= 100
                 THEN 0.1 ELSE 0.05 END''')} AS commission_reward
   FROM aimed LEFT JOIN branch_earned USING (branch)),
@@ -238,7 +249,7 @@ _HB_ROWS = f"""hb_rows AS (
   SELECT branch, code, SUM(cash) AS cash,
          CASE WHEN (branch + code) % 4 <> 0 THEN 'V' || code || '/' || branch END AS seller
   FROM sale WHERE l_partkey IN (SELECT p_partkey FROM hb_part) GROUP BY branch, code)"""
-_IGNORED = ", ".join(map(str, vocab.HB_IGNORED_CODES))
+_IGNORED = "548, 300, 3"
 _PROFILED = ("branch", "code", "cpf", "name", "title")
 
 
@@ -329,7 +340,7 @@ FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders)""",
 SELECT day, CAST(last_day(day) - day + 1 AS BIGINT) AS days_left,
   strftime(last_day(day) + 1, '%m/%Y') AS next_month
 FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders)""",
-    "reporting_period_sales": _period("1998-06-01", AS_OF),
+    "reporting_period_sales": _period("1998-06-01", "1998-06-20"),
     "reporting_period_sales_on_the_first": _period("1997-04-01", "1997-04-30"),
     "sales_by_seller": with_(SALE, SOLD) + "SELECT code, amount FROM sold",
     "sales_by_branch_seller": with_(SALE, MART) + "SELECT branch, code, amount FROM mart",
@@ -373,7 +384,7 @@ FROM monthly WHERE code NOT IN ({_IGNORED}) GROUP BY code""",
     "flatten_commissions": with_(SALE, MONTHLY)
     + f"""SELECT lpad(CAST(branch AS VARCHAR), 2, '0') AS "Filial", CAST(code AS VARCHAR) AS "Código",
 'V' || code AS "Colaborador", {br('amount')} AS "Base Comissão", '1,3' AS "% Comissão",
-{br(r2(f'amount * {retail.COMMISSION_RATE}'))} AS "Valor Comissão" FROM monthly WHERE branch % 9 <> 8""",
+{br(r2(f'amount * 0.013'))} AS "Valor Comissão" FROM monthly WHERE branch % 9 <> 8""",
     "branch_totals_report": with_(
         SALE,
         """sections AS (
@@ -474,7 +485,7 @@ amount * 2 AS amount FROM mart""",
 FROM listed l LEFT JOIN (SELECT id, any_value(target) AS target FROM kept GROUP BY id) k USING (id)""",
     "hb_products_by_brand": f"""
 SELECT p_brand, count(*) AS products FROM part
-WHERE p_type = '{retail.HB_TYPE}' AND p_size NOT IN (20, 39, 115) GROUP BY p_brand""",
+WHERE p_type = 'ECONOMY' AND p_size NOT IN (20, 39, 115) GROUP BY p_brand""",
     "active_staff_by_branch": """
 SELECT c_nationkey, count(*) AS people FROM customer WHERE c_custkey % 6 <> 0 GROUP BY c_nationkey""",
     "export_text_clean": r"""

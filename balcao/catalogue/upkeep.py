@@ -12,9 +12,11 @@ from balcao.functions import text as t
 from balcao.functions.tax_ids import check_digit
 from balcao.operators import contracts, dated_rules, lineage, people, previews, roster
 from balcao.operators.ordered import FILE
-from balcao.plans import monthly, retail
-from balcao.plans.queries import PAYOUT_COLUMNS, Query, _write_hr_folder, people_match
-from balcao.plans.retail import table
+from balcao.catalogue import retail
+from balcao.plans import monthly
+from balcao.catalogue.files import write_hr_folder
+from balcao.catalogue.queries import PAYOUT_COLUMNS, Query, people_match
+from balcao.catalogue.retail import table
 from balcao.sources import hr_files, sketches, snapshots, tabs
 from balcao.sources.ledger import Ledger, Loaded
 from balcao.sources.maintained import MaintainedSums
@@ -229,7 +231,7 @@ def people_in_order(spark: SparkSession, folder: str) -> DataFrame:
 
 def staff_in_branch_order(spark: SparkSession, folder: str) -> DataFrame:
     """The HR table as written: by branch as a number, shown as text."""
-    staff = hr_files.scan_hr_folder(spark, _write_hr_folder(spark, folder)).staff
+    staff = hr_files.scan_hr_folder(spark, write_hr_folder(spark, folder)).staff
     target = new_folder(spark, "staff")
     snapshots.write_snapshot(hr_files.hr_export(staff.orderBy("Filial")), target, "1")
     written = snapshots.latest_snapshot(spark, target, with_order=True)

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from balcao.plans.oracle import SQL as ORACLE
-from balcao.plans.oracle import (
+from balcao.catalogue.oracle import SQL as ORACLE
+from balcao.catalogue.oracle import (
     BASE,
     CHANNEL,
     CREDITED,

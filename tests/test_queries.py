@@ -3,7 +3,7 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
-from balcao.plans import catalogue
+from balcao.catalogue import all as catalogue
 from tests.conftest import SMALL
 from tools.compare import connect, differences
 
@@ -97,8 +97,8 @@ def test_large_sides_are_not_broadcast(spark):
 
 
 def test_rejected_files_hold_all_customers(spark):
-    from balcao.plans.queries import _write_bad_hr_files
+    from balcao.catalogue.files import write_bad_hr_files
 
-    lines = spark.read.option("recursiveFileLookup", True).text(_write_bad_hr_files(spark, SMALL))
+    lines = spark.read.option("recursiveFileLookup", True).text(write_bad_hr_files(spark, SMALL))
     wanted = spark.read.parquet(f"{SMALL}/customer.parquet").where("c_nationkey % 4 <> 2").count()
     assert lines.where("value like '%Customer#%'").count() == wanted > 0
