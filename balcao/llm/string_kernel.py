@@ -21,6 +21,7 @@ POWER = 2
 LONGEST = 24  # longer words are looked at through windows of this many letters
 _LETTERS = 32
 _CELLS = 1 << 21
+_AT_ONCE = 1_024  # words whose sums are worked out together: tens of MB
 
 
 _NUMBERS = bytes((c | 32) - 96 if chr(c).isascii() and chr(c).isalpha() else 0 for c in range(256))
@@ -109,8 +110,8 @@ class Landmarks:
             codes = _codes(letters.reshape(-1, length), length)
             # No landmark can be nearer than the sum of each subsequence's largest value.
             near = np.flatnonzero(self.most[codes] @ weights >= least)
-            for a in range(0, len(near), 8192):
-                some = near[a : a + 8192]
+            for a in range(0, len(near), _AT_ONCE):
+                some = near[a : a + _AT_ONCE]
                 sums = self._sums(codes[some], weights)
                 kept = sums.max(axis=1, initial=0) >= least
                 some, sums = some[kept], sums[kept]

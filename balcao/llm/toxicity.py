@@ -43,8 +43,9 @@ SIGNIFICANT = 4  # standard errors between the labels' shares of documents with
 LANDMARKS = 80  # of words that speak for toxicity; half as many that do not
 LONGEST_SENTENCE = 48  # words
 PENALTY = 1e-4
-KEPT_WORDS = 300_000  # words a task remembers, and
-KEPT_ROWS = 100_000  # of them those that resemble a landmark, about 500 bytes each
+KEPT_WORDS = 150_000  # words a task remembers, and
+KEPT_ROWS = 60_000  # of them those that resemble a landmark, about 500 bytes each
+SENTENCES = 1_024  # likeness worked out together
 ROUNDS = 5
 SURE = 0.64  # likeness to a word that speaks for toxicity, for the first guess
 
@@ -137,21 +138,28 @@ class Memory:
         return np.fromiter((places[word] for word in words), dtype=np.int64, count=len(words))
 
 
-def sentence_likeness(words: Words, memory: Memory) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers of the sentences that resemble a landmark, and their likeness to each."""
+def likeness_parts(words: Words, memory: Memory) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Numbers of the sentences that resemble a landmark, and their likeness to each, some at a time."""
     places = memory.lookup(words.distinct)[words.numbers]
     some = places >= 0
     places, sentences = places[some], words.sentences[some]
     if not len(places):
-        return sentences, memory.rows[:0]
+        return
     starts = np.flatnonzero(np.concatenate([[True], sentences[1:] != sentences[:-1]]))
-    found = np.empty((len(starts), memory.rows.shape[1]), dtype=np.float32)
     bounds = np.append(starts, len(places))
-    for a in range(0, len(starts), 4096):
-        b = min(a + 4096, len(starts))
+    for a in range(0, len(starts), SENTENCES):
+        b = min(a + SENTENCES, len(starts))
         rows = memory.rows[places[bounds[a] : bounds[b]]]
-        found[a:b] = np.maximum.reduceat(rows, starts[a:b] - bounds[a], axis=0)
-    return sentences[starts], found
+        yield sentences[starts[a:b]], np.maximum.reduceat(rows, starts[a:b] - bounds[a], axis=0)
+
+
+def sentence_likeness(words: Words, memory: Memory) -> tuple[np.ndarray, np.ndarray]:
+    """The same for all sentences at once."""
+    parts = list(likeness_parts(words, memory))
+    if not parts:
+        return np.empty(0, dtype=np.int64), memory.rows[:0]
+    numbers, alike = zip(*parts)
+    return np.concatenate(numbers), np.vstack(alike)
 
 
 @dataclass
@@ -164,9 +172,9 @@ class Model:
 
     def scores(self, texts: pa.Array, memory: Memory) -> np.ndarray:
         words = read_words(texts)
-        numbers, alike = sentence_likeness(words, memory)
         margins = np.full(len(texts), self.bias)
-        np.maximum.at(margins, words.sentence_texts[numbers], alike @ self.weights + self.bias)
+        for numbers, alike in likeness_parts(words, memory):
+            np.maximum.at(margins, words.sentence_texts[numbers], alike @ self.weights + self.bias)
         return 1 / (1 + np.exp(-np.clip(self.slope * margins + self.shift, -50, 50)))
 
 
