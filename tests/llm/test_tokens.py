@@ -8,10 +8,10 @@ import pytest
 import sentencepiece
 
 from balcao.llm import token_counts as tc
-from balcao.llm.piece_codec import PieceCodec, decode_pieces, encode_checked, encode_pieces, rebuild
+from balcao.llm.piece_codec import PieceCodec, decode_pieces, encode_checked, encode_pieces, rebuild, stays_in_words
 from balcao.llm.pretokens import distinct_words, spaced_words, sums_per_text
 from balcao.llm.queries import TOKENIZERS
-from balcao.llm.spmodel import MARKER, NORMAL, UNIGRAM, UNKNOWN, PieceModel, load_model, parse_model
+from balcao.llm.spmodel import BPE, MARKER, NORMAL, UNIGRAM, UNKNOWN, PieceModel, load_model, parse_model
 from balcao.llm.token_counts import TrieCounter, token_counts
 from tests.conftest import SMALL
 
@@ -121,7 +121,25 @@ def test_unigram_models_are_rebuilt():
 def test_long_batches_are_cut(monkeypatch):
     from balcao.llm import piece_codec
 
-    values = ["some words here"] * 50 + [""]
-    whole = list(PieceCodec(PATH).encode(values))
+    values = pa.array(["some words here"] * 50 + ["", None])
+    whole = [ids.tolist() for ids in PieceCodec(PATH).encode(values)]
     monkeypatch.setattr(piece_codec, "SLICE_CHARACTERS", 40)
-    assert list(PieceCodec(PATH).encode(values)) == whole and len(whole) == 51
+    assert [ids.tolist() for ids in PieceCodec(PATH).encode(values)] == whole and len(whole) == 52
+
+
+def test_ids_of_words_are_those_of_whole_texts(monkeypatch):
+    from balcao.llm import piece_codec
+
+    codec, judge = PieceCodec(PATH), sentencepiece.SentencePieceProcessor(model_file=PATH)
+    rng = random.Random(12)
+    values = ["".join(rng.choices(" ab▁é\n\t.☃𝄞0", k=rng.randrange(60))) for _ in range(3_000)] + ["  ", " a", "a ", "", " ▁ "]
+    values += ["nul\0in a\0 word \0", "\0"]
+    assert codec.words is not None
+    found = [ids.tolist() for ids in codec.encode(pa.array(values))]
+    assert found == judge.encode(values) == [codec.encode_whole(v).tolist() for v in values]
+    back = codec.decode(found)
+    assert [right for _, right in codec.encode_and_back(pa.array(values))] == [b == v for b, v in zip(back, values)]
+    monkeypatch.setattr(piece_codec, "KEPT_BYTES", 1_000)
+    assert [ids.tolist() for v in range(0, 300, 50) for ids in codec.encode(pa.array(values[v : v + 50]))] == found[:300]
+    reaching = PieceModel([*codec.model.pieces, ("a▁b", -1.0, NORMAL)], BPE, True)
+    assert not stays_in_words(reaching) and not stays_in_words(PieceModel(codec.model.pieces, BPE, character_map=b"x"))
