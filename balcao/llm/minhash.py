@@ -10,11 +10,13 @@ merged: pairs are skipped whose sizes are too far apart, the others' collisions
 and those with too few fall away.
 
 Only connections are wanted, so pairs of nodes that are already connected are skipped too.
-Candidates are confirmed on the full sets in rounds: first each node's best few partners,
-then more of them, only between different components, at last all that are left. No round
-drops a candidate that could still connect two components. Nodes of values with many of them
-are dealt into blocks, and each pair of blocks is a group that compares across: nodes of the
-value's largest component, which need not meet each other, have blocks of their own.
+Candidates are confirmed on the full sets, each node's best few partners under a value first.
+Values whose nodes have more candidates than that, or are too many to meet at once, stay open.
+Their nodes meet again with their whole sets, dealt into blocks of bounded size: each pair of
+blocks is a group that compares across, confirms what is still unconnected right there, and
+returns a spanning forest of the links it finds, fewer rows than nodes. Nodes of the value's
+largest component, which need not meet each other, have blocks of their own. No candidate that
+could connect two components is left out.
 
 Null texts count as empty; empty texts are linked with nothing. Rows that share an id count
 each on their own; where all ids of a component are null its id is null. An empty table gives
@@ -41,7 +43,9 @@ SIGMAS = 4.2  # standard deviations below the mean that collisions of a linked p
 _NOTHING = 1 << 40  # above every 32-bit hash of a key
 BLOCK_NODES = 2_000  # nodes of one value in a block, on average; two blocks are compared at a time
 BUCKET_POSTINGS = 20_000  # postings worked on in one call, on average
-ROUNDS = (2, 8, 64, None)  # best partners of a node confirmed in a round; None: all
+BEST = 2  # partners of a node under one value that are confirmed first
+NODE_SHINGLES = 500  # as many weigh as much as one node, when sets are dealt into blocks
+BUCKET_WEIGHT = 4_000  # of nodes with their sets worked on in one call, on average
 
 
 def matches_for(least_percent: int) -> int:
@@ -119,6 +123,8 @@ def prefix_postings(nodes: DataFrame, matches: int) -> DataFrame:
 def _blocks(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
     """``postings`` with ``label``, the ``block`` (a pair of blocks of their key) and ``side``.
 
+    Nodes with a ``weight`` fill blocks of ``BLOCK_NODES`` by it; without, each counts as one.
+
     Nodes of a block pair are compared if their sides differ; side 0 is compared with itself.
     So every two nodes of a key meet once, but for those of its largest component. In the first
     round, when nothing is known of components, blocks are only compared inside.
@@ -130,7 +136,8 @@ def _blocks(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
         labelled = postings.join(labels, "node", "left").withColumn(
             "label", F.coalesce("label", "node")
         )
-        by_label = labelled.groupBy("key", "label").agg(F.count("*").alias("n"))
+        weight = F.sum("weight") if "weight" in postings.columns else F.count("*")
+        by_label = labelled.groupBy("key", "label").agg(weight.alias("n"))
         sizes = by_label.groupBy("key").agg(
             F.sum("n").alias("size"),
             F.max(F.struct("n", "label")).alias("main"),
@@ -187,30 +194,34 @@ def _across(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return (left != right) | (left == 0)
 
 
+def _candidates(
+    values: np.ndarray, sizes: np.ndarray, labels: np.ndarray, sides: np.ndarray, first: int, least_percent: int
+) -> np.ndarray:
+    """Collisions of a few nodes from ``first`` on with all of a group; 0 for what cannot be a new link."""
+    some = slice(first, first + 64)
+    alike = _collisions(values[some, None, :], values[None, :, :])
+    small = np.minimum(sizes[some, None], sizes[None, :])
+    large = np.maximum(sizes[some, None], sizes[None, :])
+    apart = (labels[some, None] != labels[None, :]) & (100 * small >= least_percent * large)
+    apart &= _across(sides[some, None], sides[None, :])
+    return np.where(apart & (alike >= matches_for(least_percent)), alike, 0)
+
+
 def _partners_in_group(
-    values: np.ndarray, sizes: np.ndarray, labels: np.ndarray, sides: np.ndarray, posted: np.ndarray, key: int, most: int | None, least_percent: int
+    values: np.ndarray, sizes: np.ndarray, labels: np.ndarray, sides: np.ndarray, posted: np.ndarray, key: int, least_percent: int
 ) -> tuple[np.ndarray, np.ndarray, bool]:
-    """Places of the candidate pairs of one group, and whether some were left for later.
+    """Places of the best candidate pairs of one group, and whether there are more.
 
     Only pairs that meet here first, so that a pair is not found once for each common key.
     """
     left, right, more = [], [], False
-    place = np.arange(len(values))
     for first in range(0, len(values), 64):
-        some = slice(first, first + 64)
-        alike = _collisions(values[some, None, :], values[None, :, :])
-        small = np.minimum(sizes[some, None], sizes[None, :])
-        large = np.maximum(sizes[some, None], sizes[None, :])
-        apart = (labels[some, None] != labels[None, :]) & (100 * small >= least_percent * large)
-        apart &= _across(sides[some, None], sides[None, :])
-        alike = np.where(apart & (alike >= matches_for(least_percent)), alike, 0)
-        if most is None:
-            alike = np.where(place[None, :] > place[some, None], alike, 0)
-        elif alike.shape[1] > most:
+        alike = _candidates(values, sizes, labels, sides, first, least_percent)
+        if alike.shape[1] > BEST:
             # Ties at the limit: the first ones, as many as are wanted.
             rank = np.argsort(np.argsort(-alike, axis=1, kind="stable"), axis=1, kind="stable")
-            more = more or bool(((alike > 0) & (rank >= most)).any())
-            alike = np.where(rank < most, alike, 0)
+            more = more or bool(((alike > 0) & (rank >= BEST)).any())
+            alike = np.where(rank < BEST, alike, 0)
         i, j = np.nonzero(alike)
         here = _first_meeting(posted[i + first], posted[j], key)
         left.append(i[here] + first)
@@ -220,65 +231,144 @@ def _partners_in_group(
     return pairs // len(values), pairs % len(values), more
 
 
-def _best_partners(most: int | None, least_percent: int):
-    """Candidate pairs of a bucket of groups: each node's best partners in other components.
+class _Bucket:
+    """Postings of a bucket in order, group after group (key and block)."""
 
-    ``more`` says that the round leaves candidates for later ones.
-    """
-
-    def pairs(table: pa.Table) -> pa.Table:
+    def __init__(self, table: pa.Table):
         keys, blocks = np.asarray(table.column("key")), np.asarray(table.column("block"))
         nodes = np.asarray(table.column("node"))
         order = np.lexsort((nodes, blocks, keys))
-        keys, blocks, nodes = keys[order], blocks[order], nodes[order]
-        labels = np.asarray(table.column("label"))[order]
-        sides = np.asarray(table.column("side"))[order]
-        sizes = np.asarray(table.column("n_shingles"))[order]
-        key_hashes = np.asarray(table.column("key_hash")).astype(np.int64)[order]
+        self.order, self.keys, self.nodes, blocks = order, keys[order], nodes[order], blocks[order]
+        self.labels = np.asarray(table.column("label"))[order]
+        self.sides = np.asarray(table.column("side"))[order]
+        self.sizes = np.asarray(table.column("n_shingles"))[order]
+        self.key_hashes = np.asarray(table.column("key_hash")).astype(np.int64)[order]
         lists = table.column("posted").combine_chunks()
-        owners = np.repeat(np.arange(len(lists)), np.asarray(lists.value_lengths()))
-        places = np.arange(len(owners)) - np.repeat(np.asarray(lists.offsets)[:-1] - lists.offsets[0].as_py(), np.asarray(lists.value_lengths()))
+        lengths = np.asarray(lists.value_lengths())
+        owners = np.repeat(np.arange(len(lists)), lengths)
+        places = np.arange(len(owners)) - np.repeat(np.asarray(lists.offsets)[:-1] - lists.offsets[0].as_py(), lengths)
         posted = np.full((len(lists), int(places.max()) + 1), _NOTHING, dtype=np.int64)
         posted[owners, places] = np.asarray(lists.flatten())
-        posted = posted[order]
+        self.posted = posted[order]
         short = table.column("short").to_pylist()
-        values = np.frombuffer(b"".join(short[i] for i in order), dtype=np.uint8).reshape(len(nodes), -1)
-        opens = np.flatnonzero(
-            np.concatenate([[True], (keys[1:] != keys[:-1]) | (blocks[1:] != blocks[:-1])])
+        self.values = np.frombuffer(b"".join(short[i] for i in order), dtype=np.uint8).reshape(len(order), -1)
+        self.opens = np.flatnonzero(
+            np.concatenate([[True], (self.keys[1:] != self.keys[:-1]) | (blocks[1:] != blocks[:-1])])
         )
-        counts = np.diff(np.append(opens, len(nodes)))
+        self.counts = np.diff(np.append(self.opens, len(order)))
+
+
+_FOUND = "x bigint, y bigint, open bigint"
+
+
+def _best_partners(least_percent: int):
+    """Candidate pairs of a bucket of groups: each node's best partners in other components.
+
+    A row with an ``open`` key in place of a pair says that the key has more candidates.
+    """
+
+    def pairs(table: pa.Table) -> pa.Table:
+        b = _Bucket(table)
         # Most groups are of two: all at once.
-        twos = opens[counts == 2]
-        small = np.minimum(sizes[twos], sizes[twos + 1])
-        near = (labels[twos] != labels[twos + 1]) & (
-            100 * small >= least_percent * np.maximum(sizes[twos], sizes[twos + 1])
+        twos = b.opens[b.counts == 2]
+        small = np.minimum(b.sizes[twos], b.sizes[twos + 1])
+        near = (b.labels[twos] != b.labels[twos + 1]) & (
+            100 * small >= least_percent * np.maximum(b.sizes[twos], b.sizes[twos + 1])
         )
-        near &= _across(sides[twos], sides[twos + 1])
-        near &= _collisions(values[twos], values[twos + 1]) >= matches_for(least_percent)
+        near &= _across(b.sides[twos], b.sides[twos + 1])
+        near &= _collisions(b.values[twos], b.values[twos + 1]) >= matches_for(least_percent)
         twos = twos[near]
-        twos = twos[_first_meeting(posted[twos], posted[twos + 1], key_hashes[twos])]
-        left, right = [nodes[twos]], [nodes[twos + 1]]
-        later = [np.zeros(len(twos), dtype=bool)]
-        for first, count in zip(opens[counts > 2].tolist(), counts[counts > 2].tolist()):
+        twos = twos[_first_meeting(b.posted[twos], b.posted[twos + 1], b.key_hashes[twos])]
+        left, right, open_keys = [b.nodes[twos]], [b.nodes[twos + 1]], []
+        for first, count in zip(b.opens[b.counts > 2].tolist(), b.counts[b.counts > 2].tolist()):
             group = slice(first, first + count)
             i, j, more = _partners_in_group(
-                values[group], sizes[group], labels[group], sides[group], posted[group], int(key_hashes[first]), most, least_percent
-            )
-            left.append(nodes[first + i])
-            right.append(nodes[first + j])
-            later.append(np.zeros(len(i), dtype=bool))
-            if more:  # said by a pair of no nodes
-                left.append(np.zeros(1, dtype=np.int64))
-                right.append(np.zeros(1, dtype=np.int64))
-                later.append(np.ones(1, dtype=bool))
-        a, b = np.concatenate(left), np.concatenate(right)
-        found = pd.DataFrame({"x": np.minimum(a, b), "y": np.maximum(a, b), "more": np.concatenate(later)})
-        found = found.groupby(["x", "y"], as_index=False)["more"].any()
-        return pa.Table.from_pandas(found.astype({"more": bool}), preserve_index=False)
+                b.values[group], b.sizes[group], b.labels[group], b.sides[group], b.posted[group],
+                int(b.key_hashes[first]), least_percent,
+            )
+            left.append(b.nodes[first + i])
+            right.append(b.nodes[first + j])
+            if more:
+                open_keys.append(int(b.keys[first]))
+        one, other = np.concatenate(left), np.concatenate(right)
+        found = pd.DataFrame({"x": np.minimum(one, other), "y": np.maximum(one, other)}).drop_duplicates()
+        marks = pa.nulls(len(open_keys), pa.int64())
+        return pa.table(
+            {
+                "x": pa.concat_arrays([pa.array(found["x"].to_numpy(), pa.int64()), marks]),
+                "y": pa.concat_arrays([pa.array(found["y"].to_numpy(), pa.int64()), marks]),
+                "open": pa.concat_arrays([pa.nulls(len(found), pa.int64()), pa.array(open_keys, pa.int64())]),
+            }
+        )
 
     return pairs
 
 
+def _reaches(a: np.ndarray, b: np.ndarray, least_percent: int) -> bool:
+    """Whether two sets of sorted hashes are as similar as is wanted."""
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * common >= least_percent * (len(a) + len(b) - common)
+
+
+class _Sets:
+    """Sets of a group, one of which can be compared with all others at once."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sets = sets
+        self.sizes = np.array([len(s) for s in sets], dtype=np.int64)
+        self.total = int(self.sizes.sum())
+        self.numbers: np.ndarray | None = None
+
+    def reached(self, one: int, others: np.ndarray, least_percent: int) -> Iterator[int]:
+        """Those of ``others`` that are similar to ``one``, when asked for."""
+        if len(others) * self.sizes[one] < self.total // 8:
+            yield from (int(k) for k in others if _reaches(self.sets[one], self.sets[k], least_percent))
+            return
+        if self.numbers is None:
+            self.numbers = np.unique(np.concatenate(self.sets), return_inverse=True)[1].astype(np.int32)
+            self.starts = np.cumsum(self.sizes) - self.sizes
+            self.has = np.zeros(int(self.numbers.max()) + 1, dtype=bool)
+        own = self.numbers[self.starts[one] : self.starts[one] + self.sizes[one]]
+        self.has[own] = True
+        common = np.add.reduceat(self.has[self.numbers], self.starts, dtype=np.int64)[others]
+        self.has[own] = False
+        together = self.sizes[one] + self.sizes[others] - common
+        yield from others[100 * common >= least_percent * together].tolist()
+
+
+def _forest_of_links(least_percent: int):
+    """Links of a bucket of groups that connect what was not connected, as a spanning forest of each group."""
+
+    def links(table: pa.Table) -> pa.Table:
+        b = _Bucket(table)
+        members = table.column("members").to_pylist()
+        sets = [np.frombuffer(members[i], dtype=np.uint64) for i in b.order.tolist()]
+        found: list[tuple[int, int]] = []
+        for first, count in zip(b.opens.tolist(), b.counts.tolist()):
+            group, own = slice(first, first + count), _Sets(sets[first : first + count])
+            labels = np.unique(b.labels[group], return_inverse=True)[1]
+            parent = np.arange(labels.max() + 1)  # of components known before or found here
+            for at in range(0, count, 64):
+                alike = _candidates(b.values[group], b.sizes[group], parent[labels], b.sides[group], at, least_percent)
+                i, j = np.nonzero(np.triu(alike, at + 1))
+                here = _first_meeting(b.posted[first + at + i], b.posted[first + j], int(b.key_hashes[first]))
+                i, j = i[here], j[here]
+                for row in np.unique(i).tolist():
+                    one, others = at + row, j[i == row]
+                    # The likeliest first: what they connect need not be looked at again.
+                    others = others[np.argsort(-alike[row, others], kind="stable")]
+                    others = others[parent[labels[others]] != parent[labels[one]]]
+                    for other in own.reached(one, others, least_percent):
+                        low, high = parent[labels[one]], parent[labels[other]]
+                        if low != high:
+                            parent[parent == high] = low
+                            found.append((int(b.nodes[first + one]), int(b.nodes[first + other])))
+        u, v = zip(*found) if found else ((), ())
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+    return links
+
+
 def _confirm(least_percent: int):
     """Which pairs reach the similarity on their full sets."""
 
@@ -287,8 +377,7 @@ def _confirm(least_percent: int):
             kept = []
             for a, b in zip(batch["set_x"], batch["set_y"]):
                 a, b = np.frombuffer(a, dtype=np.uint64), np.frombuffer(b, dtype=np.uint64)
-                common = len(np.intersect1d(a, b, assume_unique=True))
-                kept.append(100 * common >= least_percent * (len(a) + len(b) - common))
+                kept.append(_reaches(a, b, least_percent))
             yield batch.loc[:, ["x", "y"]].assign(linked=np.array(kept, dtype=bool))
 
     return confirm
@@ -331,67 +420,64 @@ def link_nodes(
         .select("node", "s.*"),
         "nodes",
     )
-    postings = staged(prefix_postings(nodes, matches_for(least_percent)), "postings")
-    wanted = postings.select("node").distinct()
+    posted = staged(prefix_postings(nodes, matches_for(least_percent)), "postings")
+    wanted = posted.select("node").distinct()
     short = F.transform("signature", lambda v: F.lpad(F.hex(v.bitwiseAND(F.lit(255))), 2, "0"))
     known = nodes.join(wanted, "node").select(
         "node", "doc_id", "n_shingles", F.unhex(F.array_join(short, "")).alias("short")
     )
     known = staged(known, "known")
-    postings = postings.join(known.select("node", "n_shingles", "short"), "node")
-    # A node goes to about as many pairs of blocks as its key has blocks.
-    dealt = postings.groupBy("key").count().agg(
-        F.sum(F.col("count") * F.ceil(F.col("count") / BLOCK_NODES)).alias("rows"), F.max("count").alias("most")
-    ).first()
-    buckets = max(1, (dealt.rows or 0) // BUCKET_POSTINGS)
-    has_split = (dealt.most or 0) > BLOCK_NODES
-    sets = None
-    labels, links, failed = None, None, None
-    for most in ROUNDS:
-        bucket = F.pmod(F.xxhash64("key", "block"), F.lit(buckets))
-        found = (
-            _blocks(postings, labels)
-            .withColumn("bucket", bucket)
-            .select("bucket", "key", F.hash("key").alias("key_hash"), "block", "side", "node", "label", "n_shingles", "short", "posted")
+    postings = posted.join(known.select("node", "n_shingles", "short"), "node")
+    buckets = max(1, posted.count() // BUCKET_POSTINGS)
+    columns = ["key", F.hash("key").alias("key_hash"), "block", "side", "node", "label", "n_shingles", "short", "posted"]
+    found = (
+        _blocks(postings, None)
+        .select(F.pmod(F.xxhash64("key", "block"), F.lit(buckets)).alias("bucket"), *columns)
+        .groupBy("bucket")
+        .applyInArrow(_best_partners(least_percent), _FOUND)
+    )
+    found = staged(found.distinct(), "pairs")
+    pairs = found.where("open is null").select("x", "y")
+    # Blocks of a value with many nodes have not met each other yet.
+    split = posted.groupBy("key").count().where(F.col("count") > BLOCK_NODES).select("key")
+    open_keys = staged(found.where("open is not null").select(F.col("open").alias("key")).union(split).distinct(), "open")
+    if pairs.isEmpty() and open_keys.isEmpty():
+        return None
+    sets = staged(_candidate_sets(docs, known.select("node", "doc_id"), width), "sets")
+    both = pairs.join(sets.select(F.col("node").alias("x"), F.col("members").alias("set_x")), "x").join(
+        sets.select(F.col("node").alias("y"), F.col("members").alias("set_y")), "y"
+    )
+    judged = both.select("x", "y", "set_x", "set_y").mapInPandas(
+        _confirm(least_percent), "x bigint, y bigint, linked boolean"
+    )
+    links = judged.where("linked").select(F.col("x").alias("u"), F.col("y").alias("v"))
+    labels = staged(components(links).select("node", "label"), "labels")
+    if not open_keys.isEmpty():
+        meeting = posted.join(open_keys, "key", "left_semi").join(known.select("node", "n_shingles"), "node")
+        again = staged(_meeting_again(meeting, labels), "dealt")
+        weight = again.agg(F.sum("weight")).first()[0] or 0
+        bucket = F.pmod(F.xxhash64("key", "block"), F.lit(max(1, weight // BUCKET_WEIGHT)))
+        more = (
+            again.join(known.select("node", "short"), "node")
+            .join(posted.select("node", "posted").dropDuplicates(["node"]), "node")
+            .join(sets, "node")
+            .select(bucket.alias("bucket"), *columns, "members")
             .groupBy("bucket")
-            .applyInArrow(_best_partners(most, least_percent), "x bigint, y bigint, more boolean")
-        )
-        pairs = staged(found.groupBy("x", "y").agg(F.max("more").alias("more")), "pairs")
-        more = (has_split and labels is None) or not pairs.where("more").isEmpty()
-        pairs = pairs.where("x <> y")
-        if failed is not None:
-            pairs = staged(pairs.join(failed, ["x", "y"], "left_anti"), "pairs")
-        if pairs.isEmpty():
-            if not more:
-                break
-            if labels is None:  # nothing is linked yet, but not all blocks have met
-                labels = nodes.select("node", F.col("node").alias("label")).where("false")
-            continue
-        if sets is None:
-            sets = staged(_candidate_sets(docs, known.select("node", "doc_id"), width), "sets")
-        both = pairs.join(sets.select(F.col("node").alias("x"), F.col("members").alias("set_x")), "x").join(
-            sets.select(F.col("node").alias("y"), F.col("members").alias("set_y")), "y"
-        )
-        judged = staged(
-            both.select("x", "y", "set_x", "set_y").mapInPandas(
-                _confirm(least_percent), "x bigint, y bigint, linked boolean"
-            ),
-            "judged",
-        )
-        new = judged.where("linked").select(F.col("x").alias("u"), F.col("y").alias("v"))
-        links = new if links is None else links.unionByName(new)
-        wrong = judged.where(~F.col("linked")).select("x", "y")
-        failed = wrong if failed is None else failed.unionByName(wrong)
-        labels = staged(
-            components(links).select("node", "label"), "labels"
+            .applyInArrow(_forest_of_links(least_percent), "u bigint, v bigint")
         )
         # What is known of a component is one edge for each node.
-        links = labels.where("node <> label").select(F.col("node").alias("u"), F.col("label").alias("v"))
-        if not more:
-            break
+        edges = labels.where("node <> label").select(F.col("node").alias("u"), F.col("label").alias("v"))
+        labels = staged(components(edges.unionByName(more)).select("node", "label"), "labels")
     return labels
 
 
+def _meeting_again(postings: DataFrame, labels: DataFrame) -> DataFrame:
+    """Where nodes meet with their sets: a few numbers for each meeting."""
+    heavy = (1 + F.floor(F.col("n_shingles") / NODE_SHINGLES)).cast("bigint")
+    kept = postings.select("key", "node", "n_shingles", heavy.alias("weight"))
+    return _blocks(kept, labels).select("key", "block", "side", "node", "label", "n_shingles", "weight")
+
+
 def near_duplicates(
     docs: DataFrame,
     width: int = 5,

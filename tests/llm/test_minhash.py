@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from balcao.llm import minhash
@@ -116,3 +117,38 @@ def test_boilerplate_below_the_limit(frame, monkeypatch):
     texts += [" ".join(shared + [f"own{i}x{j}" for j in range(13)] + [f"new{i}"]) for i in rng.sample(range(60), 9)]
     rows = list(enumerate(texts))
     assert found(near_duplicates(frame("doc_id bigint, text string", *rows), width=3)) == expected(rows, 3, 85)
+
+
+@pytest.mark.parametrize("block", [2_000, 60])
+def test_many_texts_around_the_limit(frame, monkeypatch, block):
+    """A family of which few pairs are linked: all its pairs are looked at, few rows come out."""
+    monkeypatch.setattr(minhash, "BLOCK_NODES", block)
+    edges = []
+
+    def counted(links):
+        edges.append(links.select("u", "v").distinct().count())
+        return components(links)
+
+    monkeypatch.setattr(minhash, "components", counted)
+    rng = random.Random(21)
+    shared = [f"b{i}" for i in range(100)]
+    texts = []
+    for i in range(500):
+        words = list(shared)
+        for _ in range(rng.choice([2, 2, 3, 3, 4])):
+            words[rng.randrange(100)] = f"own{i}x{rng.randrange(10**6)}"
+        texts.append(" ".join(words))
+    rows = list(enumerate(texts))
+    wanted = expected(rows, 3, 85)
+    assert found(near_duplicates(frame("doc_id bigint, text string", *rows), width=3)) == wanted
+    assert 1 < len({w[2] for w in wanted}) < 500 and sum(edges) < 40 * len(texts)
+
+
+def test_sets_are_compared_with_many_as_with_one():
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 60, rng.integers(1, 50)).astype(np.uint64)) for _ in range(80)]
+    for percent in (50, 85):
+        own = minhash._Sets(sets)
+        for one in range(80):
+            for others in (np.arange(80), np.array([one, 3])):
+                assert list(own.reached(one, others, percent)) == [k for k in others if minhash._reaches(sets[one], sets[k], percent)]
