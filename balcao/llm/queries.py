@@ -7,18 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-TOKENIZERS = "/opt/tokenizers"
-
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    """Where the file of a public tokenizer lies, on every executor."""
+    from public_tokenizers import path
+
+    return path(name)
+
+
 def op1_harmonic_packing(spark: SparkSession, folder: str) -> DataFrame:
     from balcao.llm.packing import pack_documents
 
     docs = table(spark, folder, "documents")
-    return pack_documents(docs, f"{TOKENIZERS}/word_bpe_49k.json", last_id=1)
+    return pack_documents(docs, tokenizer_path("word_bpe_49k.json"), last_id=1)
 
 
 def op2_multiset_hash(spark: SparkSession, folder: str) -> DataFrame:
@@ -60,7 +65,7 @@ def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     from balcao.llm.token_counts import token_counts
 
-    return token_counts(table(spark, folder, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model")
+    return token_counts(table(spark, folder, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
@@ -72,7 +77,7 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def op10_piece_codec(spark: SparkSession, folder: str) -> DataFrame:
     from balcao.llm.piece_codec import encode_checked
 
-    return encode_checked(table(spark, folder, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model")
+    return encode_checked(table(spark, folder, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
 def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from balcao.llm.minhash import near_duplicates
 from balcao.llm.packing import pack_documents
-from balcao.llm.queries import TOKENIZERS, table
+from balcao.llm.queries import table, tokenizer_path
 from balcao.llm.secrets import without_secrets
 from balcao.llm.suffix_dedup import without_repeats
 from balcao.llm.toxicity import PREDICT_AT, toxicity_scores
@@ -83,7 +83,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences for training: one row per piece of a document."""
-    return pack_documents(docs, f"{TOKENIZERS}/word_bpe_49k.json", last_id=1)
+    return pack_documents(docs, tokenizer_path("word_bpe_49k.json"), last_id=1)
 
 
 STAGES: list[tuple[str, Stage]] = [

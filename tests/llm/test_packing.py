@@ -7,10 +7,10 @@ import pytest
 from tokenizers import Tokenizer
 
 from balcao.llm.packing import CAPACITY, cut_lengths, pack_documents, piece_class
-from balcao.llm.queries import TOKENIZERS
+from balcao.llm.queries import tokenizer_path
 from tests.conftest import SMALL
 
-PATH = f"{TOKENIZERS}/word_bpe_49k.json"
+PATH = tokenizer_path("word_bpe_49k.json")
 
 
 def texts():

@@ -10,12 +10,12 @@ import sentencepiece
 from balcao.llm import token_counts as tc
 from balcao.llm.piece_codec import PieceCodec, decode_pieces, encode_checked, encode_pieces, rebuild, stays_in_words
 from balcao.llm.pretokens import distinct_words, spaced_words, sums_per_text
-from balcao.llm.queries import TOKENIZERS
+from balcao.llm.queries import tokenizer_path
 from balcao.llm.spmodel import BPE, MARKER, NORMAL, UNIGRAM, UNKNOWN, PieceModel, load_model, parse_model
 from balcao.llm.token_counts import TrieCounter, token_counts
 from tests.conftest import SMALL
 
-PATH = f"{TOKENIZERS}/piece_bpe_32k.model"
+PATH = tokenizer_path("piece_bpe_32k.model")
 
 
 def texts():
