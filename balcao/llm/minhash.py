@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from balcao.llm.components import components
+from balcao.llm.membership import likely_members
 from balcao.llm.shingle_sets import set_ids, shingle_sets
 from balcao.llm.word_ids import slices
 from balcao.sources.staging import staged
@@ -385,7 +386,7 @@ def _confirm(least_percent: int):
 
 def _candidate_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """``node`` and ``members`` (sorted hashes) of the nodes of ``wanted`` (node, doc_id)."""
-    rows = docs.select("doc_id", "text").join(
+    rows = likely_members(docs.select("doc_id", "text"), "doc_id", wanted, "doc_id").join(
         wanted.select(F.col("doc_id").alias("wanted_id"), F.col("node").alias("wanted_node")),
         F.col("doc_id").eqNullSafe(F.col("wanted_id")),
     )
