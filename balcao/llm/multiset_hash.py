@@ -5,11 +5,13 @@ paragraphs' vectors. So the order of paragraphs does not matter, a paragraph is
 taken out by adding or subtracting its vector, and equal multisets are told by equal sums.
 
 The vector has two parts. ``EXACT_LANES`` lanes hold a hash of the whole paragraph, and
-decide equality. ``LIKENESS_LANES`` lanes hold the sum of the hashes of the paragraph's
-blocks of ``BLOCK_CHARACTERS`` characters, so that paragraphs which differ in one place are
-still close: the squared distance of two such sums grows with the blocks only one has. All
-lanes count modulo ``2 ** LANE_BITS``; two are kept in one 64-bit word, with a spare bit each,
-so that a sum of words never overflows.
+decide equality; they count modulo ``2 ** LANE_BITS``, two to a 64-bit word, with a spare bit
+each, so that a sum of words never overflows. ``LIKENESS_LANES`` lanes hold the sum of one bit
+each of the hashes of the paragraph's blocks, modulo ``2 ** 14`` and four to a word, so that
+paragraphs which differ in one place are still close: the squared distance of two such sums
+grows with the blocks only one has. A block ends behind a word whose hash is a multiple of
+``BLOCK_WORDS``, or with its paragraph, wherever it stands: what is put in or taken out changes
+the blocks it touches and no others.
 
 Only column functions are used, and each text is worked on in its own row. Paragraphs end at
 line feeds; blank ones count for nothing. Null texts count as empty, whose fingerprint is all
@@ -18,39 +20,50 @@ zeros. Neighbours of repeated ids are told apart by the text's hash.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from balcao.llm.spans import let
 
 EXACT_LANES = 16
-LIKENESS_LANES = 64
-BLOCK_CHARACTERS = 48
+LIKENESS_LANES = 240
+BLOCK_WORDS = 8  # on average
 LANE_BITS = 30
-RANGES = 512  # neighbours are looked up in this many ranges of ids at most
-ROWS_PER_RANGE = 4_000
+QUANTILES = 512  # of the ids, at most; ranges between them are cut evenly
+ROWS_PER_RANGE = 4_000  # neighbours are looked up in ranges of about so many rows
 
 _EXACT_WORDS = EXACT_LANES // 2
-_LIKENESS_WORDS = LIKENESS_LANES // 2
 _LOW = (1 << LANE_BITS) - 1
 _HIGH_AT = LANE_BITS + 1
 _MASK = _LOW | (_LOW << _HIGH_AT)
-_ENTRY = 0xFFFF  # likeness entries are 16 bits, half their range is taken off when read
-_PAIR = _ENTRY | (_ENTRY << _HIGH_AT)
+_LIKENESS_WORDS = LIKENESS_LANES // 4
+_SHARE = 15  # words that take their bits from one hash, and binary digits from lane to lane
+_COUNTS = 14  # binary digits of a likeness lane; the one above is spare
+_STARTS = tuple(range(0, 60, _SHARE))
+_ENTRY = sum(1 << at for at in _STARTS)
+_FOUR = ((1 << _COUNTS) - 1) * _ENTRY
+_SPARE = (1 << _COUNTS) * _ENTRY
 
 
 def _numbers(count: int) -> Column:
     return F.array(*[F.lit(i) for i in range(count)])
 
 
-def _add(a: Column, b: Column) -> Column:
-    return F.zip_with(a, b, lambda x, y: (x + y).bitwiseAND(F.lit(_MASK)))
-
-
 def _zeros(count: int) -> Column:
     return F.array(*[F.lit(0).cast("bigint")] * count)
 
 
+def _parts(vector: Column) -> tuple[Column, Column, Column]:
+    """Blocks counted, likeness words, exact words."""
+    return (
+        F.slice(vector, 1, 1),
+        F.slice(vector, 2, _LIKENESS_WORDS),
+        F.slice(vector, 2 + _LIKENESS_WORDS, _EXACT_WORDS),
+    )
+
+
 def paragraphs(text: Column) -> Column:
     return F.filter(F.split(text, "\n", -1), lambda p: p != "")
 
@@ -67,19 +80,31 @@ def _exact(text: Column) -> Column:
     return F.aggregate(paragraphs(text), _zeros(_EXACT_WORDS), add)
 
 
+def _blocks(text: Column) -> Column:
+    """Runs of words up to one whose hash says so; none goes on behind a line feed."""
+    ends = F.transform(
+        F.split(text, " ", -1),
+        lambda word: F.concat(word, F.when(F.xxhash64(word) % BLOCK_WORDS == 0, "\n").otherwise(" ")),
+    )
+    # The last word has no space behind it in the text.
+    runs = F.split(F.regexp_replace(F.array_join(ends, ""), "[ \n]\\z", ""), "\n", -1)
+    return F.filter(runs, lambda run: run != "")
+
+
 def _likeness(text: Column) -> Column:
-    """Number of blocks, then the sum of the blocks' hashes."""
-
-    def add(total: Column, block: Column) -> Column:
-        return F.transform(
-            total,
-            lambda t, i: F.when(i == 0, t + 1).otherwise(
-                (t + F.xxhash64(i, block).bitwiseAND(F.lit(_PAIR))).bitwiseAND(F.lit(_MASK))
-            ),
-        )
+    """Number of blocks, then the sum of their hashes' bits."""
+    seeds = range(_LIKENESS_WORDS // _SHARE)
+    hashed = F.transform(_blocks(text), lambda block: F.array(*[F.xxhash64(F.lit(s), block) for s in seeds]))
 
-    blocks = F.regexp_extract_all(text, F.lit("[^\n]{1,%d}" % BLOCK_CHARACTERS), F.lit(0))
-    return F.aggregate(blocks, _zeros(1 + _LIKENESS_WORDS), add)
+    def add(total: Column, hashes: Column) -> Column:
+        def lanes(word: Column, i: Column) -> Column:
+            own = F.get(hashes, F.floor((i - 1) / _SHARE).cast("int"))
+            entry = F.call_function("shiftrightunsigned", own, (i - 1) % _SHARE).bitwiseAND(F.lit(_ENTRY))
+            return F.when(i == 0, word + 1).otherwise((word + entry).bitwiseAND(F.lit(_FOUR)))
+
+        return F.transform(total, lanes)
+
+    return F.aggregate(hashed, _zeros(1 + _LIKENESS_WORDS), add)
 
 
 def multiset_vector(text: Column) -> Column:
@@ -88,16 +113,30 @@ def multiset_vector(text: Column) -> Column:
     return F.concat(_likeness(text), _exact(text))
 
 
+def _masked(mask: int):
+    return lambda x, y: (x + y).bitwiseAND(F.lit(mask))
+
+
 def combined(a: Column, b: Column) -> Column:
     """Fingerprint of the texts of ``a`` and ``b`` together."""
-    return _add(a, b)
+    (count, near, exact), (count_b, near_b, exact_b) = _parts(a), _parts(b)
+    return F.concat(
+        F.zip_with(count, count_b, lambda x, y: x + y),
+        F.zip_with(near, near_b, _masked(_FOUR)),
+        F.zip_with(exact, exact_b, _masked(_MASK)),
+    )
 
 
 def without(a: Column, b: Column) -> Column:
     """Fingerprint of ``a`` after the paragraphs of ``b`` are taken out."""
     spare = (1 << LANE_BITS) | (1 << (LANE_BITS + _HIGH_AT))
-    return F.zip_with(
-        a, b, lambda x, y: (x.bitwiseOR(F.lit(spare)) - y).bitwiseAND(F.lit(_MASK))
+    (count, near, exact), (count_b, near_b, exact_b) = _parts(a), _parts(b)
+    # A spare bit set before gives what a lane would borrow.
+    less = F.zip_with(near, near_b, lambda x, y: x.bitwiseOR(F.lit(_SPARE)) - y)
+    return F.concat(
+        F.zip_with(count, count_b, lambda x, y: x - y),
+        F.transform(less, lambda x: x.bitwiseAND(F.lit(_FOUR))),
+        F.zip_with(exact, exact_b, lambda x, y: (x.bitwiseOR(F.lit(spare)) - y).bitwiseAND(F.lit(_MASK))),
     )
 
 
@@ -112,20 +151,19 @@ def likeness(a: Column, b: Column) -> Column:
     1 - |a-b|^2 / (|a|^2 + |b|^2) over the lanes' centred values; 1 for two texts without
     blocks. The estimate's standard error is about sqrt(2 / LIKENESS_LANES) of what differs.
     """
-    half = (_ENTRY + 1) // 2
-
-    def lane(word: Column, shift: int, count: Column) -> Column:
-        value = F.shiftright(word, shift).bitwiseAND(F.lit(_LOW)) - (count * half) % (1 << LANE_BITS)
-        centred = F.pmod(value + (1 << (LANE_BITS - 1)), F.lit(1 << LANE_BITS)) - (1 << (LANE_BITS - 1))
-        return centred.cast("double") + count / 2  # entries average half - 0.5
 
     def lanes(vector: Column) -> Column:
-        words = F.slice(vector, 2, _LIKENESS_WORDS)
-        count = F.get(vector, F.lit(0))
-        return F.concat(
-            F.transform(words, lambda w: lane(w, 0, count)),
-            F.transform(words, lambda w: lane(w, _HIGH_AT, count)),
-        )
+        count, words, _ = _parts(vector)
+
+        def lane(at: int) -> Callable[[Column], Column]:
+            def centred(word: Column) -> Column:
+                # Bits set less bits not set, of which only the last binary digits are known.
+                value = 2 * F.shiftright(word, at).bitwiseAND(F.lit((1 << _COUNTS) - 1)) - F.get(count, F.lit(0))
+                return (F.pmod(value + (1 << _COUNTS), F.lit(2 << _COUNTS)) - (1 << _COUNTS)).cast("double")
+
+            return centred
+
+        return F.concat(*[F.transform(words, lane(at)) for at in _STARTS])
 
     def total(values: Column) -> Column:
         return F.aggregate(values, F.lit(0.0), lambda t, v: t + v * v)
@@ -141,18 +179,24 @@ def likeness(a: Column, b: Column) -> Column:
 def _ranges(docs: DataFrame, id_column: str) -> Column:
     """Number of the id range of a row, falling ids in rising ranges; about equally many rows.
 
-    Only the ranges' bounds, ``RANGES`` at most, come to the driver.
+    Quantiles come to the driver, ``QUANTILES`` at most. With more rows than those make ranges of
+    the size wanted, each part between two of them is cut into as many equal spans of ids.
     """
     rows = docs.count()
-    wanted = max(1, min(RANGES, rows // ROWS_PER_RANGE))
-    steps = [i / wanted for i in range(1, wanted)]
-    bounds = (
-        docs.agg(F.percentile_approx(id_column, steps, 100 * RANGES).alias("b")).first().b if steps else []
-    )
-    if not bounds:
-        return F.lit(0)
-    edges = F.array(*[F.lit(b) for b in sorted(set(bounds), reverse=True)])
-    return F.size(F.filter(edges, lambda edge: edge > F.coalesce(F.col(id_column), edge - 1)))
+    wanted = max(1, rows // ROWS_PER_RANGE)
+    parts = min(QUANTILES, wanted)
+    spans = -(-wanted // parts)
+    steps = [i / parts for i in range(parts + 1)]
+    bounds = docs.agg(F.percentile_approx(id_column, steps, 100 * QUANTILES).alias("b")).first().b if wanted > 1 else []
+    edges = sorted(set(bounds or []), reverse=True)
+    if len(edges) < 2:
+        return F.lit(0).cast("bigint")
+    own = F.coalesce(F.col(id_column), F.lit(edges[-1]))
+    part = F.size(F.filter(F.array(*[F.lit(b) for b in edges[1:-1]]), lambda edge: edge > own))
+    above, below = (F.get(F.array(*[F.lit(float(b)) for b in side]), part) for side in (edges[:-1], edges[1:]))
+    span = F.floor((above - own.cast("double")) / (above - below + 1) * spans)
+    # Quantiles are approximate: the least and the largest id may lie beyond them.
+    return part.cast("bigint") * spans + F.greatest(F.least(span, F.lit(spans - 1)), F.lit(0))
 
 
 def with_next(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -170,13 +214,14 @@ def with_next(docs: DataFrame, id_column: str = "doc_id", text_column: str = "te
     inside = Window.partitionBy("range").orderBy(*order)
     # The first row of a range: largest id, then as sorted above.
     key = F.struct(F.col(id_column).isNotNull(), F.col(id_column), -F.col("tie").cast("decimal(20,0)"))
-    heads = rows.groupBy("range").agg(F.max_by(text_column, key).alias("head"))
+    heads = rows.groupBy("range").agg(F.max_by(text_column, key).alias("next_head"))
+    # Ranges without rows are passed over: a number for each range in one task, and no texts.
     around = Window.partitionBy(F.lit(0)).orderBy("range")
     everything = around.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    heads = heads.select(
-        "range",
-        F.coalesce(F.lead("head").over(around), F.first("head").over(everything)).alias("next_head"),
+    follows = rows.select("range").distinct().select(
+        "range", F.coalesce(F.lead("range").over(around), F.first("range").over(everything)).alias("next")
     )
+    heads = follows.join(heads.withColumnRenamed("range", "next"), "next").select("range", "next_head")
     return (
         rows.withColumn("inner", F.lead(text_column).over(inside))
         .join(heads, "range")
