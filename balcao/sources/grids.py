@@ -57,12 +57,11 @@ def with_header(cells: DataFrame, header_row: int, required: tuple[str, ...] = (
 
     A file that lacks a ``required`` column fails the job.
     """
-    names = clean_header(F.col("cells"))
-    # A file that ends above its header has none, which shows on its last row.
-    headers = cells.groupBy(FILE).agg(
-        F.max(F.when(F.col(ROW) == header_row, names)).alias("header"), F.max(ROW).alias("last_row")
-    )
-    rows = cells.join(headers, FILE).where(
+    named = cells.where(F.col(ROW) == header_row).select(FILE, clean_header(F.col("cells")).alias("header"))
+    # A file that ends above its header has none, which shows on its last row. Numbers alone are
+    # aggregated in a hash table; with the names among them all rows would be sorted.
+    ends = cells.groupBy(FILE).agg(F.max(ROW).alias("last_row"))
+    rows = cells.join(ends.join(named, FILE, "left"), FILE).where(
         (F.col(ROW) > header_row) | (F.col("header").isNull() & (F.col(ROW) == F.col("last_row")))
     )
     wanted = F.array(*[F.lit(n) for n in required]) if required else F.array().cast("array<string>")

@@ -54,12 +54,12 @@ def scan_hr_folder(
     """
     records, facts = scan_records(spark, folder, glob)
     written = records.where((F.size("cells") > 1) | (strip(F.get("cells", F.lit(0))) != ""))
+    # Numbers alone are aggregated in a hash table; with the cells among them all rows would be sorted.
     first = written.groupBy(FILE).agg(
-        F.min_by("cells", ROW).alias("header"),
-        F.min(ROW).alias("header_row"),
-        F.count("*").alias("records"),
-        F.max(F.size("cells")).alias("widest"),
+        F.min(ROW).alias("header_row"), F.count("*").alias("records"), F.max(F.size("cells")).alias("widest")
     )
+    heads = written.select(FILE, F.col(ROW).alias("header_row"), F.col("cells").alias("header"))
+    first = first.join(heads, [FILE, "header_row"])
     header = F.transform(
         F.col("header"), lambda c: strip(F.replace(c, F.lit("\ufeff"), F.lit("")))
     )
