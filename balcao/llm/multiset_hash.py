@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from balcao.llm.spans import let
 
 EXACT_LANES = 16
-LIKENESS_LANES = 240
+LIKENESS_LANES = 180
 BLOCK_WORDS = 8  # on average
 LANE_BITS = 30
 QUANTILES = 512  # of the ids, at most; ranges between them are cut evenly
@@ -93,18 +93,24 @@ def _blocks(text: Column) -> Column:
 
 def _likeness(text: Column) -> Column:
     """Number of blocks, then the sum of their hashes' bits."""
-    seeds = range(_LIKENESS_WORDS // _SHARE)
-    hashed = F.transform(_blocks(text), lambda block: F.array(*[F.xxhash64(F.lit(s), block) for s in seeds]))
 
-    def add(total: Column, hashes: Column) -> Column:
-        def lanes(word: Column, i: Column) -> Column:
-            own = F.get(hashes, F.floor((i - 1) / _SHARE).cast("int"))
-            entry = F.call_function("shiftrightunsigned", own, (i - 1) % _SHARE).bitwiseAND(F.lit(_ENTRY))
-            return F.when(i == 0, word + 1).otherwise((word + entry).bitwiseAND(F.lit(_FOUR)))
+    def word(hashes: Column, shift: int) -> Column:
+        def add(total: Column, h: Column) -> Column:
+            return (total + F.shiftrightunsigned(h, shift).bitwiseAND(F.lit(_ENTRY))).bitwiseAND(F.lit(_FOUR))
 
-        return F.transform(total, lanes)
+        return F.aggregate(hashes, F.lit(0).cast("bigint"), add)
 
-    return F.aggregate(hashed, _zeros(1 + _LIKENESS_WORDS), add)
+    def sums(blocks: Column) -> Column:
+        seeds = range(_LIKENESS_WORDS // _SHARE)
+        hashed = F.struct(*[F.transform(blocks, _hash_with(s)).alias(f"h{s}") for s in seeds])
+        count = F.size(blocks).cast("bigint")
+        return let(hashed, lambda h: F.array(count, *[word(h[f"h{s}"], j) for s in seeds for j in range(_SHARE)]))
+
+    return let(_blocks(text), sums)
+
+
+def _hash_with(seed: int) -> Callable[[Column], Column]:
+    return lambda block: F.xxhash64(F.lit(seed), block)
 
 
 def multiset_vector(text: Column) -> Column:
@@ -200,16 +206,20 @@ def _ranges(docs: DataFrame, id_column: str) -> Column:
 
 
 def with_next(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``id_column``, ``text_column``, ``range`` and ``next_text``, the text of the row with the
-    next smaller id; the smallest gets that of the largest. Nulls come last.
+    """``id_column``, ``text_column``, ``vector``, and ``next_text`` and ``next_vector`` of the row
+    with the next smaller id; the smallest gets those of the largest. Nulls come last.
 
-    Rows are sorted inside ranges of ids; one row for each range goes on to the range before.
+    Rows are sorted inside ranges of ids; one row for each range goes on to the range before. Every
+    text is hashed once.
     """
     text = F.coalesce(F.col(text_column), F.lit(""))
-    rows = docs.select(id_column, text.alias(text_column)).withColumn(
-        "range", _ranges(docs.select(id_column), id_column)
+    rows = docs.select(id_column, text.alias(text_column)).withColumns(
+        {
+            "range": _ranges(docs.select(id_column), id_column),
+            "tie": F.xxhash64(text_column),
+            "vector": multiset_vector(F.col(text_column)),
+        }
     )
-    rows = rows.withColumn("tie", F.xxhash64(text_column))
     order = [F.col(id_column).desc_nulls_last(), "tie", text_column]
     inside = Window.partitionBy("range").orderBy(*order)
     # The first row of a range: largest id, then as sorted above.
@@ -222,10 +232,18 @@ def with_next(docs: DataFrame, id_column: str = "doc_id", text_column: str = "te
         "range", F.coalesce(F.lead("range").over(around), F.first("range").over(everything)).alias("next")
     )
     heads = follows.join(heads.withColumnRenamed("range", "next"), "next").select("range", "next_head")
-    return (
-        rows.withColumn("inner", F.lead(text_column).over(inside))
-        .join(heads, "range")
-        .select(id_column, text_column, "range", "tie", F.coalesce("inner", "next_head").alias("next_text"))
+    led = rows.withColumns(
+        {"inner": F.lead(text_column).over(inside), "inner_vector": F.lead("vector").over(inside)}
+    ).join(heads, "range")
+    # Only the last row of a range has to hash the head of the next one.
+    return led.select(
+        id_column,
+        text_column,
+        "vector",
+        F.coalesce("inner", "next_head").alias("next_text"),
+        F.when(F.col("inner").isNotNull(), F.col("inner_vector"))
+        .otherwise(multiset_vector(F.col("next_head")))
+        .alias("next_vector"),
     )
 
 
@@ -249,9 +267,9 @@ def fingerprint_digest(docs: DataFrame) -> DataFrame:
         "doc_id",
         F.length("text").cast("bigint").alias("n_chars"),
         F.sha2(edited.cast("binary"), 256).alias("edited_sha256"),
-        multiset_vector(F.col("text")).alias("own"),
+        F.col("vector").alias("own"),
         multiset_vector(edited).alias("edited"),
-        multiset_vector(F.col("next_text")).alias("following"),
+        F.col("next_vector").alias("following"),
     )
     return rows.select(
         "doc_id",

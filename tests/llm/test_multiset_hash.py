@@ -52,8 +52,8 @@ def test_vector_is_that_of_plain_loops(spark, frame):
     words = [f"w{i}" for i in range(40)] + ["é", ""]
     for text in ["", "one", "a b\n\nc d e\n", " ".join(rng.choices(words, k=300)), "\n".join(" ".join(rng.choices(words, k=9)) for _ in range(30))]:
         blocks = plain_blocks(spark, text)
-        lanes = [[0, 0, 0, 0] for _ in range(60)]
-        for seed in range(4):
+        lanes = [[0, 0, 0, 0] for _ in range(45)]
+        for seed in range(3):
             for h in plain_hash(spark, blocks, seed) if blocks else []:
                 for j in range(15):
                     for k in range(4):
@@ -85,7 +85,7 @@ def test_likeness_follows_what_is_shared(frame):
     texts = [text() for _ in range(30)]
     put_in = [(t, t[:at] + "x" + t[at:]) for t in texts for at in (0, rng.randrange(len(t)), len(t))]
     assert min(len(t) for t in texts) > 2_500 and min(near(frame, *put_in)) > 0.9
-    assert max(near(frame, *zip(texts, texts[1:]))) < 0.25
+    assert max(near(frame, *zip(texts, texts[1:]))) < 0.3
     halves = [(t, t[: len(t) // 2] + text(275)) for t in texts]
     found = near(frame, *halves)
     assert all(0.25 < v < 0.75 for v in found) and 0.45 < sum(found) / len(found) < 0.55

@@ -83,10 +83,21 @@ def test_all_columns_stay(frame):
     assert all(r.score == 0 and r.predicted == 0 for r in none)
 
 
+def auc(rows):
+    """Chance that a toxic row scores above a clean one."""
+    toxic, clean = ([r.score for r in rows if r.toxic == t] for t in (1, 0))
+    return sum((t > c) + (t == c) / 2 for t in toxic for c in clean) / (len(toxic) * len(clean))
+
+
 def test_held_out_rows_of_the_table(spark):
     docs, labels = (spark.read.parquet(f"{MEDIUM}/{t}.parquet") for t in ("documents", "labels"))
-    rows = toxicity_digest(docs, labels).join(labels, "doc_id").where("held_out").collect()
-    assert sum(r.predicted == r.toxic for r in rows) >= 0.9 * len(rows)
+    scored = toxicity_digest(docs, labels).join(labels, "doc_id").join(docs.select("doc_id", "lang"), "doc_id")
+    rows = scored.where("held_out and toxic is not null").collect()
+    toxic = [r for r in rows if r.toxic == 1]
+    assert sum(r.predicted for r in rows if r.toxic == 0) <= 0.05 * (len(rows) - len(toxic))
+    assert sum(r.predicted for r in toxic) >= 0.6 * len(toxic) and auc(rows) > 0.65
+    english = [r for r in rows if r.lang == "en"]
+    assert auc(english) > 0.85 and sum(r.predicted for r in english if r.toxic) >= 0.8 * sum(r.toxic for r in english)
 
 
 def test_few_labels_still_score(frame):
