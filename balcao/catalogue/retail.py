@@ -345,11 +345,12 @@ def print_report(
 ) -> DataFrame:
     """Lay sums out as a printed report: title rows per file, sections per branch, details.
 
-    ``keys`` are the file columns. Sums per section and file come from one rollup.
+    ``keys`` are the file columns. ``sold`` has one row for each file, branch and code and is
+    read twice: its rows are the details as they are, and sections and titles come from one
+    rollup that never holds more than these.
     """
-    levels = sold.rollup(*keys, "branch", "code").agg(
-        sum_money(F.col("amount")).alias("amount"), F.grouping_id().alias("level")
-    )
+    money = F.col("amount")
+    levels = sold.rollup(*keys, "branch").agg(sum_money(money).alias("amount"), F.grouping_id().alias("level"))
 
     def rows(pairs: list[tuple]) -> Column:
         return F.array(
@@ -362,12 +363,12 @@ def print_report(
             ]
         )
 
-    printed = (
-        F.when(F.col("level") == 3, rows(head))
-        .when(F.col("level") == 1, rows(section()))
-        .when(F.col("level") == 0, rows(detail()))
-    )
-    lines = levels.select(F.concat_ws("-", *keys).alias(FILE), F.inline(printed))
+    file = F.concat_ws("-", *keys).alias(FILE)
+    printed = F.when(F.col("level") == 1, rows(head)).when(F.col("level") == 0, rows(section()))
+    # The sum of one amount, as the sections' sums are put together.
+    single = cents(money) / 100 + (money - cents(money) / 100)
+    details = sold.withColumn("amount", single).select(file, F.inline(rows(detail())))
+    lines = details.unionByName(levels.select(file, F.inline(printed)))
     return lines.where(F.col(ROW).isNotNull())
 
 

@@ -56,8 +56,8 @@ def _swap_marks(text: Column) -> Column:
 
 def br_text(value: Column) -> Column:
     """-1234.5 to ``-1.234,50``; a value that rounds to zero carries no sign."""
-    text = _swap_marks(F.format_number(value, 2))
-    return F.when(text == "-0,00", "0,00").otherwise(text)
+    # With two decimals only the text as a whole can be ``-0,00``; it is written once.
+    return F.replace(_swap_marks(F.format_number(value, 2)), F.lit("-0,00"), F.lit("0,00"))
 
 
 def br_text_unsigned(value: Column) -> Column:

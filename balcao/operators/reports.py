@@ -21,7 +21,6 @@ from balcao.operators.ordered import (
 )
 from balcao.operators.quarantine import Check, Split, split
 from balcao.sources.grids import (
-    cell,
     cell_at,
     column_position,
     first_position_outside,
@@ -35,19 +34,30 @@ def _holds(text: Column, part: str) -> Column:
     return F.coalesce(F.contains(text, F.lit(part)), F.lit(False))
 
 
+def _columns_below(
+    report: DataFrame, header_row: int, places: dict[str, Column], required: tuple[str, ...] = ()
+) -> DataFrame:
+    """``file``, ``row_idx`` and the cells at ``places`` of the rows below the header."""
+    at = {f"at{i}": place for i, place in enumerate(places.values())}
+    found = with_header(report, header_row, required, **at)
+    return found.select(FILE, ROW, *[cell_at(F.col(p)).alias(name) for p, name in zip(at, places)])
+
+
+def _named(**columns: str) -> dict[str, Column]:
+    return {name: column_position(title) for name, title in columns.items()}
+
+
 def seller_lines(report: DataFrame, header_row: int) -> DataFrame:
     """All rows of a seller report below its header, in columns."""
-    code = t.strip(cell("código"))
-    return with_header(report, header_row).select(
-        FILE,
-        ROW,
-        code.alias("code"),
-        cell("unnamed: 3").alias("section_branch"),
-        cell("vendedor").alias("seller"),
-        cell("qtd. vendas").alias("quantity"),
-        cell("valor custo").alias("cost"),
-        cell("valor vendas").alias("amount"),
+    places = _named(
+        code="código",
+        section_branch="unnamed: 3",
+        seller="vendedor",
+        quantity="qtd. vendas",
+        cost="valor custo",
+        amount="valor vendas",
     )
+    return _columns_below(report, header_row, places).withColumn("code", t.strip(F.col("code")))
 
 
 def names_seller_branch() -> Column:
@@ -118,12 +128,8 @@ def duplicate_count(rows: DataFrame, key: str) -> DataFrame:
 
 def channel_lines(report: DataFrame) -> DataFrame:
     """All rows of a channel report below its header: ``branch`` and ``sales`` as printed."""
-    return with_header(report, vocab.HEADER_ROW["channel"], ("valor vendas",)).select(
-        FILE,
-        ROW,
-        cell_at(first_position_outside(vocab.CHANNEL_DROPPED_COLUMNS)).alias("branch"),
-        cell("valor vendas").alias("sales"),
-    )
+    places = {"branch": first_position_outside(vocab.CHANNEL_DROPPED_COLUMNS), **_named(sales="valor vendas")}
+    return _columns_below(report, vocab.HEADER_ROW["channel"], places, ("valor vendas",))
 
 
 def channel_report(report: DataFrame, chunk_rows: int = ROWS_PER_CHUNK) -> DataFrame:
@@ -140,9 +146,8 @@ def channel_report(report: DataFrame, chunk_rows: int = ROWS_PER_CHUNK) -> DataF
 def commission_lines(report: DataFrame) -> DataFrame:
     """All rows of a commission report below its header."""
     required = ("código", "vendedor", "base comissão", "% comissão", "valor comissão")
-    return with_header(report, vocab.HEADER_ROW["commissions"], required).select(
-        FILE, ROW, *[cell(name).alias(name) for name in required]
-    )
+    places = {name: column_position(name) for name in required}
+    return _columns_below(report, vocab.HEADER_ROW["commissions"], places, required)
 
 
 def names_commission_branch() -> Column:
@@ -188,21 +193,15 @@ def split_commission_report(report: DataFrame, chunk_rows: int = ROWS_PER_CHUNK)
 
 def total_lines(report: DataFrame) -> DataFrame:
     """All rows of a branch report below its header, in columns."""
-    code = t.strip(cell("código"))
-    after_code = cell_at(column_position("código") + 1)
-    return with_header(
-        report,
-        vocab.HEADER_ROW["branch_totals"],
-        ("código", "total vlr. venda", "total vlr. custo", "vlr. descto", "ticket médio venda/devol."),
-    ).select(
-        FILE,
-        ROW,
-        code.alias("code"),
-        t.first_word(F.coalesce(after_code, F.lit("None"))).alias("branch"),
-        cell("total vlr. venda").alias("sales"),
-        cell("total vlr. custo").alias("cost"),
-        cell("vlr. descto").alias("revenue"),
-        cell("ticket médio venda/devol.").alias("ticket"),
+    required = ("código", "total vlr. venda", "total vlr. custo", "vlr. descto", "ticket médio venda/devol.")
+    code = column_position("código")
+    places = dict(
+        zip(("code", "sales", "cost", "revenue", "ticket"), map(column_position, required)), after_code=code + 1
+    )
+    lines = _columns_below(report, vocab.HEADER_ROW["branch_totals"], places, required)
+    branch = t.first_word(F.coalesce("after_code", F.lit("None")))
+    return lines.select(
+        FILE, ROW, t.strip(F.col("code")).alias("code"), branch.alias("branch"), "sales", "cost", "revenue", "ticket"
     )
 
 
@@ -265,14 +264,13 @@ def branch_totals(report: DataFrame, chunk_rows: int = ROWS_PER_CHUNK) -> DataFr
 
 def pos_staff_lines(report: DataFrame) -> DataFrame:
     """All rows of a staff list below its header, in columns."""
-    return with_header(report, vocab.HEADER_ROW["pos_staff"]).select(
-        FILE,
-        ROW,
-        cell_at(last_position_containing("código", "codigo")).alias("code"),
-        cell_at(last_position_containing("funcionário", "funcionario")).alias("name"),
-        cell("demissão").alias("below"),
-        cell_at(last_position_containing("cpf")).alias("beside"),
-    )
+    places = {
+        "code": last_position_containing("código", "codigo"),
+        "name": last_position_containing("funcionário", "funcionario"),
+        **_named(below="demissão"),
+        "beside": last_position_containing("cpf"),
+    }
+    return _columns_below(report, vocab.HEADER_ROW["pos_staff"], places)
 
 
 def pos_staff(report: DataFrame, chunk_rows: int = ROWS_PER_CHUNK) -> DataFrame:

@@ -7,10 +7,14 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from balcao.functions.text import strip
+from balcao.functions.text import WHITE_SPACE, strip
 from balcao.operators.ordered import FILE, ROW, ROWS_PER_CHUNK
 from balcao.sources.lines import file_label
 from balcao.sources.records import scan_records
+from balcao.sources.staging import staged
+
+_MISSING = "__missing"
+_NAMELESS = "__nameless"
 
 
 class GridScan(NamedTuple):
@@ -52,34 +56,41 @@ def clean_header(cells: Column) -> Column:
     )
 
 
-def with_header(cells: DataFrame, header_row: int, required: tuple[str, ...] = ()) -> DataFrame:
+def with_header(
+    cells: DataFrame, header_row: int, required: tuple[str, ...] = (), **places: Column
+) -> DataFrame:
     """Attach each file's cleaned ``header`` and keep the rows below it.
 
-    A file that lacks a ``required`` column fails the job.
+    A file that lacks a ``required`` column fails the job. ``places`` are columns worked out
+    from the header once a file, such as positions; rows then get these and not the names.
     """
-    named = cells.where(F.col(ROW) == header_row).select(FILE, clean_header(F.col("cells")).alias("header"))
-    # A file that ends above its header has none, which shows on its last row. Numbers alone are
-    # aggregated in a hash table; with the names among them all rows would be sorted.
-    ends = cells.groupBy(FILE).agg(F.max(ROW).alias("last_row"))
-    rows = cells.join(ends.join(named, FILE, "left"), FILE).where(
-        (F.col(ROW) > header_row) | (F.col("header").isNull() & (F.col(ROW) == F.col("last_row")))
-    )
+    raw = cells.where(F.col(ROW) == header_row).select(FILE, "cells")
+    # Dealt out first: cleaning is the work, and all headers may stand in one part of the report.
+    named = raw.repartition(FILE).select(FILE, clean_header(F.col("cells")).alias("header"))
     wanted = F.array(*[F.lit(n) for n in required]) if required else F.array().cast("array<string>")
     missing = F.array_except(wanted, F.coalesce("header", F.array().cast("array<string>")))
-    message = F.concat(
-        F.lit("missing columns "), F.array_join(missing, ", "), F.lit(" in "), F.col(FILE)
-    )
-    checked = F.when(F.size(missing) == 0, F.col("header")).otherwise(
-        F.raise_error(message).cast("array<string>")
-    )
-    checked_rows = rows.withColumn("header", checked).drop("last_row")
-    return checked_rows.where(F.col("header").isNotNull())
+    facts = {_MISSING: F.array_join(missing, ", "), _NAMELESS: F.col("header").isNull()}
+    kept = places or {"header": F.col("header")}
+    # Written once, its size is known, so that a few headers are not met by a shuffle of all rows.
+    heads = staged(named.select(FILE, *[c.alias(n) for n, c in (kept | facts).items()]), "headers")
+    below = F.col(ROW) > header_row
+    if not required:
+        found = cells.join(heads.where(~F.col(_NAMELESS)), FILE).where(below)
+        return found.drop(_MISSING, _NAMELESS)
+    # A file that ends above its header has no row in ``heads`` and lacks every column.
+    lacks = F.coalesce(F.col(_MISSING), F.lit(", ".join(required)))
+    message = F.concat(F.lit("missing columns "), lacks, F.lit(" in "), F.col(FILE))
+    fails = below | F.coalesce(F.col(_NAMELESS), F.lit(True))
+    checked = F.when(lacks == "", below).when(fails, F.raise_error(message).cast("boolean")).otherwise(False)
+    found = cells.where(F.col(FILE).isNotNull()).join(heads, FILE, "left").where(checked)
+    return found.drop(_MISSING, _NAMELESS)
 
 
 def cell_at(position: Column) -> Column:
     """Cell at a zero-based position; blank or absent cells are null."""
     value = F.get(F.col("cells"), position.cast("int"))
-    return F.when(strip(value) != "", value)
+    # Trimmed on one side only, which is enough to see whether anything is left.
+    return F.when(F.ltrim(value, F.lit(WHITE_SPACE)) != "", value)
 
 
 def column_position(name: str) -> Column:

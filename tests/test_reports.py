@@ -197,3 +197,27 @@ def test_results_do_not_depend_on_partitions(grid):
     assert rows(reports.seller_report(report.repartition(7))) == rows(
         reports.seller_report(report.coalesce(1).orderBy(F.desc("row_idx")), chunk_rows=4)
     )
+
+
+def test_positions_are_worked_out_once_a_file(spark, grid):
+    """Rows get positions, written once a file; no row looks at its file's names."""
+    report = grid(a=[*[["t"]] * 9, SELLER_HEAD, section("1"), seller("5", "EVA", "1,00")])
+    for lines in (reports.seller_lines(report, 9), reports.seller_report(report)):
+        plan = lines._jdf.queryExecution().executedPlan().toString()
+        assert "array_position" not in plan and "lower(regexp" not in plan
+    assert rows(reports.seller_report(report)) == [("1", "5", "EVA", "1,00")]
+
+
+def test_details_are_printed_without_being_summed_again(frame):
+    from balcao.catalogue import retail
+
+    schema = "month string, branch bigint, code bigint, amount double"
+    sold = frame(schema, ("1995-01", 1, 7, 10.25), ("1995-01", 1, 8, 0.5), ("1995-02", 8, 7, 1.005))
+    printed = retail.seller_grid(sold)
+    plan = printed._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Aggregate(" in line and "code#" in line]
+    found = {r.file: [] for r in printed.collect()}
+    for r in printed.orderBy("row_idx").collect():
+        found[r.file].append([c for c in r.cells if c])
+    body = [["FILIAL: ", "1"], [" 7", "V7", "1", "10,25"], [" 8", "V8", "1", "0,50"], ["Total", "10,75"]]
+    assert found["1995-01"][2:] == body and found["1995-02"][2:] == [["FILIAL: "], [" 7", "V7", "1", "1,00"], ["Total", "1,00"]]

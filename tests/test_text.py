@@ -169,3 +169,9 @@ def test_export_text(values):
 def test_channel_share(values):
     assert values(t.channel_share, [10.03, None], "double") == [4.01, None]
     assert not math.isnan(values(t.channel_share, [0.0], "double")[0])
+
+
+def test_amounts_are_formatted_once(values):
+    assert str(t.br_text(F.col("v"))).count("format_number") == 1
+    shown = values(t.br_text, [-0.001, -0.0, -10.0, -1000.004, 0.0, None], "double")
+    assert shown == ["0,00", "0,00", "-10,00", "-1.000,00", "0,00", None]
