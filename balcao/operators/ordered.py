@@ -101,9 +101,18 @@ def shift_up(df: DataFrame, columns: list[str], chunk_rows: int = ROWS_PER_CHUNK
     """Replace ``columns`` by their values one row further down; null on the last row."""
     held = F.struct(*[F.col(c).alias(f"v{i}") for i, c in enumerate(columns)])
     marked = _chunked(df, chunk_rows).withColumn("__held", held)
-    heads = marked.groupBy(FILE, _CHUNK).agg(F.min_by("__held", ROW).alias("__held"))
+    # Numbers alone are aggregated in a hash table. Only chunks with another one behind them
+    # are looked up, so files of one chunk have no rows here.
+    heads = _chunked(df, chunk_rows).groupBy(FILE, _CHUNK).agg(F.min(ROW).alias(_CARRY))
     next_chunk = Window.partitionBy(FILE).orderBy(_CHUNK)
-    carried = heads.select(FILE, _CHUNK, F.lead("__held").over(next_chunk).alias(_CARRY))
+    wanted = heads.select(
+        FILE, F.col(_CHUNK).alias("__above"), F.lead(_CARRY).over(next_chunk).alias(ROW)
+    ).where(F.col(ROW).isNotNull())
+    carried = (
+        marked.join(wanted, [FILE, ROW])
+        .groupBy(FILE, F.col("__above").alias(_CHUNK))
+        .agg(F.min_by("__held", ROW).alias(_CARRY))
+    )
     next_row = F.lead("__held").over(Window.partitionBy(FILE, _CHUNK).orderBy(ROW))
     shifted = marked.join(carried, [FILE, _CHUNK], "left").withColumn(
         "__next", F.coalesce(next_row, F.col(_CARRY))

@@ -101,3 +101,12 @@ def test_one_file_is_spread_over_many_groups(spark):
     assert re.search(r"hashpartitioning\(file#\d+, __chunk#\d+L", plan)
     assert "SinglePartition" not in plan
     assert found.where("section IS NULL").count() == 1000
+
+
+def test_heads_of_chunks_are_found_by_numbers_alone(spark):
+    """Values are looked up for chunks that have one behind them, not gathered for all."""
+    df = spark.createDataFrame(random_files(3), SCHEMA)
+    plan = shift_up(df, ["v"], 33)._jdf.queryExecution().optimizedPlan().toString()
+    assert "min(row_idx" in plan
+    at = plan.index("min_by(")
+    assert "Join Inner" in plan[at:]

@@ -102,3 +102,8 @@ def test_rejected_files_hold_all_customers(spark):
     lines = spark.read.option("recursiveFileLookup", True).text(write_bad_hr_files(spark, SMALL))
     wanted = spark.read.parquet(f"{SMALL}/customer.parquet").where("c_nationkey % 4 <> 2").count()
     assert lines.where("value like '%Customer#%'").count() == wanted > 0
+
+
+def test_channel_lines_meet_their_headers_once(spark):
+    files = QUERIES["shift_channel_report"](spark, SMALL).inputFiles()
+    assert files and all("/lines-" in f for f in files)
