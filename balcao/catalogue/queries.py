@@ -566,7 +566,7 @@ def hr_csv_rejects(spark: SparkSession, folder: str) -> DataFrame:
 def grid_files_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Seller reports written as text files, scanned with numbered rows and flattened."""
     target = new_folder(spark, "grids")
-    pages = retail.monthly_sales(spark, folder).withColumn("page", F.floor(F.col("code") / 1000))
+    pages = staged(retail.monthly_sales(spark, folder), "monthly-sales").withColumn("page", F.floor(F.col("code") / 1000))
     files.print_grid(retail.seller_grid(pages, ["month", "page"]), target, 8)
     return reports.seller_report(grids.scan_grids(spark, target, "*", ";").cells)
 
