@@ -1,17 +1,19 @@
 """Remove byte strings that also occur in a document with a smaller id.
 
 Every string of ``LENGTH`` bytes belongs to the least hashed 16-byte word inside it, its
-anchor, which depends on the string alone. So equal strings have equal anchors, and
-
-1. anchors that occur in one document only are told apart by a window over (anchor, id);
-   none of their strings can repeat, and they go no further;
-2. for the others, the strings of one anchor overlap and travel as one piece. Equal pieces
-   are aggregated before they are shuffled, so a passage in a third of all documents is one
-   row per task;
-3. pieces are dealt into buckets by anchor, and each bucket's suffixes are sorted at a time,
-   long ties resolved by difference-cover ranks (``suffix_blocks``). That gives the smallest
-   id that holds each string;
-4. the answers are joined to the places where the pieces occur, and from there to the texts.
+anchor, which depends on the string alone. So equal strings have equal anchors, and the strings
+of one anchor that overlap travel as one piece. Texts are dealt into blocks by id and text,
+anchors into buckets by their hash; what a block sends to a bucket is one packed row.
+
+1. Every block sends its different anchors, hashes only. The buckets answer with a bit each:
+   whether another block has it too. Strings of other anchors can only repeat inside the block.
+2. For anchors that several documents have, the blocks send their different pieces, with the
+   smallest id that holds each. A passage in a third of all documents is one piece a block.
+3. Each bucket's suffixes are sorted at a time, long ties resolved by difference-cover ranks
+   (``suffix_blocks``); an anchor with one piece only needs none of that. The answer to a block
+   is a bit for each string: whether a smaller id has it than the smallest of the block's.
+4. The blocks cut their texts: a string goes for that bit, or because a smaller id of the same
+   block holds the same piece.
 
 Ids must be integers. A null id counts as larger than all others; rows that share an id do not
 take from each other. Null texts count as empty. An empty table gives an empty result; other
@@ -20,39 +22,45 @@ columns do not matter.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
 from balcao.llm.shingle_sets import mixed
 from balcao.llm.suffix_blocks import LENGTH, smallest_owners
-from balcao.llm.word_ids import slices
 
 ANCHOR = 16  # bytes of an anchor
+BLOCK_BYTES = 16_000_000  # bytes of all texts for each block of texts
 BUCKET_BYTES = 8_000_000  # bytes of all texts for each bucket of pieces
+ANCHOR_BUCKETS = 4  # buckets of pieces for each bucket of anchors, which are smaller
+LEAST_PARTS = 12  # blocks and buckets in addition, so that small tables are several tasks too
 LAST_ID = (1 << 63) - 1
-_LOW_BITS = (1 << 31) - 1  # of an anchor, which tell it from the others of one document
+_NAME_BITS = 40  # of an anchor's hash; anchors that share them are told apart as pieces
 _WORDS = LENGTH - ANCHOR + 1  # anchors to choose from in one string
-_SEGMENT = 1 << 20  # positions looked at at a time; places fit into 24 bits
+_SEGMENT = 1 << 16  # positions looked at at a time; places fit into 24 bits
 _PLACE = np.uint64((1 << 24) - 1)
-_HASH_SHIFT = np.uint64(16)  # anchors are told apart by 48 bits; the rest is settled by sorting
+
+
+def _words(data: bytes) -> np.ndarray:
+    """Eight bytes from each place, and from ``ANCHOR`` places behind the end."""
+    return np.ndarray((len(data) + ANCHOR,), dtype="<u8", buffer=data + bytes(ANCHOR + 8), strides=(1,))
 
 
 def anchor_runs(data: bytes, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Runs of consecutive strings with the same anchor in texts laid end to end.
 
     ``bounds`` are the texts' borders. Returns for each run its text, its first and last
-    string's place, and the hash of its anchor.
+    string's place, and the hash of its anchor. A run has at most ``_WORDS`` strings.
     """
-    padded = data + bytes(ANCHOR + 8)
-    words = np.ndarray((len(data) + ANCHOR,), dtype="<u8", buffer=padded, strides=(1,))
-    ends = bounds[1:]
+    words = _words(data)
+    sizes = np.diff(bounds)
+    tails = np.minimum(sizes, LENGTH - 1)
+    whole = np.repeat(np.tile([True, False], len(sizes)), np.column_stack([sizes - tails, tails]).ravel())
     found = []
     for first in range(0, len(data), _SEGMENT):
         # Strings that start here, and the anchors they can have.
@@ -68,28 +76,34 @@ def anchor_runs(data: bytes, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray
         rest = _WORDS - width
         if rest:
             least = np.minimum(least[:-rest], least[rest:]) if len(least) > rest else least[:0]
-        starts = np.arange(first, first + len(least))
-        texts = np.searchsorted(ends, starts, side="right")
-        inside = starts + LENGTH <= ends[np.minimum(texts, len(ends) - 1)]
-        starts, texts, anchors = starts[inside], texts[inside], (least[inside] & _PLACE).astype(np.int64)
-        if not len(starts):
+        if not len(least):
             continue
-        fresh = np.ones(len(starts), dtype=bool)
-        fresh[1:] = (anchors[1:] != anchors[:-1]) | (texts[1:] != texts[:-1])
-        opens = np.flatnonzero(fresh)
-        closes = np.append(opens[1:], len(starts)) - 1
-        names = (hashes[anchors[opens]] >> _HASH_SHIFT).view(np.int64)
-        found.append((texts[opens], starts[opens], starts[closes], names))
+        inside = whole[first : first + len(least)]
+        # The last strings of a text are no whole ones, so texts never touch here.
+        other = least[1:] != least[:-1]
+        opens = np.flatnonzero(inside & np.append(True, other | ~inside[:-1]))
+        closes = np.flatnonzero(inside & np.append(other | ~inside[1:], True))
+        anchors = (least[opens] & _PLACE).astype(np.int64)
+        names = mixed(hashes[anchors]) >> np.uint64(64 - _NAME_BITS)
+        found.append((first + opens, first + closes, first + anchors, names.astype(np.int64)))
     if not found:
         none = np.empty(0, dtype=np.int64)
         return none, none, none, none
-    return tuple(np.concatenate(column) for column in zip(*found))
+    starts, lasts, anchors, names = (np.concatenate(column) for column in zip(*found))
+    # A run that a segment's end has cut in two is one.
+    fresh = np.append(True, anchors[1:] != anchors[:-1])[: len(anchors)]
+    starts, lasts, names = starts[fresh], lasts[np.append(fresh[1:], True)[: len(fresh)]], names[fresh]
+    return np.searchsorted(bounds[1:], starts, side="right"), starts, lasts, names
 
 
-def _laid_out(texts: pa.Array) -> tuple[bytes, np.ndarray]:
-    """All texts' bytes end to end, and their borders."""
-    values = texts.cast(pa.large_binary()).fill_null(b"").to_pylist()
-    return b"".join(values), np.concatenate([[0], np.cumsum([len(v) for v in values], dtype=np.int64)])
+def piece_numbers(data: bytes, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each piece's bytes: words from both of its ends, which meet."""
+    words = _words(data)
+    numbers = sizes.astype(np.uint64)
+    ends = starts + sizes
+    for at in (starts, starts + 16, starts + 32, ends - 48, ends - 32, ends - 16):
+        numbers = mixed(numbers ^ mixed(words[at] + mixed(words[at + 8].astype(np.uint64))))
+    return numbers
 
 
 def _packed_texts(rows: DataFrame) -> DataFrame:
@@ -110,67 +124,12 @@ def _packed_texts(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(pack, StructType(fields))
 
 
-def _unpacked(texts: pa.Array) -> pa.Array:
+def _laid_out(rows: pa.Table) -> tuple[np.ndarray, bytes, np.ndarray]:
+    """Ids, all texts' bytes end to end, and their borders."""
     unpacker = zstandard.ZstdDecompressor()
-    return pa.array([unpacker.decompress(text) for text in texts.to_pylist()], pa.large_binary())
-
-
-def _unpacked_slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch of packed texts (second column), unpacked a few at a time."""
-    for begin in range(0, len(batch), 1000):
-        part = batch.slice(begin, 1000)
-        columns = [_unpacked(c) if i == 1 else c for i, c in enumerate(part.columns)]
-        whole = pa.record_batch(columns, names=part.schema.names)
-        for first, last in slices(whole.column(1)):
-            yield whole.slice(first, last - first)
-
-
-def _anchors(rows: DataFrame) -> DataFrame:
-    """``anchor`` and ``id`` for every different anchor of every document, and ``alone``.
-
-    An anchor that several documents of a slice hold is known to be shared. Only the smallest
-    and the largest of their ids then stand for it among all slices; the rows of the others
-    have their id in ``alone``, and need no comparing. So a hot anchor is two rows a slice.
-    """
-
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first, last in slices(batch.column(1)):
-                part = batch.slice(first, last - first)
-                data, bounds = _laid_out(part.column(1))
-                texts, _, _, hashes = anchor_runs(data, bounds)
-                ids = np.asarray(part.column(0))[texts]
-                order = np.lexsort((ids, hashes))
-                hashes, ids = hashes[order], ids[order]
-                other = hashes[1:] != hashes[:-1]
-                fresh = np.append(True, other | (ids[1:] != ids[:-1]))[: len(ids)]
-                hashes, ids = hashes[fresh], ids[fresh]
-                other = hashes[1:] != hashes[:-1]
-                edge = (np.append(True, other) | np.append(other, True))[: len(ids)]
-                columns = [pa.array(hashes), pa.array(ids), pa.array(ids, mask=edge)]
-                yield pa.record_batch(columns, names=["anchor", "id", "alone"])
-
-    return rows.select("id", "text").mapInArrow(find, "anchor bigint, id bigint, alone bigint")
-
-
-def _shared_pieces(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes], np.ndarray]:
-    """Pieces of a batch (id, text, tag, anchors) whose anchors other documents have too.
-
-    Returns the text, place, anchor, bytes and number (a hash) of each.
-    """
-    data, bounds = _laid_out(part.column(1))
-    texts, starts, lasts, hashes = anchor_runs(data, bounds)
-    wanted = np.zeros(len(texts), dtype=bool)
-    edges = np.searchsorted(texts, np.arange(len(part) + 1))
-    for row, anchors in enumerate(part.column(3)):
-        inside = slice(edges[row], edges[row + 1])
-        wanted[inside] = np.isin(hashes[inside] & _LOW_BITS, np.asarray(anchors.values))
-    texts, starts, lasts, hashes = texts[wanted], starts[wanted], lasts[wanted], hashes[wanted]
-    bodies = [data[a : b + LENGTH] for a, b in zip(starts.tolist(), lasts.tolist())]
-    return texts, starts - bounds[texts], hashes, bodies, _piece_numbers(bodies)
-
-
-_PACKED = "bucket bigint, sizes binary, bodies binary, ids binary"
+    texts = [unpacker.decompress(text) for text in rows.column("text").to_pylist()]
+    bounds = np.concatenate([[0], np.cumsum([len(text) for text in texts], dtype=np.int64)])
+    return np.asarray(rows.column("id")), b"".join(texts), bounds
 
 
 def _packed_numbers(numbers: np.ndarray) -> bytes:
@@ -183,155 +142,213 @@ def _unpacked_numbers(packed: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<i8").ravel()
 
 
-def _piece_numbers(bodies: list[bytes]) -> np.ndarray:
-    digests = b"".join(hashlib.blake2b(body, digest_size=8).digest() for body in bodies)
-    return np.frombuffer(digests, dtype="<i8")
+def _packed_names(names: np.ndarray) -> bytes:
+    """Ascending numbers."""
+    return _packed_numbers(np.diff(names, prepend=0))
 
 
-def _pieces(joined: DataFrame, buckets: int) -> DataFrame:
-    """Different pieces with the smallest and largest id that holds them, packed by bucket.
+def _unpacked_names(packed: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked_numbers(packed))
 
-    Equal pieces of a batch are one; a row holds all pieces of a batch for one bucket.
-    """
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found: list[tuple[np.ndarray, ...]] = []
-            bodies: dict[int, bytes] = {}
-            for part in _unpacked_slices(batch):
-                texts, _, hashes, cuts, numbers = _shared_pieces(part)
-                bodies.update(zip(numbers.tolist(), cuts))
-                found.append((mixed(hashes.view(np.uint64)) % np.uint64(buckets), numbers, np.asarray(part.column(0))[texts]))
-            if not bodies:
-                continue
-            bucket, numbers, ids = (np.concatenate(column) for column in zip(*found))
-            order = np.lexsort((numbers, bucket))
-            bucket, numbers, ids = bucket[order].astype(np.int64), numbers[order], ids[order]
-            opens = np.flatnonzero(np.concatenate([[True], numbers[1:] != numbers[:-1]]))
-            low, high = np.minimum.reduceat(ids, opens), np.maximum.reduceat(ids, opens)
-            bucket, numbers = bucket[opens], numbers[opens]
-            cuts = np.append(np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])), len(bucket))
-            rows = []
-            for a, b in zip(cuts.tolist(), cuts[1:].tolist()):
-                own = [bodies[n] for n in numbers[a:b].tolist()]
-                sizes = np.array([len(body) for body in own], dtype="<u2")
-                packed = zstandard.compress(b"".join(own), 3)
-                ids = np.concatenate([low[a:b], high[a:b] - low[a:b]])
-                rows.append((int(bucket[a]), sizes.tobytes(), packed, _packed_numbers(ids)))
-            kinds = (pa.int64(), *[pa.binary()] * 3)
-            columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
-            yield pa.record_batch(columns, names=["bucket", "sizes", "bodies", "ids"])
-
-    return joined.mapInArrow(cut, _PACKED)
-
-
-def _occurrences(joined: DataFrame) -> DataFrame:
-    """``piece``, ``id``, ``tag``, ``place``: where each piece starts."""
-
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in _unpacked_slices(batch):
-                texts, places, _, _, numbers = _shared_pieces(part)
-                yield pa.record_batch(
-                    [
-                        pa.array(numbers),
-                        pa.array(np.asarray(part.column(0))[texts]),
-                        pa.array(np.asarray(part.column(2))[texts]),
-                        pa.array(places.astype(np.int32)),
-                    ],
-                    names=["piece", "id", "tag", "place"],
-                )
-
-    return joined.mapInArrow(find, "piece bigint, id bigint, tag int, place int")
-
-
-def _owners_of_bucket(table: pa.Table) -> pa.Table:
-    """``piece`` and its runs of strings with the same smallest id: (first, last, owner)."""
-    bodies, low, high = [], [], []
-    for packed_sizes, packed, packed_ids in zip(table.column("sizes"), table.column("bodies"), table.column("ids")):
-        data, at = zstandard.decompress(packed.as_py()), 0
-        for size in np.frombuffer(packed_sizes.as_py(), dtype="<u2").tolist():
-            bodies.append(data[at : at + size])
-            at += size
-        first, more = np.split(_unpacked_numbers(packed_ids.as_py()), 2)
-        low.append(first)
-        high.append(first + more)
-    numbers, low, high = _piece_numbers(bodies), np.concatenate(low), np.concatenate(high)
-    order = np.argsort(numbers, kind="stable")
-    opens = np.flatnonzero(np.concatenate([[True], np.diff(numbers[order]) != 0]))
-    low, high = np.minimum.reduceat(low[order], opens), np.maximum.reduceat(high[order], opens)
-    numbers = numbers[order][opens]
-    bodies = [bodies[i] for i in order[opens].tolist()]
-    sizes = np.array([len(b) for b in bodies], dtype=np.int64)
-    starts, owners = smallest_owners(b"".join(bodies), sizes, low)
-    counts = np.maximum(sizes - LENGTH + 1, 0)
-    pieces = np.repeat(np.arange(len(bodies)), counts)
-    inside = starts - np.repeat(np.cumsum(sizes) - sizes, counts)
-    fresh = np.ones(len(starts), dtype=bool)
-    fresh[1:] = (owners[1:] != owners[:-1]) | (pieces[1:] != pieces[:-1])
-    opens = np.flatnonzero(fresh)
-    closes = np.append(opens[1:], len(starts)) - 1 if len(opens) else opens
-    # Of use only where a holder of the piece has a larger id than the string's owner.
-    used = owners[opens] < high[pieces[opens]]
-    opens, closes = opens[used], closes[used]
-    return pa.table(
-        {
-            "piece": pa.array(numbers[pieces[opens]]),
-            "first": pa.array(inside[opens].astype(np.int32)),
-            "last": pa.array(inside[closes].astype(np.int32)),
-            "owner": pa.array(owners[opens]),
-        }
-    )
+def _bucket_cuts(names: np.ndarray, buckets: int) -> list[tuple[int, int, int]]:
+    """Bucket, begin and end of ascending names; each bucket has an equal range of them."""
+    of_name = (names * buckets) >> _NAME_BITS if len(names) else names
+    edges = np.searchsorted(of_name, np.arange(buckets + 1)).tolist()
+    return [(bucket, a, b) for bucket, (a, b) in enumerate(zip(edges, edges[1:])) if b > a]
 
 
-def repeated_ranges(rows: DataFrame, packed: DataFrame, total_bytes: int) -> DataFrame:
-    """``id`` and ``ranges``: byte ranges (tag, start, end) that an earlier document holds.
+def _table(schema: pa.Schema, rows: list[tuple]) -> pa.Table:
+    columns = zip(*rows) if rows else [()] * len(schema)
+    return pa.table([pa.array(c, kind) for c, kind in zip(columns, schema.types)], schema=schema)
+
+
+_ANCHORS = pa.schema({"bucket": pa.int64(), "block": pa.int64(), "names": pa.binary()})
+_MARKS = pa.schema({"block": pa.int64(), "bucket": pa.int64(), "marks": pa.binary()})
+_PIECES = pa.schema(
+    {"bucket": pa.int64(), "block": pa.int64(), "names": pa.binary(), "sizes": pa.binary(), "bodies": pa.binary(), "ids": pa.binary()}
+)
+_TAKEN = pa.schema({"block": pa.int64(), "numbers": pa.binary(), "strings": pa.binary()})
 
-    ``rows`` has ``id``, ``text`` and ``tag`` (which tells rows that share an id apart), and may
-    have more; ``packed`` is the same with packed texts. All its columns go through the join, so that a later join of the same
-    rows by ``id`` reuses the exchange.
-    """
-    of_anchor = Window.partitionBy("anchor", "alone")
-    shared = (
-        _anchors(rows)
-        .withColumns({"low": F.min("id").over(of_anchor), "high": F.max("id").over(of_anchor)})
-        .where("low < high or alone is not null")
-        .groupBy("id")
-        .agg(F.collect_set(F.col("anchor").bitwiseAND(F.lit(_LOW_BITS)).cast("int")).alias("anchors"))
-    )
-    others = [c for c in rows.columns if c not in ("id", "text", "tag")]
-    joined = packed.join(shared, "id").select("id", "text", "tag", "anchors", *others)
-    buckets = max(1, total_bytes // BUCKET_BYTES)
-    owners = (
-        _pieces(joined, buckets)
-        .groupBy("bucket")
-        .applyInArrow(_owners_of_bucket, "piece bigint, first int, last int, owner bigint")
-    )
-    found = F.struct(
-        "tag",
-        (F.col("place") + F.col("first")).alias("start"),
-        (F.col("place") + F.col("last") + LENGTH).alias("end"),
-    )
-    return (
-        _occurrences(joined)
-        .join(owners, "piece")
-        .where("owner < id")
-        .groupBy("id")
-        .agg(F.collect_set(found).alias("ranges"))
-    )
 
+def _ddl(schema: pa.Schema) -> str:
+    return ", ".join(f"{f.name} {'binary' if f.type == pa.binary() else 'bigint'}" for f in schema)
 
-def merged(starts: list[int], ends: list[int]) -> list[tuple[int, int]]:
-    """Maximal runs covered by the ranges."""
-    found: list[tuple[int, int]] = []
-    for start, end in sorted(zip(starts, ends)):
-        if found and start <= found[-1][1]:
-            found[-1] = (found[-1][0], max(end, found[-1][1]))
-        else:
-            found.append((start, end))
+
+def _shared_in_bucket(rows: pa.Table) -> pa.Table:
+    """For each block's anchors, a bit that tells whether another block has it too."""
+    bucket = rows.column("bucket")[0].as_py() if len(rows) else 0
+    parts = [_unpacked_names(packed) for packed in rows.column("names").to_pylist()]
+    names = np.sort(np.concatenate(parts))
+    twice = names[1:][names[1:] == names[:-1]]
+    twice = twice[np.append(True, twice[1:] != twice[:-1])[: len(twice)]]
+    found = []
+    for block, part in zip(rows.column("block").to_pylist(), parts):
+        at = np.minimum(np.searchsorted(twice, part), max(len(twice) - 1, 0))
+        marks = twice[at] == part if len(twice) else np.zeros(len(part), dtype=bool)
+        found.append((block, bucket, np.packbits(marks).tobytes()))
+    return _table(_MARKS, found)
+
+
+def _anchor_marks(names: np.ndarray, ids: np.ndarray, marks: pa.Table, buckets: int) -> np.ndarray:
+    """Whether each run's anchor (``names``) is one that several documents have."""
+    order = np.argsort(names)
+    ordered, ids = names[order], ids[order]
+    opens = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])[: len(ordered)])
+    if not len(opens):
+        return np.zeros(0, dtype=bool)
+    shared = np.minimum.reduceat(ids, opens) < np.maximum.reduceat(ids, opens)
+    answers = dict(zip(marks.column("bucket").to_pylist(), marks.column("marks").to_pylist()))
+    for bucket, a, b in _bucket_cuts(ordered[opens], buckets):
+        shared[a:b] |= np.unpackbits(np.frombuffer(answers[bucket], dtype=np.uint8), count=b - a).astype(bool)
+    found = np.empty(len(names), dtype=bool)
+    found[order] = np.repeat(shared, np.diff(np.append(opens, len(names))))
     return found
 
 
+def _bodies(data: bytes, starts: np.ndarray, sizes: np.ndarray) -> bytes:
+    """Parts of ``data``, end to end."""
+    before = np.cumsum(sizes) - sizes
+    places = np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))
+    return np.frombuffer(data, dtype=np.uint8)[places].tobytes()
+
+
+def _pieces_of_block(rows: pa.Table, marks: pa.Table, anchor_buckets: int, buckets: int) -> pa.Table:
+    """Different pieces whose anchors are shared, with the block's smallest id that holds each."""
+    block = rows.column("block")[0].as_py()
+    ids, data, bounds = _laid_out(rows)
+    texts, starts, lasts, names = anchor_runs(data, bounds)
+    shared = np.flatnonzero(_anchor_marks(names, ids[texts], marks, anchor_buckets))
+    if not len(shared):
+        return _table(_PIECES, [])
+    texts, starts, names = texts[shared], starts[shared], names[shared]
+    sizes = lasts[shared] - starts + LENGTH
+    numbers = piece_numbers(data, starts, sizes)
+    order = np.lexsort((numbers, names))
+    names, numbers = names[order], numbers[order]
+    opens = np.flatnonzero(np.append(True, (names[1:] != names[:-1]) | (numbers[1:] != numbers[:-1])))
+    low = np.minimum.reduceat(ids[texts][order], opens)
+    names, starts, sizes = names[opens], starts[order[opens]], sizes[order[opens]]
+    found = []
+    for bucket, a, b in _bucket_cuts(names, buckets):
+        bodies = zstandard.compress(_bodies(data, starts[a:b], sizes[a:b]), 3)
+        packed_sizes = zstandard.compress(sizes[a:b].astype(np.uint8).tobytes(), 3)
+        found.append((bucket, block, _packed_names(names[a:b]), packed_sizes, bodies, _packed_numbers(low[a:b])))
+    return _table(_PIECES, found)
+
+
+def _taken_of_bucket(rows: pa.Table) -> pa.Table:
+    """For each block's pieces, a bit for each string that an id below the block's smallest holds."""
+    column = {name: rows.column(name).to_pylist() for name in rows.column_names}
+    bodies = b"".join(zstandard.decompress(packed) for packed in column["bodies"])
+    parts = [np.frombuffer(zstandard.decompress(packed), dtype=np.uint8) for packed in column["sizes"]]
+    sizes = np.concatenate(parts).astype(np.int64)
+    names = np.concatenate([_unpacked_names(packed) for packed in column["names"]])
+    low = np.concatenate([_unpacked_numbers(packed) for packed in column["ids"]])
+    starts = np.cumsum(sizes) - sizes
+    numbers = piece_numbers(bodies, starts, sizes)
+    order = np.lexsort((numbers, names))
+    other = names[order][1:] != names[order][:-1]
+    fresh = np.append(True, other | (numbers[order][1:] != numbers[order][:-1]))
+    opens = np.flatnonzero(fresh)
+    least = np.minimum.reduceat(low[order], opens)
+    piece = np.empty(len(order), dtype=np.int64)
+    piece[order] = np.cumsum(fresh) - 1
+    counts = sizes - LENGTH + 1
+    # An anchor with one piece needs no sorting: the piece's smallest id holds all its strings.
+    strings = np.where(least[piece] < low, (np.uint64(1) << counts.astype(np.uint64)) - np.uint64(1), np.uint64(0))
+    anchors = names[order[opens]]
+    other = anchors[1:] != anchors[:-1]
+    several = ~(np.append(True, other) & np.append(other, True))
+    if several.any():
+        chosen = order[opens[several]]
+        _, owners = smallest_owners(_bodies(bodies, starts[chosen], sizes[chosen]), sizes[chosen], least[several])
+        of_string = np.full((len(chosen), 8 * -(-_WORDS // 8)), LAST_ID)
+        of_string[np.arange(of_string.shape[1]) < counts[chosen][:, None]] = owners
+        row = np.cumsum(several) - 1
+        members = np.flatnonzero(several[piece])
+        for part in np.array_split(members, len(members) // 65536 + 1):
+            bits = np.packbits(of_string[row[piece[part]]] < low[part, None], axis=1, bitorder="little")
+            wide = np.zeros((len(part), 8), dtype=np.uint8)
+            wide[:, : bits.shape[1]] = bits
+            strings[part] = wide.view("<u8").ravel()
+    found = []
+    edges = np.cumsum([0, *map(len, parts)]).tolist()
+    for block, a, b in zip(column["block"], edges, edges[1:]):
+        taken = a + np.flatnonzero(strings[a:b])
+        if len(taken):
+            found.append((block, numbers[taken].astype("<u8").tobytes(), _packed_numbers(strings[taken].view(np.int64))))
+    return _table(_TAKEN, found)
+
+
+def covered_bytes(ids: np.ndarray, data: bytes, bounds: np.ndarray, taken: pa.Table) -> np.ndarray:
+    """Whether each byte of a block is covered by a string that a smaller id holds too."""
+    texts, starts, lasts, _ = anchor_runs(data, bounds)
+    edges = np.zeros(len(data) + 1, dtype=np.int32)
+    if not len(starts):
+        return edges[1:] > 0
+    numbers = piece_numbers(data, starts, lasts - starts + LENGTH)
+    everything = (np.uint64(1) << (lasts - starts + 1).astype(np.uint64)) - np.uint64(1)
+    strings = np.zeros(len(starts), dtype=np.uint64)
+    if len(taken):
+        known = np.concatenate([np.frombuffer(n, dtype="<u8") for n in taken.column("numbers").to_pylist()])
+        masks = np.concatenate([_unpacked_numbers(p) for p in taken.column("strings").to_pylist()]).view(np.uint64)
+        order = np.argsort(known)
+        known, masks = known[order], masks[order]
+        at = np.minimum(np.searchsorted(known, numbers), len(known) - 1)
+        strings = np.where(known[at] == numbers, masks[at], np.uint64(0))
+    # Pieces that a smaller id of this block holds go whole.
+    order = np.argsort(numbers)
+    opens = np.flatnonzero(np.append(True, numbers[order][1:] != numbers[order][:-1]))
+    held = ids[texts][order]
+    low = np.repeat(np.minimum.reduceat(held, opens), np.diff(np.append(opens, len(order))))
+    later = order[low < held]
+    strings[later] = everything[later]
+    whole = strings == everything
+    edges[starts[whole]] += 1
+    edges[lasts[whole] + LENGTH] -= 1
+    part = np.flatnonzero((strings > 0) & ~whole)
+    counts = lasts[part] - starts[part] + 1
+    inside = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
+    gone = (np.repeat(strings[part], counts) >> inside.astype(np.uint64)) & np.uint64(1) > 0
+    places = (np.repeat(starts[part], counts) + inside)[gone]
+    edges[places] += 1
+    edges[places + LENGTH] -= 1
+    return np.cumsum(edges[:-1], dtype=np.int32) > 0
+
+
+def _without_covered(rows: pa.Table, taken: pa.Table, as_text: bool, names: list[str]) -> pa.Table:
+    """The rows of a block as ``without_repeats`` returns them."""
+    ids, data, bounds = _laid_out(rows)
+    covered = covered_bytes(ids, data, bounds, taken)
+    removed = np.concatenate([[0], np.cumsum(covered, dtype=np.int64)])[bounds]
+    opens = covered.copy()
+    opens[1:] &= ~covered[:-1]
+    firsts = bounds[:-1][np.diff(bounds) > 0]
+    opens[firsts] = covered[firsts]
+    spans = np.diff(np.searchsorted(np.flatnonzero(opens), bounds))
+    left = np.frombuffer(data, dtype=np.uint8)[~covered].tobytes()
+    edges = (bounds - removed).tolist()
+    kept = [left[a:b] for a, b in zip(edges, edges[1:])]
+    if as_text:
+        kept = [text.decode(errors="ignore") for text in kept]
+    rest = rows.column("rest").combine_chunks()
+    null = rest.field("__null").to_pylist()
+    edges = bounds.tolist()
+    whole = [None if gone else data[a:b] for a, b, gone in zip(edges, edges[1:], null)]
+    return pa.table(
+        [
+            *[rest.field(c) for c in names],
+            pa.array(whole, pa.binary()).cast(pa.string()),
+            pa.array(np.diff(bounds)),
+            pa.array(np.diff(removed)),
+            pa.array(spans.astype(np.int64)),
+            pa.array(kept, pa.string() if as_text else pa.binary()),
+        ],
+        names=[*names, "text", "n_bytes", "n_removed", "n_spans", "kept"],
+    )
+
+
 def without_repeats(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", as_text: bool = False
 ) -> DataFrame:
@@ -340,50 +357,47 @@ def without_repeats(
     ``as_text`` makes ``kept`` a string; characters that were cut in two are left out of it.
     """
     others = [c for c in docs.columns if c not in (text_column, "n_bytes", "n_removed", "n_spans", "kept")]
-    key = F.coalesce(F.col(id_column).cast("bigint"), F.lit(LAST_ID))
-    unique = docs.groupBy(key.alias("id")).count().where("count > 1").isEmpty()
     rows = docs.select(
-        key.alias("id"),
+        F.coalesce(F.col(id_column).cast("bigint"), F.lit(LAST_ID)).alias("id"),
         F.coalesce(F.col(text_column), F.lit("")).alias("text"),
-        (F.lit(0) if unique else F.hash(text_column)).alias("tag"),
         F.struct(F.col(text_column).isNull().alias("__null"), *[F.col(f"`{c}`") for c in others]).alias("rest"),
     )
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    packed = _packed_texts(rows)
-    joined = packed.join(repeated_ranges(rows, packed, total), "id", "left")
+    blocks, buckets = (total // size + LEAST_PARTS for size in (BLOCK_BYTES, BUCKET_BYTES))
+    anchor_buckets = total // (ANCHOR_BUCKETS * BUCKET_BYTES) + LEAST_PARTS
+    block = F.pmod(F.xxhash64("id", "text"), F.lit(blocks))
+    dealt = _packed_texts(rows.select(block.alias("block"), "id", "text", "rest")).groupBy("block")
+
+    def anchors(rows: pa.Table) -> pa.Table:
+        _, data, bounds = _laid_out(rows)
+        block, names = rows.column("block")[0].as_py(), np.sort(anchor_runs(data, bounds)[3])
+        names = names[np.append(True, names[1:] != names[:-1])[: len(names)]]
+        cuts = _bucket_cuts(names, anchor_buckets)
+        return _table(_ANCHORS, [(bucket, block, _packed_names(names[a:b])) for bucket, a, b in cuts])
+
+    def pieces(rows: pa.Table, marks: pa.Table) -> pa.Table:
+        return _pieces_of_block(rows, marks, anchor_buckets, buckets)
+
+    def remove(rows: pa.Table, taken: pa.Table) -> pa.Table:
+        return _without_covered(rows, taken, as_text, others)
+
+    marks = (
+        dealt.applyInArrow(anchors, _ddl(_ANCHORS))
+        .groupBy("bucket")
+        .applyInArrow(_shared_in_bucket, _ddl(_MARKS))
+    )
+    taken = (
+        dealt.cogroup(marks.groupBy("block"))
+        .applyInArrow(pieces, _ddl(_PIECES))
+        .groupBy("bucket")
+        .applyInArrow(_taken_of_bucket, _ddl(_TAKEN))
+    )
     types = dict(docs.dtypes)
-    kind = "string" if as_text else "binary"
     schema = (
         ", ".join(f"`{c}` {types[c]}" for c in others)
-        + f", text string, n_bytes bigint, n_removed bigint, n_spans bigint, kept {kind}"
+        + f", text string, n_bytes bigint, n_removed bigint, n_spans bigint, kept {'string' if as_text else 'binary'}"
     )
-
-    def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rest = batch.column(2)
-            missing = rest.field("__null").to_pylist()
-            texts = _unpacked(batch.column(0)).to_pylist()
-            found, whole = [], []
-            for text, tag, spans, null in zip(texts, batch.column(1).to_pylist(), batch.column(3).to_pylist(), missing):
-                spans = [s for s in spans or () if s["tag"] == tag]
-                cuts = merged([s["start"] for s in spans], [s["end"] for s in spans])
-                edges = [0, *[edge for cut in cuts for edge in cut], len(text)]
-                left = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2]))
-                out = left.decode(errors="ignore") if as_text else left
-                found.append((len(text), len(text) - len(left), len(cuts), out))
-                whole.append(None if null else text.decode())
-            columns = list(zip(*found)) if found else [(), (), (), ()]
-            kinds = [pa.int64()] * 3 + [pa.string() if as_text else pa.binary()]
-            yield pa.record_batch(
-                [
-                    *[rest.field(c) for c in others],
-                    pa.array(whole, pa.string()),
-                    *[pa.array(c, k) for c, k in zip(columns, kinds)],
-                ],
-                names=[*others, "text", "n_bytes", "n_removed", "n_spans", "kept"],
-            )
-
-    cut = joined.select("text", "tag", "rest", "ranges").mapInArrow(remove, schema)
+    cut = dealt.cogroup(taken.groupBy("block")).applyInArrow(remove, schema)
     order = [text_column if c == text_column else c for c in docs.columns if c in (*others, text_column)]
     return cut.withColumnRenamed("text", text_column).select(
         *[F.col(f"`{c}`") for c in order], "n_bytes", "n_removed", "n_spans", "kept"

@@ -1,10 +1,12 @@
 """Removal against brute force over all 50-byte strings."""
 
 import hashlib
+import pathlib
 import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from balcao.llm import suffix_dedup
 from balcao.llm.suffix_blocks import LENGTH, smallest_owners
@@ -104,3 +106,70 @@ def test_anchors_do_not_depend_on_segments(monkeypatch):
     by_string = {}
     for _, p, h in whole:
         assert by_string.setdefault(data[p : p + LENGTH], h) == h
+
+
+@pytest.mark.parametrize("least", [1, 30])
+def test_many_blocks_and_a_frequent_anchor(frame, monkeypatch, least):
+    for name, value in {"BLOCK_BYTES": 2000, "BUCKET_BYTES": 3000, "LEAST_PARTS": least}.items():
+        monkeypatch.setattr(suffix_dedup, name, value)
+    rng = random.Random(5)
+    # One passage with ever other bytes beside it, whole copies, and copies of copies cut short.
+    texts = [t for _, t in made_up()]
+    texts += [f"{rng.random()}{'in every document '[: rng.randint(14, 18)]}{rng.random()}" * 2 for _ in range(40)]
+    texts += [texts[-1], texts[-2][:70], texts[-3][9:], texts[-4] + "é", None, ""]
+    ids = rng.sample(range(-500, 500), len(texts))
+    docs = frame("doc_id bigint, text string", *zip(ids, texts))
+    assert found(removal_digest(docs.repartition(7))) == expected(list(zip(ids, texts)))
+
+
+def test_rows_of_one_id_in_many_blocks(frame):
+    same = ["z%d" % i + "q" * 30 + "r" * 40 for i in range(25)]
+    docs = frame("doc_id bigint, text string", *[(7, t) for t in same], (9, same[3]), (None, same[4]), (None, same[5]))
+    gone = [r.n_removed for r in removal_digest(docs).orderBy(F.col("doc_id").asc_nulls_last()).collect()]
+    assert gone == [0] * 25 + [72, 72, 72]
+
+
+def test_segments_do_not_cut_runs(monkeypatch):
+    texts = [(t or "").encode() for _, t in made_up()]
+
+    def pieces(order):
+        data, bounds = b"".join(order), np.concatenate([[0], np.cumsum([len(t) for t in order])])
+        _, starts, lasts, names = suffix_dedup.anchor_runs(data, bounds)
+        numbers = suffix_dedup.piece_numbers(data, starts, lasts - starts + LENGTH)
+        bodies = [data[a : b + LENGTH] for a, b in zip(starts.tolist(), lasts.tolist())]
+        assert len(set(zip(bodies, numbers.tolist()))) == len(set(bodies)) == len(set(numbers.tolist()))
+        return sorted(zip(names.tolist(), bodies))
+
+    whole = pieces(texts)
+    monkeypatch.setattr(suffix_dedup, "_SEGMENT", 64)
+    assert pieces(texts[::-1]) == whole
+
+
+def shuffled_bytes(df):
+    """Bytes that the exchanges of a query write, after it has run."""
+    df.collect()
+    plans, total = [df._jdf.queryExecution().executedPlan()], 0
+    while plans:
+        plan = plans.pop()
+        kind = plan.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            plans.append(plan.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            plans.append(plan.plan())
+        elif kind != "ReusedExchangeExec":
+            if kind == "ShuffleExchangeExec":
+                total += plan.metrics().apply("shuffleBytesWritten").value()
+            children = plan.children()
+            plans += [children.apply(i) for i in range(children.size())]
+    return total
+
+
+def test_shuffles_little_more_than_texts_and_shared_pieces(spark, tmp_path):
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 10))) for _ in range(5000)]
+    passages = [" ".join(rng.choices(words, k=60)) for _ in range(50)]
+    texts = [" ".join([*rng.choices(words, k=300), rng.choice(passages), *rng.choices(words, k=200)]) for _ in range(2000)]
+    path = str(tmp_path / "documents.parquet")
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1).write.parquet(path)
+    size = sum(part.stat().st_size for part in pathlib.Path(path).glob("*.parquet"))
+    assert 0.5 * size < shuffled_bytes(removal_digest(spark.read.parquet(path))) < 1.25 * size
